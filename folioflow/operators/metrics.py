@@ -63,18 +63,18 @@ def partition_summary(
     out = landing_counters(landed, keys).drop("success")
     if processed is not None:
         counted = transform_counters(processed, keys).select(
-            *keys, "processed", F.col("failed").alias("_transform_failed")
-        )
-        out = out.join(counted, keys, "full_outer").withColumn(
-            "failed",
-            F.coalesce("failed", F.lit(0)) + F.coalesce("_transform_failed", F.lit(0)),
+            *keys, "processed", F.col("failed").alias("transform_failed")
         )
+        out = out.join(counted, keys, "full_outer")
     if pages is not None:
         counted = pages.groupBy(*keys).agg(F.count("*").alias("pages_scraped"))
         out = out.join(counted, keys, "full_outer")
     first = F.try_to_date(F.concat(F.col("partition_date"), F.lit("-01")), "yyyy-MM-dd")
     have = set(out.columns)
-    numbers = ("stored", "unchanged", "failed", "dropped", "pages_scraped", "processed")
+    numbers = [
+        "stored", "unchanged", "failed", "dropped", "pages_scraped", "processed",
+        "transform_failed",
+    ]
     return out.select(
         *keys,
         first.alias("start_date"),

@@ -70,6 +70,10 @@ def _struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+def extended(schema: T.StructType, columns: str) -> T.StructType:
+    return T.StructType([*schema.fields, *_struct(columns).fields])
+
+
 CAPTURED_PAGES = _struct("url string, content_type string, body binary")
 
 LISTING = _struct(
@@ -114,5 +118,5 @@ PROCESSED_SUPPLIED = list(PROCESSED_CASES.names)
 RUN_METRICS = _struct(
     "body string, partition_date string, start_date date, end_date date, stored bigint, "
     "unchanged bigint, failed bigint, dropped bigint, pages_scraped bigint, processed bigint, "
-    "elapsed_seconds double"
+    "transform_failed bigint, elapsed_seconds double"
 )
