@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from html import escape, unescape
+from html import escape
+from html import unescape as decode_reference
+from html.entities import html5
 
 from folioflow import schemas as S
 
@@ -53,6 +55,7 @@ _MARKUP = re.compile(
     re.S,
 )
 _ATTRIBUTES = re.compile(_ATTRIBUTE)
+_REFERENCE = re.compile(r"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[A-Za-z][A-Za-z0-9]*+;)")
 _RAW_END = {tag: re.compile(f"</{tag}(?=[\\s/>]|\\Z)", re.I) for tag in RAW_TEXT}
 _XML_SPACES = re.compile(r"[ \t\r\n]+")
 _ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -62,6 +65,17 @@ def collapse(text: str) -> str:
     return " ".join(text.split())
 
 
+def _decode(found: re.Match) -> str:
+    """Numbers, and known names that end with a semicolon."""
+    reference = found[0]
+    known = reference[1] == "#" or reference[1:] in html5
+    return decode_reference(reference) if known else reference
+
+
+def unescape(text: str) -> str:
+    return _REFERENCE.sub(_decode, text) if "&" in text else text
+
+
 class Page:
     def __init__(self, html: str) -> None:
         self.tags: list[str] = []
@@ -156,7 +170,7 @@ class Page:
                 return
 
     def _text(self, text: str) -> None:
-        text = unescape(text) if "&" in text else text
+        text = unescape(text)
         if self._last_text == len(self.tags) - 1 >= 0:  # only ignored markup lies between
             self.data[-1] += text
         else:

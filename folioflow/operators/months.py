@@ -86,3 +86,16 @@ def month_range(
     """Rows of an inclusive month range, compared as text, and optionally of one body."""
     picked = rows.where(F.col("partition_date").between(start_month, end_month))
     return picked.where(F.col("body") == body) if body else picked
+
+
+def month_range_on_time(rows: DataFrame, time: str, start_month: str, end_month: str) -> DataFrame:
+    """The same range on a raw date or time column, in a form that parquet can skip by."""
+    first = F.to_date(F.lit(start_month + "-01"))
+    after = F.add_months(F.to_date(F.lit(end_month + "-01")), 1)
+    kind = rows.schema[time].dataType
+    return rows.where((F.col(time) >= first.cast(kind)) & (F.col(time) < after.cast(kind)))
+
+
+def range_counts(rows: DataFrame, start_month: str, end_month: str) -> DataFrame:
+    """Rows per body in a month range."""
+    return month_range(rows, start_month, end_month).groupBy("body").agg(F.count("*").alias("n"))
