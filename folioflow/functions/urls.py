@@ -103,7 +103,7 @@ def resolve(base: Column | str, href: Column | str) -> Column:
     absolute_path = _without_dots(F.split(target, "/", -1))
 
     def at(p: Column) -> Column:
-        return F.concat(site, F.when(p == "", F.lit("/")).otherwise(p), tail)
+        return F.concat(site, F.when(p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p)), tail)
 
     query_only = F.when(query(href) != "", tail).otherwise(F.concat(query(base), fragment(href)))
     return (
