@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folioflow import schemas as S
 from folioflow.functions import urls
-from folioflow.functions.text import as_column, filled, or_default, strip
+from folioflow.functions.text import as_column, filled, once, or_default, strip
 
 
 def content_type(raw: Column | str) -> Column:
@@ -65,8 +65,13 @@ def landing_key(
         .when(body.startswith("/"), F.concat_ws("/", *parts[1:]))
         .otherwise(F.concat_ws("/", *parts))
     )
-    without_dots = F.regexp_replace(key, r"(?<=\A|/)\.(?:/+|\z)", "")
-    return F.regexp_replace(without_dots, "/{2,}", "/")
+
+    def tidy(k: Column) -> Column:
+        without_dots = F.regexp_replace(k, r"(?<=\A|/)\.(?:/+|\z)", "")
+        untidy = k.contains("./") | k.contains("//")
+        return F.when(untidy, F.regexp_replace(without_dots, "/{2,}", "/")).otherwise(k)
+
+    return once(key, tidy)
 
 
 def processed_key(

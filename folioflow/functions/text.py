@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,3 +43,8 @@ def or_default(value: Column | str, default: str) -> Column:
 def decode_bytes(value: Column | str) -> Column:
     """Bytes to text; undecodable bytes become U+FFFD."""
     return F.make_valid_utf8(as_column(value).cast("string"))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once per row, however often it is used."""
+    return F.transform(F.array(value), use)[0]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioflow.functions.text import as_column, filled, strip
+from folioflow.functions.text import as_column, filled, once, strip
 
 _SCHEME = r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?"
 _HOST = r"(?://[^/?#]*)?"
@@ -70,50 +70,76 @@ def slug(url: Column | str) -> Column:
     return filled(F.upper(strip(stem)))
 
 
-def _without_dots(segments: Column) -> Column:
+def _fold_dots(segments: Column) -> Column:
     """Fold `.` and `..` away; a dot segment at the end leaves a directory."""
+    start = F.array().cast("array<string>")
     kept = F.aggregate(
         segments,
-        F.array().cast("array<string>"),
+        start,
         lambda acc, s: F.when(s == ".", acc)
-        .when((s == "..") & (F.size(acc) > 0), F.slice(acc, 1, F.size(acc) - 1))
-        .when(s == "..", acc)
+        .when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
         .otherwise(F.array_append(acc, s)),
     )
-    ends_on_dots = F.element_at(segments, -1).isin(".", "..")
-    return F.array_join(F.when(ends_on_dots, F.array_append(kept, F.lit(""))).otherwise(kept), "/")
+    last = F.element_at(segments, -1)
+    return F.array_join(F.concat(kept, F.when(last.isin(".", ".."), F.array(F.lit(""))).otherwise(start)), "/")
+
+
+def _folded(path: Column, drop_empty: bool) -> Column:
+    """Path without dot segments; only the few paths that need it are taken apart."""
+    pattern = r"(?:\A|/)\.{1,2}(?:/|\z)" + ("|//" if drop_empty else "")
+
+    def fold(p: Column) -> Column:
+        def inner(s: Column) -> Column:
+            if not drop_empty:
+                return s
+            middle = F.slice(s, 2, F.greatest(F.size(s) - 2, F.lit(0)))
+            return F.concat(
+                F.slice(s, 1, 1), F.filter(middle, lambda x: x != ""), F.slice(s, -1, 1)
+            )
+
+        taken_apart = once(inner(F.split(p, "/", -1)), _fold_dots)
+        return F.when(p.rlike(pattern), taken_apart).otherwise(p)
+
+    return once(path, fold)
 
 
 def resolve(base: Column | str, href: Column | str) -> Column:
     """Absolute URL of a link found on the page at `base`."""
-    base, href = tidy(base), tidy(href)
-    site = F.regexp_extract(base, rf"\A({_SCHEME}{_HOST})", 1)
-    target = raw_path(href)
-    tail = F.concat(query(href), fragment(href))
-
-    # Directory of the base page, then the target's own segments; empty ones between drop out.
-    folder = F.regexp_replace(path(base), r"[^/]*\z", "")
-    rooted = F.when(folder.startswith("/"), folder).otherwise(F.concat(F.lit("/"), folder))
-    joined = F.split(F.concat(rooted, target), "/", -1)
-    inner = F.filter(F.slice(joined, 2, F.greatest(F.size(joined) - 2, F.lit(0))), lambda s: s != "")
-    relative = F.concat(
-        F.slice(joined, 1, 1), inner, F.array(F.element_at(joined, -1))
-    )
-    relative_path = _without_dots(relative)
-    absolute_path = _without_dots(F.split(target, "/", -1))
-
-    def at(p: Column) -> Column:
-        return F.concat(site, F.when(p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p)), tail)
-
-    query_only = F.when(query(href) != "", tail).otherwise(F.concat(query(base), fragment(href)))
-    return (
-        F.when(href.isNull() | base.isNull(), F.lit(None).cast("string"))
-        .when(href == "", base)
-        .when(scheme(href) != "", href)
-        .when(href.startswith("//"), F.concat(scheme(base), F.lit(":"), href))
-        .when(target == "", F.concat(site, raw_path(base), query_only))
-        .when(target.startswith("/"), at(absolute_path))
-        .otherwise(at(relative_path))
+    both = F.struct(tidy(base).alias("base"), tidy(href).alias("href"))
+
+    def parts(u: Column) -> Column:
+        return F.struct(
+            u["base"].alias("base"),
+            u["href"].alias("href"),
+            F.regexp_extract(u["base"], rf"\A({_SCHEME}{_HOST})", 1).alias("site"),
+            F.regexp_extract(u["href"], rf"\A{_SCHEME}{_HOST}([^?#]*)", 1).alias("path"),
+            F.regexp_extract(u["href"], r"(?s)\A[^?#]*(.*)", 1).alias("tail"),
+        )
+
+    def absolute(p: Column) -> Column:
+        base, href, site, path, tail = (p[n] for n in ("base", "href", "site", "path", "tail"))
+        folder = F.regexp_extract(base, rf"\A{_SCHEME}{_HOST}([^?#]*/)?", 1)
+        rooted = F.when(folder == "", F.lit("/")).otherwise(folder)
+
+        def at(folded: Column) -> Column:
+            slash = F.when(folded.startswith("/"), F.lit("")).otherwise(F.lit("/"))
+            return F.concat(site, slash, folded, tail)
+
+        same_page = F.when(tail.startswith("?"), F.regexp_extract(base, r"\A([^?#]*)", 1)).otherwise(
+            F.regexp_extract(base, r"\A([^#]*)", 1)
+        )
+        return (
+            F.when(href == "", base)
+            .when(href.rlike(r"\A[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
+            .when(href.startswith("//"), F.concat(scheme(base), F.lit(":"), href))
+            .when(path == "", F.concat(same_page, tail))
+            .when(path.startswith("/"), once(_folded(path, drop_empty=False), at))
+            .otherwise(once(_folded(F.concat(rooted, path), drop_empty=True), at))
+        )
+
+    return F.when(
+        as_column(base).isNotNull() & as_column(href).isNotNull(),
+        once(both, lambda u: once(parts(u), absolute)),
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from folioflow import schemas as S
 from folioflow.functions import naming, page_tree, payload, text, urls
+from folioflow.session import ship_package
 
 _TEXT = T.StringType()
 FACTS = {
@@ -75,6 +76,7 @@ def extract_pages(
                 columns.append(pa.array(errors, pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, *facts, "error"])
 
+    ship_package(pages.sparkSession)
     source = pages.select(*dict.fromkeys([*keep, html]))
     return source.mapInArrow(run, T.StructType(fields))
 

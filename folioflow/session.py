@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +61,24 @@ def stored(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder: cuts lineage and outlives lost executors."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package's code to the Python workers, once per application.
+
+    The archive is served by the session, so executors that join later get it too. A package
+    that came as an archive itself (`--py-files`) is there already.
+    """
+    context = spark.sparkContext
+    package = Path(__file__).parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="folioflow-code-")) / "folioflow-code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, Path(package.name) / source.relative_to(package))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)

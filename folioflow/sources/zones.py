@@ -71,10 +71,8 @@ class MetadataTable:
     def _index(self) -> tuple[int, list[T.Row]]:
         """Last published batch and its list: one row per body and month, a few thousand."""
         lists = _read(self.spark, f"{self.path}/index", self._INDEX)
-        last = lists.agg(F.max("v")).first()[0]
-        if last is None:
-            return -1, []
-        return last, lists.where(F.col("v") == last).collect()
+        newest = lists.where(F.col("v") == lists.agg(F.max("v")).scalar()).collect()
+        return (newest[0].v if newest else -1), newest
 
     def last_batch(self) -> int:
         return self._index()[0]

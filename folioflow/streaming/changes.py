@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from folioflow import schemas as S
+from folioflow.session import ship_package
 
 STATE = T.StructType(
     [T.StructField("file_hash", T.StringType()), T.StructField("path_to_file", T.StringType())]
@@ -65,6 +66,7 @@ def stream_changes(rows: DataFrame, existing: DataFrame | None = None) -> DataFr
     where one identifier may fill it beyond a task's memory, use `stream_landing`, whose change
     detection splits such identifiers.
     """
+    ship_package(rows.sparkSession)
     initial = None
     if existing is not None:
         initial = existing.select("identifier", "file_hash", "path_to_file").groupBy("identifier")
