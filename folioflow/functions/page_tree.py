@@ -379,3 +379,8 @@ def listings(page: Page) -> list[dict]:
 def next_href(page: Page) -> str | None:
     hits = (page.data[i]["href"] for i in page.find("a", "next") if "href" in page.data[i])
     return next(hits, None) or None
+
+
+def base_href(page: Page) -> str | None:
+    hits = (page.data[i]["href"] for i in page.find("base") if page.data[i].get("href"))
+    return next(hits, None)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from folioflow import schemas as S
 from folioflow.functions import dates, naming, payload, text
+from folioflow.session import BROADCAST_BYTES, byte_size
 
 CLEANED = ("title", "description", "case_number", "record_date", "source", "body")
 ROWS_PER_GROUP = 1_000_000
@@ -90,23 +91,32 @@ def detect_changes(
         F.col("file_hash").alias("_old_hash"),
         F.col("path_to_file").alias("_old_path"),
     )
-    hot = _hot_identifiers(incoming, rows_per_group)
-    if hot is None:
+    hot, size = _measure(incoming, rows_per_group)
+    if size <= BROADCAST_BYTES:
+        # A small batch picks its own state out of a large table, which then is not shuffled.
+        names = incoming.select("identifier").distinct()
+        state = state.join(F.broadcast(names), "identifier", "left_semi")
+    if not hot:
         return _by_identifier(incoming, state)
-    cold_rows = incoming.join(F.broadcast(hot), "identifier", "left_anti")
-    hot_rows = incoming.join(F.broadcast(hot), "identifier", "left_semi")
+    names = incoming.sparkSession.createDataFrame([(n,) for n in hot], "identifier string")
+    cold_rows = incoming.join(F.broadcast(names), "identifier", "left_anti")
+    hot_rows = incoming.join(F.broadcast(names), "identifier", "left_semi")
     return _by_identifier(cold_rows, state).unionByName(
         _by_ranges(hot_rows, state, rows_per_group)
     )
 
 
-def _hot_identifiers(incoming: DataFrame, rows_per_group: int) -> DataFrame | None:
-    """Identifiers over the bound: at most rows / rows_per_group of them, so safe to broadcast."""
-    counts = incoming.groupBy("identifier").count().where(F.col("count") > rows_per_group)
-    names = [row.identifier for row in counts.select("identifier").collect()]
-    if not names:
-        return None
-    return incoming.sparkSession.createDataFrame([(n,) for n in names], "identifier string")
+def _measure(incoming: DataFrame, rows_per_group: int) -> tuple[list[str], int]:
+    """Identifiers over the bound, and the size of all identifiers.
+
+    At most rows / rows_per_group identifiers are over it, so they fit the driver.
+    """
+    counts = incoming.groupBy("identifier").count()
+    found = counts.agg(
+        F.collect_list(F.when(F.col("count") > rows_per_group, F.col("identifier"))),
+        byte_size("identifier"),
+    ).first()
+    return found[0], found[1] or 0
 
 
 def _same_as_state(file_hash: Column) -> Column:

@@ -27,7 +27,9 @@ FACTS = {
     "attachment_href": _TEXT,
     "listings": T.ArrayType(S.LISTING),
     "next_href": _TEXT,
+    "base_href": _TEXT,
 }
+_READERS = [name for name in FACTS if not name.startswith("cleaned_")]
 ROWS_PER_SLICE = 64
 
 
@@ -36,7 +38,7 @@ def _read_page(html: str, facts: list[str], wrap: bool) -> dict:
     out = {}
     if "cleaned_html" in facts or "cleaned_text" in facts:
         out["cleaned_html"], out["cleaned_text"] = page_tree.cleaned(page, wrap)
-    for name in ("content_html", "content_text", "attachment_href", "listings", "next_href"):
+    for name in _READERS:
         if name in facts:
             out[name] = getattr(page_tree, name)(page)
     return out
@@ -120,6 +122,13 @@ def route(
     )
 
 
+def link_target(url: Column | str, base_href: Column | str, href: Column | str) -> Column:
+    """Absolute URL of a link; a page may set another base than its own URL."""
+    other = text.as_column(base_href)
+    base = F.when(other.isNull(), text.as_column(url)).otherwise(urls.resolve(url, other))
+    return urls.resolve(base, href)
+
+
 def document_pages(pages: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     """Route each captured page and build the columns of its case item.
 
@@ -127,7 +136,8 @@ def document_pages(pages: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     """
     binary = naming.is_binary_document("content_type", "url")
     source = pages.withColumn("page_html", F.when(~binary, text.decode_bytes("body")))
-    facts = ["content_html", "content_text", "attachment_href"]
+    source = source.withColumn("body", F.when(binary, F.col("body")))
+    facts = ["content_html", "content_text", "attachment_href", "base_href"]
     kept = ["url", "content_type", *extra]
     read = extract_pages(source, "page_html", facts, [*kept, "body"])
     routed = read.withColumn(
@@ -142,9 +152,9 @@ def document_pages(pages: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
             mime, F.when(is_file, F.lit(S.FALLBACK_TYPE)).otherwise(F.lit("text/html"))
         ).alias("content_type"),
         "route",
-        F.when(F.col("route") == "follow", urls.resolve("url", "attachment_href")).alias(
-            "follow_url"
-        ),
+        F.when(
+            F.col("route") == "follow", link_target("url", "base_href", "attachment_href")
+        ).alias("follow_url"),
         F.when(is_file, F.col("body")).alias("content_bytes"),
         F.when(~is_file, F.col("content_html")).alias("content_html"),
         F.when(~is_file, F.length("content_text")).alias("text_length"),
@@ -152,14 +162,19 @@ def document_pages(pages: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     )
 
 
-def listings(results: DataFrame, html: str, context: Iterable[str], source: str) -> DataFrame:
+def listings(
+    results: DataFrame, html: str, context: Iterable[str], source: str, url: str | None = None
+) -> DataFrame:
     """Case listings of results pages, one row each; listings without a link drop out.
 
-    `context` names the columns carried along (url, body, partition_date, page).
+    `context` names the columns carried along (url, body, partition_date, page). With the `url`
+    column of the results page the links are resolved to `document_url` as well.
     """
     context = list(context)
-    read = extract_pages(results, html, ["listings"], context)
-    rows = read.select(*context, F.explode("listings").alias("l"))
+    kept = list(dict.fromkeys([*context, url])) if url else context
+    read = extract_pages(results, html, ["listings", "base_href"], kept)
+    rows = read.select(*kept, "base_href", F.explode("listings").alias("l"))
+    target = [link_target(url, "base_href", "l.href").alias("document_url")] if url else []
     return rows.where(F.col("l.href") != "").select(
         *context,
         F.lit(source).alias("source"),
@@ -170,6 +185,15 @@ def listings(results: DataFrame, html: str, context: Iterable[str], source: str)
         "l.case_number",
         "l.record_date",
         F.col("l.href").alias("source_page_url"),
+        *target,
+    )
+
+
+def next_pages(results: DataFrame, html: str, url: str) -> DataFrame:
+    """The link from each results page to the next, as edges `src, dst`."""
+    read = extract_pages(results, html, ["next_href", "base_href"], [url])
+    return read.where(F.col("next_href").isNotNull()).select(
+        F.col(url).alias("src"), link_target(url, "base_href", "next_href").alias("dst")
     )
 
 

@@ -11,14 +11,15 @@ from folioflow import schemas as S
 from folioflow.functions import payload, text
 from folioflow.operators import cases
 from folioflow.operators.upsert import latest
+from folioflow.session import broadcast_if_small
 from folioflow.sources.zones import Zone
 
 
 def stored_content(incoming: DataFrame, decisions: DataFrame) -> DataFrame:
     """Payloads of stored rows; where rows share a path the last one counts.
 
-    The winners are narrow, so Spark can broadcast them when they are few; payloads of other
-    rows are not moved.
+    The winners are narrow and broadcast when their measured size allows it; then no payload is
+    shuffled to find them.
     """
     winners = (
         decisions.where(F.col("scrape_status") == S.STORED)
@@ -31,7 +32,7 @@ def stored_content(incoming: DataFrame, decisions: DataFrame) -> DataFrame:
         payload.build_payload("content_bytes", "content_html", "link_to_doc").alias("content"),
         text.or_default("content_type", S.FALLBACK_TYPE).alias("content_type"),
     )
-    return blobs.join(winners, "seq").select(*S.CONTENT.names)
+    return blobs.join(broadcast_if_small(winners), "seq").select(*S.CONTENT.names)
 
 
 def land(incoming: DataFrame, zone: Zone, batch: int, run_ts: datetime) -> DataFrame:

@@ -654,10 +654,7 @@ def crawl_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = scan.withColumn("next_id", following).join(targets, "next_id", "left")
     anchor = _text_of('<a class="next" href="', _escaped(F.col("next_url")), '">Next</a>')
     html = F.concat(F.coalesce(anchor, F.lit("")), F.col("html"))
-    read = pages.extract_pages(linked.withColumn("html", html), "html", ["next_href"], ["url"])
-    edges = read.where(F.col("next_href").isNotNull()).select(
-        F.col("url").alias("src"), urls.resolve("url", "next_href").alias("dst")
-    )
+    edges = pages.next_pages(linked.withColumn("html", html), "html", "url")
     starts = scan.where((F.col("page_id") % 16 == 0) & (block % 4 != 2)).select(
         "url", block.alias("block")
     )

@@ -7,14 +7,21 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioflow import schemas as S
 from folioflow.operators import links, metrics, pages
 from folioflow.plans.land import land
 from folioflow.plans.transform import transform
 from folioflow.sources.zones import Zone
 
 
-def build_cases(listings: DataFrame, captured: DataFrame, order: list[str], zone: Zone, batch: int,
-                hosts: list[str] | None = None) -> DataFrame:
+def build_cases(
+    listings: DataFrame,
+    captured: DataFrame,
+    order: list[str],
+    zone: Zone,
+    batch: int,
+    hosts: list[str] | None = None,
+) -> DataFrame:
     """Incoming cases: each listing with the document page its link leads to.
 
     Pages are parsed once and staged; the link joins read only their narrow columns.
@@ -49,4 +56,10 @@ def run_zones(
     """Land a batch, process the month range, and report per body and month."""
     landed = land(incoming, landing, batch, run_ts)
     done = transform(landing, processed, batch, start_month, end_month, run_ts, body)
-    return metrics.partition_summary(landed, done)
+    return processed.stage("metrics", batch, metrics.partition_summary(landed, done))
+
+
+def run_metrics(processed: Zone) -> DataFrame:
+    """The metrics of every run so far, by batch."""
+    schema = S.extended(S.RUN_METRICS, "v bigint")
+    return processed.spark.read.schema(schema).parquet(f"{processed.path}/metrics")

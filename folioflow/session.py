@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -63,6 +64,24 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# A side of a join up to this many bytes of keys and values is broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_BYTES = 64
+
+
+def byte_size(*columns: str) -> Column:
+    """Size of these columns over the rows of a group, with an allowance per row."""
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns]
+    return F.sum(sum(sizes, F.lit(ROW_BYTES)).cast("long"))
+
+
+def broadcast_if_small(df: DataFrame, size: int | None = None) -> DataFrame:
+    """Broadcast a frame whose measured size allows it; any other joins by shuffle."""
+    if size is None:
+        size = df.agg(byte_size(*df.columns)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 _shipped: set[str] = set()
 
 

@@ -23,6 +23,7 @@ from folioflow import schemas as S
 from folioflow.functions import text
 from folioflow.operators.months import month_range
 from folioflow.operators.upsert import upsert
+from folioflow.session import BROADCAST_BYTES, broadcast_if_small, byte_size
 
 KEY = "identifier"
 PARTITION = ["zone_body", "zone_month"]
@@ -185,16 +186,26 @@ class ContentTable:
     def attach(self, metadata: DataFrame, columns: Iterable[str] = ("content",)) -> DataFrame:
         """Metadata rows with the payload at their `path_to_file`, NULL where none exists.
 
-        Months outside the metadata are pruned, the newest batch is found on paths alone, and
-        payloads are shuffled once at most.
+        Months outside the metadata are pruned and the newest batch is found on paths alone.
+        Where the metadata is small, payloads are not shuffled at all, otherwise once.
         """
         located = metadata.withColumn("month", self.month_of("path_to_file"))
-        months = [r[0] for r in located.select("month").distinct().collect()]
-        every = self._all().where(F.col("month").isin([m for m in months if m is not None]))
+        by_month = located.groupBy("month").agg(byte_size(*metadata.columns).alias("size")).collect()
+        size = sum(r["size"] for r in by_month)
+        every = self._all().where(F.col("month").isin([r.month for r in by_month]))
         keys = ["month", "path_to_file"]
-        versions = located.join(self._newest(every), keys, "left")
+        paths = every.select(*keys, "v")
+        if size <= BROADCAST_BYTES:
+            paths = paths.join(F.broadcast(located.select(*keys)), keys, "left_semi")
+        versions = located.join(self._newest(paths), keys, "left")
+
+        found = broadcast_if_small(versions.where(F.col("v").isNotNull()), size)
         payloads = every.select(*keys, "v", *columns)
-        return versions.join(payloads, [*keys, "v"], "left").drop("month", "v")
+        missing = versions.where(F.col("v").isNull())
+        for name in columns:
+            missing = missing.withColumn(name, F.lit(None).cast(S.CONTENT[name].dataType))
+        joined = payloads.join(found, [*keys, "v"])
+        return joined.unionByName(missing).select(*metadata.columns, *columns)
 
 
 class Zone:

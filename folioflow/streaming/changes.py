@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from folioflow import schemas as S
-from folioflow.session import ship_package
+from folioflow.schemas import STORED, UNCHANGED
 
 STATE = T.StructType(
     [T.StructField("file_hash", T.StringType()), T.StructField("path_to_file", T.StringType())]
@@ -26,36 +25,43 @@ CHANGES = T.StructType(
 COLUMNS = ["identifier", "seq", "file_hash", "object_key"]
 
 
-class ChangeDetector(StatefulProcessor):
-    """Keeps hash and path of the last row of each identifier."""
+def change_detector() -> StatefulProcessor:
+    """Keeps hash and path of the last row of each identifier.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", STATE)
+    The class is local, so it travels by value: the process that prepares the state runs without
+    the files shipped to the workers.
+    """
+
+    class ChangeDetector(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self._last = handle.getValueState("last", STATE)
+
+        def handleInitialState(self, key, initialState, timerValues) -> None:
+            self._last.update((initialState.file_hash, initialState.path_to_file))
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self._last.update((initialState.file_hash, initialState.path_to_file))
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+            known = self._last.get() if self._last.exists() else None
+            file_hash, path = (known[0], known[1]) if known else (None, None)
+            # A micro-batch arrives unsorted. Its size is bounded by the source, and only these
+            # narrow columns are held.
+            for row in sorted(rows, key=lambda r: r.seq):
+                if row.file_hash == file_hash and path:
+                    status = UNCHANGED
+                else:
+                    status, file_hash, path = STORED, row.file_hash, row.object_key
+                yield Row(
+                    identifier=key[0],
+                    seq=row.seq,
+                    file_hash=file_hash,
+                    scrape_status=status,
+                    path_to_file=path,
+                )
+            self._last.update((file_hash, path))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self._last.get() if self._last.exists() else None
-        file_hash, path = (known[0], known[1]) if known else (None, None)
-        # A micro-batch arrives unsorted. Its size is bounded by the source, and only these
-        # narrow columns are held.
-        for row in sorted(rows, key=lambda r: r.seq):
-            if row.file_hash == file_hash and path:
-                status = S.UNCHANGED
-            else:
-                status, file_hash, path = S.STORED, row.file_hash, row.object_key
-            yield Row(
-                identifier=key[0],
-                seq=row.seq,
-                file_hash=file_hash,
-                scrape_status=status,
-                path_to_file=path,
-            )
-        self._last.update((file_hash, path))
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return ChangeDetector()
 
 
 def stream_changes(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -66,7 +72,6 @@ def stream_changes(rows: DataFrame, existing: DataFrame | None = None) -> DataFr
     where one identifier may fill it beyond a task's memory, use `stream_landing`, whose change
     detection splits such identifiers.
     """
-    ship_package(rows.sparkSession)
     initial = None
     if existing is not None:
         initial = existing.select("identifier", "file_hash", "path_to_file").groupBy("identifier")
@@ -74,7 +79,7 @@ def stream_changes(rows: DataFrame, existing: DataFrame | None = None) -> DataFr
         rows.select(*COLUMNS)
         .groupBy("identifier")
         .transformWithState(
-            statefulProcessor=ChangeDetector(),
+            statefulProcessor=change_detector(),
             outputStructType=CHANGES,
             outputMode="append",
             timeMode="none",

@@ -243,3 +243,14 @@ def test_text_gate_counts_code_points(spark):
     assert {u: r.route for u, r in got.items()} == {
         u: "html" if "100" in u else "html_fallback" for u, _, _ in rows
     }
+
+
+def test_links_of_results_pages(spark):
+    based = '<head><base href="/en/"></head>' + RESULTS
+    df = spark.createDataFrame(
+        [("http://h/s?page=1", RESULTS), ("http://h/b", based), ("http://h/last", "<p>")], "url string, html string"
+    )
+    edges = {r.src: r.dst for r in pages.next_pages(df, "html", "url").collect()}
+    assert edges == {"http://h/s?page=1": "http://h/s?page=2", "http://h/b": "http://h/en/?page=2"}
+    rows = pages.listings(df, "html", ["url"], "Src", "url").collect()
+    assert {r.document_url for r in rows} == {"http://h/b1", "http://h/t2"}

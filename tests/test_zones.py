@@ -11,7 +11,7 @@ from folioflow import schemas as S
 from folioflow.operators import months
 from folioflow.plans.land import land
 from folioflow.plans.transform import processed_content, transform
-from folioflow.plans.zones import build_cases, run_zones
+from folioflow.plans.zones import build_cases, run_metrics, run_zones
 from folioflow.sources import captures
 from folioflow.sources.zones import landing_zone, processed_zone
 from folioflow.streaming.changes import stream_changes
@@ -218,6 +218,15 @@ def test_payloads_are_shuffled_once(spark, tmp_path):
     assert "month#" in scans[0] and "PartitionFilters" in scans[0]
 
 
+def test_payloads_stay_put_for_small_metadata(spark, tmp_path):
+    zone = landing_zone(spark, str(tmp_path))
+    land(frame(spark, BATCH), zone, 0, T1)
+    located = zone.content.attach(zone.cases.read().select("identifier", "path_to_file"))
+    assert located.count() == 5
+    plan = located._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "rightHint=(strategy=broadcast)" in plan
+
+
 def test_run_zones_reports_each_partition(spark, tmp_path):
     landing = landing_zone(spark, str(tmp_path / "l"))
     processed = processed_zone(spark, str(tmp_path / "p"))
@@ -225,6 +234,8 @@ def test_run_zones_reports_each_partition(spark, tmp_path):
     got = {(r.body, r.partition_date): r for r in report.collect()}
     assert (got["Labour Court", "2024-01"].stored, got["Labour Court", "2024-01"].unchanged) == (2, 1)
     assert got["Labour Court", "2024-01"].dropped == 1 and got["Labour Court", "2024-02"].processed == 2
+    kept = run_metrics(processed).collect()
+    assert {r.v for r in kept} == {0} and len(kept) == 3
     pending = months.pending_partitions(landing.cases.read(), processed.cases.read())
     assert pending.count() == 0
 
