@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # Unicode whitespace. The regex engine's own \s covers ASCII only.
 SPACE_CLASS = r"[\s\x1c-\x1f\x85\p{Z}]"
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def as_column(value: Column | str) -> Column:
@@ -27,8 +28,7 @@ def clean_text(value: Column | str) -> Column:
 
 def strip(value: Column | str) -> Column:
     """Drop whitespace at both ends only."""
-    ends = rf"\A{SPACE_CLASS}+|{SPACE_CLASS}+\z"
-    return F.regexp_replace(as_column(value), ends, "")
+    return F.btrim(as_column(value), F.lit(SPACES))
 
 
 def filled(value: Column | str) -> Column:

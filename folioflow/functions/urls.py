@@ -13,7 +13,11 @@ _HOST = r"(?://[^/?#]*)?"
 
 def tidy(url: Column | str) -> Column:
     """Without leading control characters and without tabs or line breaks."""
-    return F.regexp_replace(as_column(url), r"\A[\x00-\x20]+|[\t\r\n]", "")
+    c = as_column(url)
+    untidy = c.substr(1, 1) <= " "
+    for char in "\t\r\n":
+        untidy = untidy | c.contains(char)
+    return F.when(untidy, F.regexp_replace(c, r"\A[\x00-\x20]+|[\t\r\n]", "")).otherwise(c)
 
 
 def scheme(url: Column | str) -> Column:
@@ -29,22 +33,9 @@ def host(url: Column | str) -> Column:
     return F.lower(F.regexp_extract(authority(url), r"\A//(?:.*@)?([^@:]*)", 1))
 
 
-def raw_path(url: Column | str) -> Column:
-    return F.regexp_extract(tidy(url), rf"\A{_SCHEME}{_HOST}([^?#]*)", 1)
-
-
 def path(url: Column | str) -> Column:
     """Path without query, fragment or the parameters of its last segment."""
-    return F.regexp_replace(raw_path(url), r";[^/]*\z", "")
-
-
-def query(url: Column | str) -> Column:
-    """`?query` with its mark, or ''."""
-    return F.regexp_extract(tidy(url), r"\A[^?#]*(\?[^#]*)", 1)
-
-
-def fragment(url: Column | str) -> Column:
-    return F.regexp_extract(tidy(url), r"(?s)\A[^#]*(#.*)", 1)
+    return F.regexp_extract(tidy(url), rf"\A{_SCHEME}{_HOST}((?:[^?#]*/)?[^?#/;]*)", 1)
 
 
 def unquote(value: Column | str) -> Column:
@@ -66,8 +57,8 @@ def suffix(value: Column | str) -> Column:
 
 def slug(url: Column | str) -> Column:
     """Upper-case stem of the last path segment, or NULL."""
-    stem = F.regexp_replace(last_segment(path(url)), r"\.[^.]*\z", "")
-    return filled(F.upper(strip(stem)))
+    stem = rf"\A{_SCHEME}{_HOST}(?:[^?#]*/)?([^?#/;]*?)(?:\.[^?#/;.]*)?(?:[?#;]|\z)"
+    return filled(F.upper(strip(F.regexp_extract(tidy(url), stem, 1))))
 
 
 def _fold_dots(segments: Column) -> Column:

@@ -7,10 +7,11 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioflow import schemas as S
 from folioflow.functions import dates, naming, payload, text
-from folioflow.session import BROADCAST_BYTES, byte_size
+from folioflow.session import BROADCAST_BYTES, byte_size, small_table
 
 CLEANED = ("title", "description", "case_number", "record_date", "source", "body")
 ROWS_PER_GROUP = 1_000_000
@@ -39,17 +40,16 @@ def prepare_cases(incoming: DataFrame) -> DataFrame:
     `reason` and take no part in change detection.
     """
     failed = F.col("error") if "error" in incoming.columns else F.lit(None).cast("string")
-    cases = normalize_cases(incoming).withColumns(
+    named = normalize_cases(incoming).withColumn(
+        "_extension", naming.landing_extension("content_type", "file_name", "link_to_doc")
+    )
+    cases = named.withColumns(
         {
             "file_hash": payload.content_hash(
                 payload.build_payload("content_bytes", "content_html", "link_to_doc")
             ),
             "object_key": naming.landing_key(
-                "source",
-                "body",
-                "partition_date",
-                "identifier",
-                naming.landing_extension("content_type", "file_name", "link_to_doc"),
+                "source", "body", "partition_date", "identifier", F.col("_extension")
             ),
             "outcome": F.when(failed.isNotNull(), "failed").when(
                 F.col("identifier").isNull(), "dropped"
@@ -59,7 +59,7 @@ def prepare_cases(incoming: DataFrame) -> DataFrame:
             ),
         }
     )
-    return cases.drop("content_bytes", "content_html", "error")
+    return cases.drop("content_bytes", "content_html", "error", "_extension")
 
 
 def valid(prepared: DataFrame) -> DataFrame:
@@ -98,7 +98,8 @@ def detect_changes(
         state = state.join(F.broadcast(names), "identifier", "left_semi")
     if not hot:
         return _by_identifier(incoming, state)
-    names = incoming.sparkSession.createDataFrame([(n,) for n in hot], "identifier string")
+    schema = T.StructType([T.StructField("identifier", T.StringType())])
+    names = small_table(incoming.sparkSession, [(n,) for n in hot], schema)
     cold_rows = incoming.join(F.broadcast(names), "identifier", "left_anti")
     hot_rows = incoming.join(F.broadcast(names), "identifier", "left_semi")
     return _by_identifier(cold_rows, state).unionByName(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow import schemas as S
 from folioflow.functions import dates, text
+from folioflow.session import small_table
 
 
 def month_partitions(ranges: DataFrame, start: Column | str, end: Column | str) -> DataFrame:
@@ -27,7 +28,7 @@ def month_partitions(ranges: DataFrame, start: Column | str, end: Column | str)
 
 
 def body_dimension(spark: SparkSession, bodies: dict[str, str] | None = None) -> DataFrame:
-    return spark.createDataFrame(list((bodies or S.BODIES).items()), "body string, code string")
+    return small_table(spark, list((bodies or S.BODIES).items()), S.BODY_CODES)
 
 
 def select_bodies(dimension: DataFrame, names: str | None) -> DataFrame:

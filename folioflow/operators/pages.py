@@ -162,6 +162,9 @@ def document_pages(pages: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     )
 
 
+RESULT_FACTS = ["listings", "next_href", "base_href"]
+
+
 def listings(
     results: DataFrame, html: str, context: Iterable[str], source: str, url: str | None = None
 ) -> DataFrame:
@@ -173,6 +176,15 @@ def listings(
     context = list(context)
     kept = list(dict.fromkeys([*context, url])) if url else context
     read = extract_pages(results, html, ["listings", "base_href"], kept)
+    return listing_rows(read, context, source, url)
+
+
+def listing_rows(
+    read: DataFrame, context: Iterable[str], source: str, url: str | None = None
+) -> DataFrame:
+    """`listings` of results pages that were parsed before."""
+    context = list(context)
+    kept = list(dict.fromkeys([*context, url])) if url else context
     rows = read.select(*kept, "base_href", F.explode("listings").alias("l"))
     target = [link_target(url, "base_href", "l.href").alias("document_url")] if url else []
     return rows.where(F.col("l.href") != "").select(
@@ -191,7 +203,11 @@ def listings(
 
 def next_pages(results: DataFrame, html: str, url: str) -> DataFrame:
     """The link from each results page to the next, as edges `src, dst`."""
-    read = extract_pages(results, html, ["next_href", "base_href"], [url])
+    return next_edges(extract_pages(results, html, ["next_href", "base_href"], [url]), url)
+
+
+def next_edges(read: DataFrame, url: str) -> DataFrame:
+    """`next_pages` of results pages that were parsed before."""
     return read.where(F.col("next_href").isNotNull()).select(
         F.col(url).alias("src"), link_target(url, "base_href", "next_href").alias("dst")
     )

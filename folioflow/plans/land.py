@@ -35,6 +35,16 @@ def stored_content(incoming: DataFrame, decisions: DataFrame) -> DataFrame:
     return blobs.join(broadcast_if_small(winners), "seq").select(*S.CONTENT.names)
 
 
+def batch_outcomes(zone: Zone, batch: int) -> DataFrame:
+    """The outcome of each row of a landed batch, from its staged steps."""
+    columns = ["seq", "identifier", "body", "partition_date", "outcome", "reason"]
+    decisions = zone.staged("decisions", batch).withColumns(
+        {"outcome": F.col("scrape_status"), "reason": F.lit(None).cast("string")}
+    )
+    rejects = cases.rejected(zone.staged("prepared", batch))
+    return decisions.select(*columns).unionByName(rejects.select(*columns))
+
+
 def land(incoming: DataFrame, zone: Zone, batch: int, run_ts: datetime) -> DataFrame:
     """Land a batch of cases and return the outcome of each row.
 
@@ -42,7 +52,7 @@ def land(incoming: DataFrame, zone: Zone, batch: int, run_ts: datetime) -> DataF
     Content is written before metadata. A batch number landed before is not landed again.
     """
     if batch <= zone.cases.last_batch():
-        return zone.spark.read.parquet(f"{zone.path}/outcomes/v={batch}")
+        return batch_outcomes(zone, batch)
 
     prepared = zone.stage("prepared", batch, cases.prepare_cases(incoming))
     existing = zone.cases.keys("file_hash", "path_to_file")
@@ -54,13 +64,6 @@ def land(incoming: DataFrame, zone: Zone, batch: int, run_ts: datetime) -> DataF
     rows = latest(decisions, "identifier", "seq").withColumn(
         "scraped_at", F.lit(run_ts).cast("timestamp")
     )
-    rows = zone.stage("latest", batch, rows.select(*S.LANDING_CASES.names))
-    outcome = ["seq", "identifier", "body", "partition_date", "outcome", "reason"]
-    outcomes = decisions.withColumns(
-        {"outcome": F.col("scrape_status"), "reason": F.lit(None).cast("string")}
-    ).select(*outcome)
-    staged = zone.stage(
-        "outcomes", batch, outcomes.unionByName(cases.rejected(prepared).select(*outcome))
-    )
-    zone.cases.publish(batch, rows, S.LANDING_SUPPLIED)
-    return staged
+    final = zone.stage("latest", batch, rows.select(*S.LANDING_CASES.names))
+    zone.cases.publish(batch, final, S.LANDING_SUPPLIED)
+    return batch_outcomes(zone, batch)

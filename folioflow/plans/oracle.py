@@ -400,6 +400,14 @@ SELECT identifier, body, partition_date, record_date, title, content_type,
        replace(body, ' ', '_') || '/' || partition_date || '/' || identifier || '.' || ext AS path_to_file,
        scrape_status, CASE WHEN ext = 'pdf' THEN file_hash END AS binary_hash
 FROM landing WHERE partition_date BETWEEN '2024-02' AND '2024-11'""",
+    "capture_run": """
+WITH p AS (SELECT *, strftime(DATE '2012-01-01' + to_months(CAST(page_id // 40 AS INTEGER)), '%Y-%m') AS m
+           FROM pages)
+SELECT 'REF/' || page_id AS identifier, 'Labour Court' AS body, m AS partition_date,
+       'Case ' || page_id AS title, url AS source_page_url, url AS link_to_doc,
+       'text/html' AS content_type,
+       'Source A/labour_court/' || m || '/ref_' || page_id || '.html' AS path_to_file,
+       'stored' AS scrape_status FROM p""",
     "stream_landing": f"""
 WITH {_EVENTS}, none AS (SELECT '' AS identifier, '' AS file_hash, '' AS path_to_file WHERE false),
 {_changes('ev', 'none')}

@@ -16,6 +16,7 @@ from folioflow.functions import dates, naming, payload, text, urls
 from folioflow.operators import cases, links, metrics, months, pages, upsert
 from folioflow.plans.land import land
 from folioflow.plans.transform import process_rows, transform
+from folioflow.plans.zones import capture_cases
 from folioflow.session import new_folder
 from folioflow.sources.captures import stream_files
 from folioflow.sources.zones import landing_zone, processed_zone
@@ -749,6 +750,59 @@ def processed_zone_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def capture_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From results pages to landed cases: four chained results pages per partition."""
+    scan = table(spark, sf_dir, "pages")
+    number = F.floor(F.col("page_id") / 10)
+    item = _text_of(
+        '<li class="each-item clearfix"><h2 class="title"><a href="',
+        _escaped(F.col("url")),
+        '">Case ',
+        _n("page_id"),
+        '</a></h2><span class="refNO"> REF/',
+        _n("page_id"),
+        " </span></li>",
+    )
+    items = F.array_sort(F.collect_list(F.struct("page_id", item.alias("item"))))
+    listed = scan.groupBy(number.alias("number")).agg(
+        F.array_join(F.transform(items, lambda s: s["item"]), "").alias("list")
+    )
+    onward = _text_of('<a class="next" href="../', (F.col("number") + 1).cast("string"), '/">Next</a>')
+    url = _text_of("https://search.example.org/results/", _n("number"), "/")
+    results = listed.select(
+        "number",
+        url.alias("url"),
+        F.concat("list", F.when(F.col("number") % 4 < 3, onward).otherwise("")).alias("html"),
+    )
+    starts = results.where(F.col("number") % 4 == 0).select(
+        "url",
+        F.lit("Labour Court").alias("body"),
+        F.date_format(
+            F.add_months(F.lit("2012-01-01").cast("date"), (F.col("number") / 4).cast("int")),
+            "yyyy-MM",
+        ).alias("partition_date"),
+    )
+    captured = pages.spread(scan).select(
+        "url",
+        F.lit("text/html").alias("content_type"),
+        _article(F.col("html")).cast("binary").alias("body"),
+    )
+    zone = landing_zone(spark, new_folder(spark, "capture"))
+    incoming = capture_cases(starts, results.select("url", "html"), captured, "Source A", zone, 0)
+    land(incoming, zone, 0, RUN_TS)
+    return zone.cases.read().select(
+        "identifier",
+        "body",
+        "partition_date",
+        "title",
+        "source_page_url",
+        "link_to_doc",
+        "content_type",
+        "path_to_file",
+        "scrape_status",
+    )
+
+
 def stream_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     _, state = _event_halves(spark, sf_dir)
@@ -842,6 +896,7 @@ QUERIES = {
     "attach_documents": attach_documents,
     "landing_zone": landing_zone_rows,
     "processed_zone": processed_zone_rows,
+    "capture_run": capture_run,
     "stream_changes": stream_change_rows,
     "stream_landing": stream_landing_rows,
 }

@@ -14,6 +14,40 @@ from folioflow.plans.transform import transform
 from folioflow.sources.zones import Zone
 
 
+def number_rows(rows: DataFrame, order: list[str]) -> DataFrame:
+    """`seq` numbers that rise in the given order, without bringing all rows into one task.
+
+    Store the result: the numbers hold for one evaluation.
+    """
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranged.withColumn("seq", F.monotonically_increasing_id())
+
+
+def capture_cases(
+    starts: DataFrame,
+    results: DataFrame,
+    captured: DataFrame,
+    source: str,
+    zone: Zone,
+    batch: int,
+    hosts: list[str] | None = None,
+) -> DataFrame:
+    """Incoming cases of whole partitions, from the first results page of each.
+
+    `starts`: `url, body, partition_date`. `results`: `url, html` of results pages. `captured`:
+    document pages. Results pages and document pages are each parsed once.
+    """
+    partition = ["body", "partition_date"]
+    facts = pages.extract_pages(pages.spread(results), "html", pages.RESULT_FACTS, ["url"])
+    read = zone.stage("results", batch, facts)
+    reached = links.results_chains(starts, pages.next_edges(read, "url"), partition)
+    context = ["url", *partition, "page"]
+    found = pages.listing_rows(read.join(reached, "url"), context, source, "url")
+    order = [*partition, "page", "position"]
+    numbered = zone.stage("listings", batch, number_rows(found.drop("url"), order))
+    return build_cases(numbered, captured, ["seq"], zone, batch, hosts)
+
+
 def build_cases(
     listings: DataFrame,
     captured: DataFrame,
@@ -52,11 +86,18 @@ def run_zones(
     end_month: str,
     run_ts: datetime,
     body: str | None = None,
+    results: DataFrame | None = None,
+    elapsed_seconds: float = 0.0,
 ) -> DataFrame:
-    """Land a batch, process the month range, and report per body and month."""
+    """Land a batch, process the month range, and report per body and month.
+
+    `results` are the results pages of the run, by body and month, for the page count.
+    """
     landed = land(incoming, landing, batch, run_ts)
     done = transform(landing, processed, batch, start_month, end_month, run_ts, body)
-    return processed.stage("metrics", batch, metrics.partition_summary(landed, done))
+    return processed.stage(
+        "metrics", batch, metrics.partition_summary(landed, done, results, elapsed_seconds)
+    )
 
 
 def run_metrics(processed: Zone) -> DataFrame:

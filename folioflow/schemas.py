@@ -74,6 +74,8 @@ def extended(schema: T.StructType, columns: str) -> T.StructType:
     return T.StructType([*schema.fields, *_struct(columns).fields])
 
 
+BODY_CODES = _struct("body string, code string")
+
 CAPTURED_PAGES = _struct("url string, content_type string, body binary")
 
 LISTING = _struct(

@@ -7,8 +7,11 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -16,6 +19,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Wide projections generate long methods, which the JVM would interpret rather than compile.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Pages are large: bound what one Arrow batch holds in a Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
@@ -59,9 +64,28 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder: cuts lineage and outlives lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write to the shared folder and read back.
+
+    Computes the rows once, cuts their lineage, outlives lost executors, and gives the planner
+    their real size. (A checkpoint would compute them twice.)
+    """
+    path = new_folder(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver rows as a local relation, which the planner can fold; no Python task reads it."""
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [() for _ in schema.names]
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows; joins with it fold away."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).where(F.lit(False)).select(*columns)
 
 
 # A side of a join up to this many bytes of keys and values is broadcast.

@@ -23,7 +23,13 @@ from folioflow import schemas as S
 from folioflow.functions import text
 from folioflow.operators.months import month_range
 from folioflow.operators.upsert import upsert
-from folioflow.session import BROADCAST_BYTES, broadcast_if_small, byte_size
+from folioflow.session import (
+    BROADCAST_BYTES,
+    broadcast_if_small,
+    byte_size,
+    empty_table,
+    small_table,
+)
 
 KEY = "identifier"
 PARTITION = ["zone_body", "zone_month"]
@@ -31,10 +37,6 @@ PARTITION = ["zone_body", "zone_month"]
 _MONTH = re.compile(r"\d{4}-\d{2}\Z")
 
 
-def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at a path, empty before its first write."""
     try:
@@ -42,7 +44,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return _empty(spark, schema)
+        return empty_table(spark, schema)
 
 
 def folder_name(value: Column | str) -> Column:
@@ -80,7 +82,7 @@ class MetadataTable:
 
     def _rows(self, index: list[T.Row]) -> DataFrame:
         if not index:
-            return _empty(self.spark, self._placed)
+            return empty_table(self.spark, self._placed)
         data = f"{self.path}/data"
         paths = [
             f"{data}/v={r.folder}/zone_body={r.zone_body}/zone_month={r.zone_month}"
@@ -127,8 +129,12 @@ class MetadataTable:
             .select(KEY, *PARTITION)
             .join(incoming.select(KEY), KEY, "left_semi")
         )
+        homes = new_homes.withColumn("gains", F.lit(True)).unionByName(
+            old_homes.withColumn("gains", F.lit(False))
+        )
         touched = {
-            tuple(r) for r in new_homes.unionByName(old_homes).select(*PARTITION).distinct().collect()
+            (r.zone_body, r.zone_month): r.gains
+            for r in homes.groupBy(*PARTITION).agg(F.max("gains").alias("gains")).collect()
         }
         before = [r for r in index if (r.zone_body, r.zone_month) in touched]
         kept = [r for r in index if (r.zone_body, r.zone_month) not in touched]
@@ -139,14 +145,14 @@ class MetadataTable:
         target = f"{self.path}/data/v={batch}"
         placed.write.mode("overwrite").partitionBy(*PARTITION).parquet(target)
 
-        written = _read(self.spark, target, self._placed)
-        filled = {tuple(r) for r in written.select(*PARTITION).distinct().collect()}
+        filled = {home for home, gains in touched.items() if gains}
+        if len(filled) < len(touched):  # a partition that only lost rows may be empty now
+            written = _read(self.spark, target, self._placed)
+            filled = {tuple(r) for r in written.select(*PARTITION).distinct().collect()}
         entries = [(r.zone_body, r.zone_month, r.folder) for r in kept]
         entries += [(body, month, batch) for body, month in sorted(filled)]
-        listed = self.spark.createDataFrame(
-            entries, T.StructType(self._INDEX.fields[:3])
-        ).coalesce(1)
-        listed.write.mode("overwrite").parquet(f"{self.path}/index/v={batch}")
+        listed = small_table(self.spark, entries, T.StructType(self._INDEX.fields[:3]))
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/index/v={batch}")
 
 
 class ContentTable:
@@ -222,6 +228,9 @@ class Zone:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def staged(self, name: str, batch: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{name}/v={batch}")
+
 
 def landing_zone(spark: SparkSession, path: str) -> Zone:
     return Zone(spark, path, S.LANDING_CASES)
