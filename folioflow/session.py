@@ -15,6 +15,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -24,9 +27,7 @@ SETTINGS = {
     # Pages are large: bound what one Arrow batch holds in a Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    STATE_STORE: ROCKS_DB,
 }
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from folioflow.schemas import STORED, UNCHANGED
+from folioflow.session import ROCKS_DB, STATE_STORE
 
 STATE = T.StructType(
     [T.StructField("file_hash", T.StringType()), T.StructField("path_to_file", T.StringType())]
@@ -72,6 +73,8 @@ def stream_changes(rows: DataFrame, existing: DataFrame | None = None) -> DataFr
     where one identifier may fill it beyond a task's memory, use `stream_landing`, whose change
     detection splits such identifiers.
     """
+    # This operator runs on this state store only.
+    rows.sparkSession.conf.set(STATE_STORE, ROCKS_DB)
     initial = None
     if existing is not None:
         initial = existing.select("identifier", "file_hash", "path_to_file").groupBy("identifier")
