@@ -7,6 +7,7 @@ slice and nothing here recurses. It runs inside Spark tasks only.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import escape
 from html import unescape as decode_reference
@@ -82,6 +83,7 @@ class Page:
         self.data: list = []
         self.stop: list[int] = []
         self._open: list[int] = []
+        self._count: Counter[str] = Counter()  # open elements by tag
         self._seen: set[str] = set()
         self._last_text = -1
         self._read(html)
@@ -125,6 +127,7 @@ class Page:
     def _end_from(self, depth: int) -> None:
         for i in self._open[depth:]:
             self.stop[i] = len(self.tags)
+            self._count[self.tags[i]] -= 1
         del self._open[depth:]
         self._last_text = -1
 
@@ -135,6 +138,8 @@ class Page:
             self._end_nearest(*ENDS[tag])
 
     def _end_nearest(self, ended: set[str], limits: set[str]) -> None:
+        if not any(self._count[tag] for tag in ended):
+            return
         for depth in range(len(self._open) - 1, -1, -1):
             tag = self.tags[self._open[depth]]
             if tag in ended:
@@ -156,9 +161,10 @@ class Page:
         i = self._add(tag, values)
         if tag not in VOID:
             self._open.append(i)
+            self._count[tag] += 1
 
     def _end_tag(self, tag: str) -> None:
-        if tag in ("html", "body"):
+        if tag in ("html", "body") or not self._count[tag]:
             return
         rank = RANK.get(tag, 0)
         for depth in range(len(self._open) - 1, -1, -1):

@@ -57,6 +57,18 @@ def _decoded(markup: str) -> str:
     return rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
 
 
+_BODIES = """
+b AS (SELECT page_id, regexp_extract(html, '(?s)<body[^>]*>(.*)$', 1) AS b FROM pages),
+c AS (SELECT page_id, regexp_replace(b,
+        '(?s)<nav>.*?</nav>|<footer>.*?</footer>|<script>.*?</script>|<style>.*?</style>',
+        ' ', 'g') AS c FROM b)"""
+_WITHOUT_COMMENTS = "regexp_replace(c, '(?s)<!--.*?-->', ' ', 'g')"
+
+
+def _found(markup: str) -> str:
+    return f"CAST(len(string_split(c, '{markup}')) - 1 AS INTEGER)"
+
+
 _ARTICLE_TEXT = _decoded("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)")
 
 _EVENTS = f"""
@@ -335,12 +347,14 @@ SELECT body, partition_date || '-01' AS start_date, 0 AS return_code,
        coalesce(pages_scraped, 0) AS pages_scraped, CAST(0 AS DOUBLE) AS elapsed_seconds,
        true AS success
 FROM landing FULL OUTER JOIN done USING (body, partition_date)""",
+    "clean_pages_markup": f"""
+WITH {_BODIES}
+SELECT page_id, true AS wrapped, 0 AS chrome, {_found('<p>')} AS paragraphs, {_found('<b>')} AS bold,
+       {_found('<br>')} AS breaks, {_found('<h1>')} AS headings, {_found('<article>')} AS articles,
+       {_found('<a ')} AS links, {_found('<!--')} AS comments FROM c""",
     "clean_pages_text": f"""
-WITH b AS (SELECT page_id, regexp_extract(html, '(?s)<body[^>]*>(.*)$', 1) AS b FROM pages),
-c AS (SELECT page_id, regexp_replace(b,
-        '(?s)<nav>.*?</nav>|<footer>.*?</footer>|<script>.*?</script>|<style>.*?</style>|<!--.*?-->',
-        ' ', 'g') AS c FROM b)
-SELECT page_id, {_decoded('c')} AS cleaned_text FROM c""",
+WITH {_BODIES}
+SELECT page_id, {_decoded(_WITHOUT_COMMENTS)} AS cleaned_text FROM c""",
     "page_quality_gate": f"""
 WITH t AS (SELECT page_id, CAST(CASE WHEN page_id % 3 = 0 THEN 0 ELSE length({_ARTICLE_TEXT}) END AS INTEGER)
              AS text_length FROM pages)

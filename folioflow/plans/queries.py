@@ -495,6 +495,28 @@ def clean_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "cleaned_text")
 
 
+def clean_pages_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each kind of markup in the cleaned pages."""
+    done = pages.extract_pages(_pages(spark, sf_dir), "html", ["cleaned_html"], ["page_id"])
+    html = F.col("cleaned_html")
+
+    def found(pattern: str) -> Column:
+        return F.regexp_count(html, F.lit(pattern))
+
+    return done.select(
+        "page_id",
+        (html.startswith(S.PAGE_OPEN) & html.endswith(S.PAGE_CLOSE)).alias("wrapped"),
+        found("<(nav|header|footer|script|style|noscript)[ >]").alias("chrome"),
+        found("<p>").alias("paragraphs"),
+        found("<b>").alias("bold"),
+        found("<br/>").alias("breaks"),
+        found("<h1>").alias("headings"),
+        found("<article>").alias("articles"),
+        found("<a ").alias("links"),
+        found("<!--").alias("comments"),
+    )
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processed zone of the captured pages: identifier, key, hash and size of each."""
     done = pages.clean_pages(_pages(spark, sf_dir), "html", ["page_id", "url"])
@@ -887,6 +909,7 @@ QUERIES = {
     "clean_pages": clean_pages,
     "clean_pages_unwrapped": clean_pages_unwrapped,
     "clean_pages_text": clean_pages_text,
+    "clean_pages_markup": clean_pages_markup,
     "page_quality_gate": page_quality_gate,
     "page_links": page_links,
     "listings": listings,

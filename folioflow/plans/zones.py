@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow import schemas as S
+from folioflow.functions import urls
 from folioflow.operators import links, metrics, pages
 from folioflow.plans.land import land
 from folioflow.plans.transform import transform
@@ -40,7 +41,10 @@ def capture_cases(
     partition = ["body", "partition_date"]
     facts = pages.extract_pages(pages.spread(results), "html", pages.RESULT_FACTS, ["url"])
     read = zone.stage("results", batch, facts)
-    reached = links.results_chains(starts, pages.next_edges(read, "url"), partition)
+    edges = pages.next_edges(read, "url")
+    if hosts:
+        edges = edges.where(urls.host_allowed("dst", hosts))
+    reached = links.results_chains(starts, edges, partition)
     context = ["url", *partition, "page"]
     found = pages.listing_rows(read.join(reached, "url"), context, source, "url")
     order = [*partition, "page", "position"]

@@ -116,6 +116,8 @@ def test_deep_pages_are_no_problem():
     depth = 20_000
     assert words("<div>" * depth + "x" + "</div>" * depth) == "x"
     assert words("<b>" * depth + "x") == "x"
+    assert words("<b>" * depth + "<hr></i>" * depth + "x") == "x"
+    assert words("<a b='" * depth + "x") == ""
 
 
 @pytest.mark.parametrize(
