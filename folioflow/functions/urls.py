@@ -9,15 +9,12 @@ from folioflow.functions.text import as_column, filled, once, strip
 
 _SCHEME = r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?"
 _HOST = r"(?://[^/?#]*)?"
+_CONTROLS = "".join(map(chr, range(0x21)))
 
 
 def tidy(url: Column | str) -> Column:
     """Without leading control characters and without tabs or line breaks."""
-    c = as_column(url)
-    untidy = c.substr(1, 1) <= " "
-    for char in "\t\r\n":
-        untidy = untidy | c.contains(char)
-    return F.when(untidy, F.regexp_replace(c, r"\A[\x00-\x20]+|[\t\r\n]", "")).otherwise(c)
+    return F.translate(F.ltrim(as_column(url), F.lit(_CONTROLS)), "\t\r\n", "")
 
 
 def scheme(url: Column | str) -> Column:
@@ -136,9 +133,11 @@ def resolve(base: Column | str, href: Column | str) -> Column:
 
 def host_allowed(url: Column | str, hosts: list[str]) -> Column:
     """True for the listed hosts and their subdomains."""
-    h = host(url)
-    checks = [(h == name) | h.endswith("." + name) for name in hosts]
-    allowed = F.lit(False)
-    for check in checks:
-        allowed = allowed | check
-    return allowed
+
+    def listed(h: Column) -> Column:
+        allowed = F.lit(False)
+        for name in hosts:
+            allowed = allowed | (h == name) | h.endswith("." + name)
+        return allowed
+
+    return once(host(url), listed)

@@ -126,7 +126,7 @@ def link_target(url: Column | str, base_href: Column | str, href: Column | str)
     """Absolute URL of a link; a page may set another base than its own URL."""
     other = text.as_column(base_href)
     base = F.when(other.isNull(), text.as_column(url)).otherwise(urls.resolve(url, other))
-    return urls.resolve(base, href)
+    return text.once(base, lambda b: urls.resolve(b, href))
 
 
 def document_pages(pages: DataFrame, extra: Iterable[str] = ()) -> DataFrame:

@@ -24,6 +24,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Wide projections generate long methods, which the JVM would interpret rather than compile.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Building wide columns is slow while every call records where it was made.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Pages are large: bound what one Arrow batch holds in a Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
@@ -76,19 +78,13 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """A few driver rows as a local relation, which the planner can fold; no Python task reads it."""
+    """A few driver rows as a local relation: no Python task reads it, and joins with none fold away."""
     arrow = to_arrow_schema(schema)
     columns = list(zip(*rows)) if rows else [() for _ in schema.names]
     arrays = [pa.array(list(c), f.type) for c, f in zip(columns, arrow)]
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
 
 
-def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """No rows; joins with it fold away."""
-    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-    return spark.range(1).where(F.lit(False)).select(*columns)
-
-
 # A side of a join up to this many bytes of keys and values is broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_BYTES = 64

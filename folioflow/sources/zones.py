@@ -27,7 +27,6 @@ from folioflow.session import (
     BROADCAST_BYTES,
     broadcast_if_small,
     byte_size,
-    empty_table,
     small_table,
 )
 
@@ -44,7 +43,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return empty_table(spark, schema)
+        return small_table(spark, [], schema)
 
 
 def folder_name(value: Column | str) -> Column:
@@ -82,7 +81,7 @@ class MetadataTable:
 
     def _rows(self, index: list[T.Row]) -> DataFrame:
         if not index:
-            return empty_table(self.spark, self._placed)
+            return small_table(self.spark, [], self._placed)
         data = f"{self.path}/data"
         paths = [
             f"{data}/v={r.folder}/zone_body={r.zone_body}/zone_month={r.zone_month}"
