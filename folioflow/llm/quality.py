@@ -13,14 +13,13 @@ other than doc_id and text are not read.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm import common as C
+from folioflow.llm.weak import fit
 from folioflow.session import stored
 
 MIN_WORDS = 20
@@ -28,6 +27,9 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 KEEP_FROM = 0.5
+# Where the fit starts, as rates of votes bad, none, good: rules seldom speak against a good document,
+# and one in four speaks against a bad one.
+GOOD_VOTES, BAD_VOTES = (0.01, 0.07, 0.92), (0.25, 0.15, 0.6)
 
 STATS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -147,46 +149,6 @@ def _stats(text: pa.Array) -> list[np.ndarray]:
     ]
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> tuple[float, list[dict[int, float]]]:
-    """(log odds of good, per rule the log odds that a vote adds) by expectation-maximisation.
-
-    Starts from rules that seldom speak against a good document and one time in four against a bad one. Pseudo-counts keep rates off 0 and 1 and the
-    classes from changing places.
-    """
-    if not patterns:
-        return 0.0, []
-    votes = np.array([p for p, _ in patterns])
-    count = np.array([n for _, n in patterns], float)
-    rules_n = votes.shape[1]
-    # rate[class][rule][vote + 1], class 0 bad, 1 good
-    rate = np.empty((2, rules_n, 3))
-    rate[1] = [0.01, 0.07, 0.92]
-    rate[0] = [0.25, 0.15, 0.6]
-    pseudo = rate * 20
-    prior = 0.8
-    at = np.arange(rules_n)
-    for _ in range(rounds):
-        log = [np.log(rate[c][at, votes + 1]).sum(1) for c in (0, 1)]
-        odds = log[1] - log[0] + math.log(prior / (1 - prior))
-        good = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
-        new = pseudo.copy()
-        for c, weight in ((1, good * count), (0, (1 - good) * count)):
-            for vote in (-1, 0, 1):
-                new[c, :, vote + 1] += ((votes == vote) * weight[:, None]).sum(0)
-        new /= new.sum(2, keepdims=True)
-        prior = float((good @ count + 8) / (count.sum() + 10))
-        done = np.abs(new - rate).max() < 1e-7
-        rate = new
-        if done:
-            break
-    # A vote for good never lowers the odds, one for bad never raises them, silence says nothing.
-    weights = []
-    for r in range(rules_n):
-        gain = np.log(rate[1, r]) - np.log(rate[0, r])
-        weights.append({-1: min(float(gain[0]), 0.0), 0: 0.0, 1: max(float(gain[2]), 0.0)})
-    return math.log(prior / (1 - prior)), weights
-
-
 def judged(docs: DataFrame, carry: list[str]) -> DataFrame:
     """The columns `carry` and, in a struct `verdict`, statistics, votes, posterior and verdict per row."""
     names = list(rules())
@@ -196,7 +158,7 @@ def judged(docs: DataFrame, carry: list[str]) -> DataFrame:
     vote = [F.when(bad, -1).when(good, 1).otherwise(0).cast("int").alias(f"vote_{n}") for n, (_, good, bad) in rules().items()]
     rows = stored(rows.select("*", *vote))
     counted = rows.groupBy(*[f"vote_{n}" for n in names]).count().collect()
-    prior, weights = fit(sorted((tuple(r[:-1]), r[-1]) for r in counted))
+    prior, weights = fit(sorted((tuple(r[:-1]), r[-1]) for r in counted), GOOD_VOTES, BAD_VOTES, 0.8)
     odds = F.lit(prior)
     for name, weight in zip(names, weights):
         vote = F.col(f"vote_{name}")

@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import bpe, language, quality, simhash
+from folioflow.llm import bpe, language, pii, quality, sharding, simhash, substring, tiling
 from folioflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.learn(docs))
@@ -21,10 +25,22 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.law_bytes(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judge(table(spark, sf_dir, "documents"))
     first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -32,9 +48,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_language": op2_language,
     "op3_bpe": op3_bpe,
+    "op4_decontaminate": op4_decontaminate,
+    "op6_substring": op6_substring,
     "op7_simhash": op7_simhash,
+    "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {}
