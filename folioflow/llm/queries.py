@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import bpe, language, pii, quality, sharding, simhash, substring, tiling
+from folioflow.llm import bpe, bytesdup, extraction, language, pii, quality, sharding, simhash, substring, tiling
 from folioflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -29,6 +29,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -37,6 +41,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytesdup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.law_bytes(table(spark, sf_dir, "documents"))
 
@@ -52,8 +60,10 @@ QUERIES = {
     "op2_language": op2_language,
     "op3_bpe": op3_bpe,
     "op4_decontaminate": op4_decontaminate,
+    "op5_extract": op5_extract,
     "op6_substring": op6_substring,
     "op7_simhash": op7_simhash,
+    "op8_suffix": op8_suffix,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }

@@ -58,11 +58,12 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names)
 
 
-def pack_slice(lo, who, docs, buckets: int, hi=None, ids=None) -> Iterator[pa.RecordBatch]:
+def pack_slice(lo, who, docs, buckets: int, hi=None, ids=None, within: bool = False) -> Iterator[pa.RecordBatch]:
     """Packed rows of a slice.
 
     lo, hi: keys; who: the row of each key; docs, ids: row keys and document ids by row. Without ids a
     key is found in every row that shares it; with ids in every row whose id is not the key's least.
+    within: a key that comes twice in one row is shared too.
     """
     if not len(lo):
         return
@@ -73,6 +74,7 @@ def pack_slice(lo, who, docs, buckets: int, hi=None, ids=None) -> Iterator[pa.Re
     new[1:] = lo[1:] != lo[:-1]
     if hi is not None:
         new[1:] |= hi[1:] != hi[:-1]
+    times = np.diff(np.append(np.flatnonzero(new), len(lo)))
     once = new.copy()
     once[1:] |= who[1:] != who[:-1]  # each key once per row
     lo, who, new = lo[once], who[once], new[once]
@@ -80,7 +82,7 @@ def pack_slice(lo, who, docs, buckets: int, hi=None, ids=None) -> Iterator[pa.Re
     group = np.cumsum(new) - 1
     heads = np.flatnonzero(new)
     if ids is None:
-        shared = np.diff(np.append(heads, len(lo)))[group] > 1
+        shared = (times if within else np.diff(np.append(heads, len(lo))))[group] > 1
         keep = new
         sent = np.where(shared, MANY, who)[keep]
     else:
