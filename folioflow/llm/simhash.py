@@ -111,7 +111,7 @@ def _cells_at(counts: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndar
                     if ok.any():
                         moved = at[ok].copy()
                         moved[:, s] += step
-                        further.append((rows[ok], moved, cell[ok] + values[s] * np.uint64(step % (1 << 64)), s))
+                        further.append((rows[ok], moved, cell[ok] + values[s] if step > 0 else cell[ok] - values[s], s))
         out += [(rows, cell) for rows, _, cell, _ in further]
         level = further
     return out
@@ -130,7 +130,7 @@ def _cells(max_bits: int, blocks: int):
                     stop = counts.shape[1] if b == blocks - 1 else (b + 1) * width
                     found = _cells_at(counts[:, b * width : stop], radius)
                     rows = np.concatenate([r for r, _ in found])
-                    cell = C.mix(np.concatenate([c for _, c in found]) + np.uint64(b) * np.uint64(0xD1B54A32D192ED03))
+                    cell = C.mix(np.concatenate([c for _, c in found]) ^ C.mix(np.full(1, b + 1, np.uint64)))
                     yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(some[rows].view(np.int64))], ["cell", "fp"])
 
     return step
