@@ -67,4 +67,28 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
-ORACLE: dict[str, str] = {}
+# The other operators' models, tokenisers, hashes and searches have no SQL form; brute force tests them.
+ORACLE: dict[str, str] = {
+    "op6_substring": r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS run
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM split)
+),
+least AS (SELECT run, min(doc_id) AS first_id FROM windows GROUP BY run),
+gone AS (
+    SELECT DISTINCT doc_id, i + j AS place
+    FROM (SELECT w.doc_id, w.i FROM windows w JOIN least l USING (run) WHERE l.first_id < w.doc_id), range(0, 13) t(j)
+),
+places AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split),
+kept AS (
+    SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.place) AS text, count(*) AS n
+    FROM places p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place
+    GROUP BY p.doc_id
+)
+SELECT s.doc_id, len(s.words) AS n_words, len(s.words) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k USING (doc_id)
+""",
+}
