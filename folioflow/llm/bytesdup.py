@@ -8,7 +8,8 @@ The bytes that an anchor's strings span (at most `2 * MATCH - ANCHOR`) go to the
 shard has a suffix array, made by Larsson-Sadakane refinement, and Kasai's common prefixes of neighbours
 tell which of its strings are equal. An anchor with more than `SPLIT_ROWS` rows is dealt to several shards;
 those hand on their distinct strings as sorted keys, cut by binary search into ranges, and a range's
-pieces are merged by looking each up in the others by binary search. Equal spans of one slice travel once.
+pieces are merged by looking each up in the others by binary search. Equal spans of one slice travel once,
+and of equal texts one does, as a partner of others: its own bytes and its copies' all go.
 
 Edge cases: null text has no bytes; a text shorter than a match keeps all; repeated rows are documents of
 their own, so each repeats the other; null ids are kept; an empty table gives an empty table; other
@@ -25,6 +26,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from folioflow.llm import common as C
 from folioflow.llm.shared import PACKED, bucket_count, found_keys, pack_slice
@@ -34,9 +37,14 @@ from folioflow.session import ship_package, stored
 MATCH = 200
 ANCHOR = 100
 SPLIT_ROWS = 4096
-RANGE_KEYS = 1 << 20
-
-STAGED = "row_key long, doc_id long, text string, anchors array<struct<key: long, parts: int>>, n_bytes long, kept_sha256 string"
+# Text of a shard, and of an anchor's span at most: the number of shards follows the number of anchors found.
+SHARD_BYTES, SPAN_BYTES = 1 << 20, 2 * MATCH - ANCHOR
+
+STAGED = (
+    "row_key long, doc_id long, text string, anchors array<struct<key: long, parts: int>>, partner boolean, "
+    "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+)
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 SPANS = "bucket int, part int, text binary, sizes binary, docs binary, places binary, split binary"
 SHARD = "row_key long, begins array<int>, ends array<int>, range int, lo binary, hi binary, who binary, place binary"
 RUNS = "row_key long, begins array<int>, ends array<int>"
@@ -87,17 +95,36 @@ def _pack_anchors(buckets: int):
     return step
 
 
-def _stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows without a shared anchor are done; the others go on with their text and anchors."""
-    names = [p.split()[0] for p in STAGED.split(", ") if not p.startswith("parts")]
-    for batch in batches:
-        text = pc.fill_null(batch.column("text"), "")
-        open_rows = pc.is_valid(batch.column("anchors"))
-        sizes = pc.binary_length(text).cast(pa.int64())
-        raw = text.cast(pa.binary())
-        digests = [None if o else hashlib.sha256(t).hexdigest() for o, t in zip(open_rows.to_pylist(), raw.to_pylist())]
-        kept = pc.if_else(open_rows, text, pa.nulls(len(text), text.type))
-        yield pa.RecordBatch.from_arrays([batch.column("row_key"), batch.column("doc_id"), kept, batch.column("anchors"), sizes, pa.array(digests, pa.string())], names)
+def _stage(with_text: bool):
+    """Rows without a shared anchor are done, and so are copies, of which one goes on as a partner of others."""
+    fields = to_arrow_schema(T.StructType.fromDDL(STAGED))
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.slices(batches):
+            text = pc.fill_null(batch.column("text"), "")
+            raw = text.cast(pa.binary())
+            shared = pc.is_valid(batch.column("anchors"))
+            copied = pc.and_(pc.is_valid(batch.column("first_key")), pc.greater_equal(pc.binary_length(raw), MATCH))
+            partner = pc.and_(copied, pc.fill_null(pc.equal(batch.column("first_key"), batch.column("row_key")), False))
+            goes = pc.and_(shared, pc.or_(partner, pc.invert(copied)))
+            out = []
+            for t, c, g in zip(raw.to_pylist(), copied.to_pylist(), pc.and_(shared, pc.invert(copied)).to_pylist()):
+                if g:
+                    out.append((None, None, None, None, None))
+                else:
+                    kept = b"" if c else t
+                    out.append((len(t), len(t) - len(kept), int(c), hashlib.sha256(kept).hexdigest(), kept if with_text else None))
+            columns = [
+                batch.column("row_key"),
+                batch.column("doc_id"),
+                pc.if_else(goes, text, pa.scalar(None, text.type)),
+                pc.if_else(goes, batch.column("anchors"), pa.scalar(None, batch.column("anchors").type)),
+                partner,
+                *[pa.array(list(c), t) for c, t in zip(zip(*out), fields.types[5:])],
+            ]
+            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, fields.types)], fields.names)
+
+    return step
 
 
 def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -145,9 +172,10 @@ def _pack_spans(buckets: int):
             several = np.zeros(len(by), bool)
             several[by] = np.repeat(times > 1, times)
             place = first - offsets[row]
+            partner = batch.column("partner").to_numpy(zero_copy_only=False)[row]
             rows = []
-            if several.any():
-                t = np.flatnonzero(several)
+            t = np.flatnonzero(several & ~partner)
+            if len(t):
                 rows.append((-1 - int(docs[row[t[0]]]) % buckets, 0, b"", size[t].astype(np.int32).tobytes(), docs[row[t]].tobytes(), place[t].astype(np.int32).tobytes(), b""))
             sent = np.sort(by[heads])
             bucket = ((keys[sent] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -157,7 +185,7 @@ def _pack_spans(buckets: int):
             cut = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])))
             for a, b in zip(cut, np.append(cut[1:], len(sent))):
                 own = sent[a:b]
-                whose = np.where(several[own], -1, place[own]).astype(np.int32)
+                whose = np.where(several[own] | partner[own], -1, place[own]).astype(np.int32)
                 rows.append(
                     (int(bucket[a]), int(part[a]), gather(data, first[own], size[own]).tobytes(), size[own].astype(np.int32).tobytes(), docs[row[own]].tobytes(), whose.tobytes(), (parts[own] > 1).tobytes())
                 )
@@ -261,31 +289,30 @@ def _remove(with_text: bool):
     return step
 
 
-def _shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
-    """(row_key, anchors): the shared anchors of each row, each with the number of shards it is dealt to."""
+def _shared_anchors(docs: DataFrame, buckets: int) -> tuple[DataFrame, int]:
+    """(row_key, anchors): the shared anchors of each row, each with the number of shards it is dealt to; and their number."""
     found = stored(found_keys(C.map_arrow(docs, _pack_anchors(buckets), PACKED)).select("row_key", F.explode(F.array_distinct("keys")).alias("key")))
     parts = F.ceil(F.count("*") / SPLIT_ROWS).cast("int").alias("parts")
     split = stored(found.groupBy("key").agg(parts).where("parts > 1"))
     listed = found.join(split, "key", "left").select("row_key", F.struct("key", F.coalesce("parts", F.lit(1)).alias("parts")).alias("a"))
-    return listed.groupBy("row_key").agg(F.collect_list("a").alias("anchors"))
+    return listed.groupBy("row_key").agg(F.collect_list("a").alias("anchors")), found.count()
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes, if asked for, of rows that met a shared anchor)."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept (bytes) if asked for, one row per input row."""
     docs = C.keyed(docs)
     ship_package(docs.sparkSession)
-    buckets = bucket_count(docs)
-    anchors = _shared_anchors(docs, buckets)
-    staged = stored(C.map_arrow(docs.join(anchors, "row_key", "left"), _stage, STAGED))
-    opened = staged.where("text is not null")
-    spans = C.map_arrow(opened.select("row_key", "text", "anchors"), _pack_spans(buckets), SPANS)
-    shards = stored(spans.groupBy("bucket", "part").applyInArrow(_shard(buckets), SHARD))
-    merged = shards.where("range is not null").groupBy("range").applyInArrow(_merge, RUNS)
-    runs = shards.where("range is null").select("row_key", "begins", "ends").unionByName(merged)
+    anchors, number = _shared_anchors(docs, bucket_count(docs))
+    joined = docs.join(anchors, "row_key", "left").join(C.copies(docs).drop("first_id"), "row_key", "left")
+    staged = stored(C.map_arrow(joined, _stage(with_text), STAGED))
+    going = staged.where("text is not null").select("row_key", "text", "anchors", "partner")
+    shards = max(8, -(-number * SPAN_BYTES // SHARD_BYTES))
+    spans = C.map_arrow(going, _pack_spans(shards), SPANS)
+    solved = stored(spans.groupBy("bucket", "part").applyInArrow(_shard(shards), SHARD))
+    merged = solved.where("range is not null").groupBy("range").applyInArrow(_merge, RUNS)
+    runs = solved.where("range is null").select("row_key", "begins", "ends").unionByName(merged)
     runs = runs.groupBy("row_key").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("begins", "ends")])
-    joined = opened.select("row_key", "doc_id", "text").join(runs, "row_key", "left")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    changed = C.map_arrow(joined, _remove(with_text), schema)
-    zero = F.lit(0).cast("long")
-    rest = staged.where("text is null").select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256", F.lit(None).cast("binary").alias("kept"))
+    opened = staged.where("kept_sha256 is null").select("row_key", "doc_id", "text")
+    changed = C.map_arrow(opened.join(runs, "row_key", "left"), _remove(with_text), RESULT)
+    rest = staged.where("kept_sha256 is not null").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
     return changed.unionByName(rest)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from folioflow.session import ship_package
+from folioflow.session import ship_package, stored
 
 # Blank bytes of the word pattern [^\x20\x09-\x0D]+.
 BLANK = np.zeros(256, bool)
@@ -188,3 +188,16 @@ def owners(first: np.ndarray) -> np.ndarray:
 def ids(array: pa.Array) -> np.ndarray:
     """Document ids; null sorts last."""
     return array.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def copies(docs: DataFrame) -> DataFrame:
+    """(row_key, first_id, first_key): rows whose whole text others have too, with the least id and key among them.
+
+    docs: `keyed` rows. Narrow columns only; both sides of the join are plain shuffles, which Spark splits
+    where thousands of rows share a text. A null id counts as larger than all others.
+    """
+    text = F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5")
+    rows = docs.select("row_key", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text)
+    least = [F.min("doc_id").alias("first_id"), F.min("row_key").alias("first_key")]
+    groups = stored(rows.groupBy("text_md5").agg(F.count("*").alias("n"), *least).where("n > 1").drop("n"))
+    return rows.join(groups, "text_md5").select("row_key", "first_id", "first_key").distinct()

@@ -61,7 +61,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def pack_slice(lo, who, docs, buckets: int, hi=None, ids=None, within: bool = False) -> Iterator[pa.RecordBatch]:
     """Packed rows of a slice.
 
-    lo, hi: keys; who: the row of each key; docs, ids: row keys and document ids by row. Without ids a
+    lo, hi: keys, of 64 and if need be 32 more bits; who: the row of each key; docs, ids: row keys and document ids by row. Without ids a
     key is found in every row that shares it; with ids in every row whose id is not the key's least.
     within: a key that comes twice in one row is shared too.
     """
@@ -117,7 +117,7 @@ def _merge(table: pa.Table) -> pa.Table:
         who.append((np.append(docs, 0)[np.where(many, len(docs), at)], many))
         part.append(np.full(len(keys), i, np.int32))
         if h:
-            hi.append(np.frombuffer(h, np.uint64))
+            hi.append(np.frombuffer(h, np.uint32))
             ids.append(np.frombuffer(n, np.int64)[at])
     keys = np.concatenate(lo)
     docs = np.concatenate([d for d, _ in who])

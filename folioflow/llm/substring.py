@@ -4,11 +4,11 @@ A match is `WINDOW` words. Anchors are hashes of `ANCHOR` words that start at th
 whose number modulo `PERIOD` is in `COVER`. Every difference modulo the period is one of two cover numbers,
 so two equal windows, wherever they start, hold an equal anchor at the same place: that finds every match from
 three sevenths of the positions. A window around an anchor that another document shares is then
-extended to its full length by a 128-bit hash of all its words, and the windows' documents are compared:
+extended to its full length by a 96-bit hash of all its words, and the windows' documents are compared:
 a window is removed where a document with a smaller id has it.
 
 Anchors and windows are matched by `shared.found_keys`, whose shuffles are packed and whose hot keys are
-merged before they travel.
+merged before they travel. A text that a smaller id has in whole needs no windows: all of it goes.
 
 Edge cases: null text has no words; a text shorter than a window keeps all words; rows with equal ids
 never remove each other's words, nor do rows without id, whose ids count as larger than all others;
@@ -24,7 +24,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from folioflow.llm import common as C
 from folioflow.llm.shared import PACKED, bucket_count, found_keys, pack_slice
@@ -34,9 +35,11 @@ WINDOW = 13
 PERIOD = 7
 COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
-STAGED = "row_key long, doc_id long, text string, starts array<int>, n_words long, kept_sha256 string"
+STAGED = "row_key long, doc_id long, text string, starts array<int>, n_words long, n_removed long, kept_sha256 string, kept_text string"
+
+RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
 def cover_positions(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,31 +90,38 @@ def pa_lists(column: pa.Array) -> list[np.ndarray]:
     return [np.array([] if x is None else x, np.int64).view(np.uint64) for x in column.to_pylist()]
 
 
-def _stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows without a shared anchor are done; the others go on with their text and windows."""
-    for batch in C.slices(batches, limit=SLICE_BYTES):
-        batch = batch.set_column(batch.schema.get_field_index("text"), "text", pc.fill_null(batch.column("text"), ""))
-        open_rows = pc.is_valid(batch.column("keys"))
-        if pc.any(open_rows).as_py():
-            part = batch.filter(open_rows)
-            n = part.num_rows
-            lists = pa.array([x.tolist() for x in _window_starts(part)], pa.list_(pa.int32()))
-            yield _staged(part, part.column("text"), lists, pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()))
-        part = batch.filter(pc.invert(open_rows))
-        words = [t.split() for t in part.column("text").cast(pa.binary()).to_pylist()]
-        digests = [hashlib.sha256(b" ".join(w)).hexdigest() for w in words]
-        n = part.num_rows
-        counts = pa.array([len(w) for w in words], pa.int64())
-        yield _staged(part, pa.nulls(n, pa.string()), pa.nulls(n, pa.list_(pa.int32())), counts, pa.array(digests, pa.string()))
+def _stage(with_text: bool):
+    """Rows that are copies of one with a smaller id, and rows without a shared anchor, are done; others go on."""
+
+    fields = to_arrow_schema(T.StructType.fromDDL(STAGED))
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.slices(batches, limit=SLICE_BYTES):
+            batch = batch.set_column(batch.schema.get_field_index("text"), "text", pc.fill_null(batch.column("text"), ""))
+            copy = pc.fill_null(pc.less(batch.column("first_id"), pc.fill_null(batch.column("doc_id"), C.NO_ID)), False)
+            open_rows = pc.and_(pc.is_valid(batch.column("keys")), pc.invert(copy))
+            if pc.any(open_rows).as_py():
+                part = batch.filter(open_rows)
+                starts = pa.array([x.tolist() for x in _window_starts(part)], pa.list_(pa.int32()))
+                yield _staged(fields, part, part.column("text"), starts, *[pa.nulls(part.num_rows)] * 4)
+            part, copy = batch.filter(pc.invert(open_rows)), copy.filter(pc.invert(open_rows)).to_pylist()
+            words = [t.split() for t in part.column("text").cast(pa.binary()).to_pylist()]
+            gone = [len(w) if c and len(w) >= WINDOW else 0 for w, c in zip(words, copy)]
+            kept = [b"" if g else b" ".join(w) for w, g in zip(words, gone)]
+            digests = [hashlib.sha256(k).hexdigest() for k in kept]
+            none = pa.nulls(part.num_rows)
+            yield _staged(fields, part, none, none, [len(w) for w in words], gone, digests, [k.decode() for k in kept] if with_text else none)
+
+    return step
 
 
-def _staged(part: pa.RecordBatch, *columns: pa.Array) -> pa.RecordBatch:
-    names = [p.split()[0] for p in STAGED.split(", ")]
-    return pa.RecordBatch.from_arrays([part.column("row_key"), part.column("doc_id"), *columns], names)
+def _staged(fields: pa.Schema, part: pa.RecordBatch, *columns) -> pa.RecordBatch:
+    arrays = [c.cast(t) if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, fields.types[2:])]
+    return pa.RecordBatch.from_arrays([part.column("row_key"), part.column("doc_id"), *arrays], fields.names)
 
 
 def _windows(batch: pa.RecordBatch):
-    """(window start as a word of the slice, row, low key, high key) of the staged windows."""
+    """(window start as a word of the slice, row, 64-bit key, 32 more bits) of the staged windows."""
     data, offsets = C.text_bytes(batch.column("text"))
     starts, ends, first = C.word_bounds(data, offsets)
     lists = batch.column("starts")
@@ -119,7 +129,7 @@ def _windows(batch: pa.RecordBatch):
     row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
     at = flat + first[row]
     keys = [C.window_hashes(C.word_hashes(data, starts, ends, seed), WINDOW, seed)[at] if len(at) else np.zeros(0, np.uint64) for seed in (1, 2)]
-    return data, starts, ends, first, at, row, *keys
+    return data, starts, ends, first, at, row, keys[0], (keys[1] >> np.uint64(32)).astype(np.uint32)
 
 
 def _pack_windows(buckets: int):
@@ -162,13 +172,14 @@ def _remove(with_text: bool):
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, kept_text (if asked for, of rows that met a shared anchor)."""
+    """doc_id, n_words, n_removed, kept_sha256, and kept_text if asked for, one row per input row."""
     docs = C.keyed(docs)
     buckets = bucket_count(docs)
     anchors = found_keys(C.map_arrow(docs, _pack_anchors(buckets), PACKED))
-    staged = stored(C.map_arrow(docs.join(anchors, "row_key", "left"), _stage, STAGED))
+    joined = docs.join(anchors, "row_key", "left").join(C.copies(docs).drop("first_key"), "row_key", "left")
+    staged = stored(C.map_arrow(joined, _stage(with_text), STAGED))
     opened = staged.where("text is not null").select("row_key", "doc_id", "text", "starts")
     windows = found_keys(C.map_arrow(opened, _pack_windows(buckets), PACKED))
-    changed = C.map_arrow(opened.join(windows, "row_key", "left"), _remove(with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
-    rest = staged.where("text is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text"))
+    changed = C.map_arrow(opened.join(windows, "row_key", "left"), _remove(with_text), RESULT)
+    rest = staged.where("text is null").select("doc_id", "n_words", "n_removed", "kept_sha256", "kept_text")
     return changed.unionByName(rest)
