@@ -7,6 +7,7 @@ slice and nothing here recurses. It runs inside Spark tasks only.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from html import escape
@@ -58,7 +59,6 @@ _MARKUP = re.compile(
 _ATTRIBUTES = re.compile(_ATTRIBUTE)
 _REFERENCE = re.compile(r"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[A-Za-z][A-Za-z0-9]*+;)")
 _RAW_END = {tag: re.compile(f"</{tag}(?=[\\s/>]|\\Z)", re.I) for tag in RAW_TEXT}
-_XML_SPACES = re.compile(r"[ \t\r\n]+")
 _ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
@@ -320,28 +320,48 @@ def attachment_href(page: Page) -> str | None:
             if page.matches(i, "a", classes) and "href" in page.data[i]:
                 yield i, page.data[i]["href"]
 
-    def says(i):
-        words = "".join(
-            page.data[j] for j in range(i + 1, page.stop[i]) if page.tags[j] == TEXT
-        )
-        words = _XML_SPACES.sub(" ", words).strip(" ")
-        return S.ATTACHMENT_PHRASE in words.translate(_ASCII_LOWER)
+    def saying(spans):
+        """Links whose text has the phrase. The text of the spans is joined once, and places in it looked up."""
+        nodes = [i for i in page.inside(spans) if page.tags[i] == TEXT]
+        ends, size = [], 0
+        for i in nodes:
+            size += len(page.data[i])
+            ends.append(size)
+        words = "".join(page.data[i] for i in nodes)
+        marks = _phrase_places(words)
+        starts = [m for m, _ in marks]
+        for i, href in links(spans):
+            first, last = bisect_left(nodes, i), bisect_left(nodes, page.stop[i])
+            if first < last:
+                begin, end = ends[first] - len(page.data[nodes[first]]), ends[last - 1]
+                k = bisect_left(starts, begin)
+                if k < len(marks) and marks[k][1] <= end:
+                    yield href
 
     content = list(page.find("div", "content"))
     loose = [i for i in page.find("div") if "content" in page.data[i].get("class", "")]
-    related = list(page.find("div", "related-items related-file"))
-    item = list(page.find("div", "related-item-content"))
     rules = [
         *(
-            [h for _, h in links(content) if h.endswith(ending)]
+            lambda ending=ending: (h for _, h in links(content) if h.endswith(ending))
             for ending in (".pdf", ".doc", ".docx")
         ),
-        [h for _, h in links(related, "download")],
-        [h for _, h in links(item, "download")],
-        [h for i, h in links(loose) if says(i)],
-        [h for _, h in links(loose) if ".pdf" in h or ".doc" in h],
+        lambda: (h for _, h in links(list(page.find("div", "related-items related-file")), "download")),
+        lambda: (h for _, h in links(list(page.find("div", "related-item-content")), "download")),
+        lambda: saying(loose),
+        lambda: (h for _, h in links(loose) if ".pdf" in h or ".doc" in h),
     ]
-    return next((hits[0] for hits in rules if hits and hits[0]), None)
+    # A rule is looked at only if none before it has a link.
+    for rule in rules:
+        href = next(rule(), None)
+        if href:
+            return href
+    return None
+
+
+def _phrase_places(words: str) -> list[tuple[int, int]]:
+    """(start, end) of the phrase in a text, whatever blanks are between its words."""
+    pattern = r"[ \t\r\n]+".join(re.escape(w) for w in S.ATTACHMENT_PHRASE.split(" "))
+    return [m.span() for m in re.finditer(pattern, words.translate(_ASCII_LOWER))]
 
 
 def listings(page: Page) -> list[dict]:

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folioflow import schemas as S
 from folioflow.functions import dates, naming, payload, text
-from folioflow.session import BROADCAST_BYTES, byte_size, small_table
 
 CLEANED = ("title", "description", "case_number", "record_date", "source", "body")
 ROWS_PER_GROUP = 1_000_000
@@ -43,11 +40,13 @@ def prepare_cases(incoming: DataFrame) -> DataFrame:
     named = normalize_cases(incoming).withColumn(
         "_extension", naming.landing_extension("content_type", "file_name", "link_to_doc")
     )
+    # Captured cases come with the hash of a payload that is kept elsewhere.
+    hashed = F.col("file_hash") if "file_hash" in incoming.columns else payload.content_hash(
+        payload.build_payload("content_bytes", "content_html", "link_to_doc")
+    )
     cases = named.withColumns(
         {
-            "file_hash": payload.content_hash(
-                payload.build_payload("content_bytes", "content_html", "link_to_doc")
-            ),
+            "file_hash": hashed,
             "object_key": naming.landing_key(
                 "source", "body", "partition_date", "identifier", F.col("_extension")
             ),
@@ -77,111 +76,50 @@ def detect_changes(
     """Add `scrape_status` and `path_to_file` to each incoming row.
 
     In `seq` order of its identifier, a row is unchanged if it has the hash of the row before it;
-    the first row compares with the existing state, which must also have a path. A stored row
-    takes its own `object_key`, an unchanged row keeps the path in force.
+    the first row compares with the existing state, which must also have a path. NULL hashes are
+    equal to each other. A stored row takes its own `object_key`, an unchanged row keeps the path in
+    force.
 
     In: `identifier, seq, file_hash, object_key` and any other columns; `seq` is unique per
     identifier. `existing` holds one row per identifier: `identifier, file_hash, path_to_file`.
 
-    Identifiers with more than `rows_per_group` rows are cut into ranges of `seq`, so that no
-    window holds more than about that many rows.
+    All identifiers are cut at the same places into ranges of `seq`, as many as make
+    `rows_per_group` rows each on average, so that a hot identifier fills many windows. Within a range
+    everything but its head row is settled; one row per range carries hash and path over to the next.
     """
     state = existing.select(
         "identifier",
         F.col("file_hash").alias("_old_hash"),
         F.col("path_to_file").alias("_old_path"),
-    )
-    hot, size = _measure(incoming, rows_per_group)
-    if size <= BROADCAST_BYTES:
-        # A small batch picks its own state out of a large table, which then is not shuffled.
-        names = incoming.select("identifier").distinct()
-        state = state.join(F.broadcast(names), "identifier", "left_semi")
-    if not hot:
-        return _by_identifier(incoming, state)
-    schema = T.StructType([T.StructField("identifier", T.StringType())])
-    names = small_table(incoming.sparkSession, [(n,) for n in hot], schema)
-    cold_rows = incoming.join(F.broadcast(names), "identifier", "left_anti")
-    hot_rows = incoming.join(F.broadcast(names), "identifier", "left_semi")
-    return _by_identifier(cold_rows, state).unionByName(
-        _by_ranges(hot_rows, state, rows_per_group)
-    )
-
-
-def _measure(incoming: DataFrame, rows_per_group: int) -> tuple[list[str], int]:
-    """Identifiers over the bound, and the size of all identifiers.
-
-    At most rows / rows_per_group identifiers are over it, so they fit the driver.
-    """
-    counts = incoming.groupBy("identifier").count()
-    found = counts.agg(
-        F.collect_list(F.when(F.col("count") > rows_per_group, F.col("identifier"))),
-        byte_size("identifier"),
-    ).first()
-    return found[0], found[1] or 0
-
-
-def _same_as_state(file_hash: Column) -> Column:
-    same = (F.col("_old_hash") == file_hash) & (F.col("_old_path") != "")
-    return F.coalesce(same, F.lit(False))
-
-
-def _status(stored: Column) -> Column:
-    return F.when(stored, F.lit(S.STORED)).otherwise(F.lit(S.UNCHANGED))
-
-
-def _by_identifier(rows: DataFrame, state: DataFrame) -> DataFrame:
-    order = Window.partitionBy("identifier").orderBy("seq")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = rows.join(state, "identifier", "left")
-    first = F.row_number().over(order) == 1
-    changed = F.when(first, ~_same_as_state(F.col("file_hash"))).otherwise(
-        F.lag("file_hash").over(order) != F.col("file_hash")
-    )
-    marked = joined.withColumn("_stored", changed)
-    last_key = F.last(F.when(F.col("_stored"), F.col("object_key")), ignorenulls=True)
-    return marked.select(
-        *rows.columns,
-        _status(F.col("_stored")).alias("scrape_status"),
-        F.coalesce(last_key.over(so_far), F.col("_old_path")).alias("path_to_file"),
-    )
-
-
-def _by_ranges(rows: DataFrame, state: DataFrame, rows_per_group: int) -> DataFrame:
-    ranged = _seq_ranges(rows, rows_per_group)
+    ).join(incoming.select("identifier"), "identifier", "left_semi")
     keys = ["identifier", "_range"]
     order = Window.partitionBy(*keys).orderBy("seq")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    # Within a range everything but its head row is settled.
-    marked = ranged.withColumns(
-        {
-            "_head": F.row_number().over(order) == 1,
-            "_changed": F.coalesce(
-                F.lag("file_hash").over(order) != F.col("file_hash"), F.lit(False)
-            ),
-        }
+    marked = (
+        _seq_ranges(incoming, rows_per_group)
+        .withColumn("_head", F.row_number().over(order) == 1)
+        .withColumn("_changed", ~F.col("_head") & _differs(F.lag("file_hash").over(order)))
     )
     local = marked.withColumn(
         "_inner_path",
         F.last(F.when(F.col("_changed"), F.col("object_key")), ignorenulls=True).over(so_far),
     )
 
-    # One row per range carries hash and path over to the next range.
     summary = local.groupBy(*keys).agg(
-        F.min_by("file_hash", "seq").alias("_first_hash"),
+        F.min_by("file_hash", "seq").alias("file_hash"),
         F.min_by("object_key", "seq").alias("_first_key"),
         F.max_by("file_hash", "seq").alias("_last_hash"),
         F.max_by("object_key", F.when(F.col("_changed"), F.col("seq"))).alias("_last_key"),
     )
     ranges = Window.partitionBy("identifier").orderBy("_range")
     before = ranges.rowsBetween(Window.unboundedPreceding, -1)
+    known = ~_differs(F.col("_old_hash")) & F.coalesce(F.col("_old_path") != "", F.lit(False))
+    head_stored = F.when(F.row_number().over(ranges) == 1, ~known).otherwise(
+        _differs(F.lag("_last_hash").over(ranges))
+    )
     heads = (
         summary.join(state, "identifier", "left")
-        .withColumn(
-            "_head_stored",
-            F.when(F.row_number().over(ranges) == 1, ~_same_as_state(F.col("_first_hash")))
-            .otherwise(F.lag("_last_hash").over(ranges) != F.col("_first_hash")),
-        )
+        .withColumn("_head_stored", head_stored)
         .withColumn("_head_key", F.when(F.col("_head_stored"), F.col("_first_key")))
         .withColumn(
             "_entry_path",
@@ -195,19 +133,24 @@ def _by_ranges(rows: DataFrame, state: DataFrame, rows_per_group: int) -> DataFr
     )
     stored = F.when(F.col("_head"), F.col("_head_stored")).otherwise(F.col("_changed"))
     return local.join(heads, keys).select(
-        *rows.columns,
-        _status(stored).alias("scrape_status"),
+        *incoming.columns,
+        F.when(stored, F.lit(S.STORED)).otherwise(F.lit(S.UNCHANGED)).alias("scrape_status"),
         F.coalesce("_inner_path", "_entry_path").alias("path_to_file"),
     )
 
 
+def _differs(other: Column) -> Column:
+    """Whether a row's hash is another than this one; two NULLs are the same."""
+    return ~other.eqNullSafe(F.col("file_hash"))
+
+
 def _seq_ranges(rows: DataFrame, rows_per_group: int) -> DataFrame:
-    """Number the ranges of `seq` that hold about rows_per_group of these rows each."""
-    number = math.ceil(rows.count() / rows_per_group) + 1
-    position = rows.withColumn("_position", F.col("seq").cast("double"))
-    wanted = [i / number for i in range(1, number)]
-    cuts = sorted(set(position.approxQuantile("_position", wanted, 0.1 / number)))
-    split = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol="_position", outputCol="_range"
-    )
-    return split.transform(position).drop("_position")
+    """Number equally wide ranges of `seq`, which hold rows_per_group rows each on average.
+
+    Three figures are read for it, whatever the number of rows.
+    """
+    low, high, number = rows.agg(F.min("seq"), F.max("seq"), F.count("*")).first()
+    ranges = max(1, math.ceil(number / rows_per_group))
+    width = max(1, -(-((high or 0) - (low or 0) + 1) // ranges))
+    place = (F.col("seq").cast("decimal(20,0)") - F.lit(low or 0)) / F.lit(width)
+    return rows.withColumn("_range", F.floor(place).cast("long"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions import urls
-from folioflow.session import stored
+from folioflow.functions import text, urls
+from folioflow.session import stored, stored_count
 
 
 def first_by(rows: DataFrame, key: str, order: Iterable[str]) -> DataFrame:
@@ -20,73 +21,93 @@ def first_by(rows: DataFrame, key: str, order: Iterable[str]) -> DataFrame:
     )
 
 
+def request_key(url: Column | str) -> Column:
+    """What makes two URLs the same request: no fragment, arguments in order."""
+    plain = F.substring_index(text.as_column(url), "#", 1)
+
+    def sorted_arguments(u: Column) -> Column:
+        query = F.regexp_extract(u, r"\?(.*)$", 1)
+        ordered = F.array_join(F.array_sort(F.split(query, "&")), "&")
+        return F.when(query == "", u).otherwise(F.concat(F.substring_index(u, "?", 1), F.lit("?"), ordered))
+
+    return text.once(plain, sorted_arguments)
+
+
 def results_chains(starts: DataFrame, edges: DataFrame, order: Iterable[str]) -> DataFrame:
     """Number the results pages reached from each start by `next` links.
 
     `starts`: `url` and context columns, page 1 of each partition; `order` ranks the starts.
     `edges`: `src, dst`, at most one per `src`. A page reached more than once belongs to the
-    start that reaches it in the fewest steps.
+    start that reaches it in the fewest steps. URLs are compared by `request_key`; a page is given
+    by the URL under which it is an edge's `src`, or else by the one that leads to it.
 
     Path doubling: each round doubles the reach, so a chain of n pages takes log2(n) rounds of
-    joins, not n, and a loop of links ends the rounds once nothing new is reached.
+    joins, not n, and a loop of links ends the rounds once nothing new is reached. Only links from
+    pages that matter so far are doubled: those reached, and those that such links lead to.
     """
     order = list(order)
     context = [c for c in starts.columns if c != "url"]
-    reach = stored(first_by(starts.withColumn("page", F.lit(1).cast("long")), "url", order))
-    jumps = stored(edges.select("src", "dst", F.lit(1).cast("long").alias("steps")))
-    reached = reach.count()
+    named = edges.select(request_key("src").alias("src"), request_key("dst").alias("dst"), F.col("src").alias("url"), F.col("dst").alias("to"))
+    named = stored(first_by(named, "src", ["url", "to"]))
+    first = starts.withColumn("page", F.lit(1).cast("long")).withColumn("key", request_key("url"))
+    reach, number = stored_count(first_by(first, "key", [*order, "url"]).drop("url"))
+    jumps = named.select("src", "dst", F.lit(1).cast("long").alias("steps"))
     while True:
-        further = reach.join(jumps, reach.url == jumps.src).select(
-            F.col("dst").alias("url"), *context, (F.col("page") + F.col("steps")).alias("page")
+        further = reach.join(jumps, reach.key == jumps.src).select(
+            *context, (F.col("page") + F.col("steps")).alias("page"), F.col("dst").alias("key")
         )
-        wider = stored(first_by(reach.unionByName(further), "url", ["page", *order]))
-        now = wider.count()
-        if now == reached:
-            return reach
-        reach, reached = wider, now
+        wider, now = stored_count(first_by(reach.unionByName(further), "key", ["page", *order]))
+        if now == number:
+            break
+        reach, number = wider, now
         a, b = jumps.alias("a"), jumps.alias("b")
         jumps = stored(
             a.join(b, F.col("a.dst") == F.col("b.src")).select(
                 "a.src", "b.dst", (F.col("a.steps") + F.col("b.steps")).alias("steps")
             )
         )
+    urls_of = named.select(F.col("src").alias("key"), F.col("url"), F.lit(0).alias("rank"))
+    urls_of = urls_of.unionByName(first.select("key", "url", F.lit(1).alias("rank")))
+    urls_of = urls_of.unionByName(named.select(F.col("dst").alias("key"), F.col("to").alias("url"), F.lit(2).alias("rank")))
+    known = first_by(urls_of, "key", ["rank", "url"]).drop("rank")
+    return reach.join(known, "key").select("url", *context, "page")
 
 
 def attach_documents(
     listings: DataFrame, documents: DataFrame, order: Iterable[str], hosts: list[str] | None = None
 ) -> DataFrame:
-    """The final document page of each listing.
+    """The final document page of each listing; `final_url` and `route` are NULL where there is none.
 
     `listings`: one row per listing with its absolute `document_url`. `documents`: `url, route,
     follow_url` of each captured page. A page routed `follow` leads on to its attachment until a
-    page of another route is reached. Each URL is requested once: the first listing in `order`
-    gets it, and a listing whose next URL was requested before ends there, so loops end too.
+    page of another route is reached. Each URL is requested once, compared by `request_key`: the first
+    listing in `order` gets it, and a listing whose next URL was requested before ends there, so loops
+    end too.
 
     Only these narrow columns move; join page contents to `final_url` afterwards.
     """
     order = list(order)
     if hosts:
         listings = listings.where(urls.host_allowed("document_url", hosts))
-    rows = stored(first_by(listings, "document_url", order))
-    pages = stored(documents.select("url", "route", "follow_url"))
+    keyed = listings.withColumn("_at", request_key("document_url"))
+    rows = stored(first_by(keyed, "_at", order))
+    pages = documents.select(request_key("url").alias("key"), "url", "route", "follow_url")
+    pages = stored(first_by(pages, "key", ["url"]))
 
-    frontier = rows.select(F.col("document_url").alias("at"), "document_url", *order)
-    requested = frontier.select("at")
-    settled = None
+    frontier = rows.select(F.col("_at").alias("at"), F.col("_at").alias("start"), *order)
+    requested = [frontier.select("at")]
+    settled: list[DataFrame] = []
     while True:
-        hit = stored(frontier.join(pages, frontier["at"] == pages["url"]))
-        done = hit.where("route <> 'follow'").select(
-            "document_url", F.col("at").alias("final_url"), "route"
-        )
-        settled = done if settled is None else settled.unionByName(done)
-        onward = hit.where("route = 'follow'").select(
-            F.col("follow_url").alias("at"), "document_url", *order
-        )
+        hit = stored(frontier.join(pages, frontier["at"] == pages["key"]))
+        settled.append(hit.where("route <> 'follow'").select("start", F.col("url").alias("final_url"), "route"))
+        onward = hit.where("route = 'follow'").select("follow_url", "start", *order)
         if hosts:
-            onward = onward.where(urls.host_allowed("at", hosts))
-        frontier = stored(
-            first_by(onward, "at", order).join(requested, "at", "left_anti")
-        )
-        if frontier.isEmpty():
-            return rows.join(settled, "document_url")
-        requested = stored(requested.unionByName(frontier.select("at")))
+            onward = onward.where(urls.host_allowed("follow_url", hosts))
+        onward = onward.select(request_key("follow_url").alias("at"), "start", *order)
+        # Each hop is a table of its own; what was requested before is their union.
+        before = reduce(DataFrame.unionByName, requested)
+        frontier, number = stored_count(first_by(onward, "at", order).join(before, "at", "left_anti"))
+        if not number:
+            ended = reduce(DataFrame.unionByName, settled)
+            return rows.join(ended, rows["_at"] == ended["start"], "left").drop("_at", "start")
+        requested.append(frontier.select("at"))

@@ -23,6 +23,10 @@ def _landing_aggregates(status: Column) -> list[Column]:
     ]
 
 
+def _transform_aggregates(done: Column, failed: str) -> list[Column]:
+    return [_count(done.isin("ok", "skipped"), "processed"), _count(done == "failed", failed)]
+
+
 def landing_counters(outcomes: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows stored, unchanged, failed and dropped, from the `outcome` of each row."""
     grouped = outcomes.groupBy(*(by or []))
@@ -32,10 +36,7 @@ def landing_counters(outcomes: DataFrame, by: list[str] | None = None) -> DataFr
 
 def transform_counters(outcomes: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows processed (skipped ones included) and failed, from the `outcome` of each row."""
-    done = F.col("outcome")
-    counted = outcomes.groupBy(*(by or [])).agg(
-        _count(done.isin("ok", "skipped"), "processed"), _count(done == "failed", "failed")
-    )
+    counted = outcomes.groupBy(*(by or [])).agg(*_transform_aggregates(F.col("outcome"), "failed"))
     return counted.withColumn("success", F.col("failed") == 0)
 
 
@@ -57,32 +58,35 @@ def partition_summary(
 ) -> DataFrame:
     """Run metrics per body and month, with the first and last day of the month.
 
-    Absent figures are 0. Each input is reduced to its partitions before they are joined.
+    Absent figures are 0. The inputs go into one aggregation as tagged rows, so that rows without
+    body or month make one partition, like any other.
     """
     keys = ["body", "partition_date"]
-    out = landing_counters(landed, keys).drop("success")
+    none = F.lit(None).cast("string")
+    rows = landed.select(*keys, F.col("outcome").alias("landed"), none.alias("done"), none.alias("page"))
     if processed is not None:
-        counted = transform_counters(processed, keys).select(
-            *keys, "processed", F.col("failed").alias("transform_failed")
-        )
-        out = out.join(counted, keys, "full_outer")
+        done = processed.select(*keys, none.alias("landed"), F.col("outcome").alias("done"), none.alias("page"))
+        rows = rows.unionByName(done)
     if pages is not None:
-        counted = pages.groupBy(*keys).agg(F.count("*").alias("pages_scraped"))
-        out = out.join(counted, keys, "full_outer")
+        rows = rows.unionByName(
+            pages.select(*keys, none.alias("landed"), none.alias("done"), F.lit("page").alias("page"))
+        )
+    done = F.col("done")
     first = F.try_to_date(F.concat(F.col("partition_date"), F.lit("-01")), "yyyy-MM-dd")
-    have = set(out.columns)
+    counted = rows.groupBy(*keys).agg(
+        *_landing_aggregates(F.col("landed")),
+        F.count("page").alias("pages_scraped"),
+        *_transform_aggregates(done, "transform_failed"),
+    )
     numbers = [
         "stored", "unchanged", "failed", "dropped", "pages_scraped", "processed",
         "transform_failed",
     ]
-    return out.select(
+    return counted.select(
         *keys,
         first.alias("start_date"),
         F.last_day(first).alias("end_date"),
-        *[
-            (F.coalesce(F.col(n), F.lit(0)) if n in have else F.lit(0)).cast("long").alias(n)
-            for n in numbers
-        ],
+        *numbers,
         F.lit(float(elapsed_seconds)).alias("elapsed_seconds"),
     )
 
@@ -99,7 +103,10 @@ STATISTICS = {
 
 
 def read_statistics(exports: DataFrame, json: str, return_code: str) -> DataFrame:
-    """Typed metrics from exported JSON statistics; a missing figure is 0."""
+    """Typed metrics from exported JSON statistics, and all of them as they came in `raw_stats`.
+
+    A missing figure is 0.
+    """
     values = F.from_json(F.col(json), "map<string,string>")
     parsed = exports.withColumn("_values", values)
     metrics = [
@@ -110,7 +117,12 @@ def read_statistics(exports: DataFrame, json: str, return_code: str) -> DataFram
         for key, name in STATISTICS.items()
     ]
     others = [c for c in exports.columns if c != json]
-    return parsed.select(*others, *metrics, (F.col(return_code) == 0).alias("success"))
+    return parsed.select(
+        *others,
+        *metrics,
+        (F.col(return_code) == 0).alias("success"),
+        F.col("_values").alias("raw_stats"),
+    )
 
 
 def export_statistics(metrics: DataFrame) -> DataFrame:

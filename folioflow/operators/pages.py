@@ -59,6 +59,22 @@ def extract_pages(
     fields.append(T.StructField("error", _TEXT))
     arrow_types = {name: to_arrow_type(FACTS[name]) for name in facts}
 
+    def assembled(part: pa.RecordBatch, rows: list[dict], errors: list) -> pa.RecordBatch:
+        found = []
+        for f in facts:
+            try:
+                found.append(pa.array([r.get(f) for r in rows], arrow_types[f]))
+            except pa.ArrowException:  # the facts of some page cannot be held: find it
+                for i, row in enumerate(rows):
+                    try:
+                        pa.array([row.get(f)], arrow_types[f])
+                    except pa.ArrowException as exc:
+                        rows[i], errors[i] = {}, f"{type(exc).__name__}: {exc}"
+                return assembled(part, rows, errors)
+        columns = [part.column(name) for name in keep]
+        columns += [*found, pa.array(errors, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, names=[*keep, *facts, "error"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_PER_SLICE):
@@ -73,25 +89,13 @@ def extract_pages(
                             error = f"{type(exc).__name__}: {exc}"
                     rows.append(row)
                     errors.append(error)
-                columns = [part.column(name) for name in keep]
-                columns += [pa.array([r.get(f) for r in rows], arrow_types[f]) for f in facts]
-                columns.append(pa.array(errors, pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=[*keep, *facts, "error"])
+                yield assembled(part, rows, errors)
 
     ship_package(pages.sparkSession)
     source = pages.select(*dict.fromkeys([*keep, html]))
     return source.mapInArrow(run, T.StructType(fields))
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than cores, so that parsing uses all of them.
-
-    A large table has splits enough and is left alone: no shuffle of page bodies.
-    """
-    wanted = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)
-
-
 def clean_pages(
     pages: DataFrame, html: str, keep: Iterable[str], wrap: bool = True
 ) -> DataFrame:
@@ -132,15 +136,17 @@ def link_target(url: Column | str, base_href: Column | str, href: Column | str)
 def document_pages(pages: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     """Route each captured page and build the columns of its case item.
 
-    In: `url, content_type, body binary`. Files keep their bytes and are not parsed.
+    In: `url, content_type, body binary`. Files keep their bytes and never meet Python.
     """
     binary = naming.is_binary_document("content_type", "url")
-    source = pages.withColumn("page_html", F.when(~binary, text.decode_bytes("body")))
-    source = source.withColumn("body", F.when(binary, F.col("body")))
     facts = ["content_html", "content_text", "attachment_href", "base_href"]
     kept = ["url", "content_type", *extra]
-    read = extract_pages(source, "page_html", facts, [*kept, "body"])
-    routed = read.withColumn(
+    markup = pages.where(~binary).select(*kept, text.decode_bytes("body").alias("page_html"))
+    read = extract_pages(markup, "page_html", facts, kept)
+    read = read.withColumn("body", F.lit(None).cast("binary"))
+    none = F.lit(None).cast("string")
+    files = pages.where(binary).select(*kept, "body", *[none.alias(f) for f in [*facts, "error"]])
+    routed = read.unionByName(files).withColumn(
         "route", route("content_type", "url", "content_html", "content_text", "attachment_href")
     )
     is_file = F.col("route") == "file"
@@ -214,7 +220,8 @@ def next_edges(read: DataFrame, url: str) -> DataFrame:
 
 
 def listings_per_page(results: DataFrame, html: str, context: Iterable[str]) -> DataFrame:
-    """Listing count of each results page, with or without links."""
+    """Listing count of each results page, with or without links; NULL and the error of one that cannot be read."""
     context = list(context)
     read = extract_pages(results, html, ["listings"], context)
-    return read.select(*context, F.coalesce(F.size("listings"), F.lit(0)).alias("n_listings"))
+    count = F.when(F.col("error").isNull(), F.coalesce(F.size("listings"), F.lit(0)))
+    return read.select(*context, count.alias("n_listings"), "error")

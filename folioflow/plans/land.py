@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,28 +12,41 @@ from folioflow import schemas as S
 from folioflow.functions import payload, text
 from folioflow.operators import cases
 from folioflow.operators.upsert import latest
-from folioflow.session import broadcast_if_small
 from folioflow.sources.zones import Zone
 
 
-def stored_content(incoming: DataFrame, decisions: DataFrame) -> DataFrame:
+class Captured(NamedTuple):
+    """Incoming cases without their payloads, and the payloads by `payload_id`.
+
+    `cases` has a `file_hash` and a `payload_id`; `payloads` has `payload_id, content_bytes,
+    content_html, link_to_doc, content_type`.
+    """
+
+    cases: DataFrame
+    payloads: DataFrame
+
+
+def stored_content(
+    incoming: DataFrame, decisions: DataFrame, by: str = "seq"
+) -> DataFrame:
     """Payloads of stored rows; where rows share a path the last one counts.
 
-    The winners are narrow and broadcast when their measured size allows it; then no payload is
-    shuffled to find them.
+    One join sees payloads. Its other side holds the stored rows only and is narrow, from a written
+    table, so the planner broadcasts it while it is small, and otherwise filters the payloads by it
+    before it shuffles what is left.
     """
     winners = (
         decisions.where(F.col("scrape_status") == S.STORED)
         .groupBy("path_to_file")
-        .agg(F.max_by(F.struct("seq", "file_hash"), "seq").alias("w"))
-        .select("path_to_file", "w.seq", "w.file_hash")
+        .agg(F.max_by(F.struct(by, "file_hash"), "seq").alias("w"))
+        .select("path_to_file", f"w.{by}", "w.file_hash")
     )
     blobs = incoming.select(
-        "seq",
+        by,
         payload.build_payload("content_bytes", "content_html", "link_to_doc").alias("content"),
         text.or_default("content_type", S.FALLBACK_TYPE).alias("content_type"),
     )
-    return blobs.join(broadcast_if_small(winners), "seq").select(*S.CONTENT.names)
+    return blobs.join(winners, by).select(*S.CONTENT.names)
 
 
 def batch_outcomes(zone: Zone, batch: int) -> DataFrame:
@@ -45,12 +59,17 @@ def batch_outcomes(zone: Zone, batch: int) -> DataFrame:
     return decisions.select(*columns).unionByName(rejects.select(*columns))
 
 
-def land(incoming: DataFrame, zone: Zone, batch: int, run_ts: datetime) -> DataFrame:
+def land(
+    incoming: DataFrame | Captured, zone: Zone, batch: int, run_ts: datetime
+) -> DataFrame:
     """Land a batch of cases and return the outcome of each row.
 
     `incoming` has the columns of INCOMING_CASES with a unique `seq`, and may have an `error`.
     Content is written before metadata. A batch number landed before is not landed again.
     """
+    payloads, by = incoming, "seq"
+    if isinstance(incoming, Captured):
+        incoming, payloads, by = incoming.cases, incoming.payloads, "payload_id"
     if batch <= zone.cases.last_batch():
         return batch_outcomes(zone, batch)
 
@@ -59,7 +78,7 @@ def land(incoming: DataFrame, zone: Zone, batch: int, run_ts: datetime) -> DataF
     changes = cases.detect_changes(cases.valid(prepared), existing)
     decisions = zone.stage("decisions", batch, changes.drop("object_key"))
 
-    zone.content.write(batch, stored_content(incoming, decisions))
+    zone.content.write(batch, stored_content(payloads, decisions, by))
 
     rows = latest(decisions, "identifier", "seq").withColumn(
         "scraped_at", F.lit(run_ts).cast("timestamp")

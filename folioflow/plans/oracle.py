@@ -1,6 +1,6 @@
 """The same results in plain SQL, for the check against another engine.
 
-Cleaned markup (`clean_pages`, `clean_pages_unwrapped`) has no SQL form; its text has one.
+Cleaned markup has no SQL form; it is compared by its text and by counts of its tags.
 """
 
 from __future__ import annotations
@@ -71,13 +71,19 @@ def _found(markup: str) -> str:
 
 _ARTICLE_TEXT = _decoded("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)")
 
+# URLs of these tables differ in their fragment only, where they name the same request.
+_KEY = "split_part(url, '#', 1)"
+
 _EVENTS = f"""
+twice AS (
+  SELECT *, unnest(CASE WHEN event_id % 7 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM events),
 ev AS (
-  SELECT user_id || '-' || event_type AS identifier, event_id AS seq,
-         sha256(CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR)) AS file_hash,
-         'events/' || user_id || '-' || event_type || '/' || event_id AS object_key,
-         event_type AS body, strftime(ts, '%Y-%m-%d') AS partition_date, ts, value, props
-  FROM events),
+  SELECT user_id || '-' || event_type AS identifier, event_id * 2 + copy AS seq,
+         CASE copy WHEN 0 THEN sha256(CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR)) END AS file_hash,
+         'events/' || user_id || '-' || event_type || '/' || event_id * 2 + copy AS object_key,
+         CASE copy WHEN 0 THEN event_type END AS body, event_type,
+         strftime(ts, '%Y-%m-%d') AS partition_date, ts, value, props
+  FROM twice),
 inc AS (SELECT * FROM ev WHERE ts >= TIMESTAMP '{CUT_OFF}'),
 st AS (
   SELECT *, CASE WHEN seq % 10 <> 0 THEN object_key ELSE '' END AS path_to_file FROM ev
@@ -93,8 +99,8 @@ joined AS (
          lag(i.file_hash) OVER (PARTITION BY i.identifier ORDER BY i.seq) AS prev
   FROM {incoming} i LEFT JOIN {state} s ON i.identifier = s.identifier),
 marked AS (
-  SELECT *, CASE WHEN rn = 1 THEN NOT coalesce(old_hash = file_hash AND old_path <> '', false)
-                 ELSE prev <> file_hash END AS is_stored FROM joined),
+  SELECT *, CASE WHEN rn = 1 THEN NOT coalesce(old_hash IS NOT DISTINCT FROM file_hash AND old_path <> '', false)
+                 ELSE prev IS DISTINCT FROM file_hash END AS is_stored FROM joined),
 changes AS (
   SELECT * EXCLUDE (is_stored), CASE WHEN is_stored THEN 'stored' ELSE 'unchanged' END AS scrape_status,
          coalesce(last_value(CASE WHEN is_stored THEN object_key END IGNORE NULLS) OVER (
@@ -122,13 +128,14 @@ _COUNTERS = """
 
 _METRICS = f"""
 {_LANDED},
-landing AS (
-  SELECT body, left(partition_date, 7) AS partition_date, {_COUNTERS} FROM landed GROUP BY 1, 2),
-done AS (
-  SELECT body, left(partition_date, 7) AS partition_date, count(*) AS pages_scraped,
+tagged AS (
+  SELECT body, left(partition_date, 7) AS partition_date, outcome, NULL AS value FROM landed
+  UNION ALL SELECT body, left(partition_date, 7), NULL, value FROM ev),
+summary AS (
+  SELECT body, partition_date, {_COUNTERS}, count(value) AS pages_scraped,
          count(*) FILTER (value < 2 OR value >= 3) AS processed,
          count(*) FILTER (value >= 2 AND value < 3) AS transform_failed
-  FROM ev GROUP BY 1, 2)"""
+  FROM tagged GROUP BY 1, 2)"""
 
 _OUTCOMES = """
 outcomes AS (
@@ -298,9 +305,9 @@ SELECT doc_id, identifier, title, CAST(NULL AS VARCHAR) AS description, 'REF ' |
     "detect_changes": _DETECT,
     "stream_changes": _DETECT,
     "detect_changes_split": f"""
-WITH {_EVENTS}, inc2 AS (SELECT * REPLACE (body AS identifier) FROM inc),
-st2 AS (SELECT * REPLACE (body AS identifier) FROM st
-        QUALIFY row_number() OVER (PARTITION BY body ORDER BY seq DESC) = 1),
+WITH {_EVENTS}, inc2 AS (SELECT * REPLACE (event_type AS identifier) FROM inc),
+st2 AS (SELECT * REPLACE (event_type AS identifier) FROM st
+        QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY seq DESC) = 1),
 {_changes('inc2', 'st2')} {_CHANGE_COLUMNS}""",
     "upsert_latest": f"""
 WITH {_EVENTS}, new AS (
@@ -333,20 +340,21 @@ FROM r GROUP BY 1 HAVING count(*) > 1""",
     "run_metrics": f"""
 WITH {_METRICS}
 SELECT body, partition_date, CAST(partition_date || '-01' AS DATE) AS start_date,
-       last_day(CAST(partition_date || '-01' AS DATE)) AS end_date,
-       coalesce(stored, 0) AS stored, coalesce(unchanged, 0) AS unchanged,
-       coalesce(failed, 0) AS failed, coalesce(dropped, 0) AS dropped,
-       coalesce(pages_scraped, 0) AS pages_scraped, coalesce(processed, 0) AS processed,
-       coalesce(transform_failed, 0) AS transform_failed, CAST(0 AS DOUBLE) AS elapsed_seconds
-FROM landing FULL OUTER JOIN done USING (body, partition_date)""",
+       last_day(CAST(partition_date || '-01' AS DATE)) AS end_date, stored, unchanged, failed, dropped,
+       pages_scraped, processed, transform_failed, CAST(0 AS DOUBLE) AS elapsed_seconds
+FROM summary""",
     "run_statistics": f"""
 WITH {_METRICS}
-SELECT body, partition_date || '-01' AS start_date, 0 AS return_code,
-       coalesce(stored, 0) AS stored, CAST(0 AS BIGINT) AS unchanged,
-       coalesce(failed, 0) AS failed, coalesce(dropped, 0) AS dropped,
-       coalesce(pages_scraped, 0) AS pages_scraped, CAST(0 AS DOUBLE) AS elapsed_seconds,
-       true AS success
-FROM landing FULL OUTER JOIN done USING (body, partition_date)""",
+SELECT body, partition_date || '-01' AS start_date, 0 AS return_code, stored, unchanged, failed, dropped,
+       pages_scraped, CAST(0 AS DOUBLE) AS elapsed_seconds, true AS success, processed AS raw_processed
+FROM summary""",
+    "clean_pages": f"""
+WITH {_BODIES},
+t AS (SELECT page_id, {_decoded(_WITHOUT_COMMENTS)} AS body_text FROM c),
+w AS (SELECT page_id, url, {_decoded("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title FROM pages)
+SELECT page_id, url, CAST(length(body_text) AS INTEGER) AS size, sha256(body_text) AS text_hash,
+       sha256(body_text) AS bare_hash, false AS bare_page, true AS hashed, CAST(NULL AS VARCHAR) AS error
+FROM t JOIN w USING (page_id)""",
     "clean_pages_markup": f"""
 WITH {_BODIES}
 SELECT page_id, true AS wrapped, 0 AS chrome, {_found('<p>')} AS paragraphs, {_found('<b>')} AS bold,
@@ -378,32 +386,47 @@ SELECT doc_id // 10 AS page, 'Source A' AS source,
        '/cases/' || doc_id AS source_page_url
 FROM documents QUALIFY doc_id % 4 IN (0, 1)""",
     "listings_per_page": """
-SELECT doc_id // 10 AS page, CAST(count(*) AS INTEGER) AS n_listings FROM documents GROUP BY 1""",
+SELECT doc_id // 10 AS page, CAST(count(*) AS INTEGER) AS n_listings, CAST(NULL AS VARCHAR) AS error
+FROM documents GROUP BY 1""",
     "first_requests": """
 SELECT CASE WHEN doc_id % 3 = 0 THEN '/hot' ELSE '/d/' || doc_id // 2 END AS url, lang AS body,
        doc_id AS position FROM documents
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY body, position) = 1""",
-    "crawl_chain": """
-WITH RECURSIVE l AS (
-  SELECT page_id, url, page_id // 16 AS block,
+    "crawl_chain": f"""
+WITH RECURSIVE k AS (
+  SELECT page_id, url, {_KEY} AS key, page_id // 16 AS block,
          CASE WHEN page_id % 16 < 15 THEN page_id + 1
               WHEN (page_id // 16) % 3 = 0 THEN page_id // 16 * 16
               WHEN (page_id // 16) % 3 = 1 THEN page_id + 8 END AS next_id FROM pages),
+e AS (
+  SELECT a.key AS src, a.url, b.key AS dst, b.url AS target FROM k a JOIN k b ON b.page_id = a.next_id
+  QUALIFY row_number() OVER (PARTITION BY a.key ORDER BY a.url, b.url) = 1),
 r AS (
-  SELECT page_id, url, next_id, block, CAST(1 AS BIGINT) AS page FROM l
-  WHERE page_id % 16 = 0 AND block % 4 <> 2
+  SELECT key, block, CAST(1 AS BIGINT) AS page FROM k WHERE page_id % 16 = 0
   UNION ALL
-  SELECT l.page_id, l.url, l.next_id, r.block, r.page + 1 FROM r JOIN l ON l.page_id = r.next_id
-  WHERE r.page < 64)
-SELECT url, block, page FROM r QUALIFY row_number() OVER (PARTITION BY url ORDER BY page, block) = 1""",
+  SELECT e.dst, r.block, r.page + 1 FROM r JOIN e ON e.src = r.key
+  WHERE r.page < 64),  -- a bound of this check alone: no chain here is longer, and loops must end
+names AS (
+  SELECT src AS key, url, 0 AS rank FROM e UNION ALL
+  SELECT key, url, 1 FROM k WHERE page_id % 16 = 0 UNION ALL SELECT dst, target, 2 FROM e),
+named AS (
+  SELECT * FROM names QUALIFY row_number() OVER (PARTITION BY key ORDER BY rank, url) = 1),
+one AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY key ORDER BY page, block) = 1)
+SELECT named.url, block, page FROM one JOIN named USING (key)""",
     "attach_documents": f"""
-WITH p AS (SELECT page_id, url,
-             CASE WHEN length({_ARTICLE_TEXT}) >= 100 THEN 'html' ELSE 'html_fallback' END AS route
-           FROM pages)
-SELECT page_id, url AS document_url, url AS final_url, route FROM p WHERE page_id % 5 IN (2, 3)
+WITH p AS (
+  SELECT page_id, url, {_KEY} AS key,
+         CASE WHEN length({_ARTICLE_TEXT}) >= 100 THEN 'html' ELSE 'html_fallback' END AS route FROM pages),
+d AS (
+  SELECT page_id, url AS document_url, first_value(url) OVER w AS final_url, first_value(route) OVER w AS route,
+         row_number() OVER (PARTITION BY key ORDER BY page_id) AS asked FROM p
+  WINDOW w AS (PARTITION BY key ORDER BY url))
+SELECT page_id, document_url, final_url, route, CAST(NULL AS VARCHAR) AS file_hash FROM d WHERE asked = 1
 UNION ALL
-SELECT a.page_id, a.url, b.url, b.route FROM p a JOIN p b ON b.page_id = a.page_id + 1
-WHERE a.page_id % 5 = 0""",
+SELECT -page_id - 1, 'https://thin.example.org/' || page_id || '#x',
+       CASE WHEN page_id % 10 = 0 THEN 'https://thin.example.org/file/' || page_id || '?a=1&b=2' END,
+       CASE WHEN page_id % 10 = 0 THEN 'file' END, CASE WHEN page_id % 10 = 0 THEN sha256(html) END
+FROM pages WHERE page_id % 5 = 0""",
     "landing_zone": f"""
 WITH {_PAGE_CASES}
 SELECT identifier, body, partition_date, record_date, title, content_type, path_to_file, file_hash,
@@ -414,18 +437,20 @@ SELECT identifier, body, partition_date, record_date, title, content_type,
        replace(body, ' ', '_') || '/' || partition_date || '/' || identifier || '.' || ext AS path_to_file,
        scrape_status, CASE WHEN ext = 'pdf' THEN file_hash END AS binary_hash
 FROM landing WHERE partition_date BETWEEN '2024-02' AND '2024-11'""",
-    "capture_run": """
-WITH p AS (SELECT *, strftime(DATE '2012-01-01' + to_months(CAST(page_id // 40 AS INTEGER)), '%Y-%m') AS m
-           FROM pages)
+    "capture_run": f"""
+WITH p AS (
+  SELECT page_id, url, first_value(url) OVER (PARTITION BY {_KEY} ORDER BY url) AS final_url,
+         strftime(DATE '2012-01-01' + to_months(CAST(page_id // 40 AS INTEGER)), '%Y-%m') AS m FROM pages
+  QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY page_id) = 1)
 SELECT 'REF/' || page_id AS identifier, 'Labour Court' AS body, m AS partition_date,
-       'Case ' || page_id AS title, url AS source_page_url, url AS link_to_doc,
+       'Case ' || page_id AS title, url AS source_page_url, final_url AS link_to_doc,
        'text/html' AS content_type,
        'Source A/labour_court/' || m || '/ref_' || page_id || '.html' AS path_to_file,
        'stored' AS scrape_status FROM p""",
     "stream_landing": f"""
 WITH {_EVENTS}, none AS (SELECT '' AS identifier, '' AS file_hash, '' AS path_to_file WHERE false),
-{_changes('ev', 'none')}
-SELECT identifier, body, CAST(seq AS VARCHAR) AS case_number, strftime(ts, '%Y-%m-%d') AS record_date,
+one AS (SELECT * FROM ev WHERE seq % 2 = 0), {_changes('one', 'none')}
+SELECT identifier, body, CAST(seq // 2 AS VARCHAR) AS case_number, strftime(ts, '%Y-%m-%d') AS record_date,
        strftime(ts, '%Y-%m') AS partition_date, file_hash, scrape_status,
        'Events/' || body || '/' || strftime(ts, '%Y-%m') || '/' || lower(identifier) || '.html'
          AS path_to_file

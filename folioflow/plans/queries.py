@@ -17,7 +17,7 @@ from folioflow.operators import cases, links, metrics, months, pages, upsert
 from folioflow.plans.land import land
 from folioflow.plans.transform import process_rows, transform
 from folioflow.plans.zones import capture_cases
-from folioflow.session import new_folder
+from folioflow.session import ROCKS_DB, STATE_STORE, new_folder
 from folioflow.sources.captures import stream_files
 from folioflow.sources.zones import landing_zone, processed_zone
 from folioflow.streaming.changes import CHANGES, stream_changes
@@ -348,18 +348,27 @@ def normalize_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(*_event_columns())
+    return _as_cases(table(spark, sf_dir, "events"))
+
+
+def _as_cases(events: DataFrame) -> DataFrame:
+    """Every event as a case; after every seventh comes one more, without hash and body."""
+    twice = F.when(F.col("event_id") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return events.withColumn("copy", F.explode(twice)).select(*_event_columns())
 
 
 def _event_columns() -> list[Column]:
     key = F.concat_ws("-", "user_id", "event_type")
     content = F.floor(F.col("value") / 10).cast("string")
+    seq = F.col("event_id") * 2 + F.col("copy")
+    real = F.col("copy") == 0
     return [
         key.alias("identifier"),
-        F.col("event_id").alias("seq"),
-        payload.content_hash(content).alias("file_hash"),
-        _text_of("events/", key, "/", _n("event_id")).alias("object_key"),
-        F.col("event_type").alias("body"),
+        seq.alias("seq"),
+        F.when(real, payload.content_hash(content)).alias("file_hash"),
+        _text_of("events/", key, "/", seq.cast("string")).alias("object_key"),
+        F.when(real, F.col("event_type")).alias("body"),
+        F.col("event_type"),
         F.date_format("ts", "yyyy-MM-dd").alias("partition_date"),
         F.col("ts"),
         F.col("value"),
@@ -383,11 +392,11 @@ def detect_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detect_changes_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with all keys over a bound cut into ranges of their sequence."""
+    """The same with few keys and many ranges of their sequence."""
     incoming, state = _event_halves(spark, sf_dir)
-    body = F.col("body")
-    incoming = incoming.drop("identifier").withColumn("identifier", body)
-    state = upsert.latest(state.withColumn("identifier", body), "identifier", "seq")
+    kind = F.col("event_type")
+    incoming = incoming.withColumn("identifier", kind)
+    state = upsert.latest(state.withColumn("identifier", kind), "identifier", "seq")
     changes = cases.detect_changes(incoming, state, rows_per_group=200)
     return changes.select("identifier", "seq", "file_hash", "scrape_status", "path_to_file")
 
@@ -461,14 +470,16 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics exported as JSON and read back; the processed count has no name there."""
     summary = run_metrics(spark, sf_dir).withColumn("return_code", F.lit(0))
-    exported = metrics.export_statistics(summary.drop("unchanged"))
+    exported = metrics.export_statistics(summary)
     named = exported.select(
         "statistics",
         F.get_json_object("statistics", "$.body").alias("body"),
         F.get_json_object("statistics", "$.start_date").alias("start_date"),
         F.get_json_object("statistics", "$.return_code").cast("int").alias("return_code"),
     )
-    return metrics.read_statistics(named, "statistics", "return_code")
+    read = metrics.read_statistics(named, "statistics", "return_code")
+    raw = F.col("raw_stats")["processed"].cast("long").alias("raw_processed")
+    return read.select("*", raw).drop("raw_stats")
 
 
 # --------------------------------------------------------------------------
@@ -477,17 +488,25 @@ def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.spread(table(spark, sf_dir, "pages"))
+    return table(spark, sf_dir, "pages")
 
 
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pages.clean_pages(_pages(spark, sf_dir), "html", ["page_id", "url"])
-    return done.select("page_id", "url", "cleaned_html", "file_hash", "error")
-
-
-def clean_pages_unwrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pages.clean_pages(_pages(spark, sf_dir), "html", ["page_id"], wrap=False)
-    return done.select("page_id", "cleaned_html", "error")
+    """Cleaned pages by text and its hash, the text of the markup without wrapper too."""
+    scan = table(spark, sf_dir, "pages")
+    done = pages.clean_pages(scan, "html", ["page_id", "url"])
+    bare = pages.clean_pages(scan, "html", ["page_id"], wrap=False)
+    bare = bare.select("page_id", F.col("cleaned_text").alias("bare_text"), F.col("cleaned_html").contains("<html").alias("bare_page"))
+    return done.join(bare, "page_id").select(
+        "page_id",
+        "url",
+        F.length("cleaned_text").alias("size"),
+        payload.content_hash("cleaned_text").alias("text_hash"),
+        payload.content_hash("bare_text").alias("bare_hash"),
+        "bare_page",
+        F.col("file_hash").eqNullSafe(payload.content_hash("cleaned_html")).alias("hashed"),
+        "error",
+    )
 
 
 def clean_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -678,31 +697,46 @@ def crawl_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     anchor = _text_of('<a class="next" href="', _escaped(F.col("next_url")), '">Next</a>')
     html = F.concat(F.coalesce(anchor, F.lit("")), F.col("html"))
     edges = pages.next_pages(linked.withColumn("html", html), "html", "url")
-    starts = scan.where((F.col("page_id") % 16 == 0) & (block % 4 != 2)).select(
+    starts = scan.where(F.col("page_id") % 16 == 0).select(
         "url", block.alias("block")
     )
     return links.results_chains(starts, edges, ["block"])
 
 
 def attach_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings to pages, thin pages onward to their attachments."""
+    """Listings to pages; beside them listings of thin pages, which lead on to an attachment or nowhere.
+
+    The thin pages' links differ from the attachments' URLs in fragment and order of arguments.
+    """
     scan = table(spark, sf_dir, "pages")
-    thin = F.col("page_id") % 5 % 4 == 0
-    targets = scan.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
-    linked = scan.join(targets, "page_id", "left")
-    link = F.coalesce(_escaped(F.col("next_url")), F.lit("/missing.pdf"))
-    short = _text_of('<div class="content"><a href="', link, '">Full Case Report</a></div>')
-    captured = linked.select(
+    real = scan.select(
         "page_id",
         "url",
         F.lit("text/html").alias("content_type"),
-        F.when(thin, short).otherwise(_article(F.col("html"))).cast("binary").alias("body"),
+        _article(F.col("html")).cast("binary").alias("body"),
+    )
+    some = scan.where(F.col("page_id") % 5 == 0)
+    short = _text_of('<div class="content"><a href="/file/', _n("page_id"), '?b=2&amp;a=1#top">Full Case Report</a></div>')
+    thin = some.select(
+        F.lit(None).cast("long").alias("page_id"),
+        _text_of("https://thin.example.org/", _n("page_id")).alias("url"),
+        F.lit("text/html").alias("content_type"),
+        short.cast("binary").alias("body"),
     )
-    documents = pages.document_pages(pages.spread(scan).select("page_id").join(captured, "page_id"))
-    found = scan.where(F.col("page_id") % 5 != 1).select(
-        "page_id", F.col("url").alias("document_url")
+    files = some.where(F.col("page_id") % 10 == 0).select(
+        F.lit(None).cast("long").alias("page_id"),
+        _text_of("https://thin.example.org/file/", _n("page_id"), "?a=1&b=2").alias("url"),
+        F.lit("application/pdf").alias("content_type"),
+        F.encode("html", "UTF-8").alias("body"),
+    )
+    documents = pages.document_pages(real.unionByName(thin).unionByName(files))
+    found = scan.select("page_id", F.col("url").alias("document_url"))
+    more = some.select(
+        (-F.col("page_id") - 1).alias("page_id"), _text_of("https://thin.example.org/", _n("page_id"), "#x").alias("document_url")
     )
-    return links.attach_documents(found, documents, ["page_id"])
+    ended = links.attach_documents(found.unionByName(more), documents, ["page_id"])
+    hashed = documents.select(F.col("url").alias("final_url"), payload.content_hash("content_bytes").alias("file_hash"))
+    return ended.join(hashed, "final_url", "left").select("page_id", "document_url", "final_url", "route", "file_hash")
 
 
 # --------------------------------------------------------------------------
@@ -714,7 +748,7 @@ def _page_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = list(S.BODIES)
     month = F.lpad((F.col("page_id") % 12 + 1).cast("string"), 2, "0")
     is_file = F.col("page_id") % 6 == 0
-    return pages.spread(table(spark, sf_dir, "pages")).select(
+    return table(spark, sf_dir, "pages").select(
         F.lit("Source A").alias("source"),
         pick("page_id", *names).alias("body"),
         F.lit(None).cast("string").alias("identifier"),
@@ -804,7 +838,7 @@ def capture_run(spark: SparkSession, sf_dir: str) -> DataFrame:
             "yyyy-MM",
         ).alias("partition_date"),
     )
-    captured = pages.spread(scan).select(
+    captured = scan.select(
         "url",
         F.lit("text/html").alias("content_type"),
         _article(F.col("html")).cast("binary").alias("body"),
@@ -829,7 +863,8 @@ def stream_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     _, state = _event_halves(spark, sf_dir)
     cut = F.lit(CUT_OFF).cast("timestamp_ntz")
-    incoming = stream_files(spark, sf_dir, schema, 64, "events.parquet").select(*_event_columns())
+    incoming = _as_cases(stream_files(spark, sf_dir, schema, 64, "events.parquet"))
+    spark.conf.set(STATE_STORE, ROCKS_DB)
     folder = new_folder(spark, "changes")
     query = (
         stream_changes(incoming.where(F.col("ts") >= cut), state)
@@ -844,9 +879,14 @@ def stream_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
+    """Three micro-batches, one after the other in time."""
+    events = table(spark, sf_dir, "events")
     none = F.lit(None).cast("string")
-    incoming = stream_files(spark, sf_dir, schema, 64, "events.parquet").select(
+    folder = new_folder(spark, "stream")
+    third = F.col("event_id") * 3 / (events.agg(F.max("event_id")).scalar() + 1)
+    for part in range(3):
+        events.where(F.floor(third) == part).coalesce(1).write.mode("append").parquet(f"{folder}/events")
+    incoming = stream_files(spark, f"{folder}/events", events.schema, 1).select(
         F.lit("Events").alias("source"),
         F.col("event_type").alias("body"),
         F.concat_ws("-", "user_id", "event_type").alias("identifier"),
@@ -863,7 +903,6 @@ def stream_landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("value") / 10).cast("string").alias("content_html"),
         F.col("event_id").alias("seq"),
     )
-    folder = new_folder(spark, "stream")
     zone = landing_zone(spark, f"{folder}/landing")
     stream_landing(incoming, zone, f"{folder}/checkpoint", lambda: RUN_TS).awaitTermination()
     return zone.cases.read().select(
@@ -907,7 +946,6 @@ QUERIES = {
     "run_metrics": run_metrics,
     "run_statistics": run_statistics,
     "clean_pages": clean_pages,
-    "clean_pages_unwrapped": clean_pages_unwrapped,
     "clean_pages_text": clean_pages_text,
     "clean_pages_markup": clean_pages_markup,
     "page_quality_gate": page_quality_gate,

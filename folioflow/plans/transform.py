@@ -18,19 +18,25 @@ KEPT = ["identifier", "path_to_file", "body", "partition_date", "content_type"]
 def process_rows(located: DataFrame) -> DataFrame:
     """Process landing rows that have their `content` attached.
 
-    HTML is cleaned, anything else passes through. The outcome is ok, skipped (no path) or
-    failed (no content, or a page that cannot be read). HTML crosses into Python as text, other
-    payloads only ride along, and no row carries its payload twice.
+    HTML is cleaned, anything else passes through and never meets Python. The outcome is ok, skipped
+    (no path) or failed (no content, or a page that cannot be read).
     """
     is_html = F.coalesce(F.col("content_type") == "text/html", F.lit(False))
     skipped = text.filled("path_to_file").isNull()
-    source = located.select(
+    outcome = F.when(skipped, "skipped").when(F.col("content").isNull(), "failed")
+    rows = located.select(*KEPT, "content", outcome.alias("outcome"))
+    markup = rows.where(is_html).select(
+        *KEPT, "outcome", text.decode_bytes("content").alias("page_html")
+    )
+    others = rows.where(~is_html).select(
         *KEPT,
-        F.when(skipped, "skipped").when(F.col("content").isNull(), "failed").alias("outcome"),
-        F.when(is_html, text.decode_bytes("content")).alias("page_html"),
-        F.when(~is_html, F.col("content")).alias("raw"),
+        "outcome",
+        F.col("content").alias("raw"),
+        F.lit(None).cast("string").alias("cleaned_html"),
+        F.lit(None).cast("string").alias("error"),
     )
-    read = extract_pages(source, "page_html", ["cleaned_html"], [*KEPT, "outcome", "raw"])
+    read = extract_pages(markup, "page_html", ["cleaned_html"], [*KEPT, "outcome"])
+    read = read.withColumn("raw", F.lit(None).cast("binary")).unionByName(others)
     content = F.coalesce(F.col("raw"), F.col("cleaned_html").cast("binary"))
     outcome = F.when(F.col("error").isNotNull(), "failed").otherwise(
         F.coalesce("outcome", F.lit("ok"))
@@ -80,8 +86,8 @@ def transform(
     metadata = landing.cases.scan_months(start_month, end_month, body)
     rows = process_rows(landing.content.attach(metadata.select(*KEPT)))
     month = folder_name("partition_date")
-    rows.withColumn("month", month).hint("rebalance", "month").write.mode(
-        "overwrite"
+    rows.withColumn("month", month).write.mode("overwrite").option(
+        "maxRecordsPerFile", landing.content.ROWS_PER_FILE
     ).partitionBy("month").parquet(path)
 
     schema = S.extended(rows.schema, "month string")

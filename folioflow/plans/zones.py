@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow import schemas as S
-from folioflow.functions import urls
+from folioflow.functions import payload, urls
 from folioflow.operators import links, metrics, pages
-from folioflow.plans.land import land
+from folioflow.plans.land import Captured, land
 from folioflow.plans.transform import transform
 from folioflow.sources.zones import Zone
 
@@ -32,23 +32,29 @@ def capture_cases(
     zone: Zone,
     batch: int,
     hosts: list[str] | None = None,
-) -> DataFrame:
+) -> Captured:
     """Incoming cases of whole partitions, from the first results page of each.
 
     `starts`: `url, body, partition_date`. `results`: `url, html` of results pages. `captured`:
-    document pages. Results pages and document pages are each parsed once.
+    document pages. Results pages and document pages are each parsed once. A results page that cannot be
+    read gives one row with its error, which lands as failed.
     """
     partition = ["body", "partition_date"]
-    facts = pages.extract_pages(pages.spread(results), "html", pages.RESULT_FACTS, ["url"])
+    facts = pages.extract_pages(results, "html", pages.RESULT_FACTS, ["url"])
     read = zone.stage("results", batch, facts)
     edges = pages.next_edges(read, "url")
     if hosts:
         edges = edges.where(urls.host_allowed("dst", hosts))
     reached = links.results_chains(starts, edges, partition)
+    reached = reached.select(links.request_key("url").alias("_key"), *partition, "page")
     context = ["url", *partition, "page"]
-    found = pages.listing_rows(read.join(reached, "url"), context, source, "url")
-    order = [*partition, "page", "position"]
-    numbered = zone.stage("listings", batch, number_rows(found.drop("url"), order))
+    paged = read.withColumn("_key", links.request_key("url")).join(reached, "_key").drop("_key")
+    found = pages.listing_rows(paged, context, source, "url").drop("url")
+    broken = paged.where(F.col("error").isNotNull()).select(
+        *partition, "page", F.col("url").alias("source_page_url"), F.lit(source).alias("source"), "error"
+    )
+    rows = found.withColumn("error", F.lit(None).cast("string")).unionByName(broken, allowMissingColumns=True)
+    numbered = zone.stage("listings", batch, number_rows(rows, [*partition, "page", "position"]))
     return build_cases(numbered, captured, ["seq"], zone, batch, hosts)
 
 
@@ -59,30 +65,39 @@ def build_cases(
     zone: Zone,
     batch: int,
     hosts: list[str] | None = None,
-) -> DataFrame:
+) -> Captured:
     """Incoming cases: each listing with the document page its link leads to.
 
-    Pages are parsed once and staged; the link joins read only their narrow columns.
+    Pages are parsed, hashed and staged once; the joins read only their narrow columns, and payloads are
+    looked up last, for the rows that are stored. A listing that leads to no captured page, and one with
+    an `error` of its own, gets an error and lands as failed.
     """
-    documents = zone.stage("documents", batch, pages.document_pages(pages.spread(captured)))
+    parsed = pages.document_pages(captured)
+    whole = payload.build_payload("content_bytes", "content_html", "link_to_doc")
+    documents = zone.stage("documents", batch, parsed.withColumn("file_hash", payload.content_hash(whole)))
+    none = F.lit(None).cast("string")
+    if "error" not in listings.columns:
+        listings = listings.withColumn("error", none)
     found = links.attach_documents(
-        listings, documents.select("url", "route", "follow_url"), order, hosts
+        listings.where(F.col("error").isNull()).drop("error"),
+        documents.select("url", "route", "follow_url"),
+        order,
+        hosts,
     )
     final = documents.select(
-        F.col("url").alias("final_url"),
-        "link_to_doc",
-        "content_type",
-        "content_bytes",
-        "content_html",
-        "error",
-    )
-    return found.drop("route", "document_url").join(final, "final_url").drop("final_url").withColumn(
-        "file_name", F.lit(None).cast("string")
+        F.col("url").alias("final_url"), "link_to_doc", "content_type", "file_hash", "error"
     )
+    lost = F.when(F.col("final_url").isNull(), F.lit("no captured page"))
+    rows = found.drop("route", "document_url").join(final, "final_url", "left")
+    rows = rows.withColumn("error", F.coalesce("error", lost)).withColumnRenamed("final_url", "payload_id")
+    broken = listings.where(F.col("error").isNotNull()).drop("document_url")
+    cases = rows.unionByName(broken, allowMissingColumns=True).withColumn("file_name", none)
+    kept = ["content_bytes", "content_html", "link_to_doc", "content_type"]
+    return Captured(cases, documents.select(F.col("url").alias("payload_id"), *kept))
 
 
 def run_zones(
-    incoming: DataFrame,
+    incoming: DataFrame | Captured,
     landing: Zone,
     processed: Zone,
     batch: int,

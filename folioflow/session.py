@@ -8,7 +8,7 @@ import zipfile
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -77,6 +77,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_count(df: DataFrame) -> tuple[DataFrame, int]:
+    """`stored`, with the number of rows that were written."""
+    seen = Observation()
+    out = stored(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return out, seen.get["n"]
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A few driver rows as a local relation: no Python task reads it, and joins with none fold away."""
     arrow = to_arrow_schema(schema)
@@ -85,24 +92,6 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
 
 
-# A side of a join up to this many bytes of keys and values is broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
-ROW_BYTES = 64
-
-
-def byte_size(*columns: str) -> Column:
-    """Size of these columns over the rows of a group, with an allowance per row."""
-    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns]
-    return F.sum(sum(sizes, F.lit(ROW_BYTES)).cast("long"))
-
-
-def broadcast_if_small(df: DataFrame, size: int | None = None) -> DataFrame:
-    """Broadcast a frame whose measured size allows it; any other joins by shuffle."""
-    if size is None:
-        size = df.agg(byte_size(*df.columns)).first()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
-
-
 _shipped: set[str] = set()
 
 

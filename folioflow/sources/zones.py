@@ -2,17 +2,19 @@
 
 Metadata tables are partitioned by body and month while their key is global, so an upsert may
 move a row to another partition. Each batch rewrites only the partitions it touches, in a folder
-of its own (`v=<batch>`), and publishes a small list of which folder holds which partition.
+of its own (`v=<batch>`), and publishes a small list of which folder holds which partition. The list
+alternates between two slots, so a reader opens two small files however many batches there were.
 Readers see the last published list, so they never meet a half-written batch, and a batch that
 failed is simply written again.
 
-Content tables only grow: a batch adds the payloads it stores, and the newest one of a path counts.
+Content tables only grow: a batch adds the payloads it stores, and the newest published one of a path
+counts.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,12 +25,7 @@ from folioflow import schemas as S
 from folioflow.functions import text
 from folioflow.operators.months import month_range
 from folioflow.operators.upsert import upsert
-from folioflow.session import (
-    BROADCAST_BYTES,
-    broadcast_if_small,
-    byte_size,
-    small_table,
-)
+from folioflow.session import small_table, stored
 
 KEY = "identifier"
 PARTITION = ["zone_body", "zone_month"]
@@ -47,9 +44,12 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def folder_name(value: Column | str) -> Column:
-    """A value as a safe folder name. Values that share one share a partition, no more."""
-    plain = F.regexp_replace(F.lower(text.or_default(value, S.UNKNOWN)), r"[^a-z0-9-]+", "_")
-    return F.substring(plain, 1, 100)
+    """A value as a safe folder name: what is plain in it, and a digest of the rest if there is one."""
+    given = text.or_default(value, S.UNKNOWN)
+    plain = F.regexp_replace(F.lower(given), r"[^a-z0-9-]+", "_")
+    same = (plain == F.regexp_replace(F.lower(given), r"[ _]", "_")) & (F.length(plain) <= 64)
+    short = F.concat(F.substring(plain, 1, 32), F.lit("-"), F.substring(F.md5(F.lower(given).cast("binary")), 1, 12))
+    return F.when(same, plain).otherwise(short)
 
 
 class MetadataTable:
@@ -61,6 +61,7 @@ class MetadataTable:
             T.StructField("zone_month", T.StringType()),
             T.StructField("folder", T.LongType()),
             T.StructField("v", T.LongType()),
+            T.StructField("slot", T.IntegerType()),
         ]
     )
 
@@ -150,17 +151,22 @@ class MetadataTable:
             filled = {tuple(r) for r in written.select(*PARTITION).distinct().collect()}
         entries = [(r.zone_body, r.zone_month, r.folder) for r in kept]
         entries += [(body, month, batch) for body, month in sorted(filled)]
-        listed = small_table(self.spark, entries, T.StructType(self._INDEX.fields[:3]))
-        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/index/v={batch}")
+        entries = [(*e, batch) for e in entries]
+        listed = small_table(self.spark, entries, T.StructType(self._INDEX.fields[:4]))
+        # The list in force stays untouched until the new one is complete.
+        slot = 1 - index[0].slot if index else 0
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/index/slot={slot}")
 
 
 class ContentTable:
     """Payloads by path, partitioned by batch and the month in the path."""
 
     COLUMNS = S.CONTENT
+    # Bounds a file of payloads, which are written by the tasks that hold them.
+    ROWS_PER_FILE = 10_000
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, published: Callable[[], int]) -> None:
+        self.spark, self.path, self._published = spark, path.rstrip("/"), published
 
     @staticmethod
     def month_of(path: Column | str) -> Column:
@@ -168,16 +174,18 @@ class ContentTable:
         return folder_name(F.try_element_at(F.split(text.as_column(path), "/"), F.lit(-2)))
 
     def write(self, batch: int, payloads: DataFrame) -> None:
-        """Add the payloads of a batch, unique by path. Writing it again replaces it."""
+        """Add the payloads of a batch, unique by path, where they are. Writing it again replaces it."""
         placed = payloads.select(*S.CONTENT.names).withColumn(
             "month", self.month_of("path_to_file")
         )
-        placed.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(
-            f"{self.path}/v={batch}"
-        )
+        placed.write.mode("overwrite").option("maxRecordsPerFile", self.ROWS_PER_FILE).partitionBy(
+            "month"
+        ).parquet(f"{self.path}/v={batch}")
 
     def _all(self) -> DataFrame:
-        return _read(self.spark, self.path, S.extended(S.CONTENT, "v bigint, month string"))
+        """Payloads of published batches: one that failed before its metadata does not count."""
+        every = _read(self.spark, self.path, S.extended(S.CONTENT, "v bigint, month string"))
+        return every.where(F.col("v") <= self._published())
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         """Newest batch of each path: reads paths only, no payloads."""
@@ -191,27 +199,32 @@ class ContentTable:
     def attach(self, metadata: DataFrame, columns: Iterable[str] = ("content",)) -> DataFrame:
         """Metadata rows with the payload at their `path_to_file`, NULL where none exists.
 
-        Months outside the metadata are pruned and the newest batch is found on paths alone.
-        Where the metadata is small, payloads are not shuffled at all, otherwise once.
+        The newest batch of each path is found on paths alone and written as a narrow table. The one
+        join that sees payloads is with that table, whose size the planner knows: it broadcasts a
+        small one, and for a large one prunes partitions and filters payloads before they are shuffled.
         """
-        located = metadata.withColumn("month", self.month_of("path_to_file"))
-        by_month = located.groupBy("month").agg(byte_size(*metadata.columns).alias("size")).collect()
-        size = sum(r["size"] for r in by_month)
-        every = self._all().where(F.col("month").isin([r.month for r in by_month]))
         keys = ["month", "path_to_file"]
-        paths = every.select(*keys, "v")
-        if size <= BROADCAST_BYTES:
-            paths = paths.join(F.broadcast(located.select(*keys)), keys, "left_semi")
-        versions = located.join(self._newest(paths), keys, "left")
+        located = metadata.withColumn("month", self.month_of("path_to_file"))
+        every = self._all()
+        paths = every.select(*keys, "v").join(located.select(*keys), keys, "left_semi")
+        versions = stored(located.join(self._newest(paths), keys, "left"))
 
-        found = broadcast_if_small(versions.where(F.col("v").isNotNull()), size)
-        payloads = every.select(*keys, "v", *columns)
+        found = versions.where(F.col("v").isNotNull())
         missing = versions.where(F.col("v").isNull())
         for name in columns:
             missing = missing.withColumn(name, F.lit(None).cast(S.CONTENT[name].dataType))
-        joined = payloads.join(found, [*keys, "v"])
+        joined = every.select(*keys, "v", *columns).join(found, [*keys, "v"])
         return joined.unionByName(missing).select(*metadata.columns, *columns)
 
+    def holds(self, candidates: DataFrame) -> DataFrame:
+        """Rows of `path_to_file, file_hash` whose payload is here with that hash. Reads no payload."""
+        every = self._all().select("month", "path_to_file", "file_hash", "v")
+        keys = ["month", "path_to_file"]
+        asked = candidates.withColumn("month", self.month_of("path_to_file"))
+        near = every.join(asked.select(*keys), keys, "left_semi")
+        last = near.groupBy(*keys).agg(F.max_by("file_hash", "v").alias("file_hash"))
+        return asked.join(last, [*keys, "file_hash"], "left_semi").select(*candidates.columns)
+
 
 class Zone:
     """A landing or processed zone below one folder: metadata, content and logs of each batch."""
@@ -219,7 +232,7 @@ class Zone:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
         self.spark, self.path = spark, path.rstrip("/")
         self.cases = MetadataTable(spark, f"{self.path}/cases", schema)
-        self.content = ContentTable(spark, f"{self.path}/content")
+        self.content = ContentTable(spark, f"{self.path}/content", self.cases.last_batch)
 
     def stage(self, name: str, batch: int, rows: DataFrame) -> DataFrame:
         """Write a step of a batch and read it back: evaluated once, no lineage behind it."""

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from folioflow.schemas import STORED, UNCHANGED
-from folioflow.session import ROCKS_DB, STATE_STORE
 
 STATE = T.StructType(
     [T.StructField("file_hash", T.StringType()), T.StructField("path_to_file", T.StringType())]
@@ -33,31 +33,37 @@ def change_detector() -> StatefulProcessor:
     the files shipped to the workers.
     """
 
+    def _plain(value):
+        return None if pd.isna(value) else value
+
     class ChangeDetector(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self._last = handle.getValueState("last", STATE)
 
         def handleInitialState(self, key, initialState, timerValues) -> None:
-            self._last.update((initialState.file_hash, initialState.path_to_file))
+            row = initialState.iloc[0]
+            self._last.update((_plain(row.file_hash), _plain(row.path_to_file)))
 
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
             known = self._last.get() if self._last.exists() else None
-            file_hash, path = (known[0], known[1]) if known else (None, None)
-            # A micro-batch arrives unsorted. Its size is bounded by the source, and only these
-            # narrow columns are held.
-            for row in sorted(rows, key=lambda r: r.seq):
-                if row.file_hash == file_hash and path:
-                    status = UNCHANGED
-                else:
-                    status, file_hash, path = STORED, row.file_hash, row.object_key
-                yield Row(
-                    identifier=key[0],
-                    seq=row.seq,
-                    file_hash=file_hash,
-                    scrape_status=status,
-                    path_to_file=path,
-                )
-            self._last.update((file_hash, path))
+            old_hash, old_path = known or (None, None)
+            # A value no hash can have stands for a missing one, so that two of them are equal.
+            hashes = batch["file_hash"].astype(object).where(batch["file_hash"].notna(), "")
+            changed = hashes != hashes.shift()
+            changed.iloc[0] = not old_path or (old_hash or "") != hashes.iloc[0]
+            path = batch["object_key"].astype(object).where(changed).ffill()
+            path = path.where(path.notna(), old_path)
+            self._last.update((_plain(batch["file_hash"].iloc[-1]), path.iloc[-1]))
+            yield pd.DataFrame(
+                {
+                    "identifier": key[0],
+                    "seq": batch["seq"],
+                    "file_hash": batch["file_hash"],
+                    "scrape_status": changed.map({True: STORED, False: UNCHANGED}),
+                    "path_to_file": path,
+                }
+            )
 
         def close(self) -> None:
             pass
@@ -73,15 +79,13 @@ def stream_changes(rows: DataFrame, existing: DataFrame | None = None) -> DataFr
     where one identifier may fill it beyond a task's memory, use `stream_landing`, whose change
     detection splits such identifiers.
     """
-    # This operator runs on this state store only.
-    rows.sparkSession.conf.set(STATE_STORE, ROCKS_DB)
     initial = None
     if existing is not None:
         initial = existing.select("identifier", "file_hash", "path_to_file").groupBy("identifier")
     return (
         rows.select(*COLUMNS)
         .groupBy("identifier")
-        .transformWithState(
+        .transformWithStateInPandas(
             statefulProcessor=change_detector(),
             outputStructType=CHANGES,
             outputMode="append",

@@ -86,6 +86,9 @@ def detected(spark, incoming, existing, **options):
         ("A", {"k": (None, "old")}),
         ("AA", {"k": ("A", "")}),
         ("AA", {"k": ("A", None)}),
+        (["A", None, "A"], {}),
+        ([None, None], {"k": (None, "old")}),
+        ([None], {"k": (None, "")}),
     ],
 )
 def test_small_changes(spark, hashes, existing):
@@ -101,7 +104,7 @@ def test_changes_equal_the_sequential_model(spark, rows_per_group):
     seqs = rng.sample(range(-5_000, 100_000), 1500)
     # One key holds a third of all rows.
     keys = ["hot" if rng.random() < 0.34 else f"k{rng.randrange(120)}" for _ in seqs]
-    incoming = [(k, s, rng.choice("ABC"), f"{k}/{s}") for k, s in zip(keys, seqs)]
+    incoming = [(k, s, rng.choice(["A", "B", "C", None]), f"{k}/{s}") for k, s in zip(keys, seqs)]
     existing = {
         k: (rng.choice(["A", "B", None]), rng.choice(["", None, f"old/{k}"]))
         for k in [*(f"k{i}" for i in range(80)), "hot", "other"]
@@ -171,6 +174,9 @@ def test_counters(spark):
     assert [f.dataType for f in summary.schema] == [f.dataType for f in S.RUN_METRICS]
     got = {r.body: r for r in summary.collect()}
     assert str(got["b"].end_date) == "2024-02-29" and got["b"].processed == 2
+    nothing = spark.createDataFrame([(None, None, "stored"), (None, None, "ok")], landed.schema)
+    whole = metrics.partition_summary(nothing.where("outcome = 'stored'"), nothing.where("outcome = 'ok'"), nothing)
+    assert [(r.stored, r.processed, r.pages_scraped) for r in whole.collect()] == [(1, 1, 2)]
     assert got["b"].transform_failed == 1 and got["c"].start_date is None and got["d"].stored == 0
 
 
@@ -185,6 +191,7 @@ def test_statistics(spark):
     )
     got = metrics.read_statistics(exported, "json", "return_code").orderBy("return_code").collect()
     assert (got[0].stored, got[0].elapsed_seconds, got[0].unchanged, got[0].success) == (3, 1.5, 0, True)
+    assert got[0].raw_stats["finish"] == "2024-01-01 00:00:00" and got[1].raw_stats == {}
     assert (got[1].stored, got[1].success) == (0, False) and got[2].dropped == 0
     named = metrics.export_statistics(spark.sql("SELECT 3L AS stored, DATE '2024-01-01' AS day"))
     assert named.first().statistics == '{"landing_pipeline/stored":3,"day":"2024-01-01"}'

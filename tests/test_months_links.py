@@ -122,7 +122,12 @@ def follow_model(listings, pages):
             if at not in requested:
                 requested.add(at)
                 frontier.append((position, first, at))
-    return sorted(settled)
+    done = {first for _, first, _, _ in settled}
+    lost = {}
+    for position, url in sorted(listings, reverse=True):
+        if url not in done:
+            lost[url] = (position, url, None, None)
+    return sorted([*settled, *lost.values()])
 
 
 def test_attach_documents_equals_the_model(spark):
@@ -152,7 +157,19 @@ def test_attach_documents_keeps_to_the_hosts(spark):
         ["position"],
         ["h.example"],
     ).collect()
-    assert [r.final_url for r in got] == ["http://h.example/3"]
+    assert sorted((r.position, r.final_url) for r in got) == [(1, None), (3, "http://h.example/3")]
+
+
+def test_requests_ignore_fragment_and_order_of_arguments(spark):
+    urls = ["http://h/a", "http://h/a#x", "http://h/a?b=2&a=1#y", "http://h/a?a=1&b=2", "http://h/a?", "http://h/#a?b"]
+    rows = spark.createDataFrame([(u,) for u in urls], "u string").select(links.request_key("u"))
+    assert [r[0] for r in rows.collect()] == ["http://h/a", "http://h/a", "http://h/a?a=1&b=2", "http://h/a?a=1&b=2", "http://h/a?", "http://h/"]
+    got = links.results_chains(
+        spark.createDataFrame([("http://h/1", 0)], "url string, start int"),
+        spark.createDataFrame([("http://h/1#top", "http://h/2?b=1&a=2#z"), ("http://h/2?a=2&b=1", "http://h/3")], "src string, dst string"),
+        ["start"],
+    ).collect()
+    assert sorted((r.page, r.url) for r in got) == [(1, "http://h/1#top"), (2, "http://h/2?a=2&b=1"), (3, "http://h/3")]
 
 
 def test_first_by_keeps_whole_rows(spark):

@@ -8,10 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioflow import schemas as S
-from folioflow.operators import months
-from folioflow.plans.land import land
-from folioflow.plans.transform import processed_content, transform
-from folioflow.plans.zones import build_cases, run_metrics, run_zones
+from folioflow.operators import months, pages
+from folioflow.operators.cases import prepare_cases
+from folioflow.operators.pages import document_pages
+from folioflow.plans.land import land, stored_content
+from folioflow.plans.transform import KEPT, process_rows, processed_content, transform
+from folioflow.plans.zones import build_cases, capture_cases, run_metrics, run_zones
 from folioflow.sources import captures
 from folioflow.sources.zones import landing_zone, processed_zone
 from folioflow.streaming.changes import stream_changes
@@ -204,27 +206,122 @@ def test_transform_outcomes(spark, tmp_path):
     assert by_id(processed.cases.read())["B/1"].processed_at == T2
 
 
-def test_payloads_are_shuffled_once(spark, tmp_path):
+def carrying(plan: str, *columns: str) -> list[str]:
+    """Exchanges and Python nodes below whose output a column of these names may stand."""
+    lines = plan.splitlines()
+    found = []
+    for i, line in enumerate(lines):
+        if "Exchange" in line or "Python" in line or "InArrow" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            for below in lines[i + 1 :]:
+                own = len(below) - len(below.lstrip(" :+-"))
+                if own <= depth or "Exchange" in below:
+                    break
+                if "Project [" in below or "FileScan" in below:
+                    shown = below.split("FileScan parquet ")[-1].split("] Batched")[0]
+                    if any(f"{c}#" in shown for c in columns):
+                        found.append(line.strip())
+                    break
+    return found
+
+
+def large(spark):
+    """Plans as they are for tables that no task could broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+
+
+def small(spark):
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_payloads_stay_put_for_small_metadata(spark, tmp_path):
     zone = landing_zone(spark, str(tmp_path))
     land(frame(spark, BATCH), zone, 0, T1)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    located = zone.content.attach(zone.cases.read().select("identifier", "path_to_file"))
+    assert located.count() == 5
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        located = zone.content.attach(zone.cases.read().select("identifier", "path_to_file"))
-        plan = located._jdf.queryExecution().executedPlan().toString()
+        plan = plan_of(zone.content.attach(zone.cases.read().select("identifier", "path_to_file")))
+        stored = plan_of(stored_content(frame(spark, BATCH), zone.staged("decisions", 0)))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    scans = [line for line in plan.splitlines() if "FileScan" in line and "content" in line.split("ReadSchema")[1]]
-    assert len(scans) == 1
-    assert "month#" in scans[0] and "PartitionFilters" in scans[0]
+        small(spark)
+    for text in (plan, stored):
+        assert carrying(text, "content", "content_bytes", "content_html") == []
 
 
-def test_payloads_stay_put_for_small_metadata(spark, tmp_path):
+def test_only_the_join_with_stored_rows_moves_payloads(spark, tmp_path):
     zone = landing_zone(spark, str(tmp_path))
     land(frame(spark, BATCH), zone, 0, T1)
+    large(spark)
+    try:
+        read = plan_of(zone.content.attach(zone.cases.read().select("identifier", "path_to_file")))
+        written = plan_of(stored_content(frame(spark, BATCH), zone.staged("decisions", 0)))
+    finally:
+        small(spark)
+    assert len(carrying(read, "content")) == 1
+    assert written.count("Exchange hashpartitioning(seq") == 2  # payloads and winners, nothing else by seq
+    assert "Python" not in read + written and "REBALANCE" not in read + written
+
+
+def test_change_detection_and_captures_carry_no_payload(spark, tmp_path):
+    zone = landing_zone(spark, str(tmp_path))
+    captured, found = captured_pages(spark), found_listings(spark)
+    incoming = build_cases(found, captured, ["seq"], zone, 0)
+    assert not {"content_bytes", "content_html"} & set(incoming.cases.columns)
+    large(spark)
+    try:
+        plan = plan_of(prepare_cases(incoming.cases))
+    finally:
+        small(spark)
+    assert carrying(plan, "content_bytes", "content_html") == []
+
+
+def test_binaries_do_not_meet_python(spark, tmp_path):
+    landing = landing_zone(spark, str(tmp_path / "l"))
+    land(frame(spark, BATCH), landing, 0, T1)
+    rows = process_rows(landing.content.attach(landing.cases.read().select(*KEPT)))
+    pages = document_pages(captured_pages(spark))
+    for plan, payload in ((plan_of(rows), "content#"), (plan_of(pages), "body#")):
+        python = [line for line in plan.splitlines() if "MapInArrow" in line]
+        assert len(python) == 1 and "raw#" not in python[0] and payload not in python[0]
+
+
+def test_unpublished_content_is_not_read(spark, tmp_path, monkeypatch):
+    zone = landing_zone(spark, str(tmp_path))
+    land(frame(spark, [case("A", 1, "old")]), zone, 0, T1)
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(zone.cases, "publish", fail)
+        with pytest.raises(RuntimeError):
+            land(frame(spark, [case("A", 1, "new")]), zone, 1, T2)
     located = zone.content.attach(zone.cases.read().select("identifier", "path_to_file"))
-    assert located.count() == 5
-    plan = located._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join Inner" in plan and "rightHint=(strategy=broadcast)" in plan
+    assert [bytes(r.content) for r in located.collect()] == [b"old"]
+
+
+def test_hash_probe(spark, tmp_path):
+    zone = landing_zone(spark, str(tmp_path))
+    land(frame(spark, BATCH), zone, 0, T1)
+    have = {r.path_to_file: r.file_hash for r in zone.content.read().collect()}
+    path, file_hash = sorted(have.items())[0]
+    asked = spark.createDataFrame([(path, file_hash), (path, "other"), ("no/such/key", file_hash)], "path_to_file string, file_hash string")
+    assert [tuple(r) for r in zone.content.holds(asked).collect()] == [(path, file_hash)]
+
+
+def test_the_index_does_not_grow_with_batches(spark, tmp_path):
+    zone = landing_zone(spark, str(tmp_path))
+    for batch in range(5):
+        land(frame(spark, [case(f"k{batch}", batch, "x")]), zone, batch, T1)
+    files = [p for p in (tmp_path / "cases" / "index").rglob("part-*")]
+    assert len(files) == 2 and zone.cases.read().count() == 5
 
 
 def test_run_zones_reports_each_partition(spark, tmp_path):
@@ -240,10 +337,9 @@ def test_run_zones_reports_each_partition(spark, tmp_path):
     assert pending.count() == 0
 
 
-def test_build_cases_from_pages(spark, tmp_path):
-    zone = landing_zone(spark, str(tmp_path))
+def captured_pages(spark):
     long = "word " * 40
-    captured = spark.createDataFrame(
+    return spark.createDataFrame(
         [
             ("http://h/1", "text/html", bytearray(f"<main>{long}</main>".encode())),
             ("http://h/2", "text/html", bytearray(b"<div class='content'><a href='/f.pdf'>x</a></div>")),
@@ -251,17 +347,52 @@ def test_build_cases_from_pages(spark, tmp_path):
         ],
         S.CAPTURED_PAGES,
     )
+
+
+def found_listings(spark):
     found = spark.createDataFrame(
-        [("Src", "B", "2024-01", f"ID{i}", f"http://h/{i}", i) for i in (1, 2, 3)],
+        [("Src", "B", "2024-01", f"ID{i}", f"http://h/{i}#x", i) for i in (1, 2, 3)],
         "source string, body string, partition_date string, identifier string, document_url string, seq long",
     )
     for name in ("title", "description", "case_number", "record_date"):
         found = found.withColumn(name, F.lit(None).cast("string"))
-    found = found.withColumn("source_page_url", F.col("document_url"))
-    land(build_cases(found, captured, ["seq"], zone, 0), zone, 0, T1)
+    return found.withColumn("source_page_url", F.col("document_url"))
+
+
+def test_build_cases_from_pages(spark, tmp_path):
+    zone = landing_zone(spark, str(tmp_path))
+    incoming = build_cases(found_listings(spark), captured_pages(spark), ["seq"], zone, 0)
+    outcomes = land(incoming, zone, 0, T1)
+    assert {r.identifier: (r.outcome, r.reason) for r in outcomes.collect()} == {
+        "ID1": ("stored", None), "ID2": ("stored", None), "ID3": ("failed", "no captured page"),
+    }
     rows = by_id(zone.cases.read())
     assert {k: r.link_to_doc for k, r in rows.items()} == {"ID1": "http://h/1", "ID2": "http://h/f.pdf"}
     assert rows["ID2"].path_to_file == "Src/b/2024-01/id2.pdf"
+    content = {r.path_to_file: r for r in zone.content.read().collect()}
+    assert bytes(content["Src/b/2024-01/id2.pdf"].content) == b"%PDF"
+    assert all(hashlib.sha256(bytes(r.content)).hexdigest() == r.file_hash == rows[i].file_hash for i in rows for r in [content[rows[i].path_to_file]])
+
+
+def test_a_results_page_that_cannot_be_read_is_a_failed_row(spark, tmp_path, monkeypatch):
+    zone = landing_zone(spark, str(tmp_path))
+    real = pages.extract_pages
+
+    def broken(rows, html, facts, keep, wrap=True):
+        read = real(rows, html, facts, keep, wrap)
+        if "listings" not in facts:
+            return read
+        return read.withColumn("error", F.when(F.col("url").endswith("2"), "ValueError: bad")).withColumn(
+            "listings", F.when(~F.col("url").endswith("2"), F.col("listings"))
+        )
+
+    monkeypatch.setattr(pages, "extract_pages", broken)
+    item = '<li class="each-item clearfix"><h2 class="title"><a href="/1">t</a></h2><span class="refNO">R</span></li>'
+    results = spark.createDataFrame([("http://h/r1", item + '<a class="next" href="/r2">n</a>'), ("http://h/r2", item)], "url string, html string")
+    starts = spark.createDataFrame([("http://h/r1", "B", "2024-01")], "url string, body string, partition_date string")
+    incoming = capture_cases(starts, results, captured_pages(spark), "Src", zone, 0)
+    got = [(r.identifier, r.partition_date, r.outcome, r.reason) for r in land(incoming, zone, 0, T1).collect()]
+    assert sorted(got, key=repr) == [("R", "2024-01", "stored", None), ("R2", "2024-01", "failed", "ValueError: bad")]
 
 
 def test_read_files(spark, tmp_path):
@@ -298,7 +429,7 @@ def test_stream_landing_converges(spark, tmp_path):
 
 def test_stream_changes_equal_the_model(spark, tmp_path):
     rng = random.Random(2)
-    rows = [(f"k{rng.randrange(9)}", i, rng.choice("AB"), f"key{i}") for i in range(120)]
+    rows = [(f"k{rng.randrange(9)}", i, rng.choice(["A", "B", None]), f"key{i}") for i in range(120)]
     rng.shuffle(rows)
     schema = "identifier string, seq long, file_hash string, object_key string"
     df = spark.createDataFrame(rows, schema)
