@@ -91,22 +91,22 @@ st AS (
   QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY seq DESC) = 1)"""
 
 
-def _changes(incoming: str, state: str) -> str:
+def _changes(incoming: str, state: str, tag: str = "") -> str:
     return f"""
-joined AS (
+joined{tag} AS (
   SELECT i.*, s.file_hash AS old_hash, s.path_to_file AS old_path,
          row_number() OVER (PARTITION BY i.identifier ORDER BY i.seq) AS rn,
          lag(i.file_hash) OVER (PARTITION BY i.identifier ORDER BY i.seq) AS prev
   FROM {incoming} i LEFT JOIN {state} s ON i.identifier = s.identifier),
-marked AS (
+marked{tag} AS (
   SELECT *, CASE WHEN rn = 1 THEN NOT coalesce(old_hash IS NOT DISTINCT FROM file_hash AND old_path <> '', false)
-                 ELSE prev IS DISTINCT FROM file_hash END AS is_stored FROM joined),
-changes AS (
+                 ELSE prev IS DISTINCT FROM file_hash END AS is_stored FROM joined{tag}),
+changes{tag} AS (
   SELECT * EXCLUDE (is_stored), CASE WHEN is_stored THEN 'stored' ELSE 'unchanged' END AS scrape_status,
          coalesce(last_value(CASE WHEN is_stored THEN object_key END IGNORE NULLS) OVER (
            PARTITION BY identifier ORDER BY seq
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), old_path) AS path_to_file
-  FROM marked)"""
+  FROM marked{tag})"""
 
 
 _CHANGE_COLUMNS = "SELECT identifier, seq, file_hash, scrape_status, path_to_file FROM changes"
@@ -157,6 +157,7 @@ grid AS (
        (SELECT unnest(generate_series(date_trunc('month', min(d)), date_trunc('month', max(d)),
                                       INTERVAL 1 MONTH)) AS m, max(d) AS hi FROM oc))"""
 
+_FIRST_BODY = list(S.BODIES)[0]
 _BODY = _case("page_id", *[f"'{b}'" for b in S.BODIES])
 _PAGE_CASES = f"""
 pc AS (
@@ -175,6 +176,47 @@ nothing AS (SELECT '' AS identifier, '' AS file_hash, '' AS path_to_file WHERE f
 landing AS (
   SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY seq DESC) = 1)"""
 
+_RERUN = f"""
+{_PAGE_CASES},
+pc1 AS (
+  SELECT coalesce({_slug('url')}, 'Page ' || page_id) AS identifier, {_BODY} AS body,
+         CASE WHEN page_id % 4 = 2 THEN '2025-01'
+              ELSE '2024-' || lpad(CAST(page_id % 12 + 1 AS VARCHAR), 2, '0') END AS partition_date,
+         'Page ' || page_id AS title, page_id AS seq, page_id,
+         sha256(CASE WHEN page_id % 4 = 1 THEN html || ' v2' ELSE html END) AS file_hash,
+         CASE WHEN page_id % 6 = 0 THEN 'application/pdf' ELSE 'text/html' END AS content_type,
+         CASE WHEN page_id % 6 = 0 THEN 'pdf' ELSE 'html' END AS ext
+  FROM pages WHERE page_id % 4 <> 0),
+keyed1 AS (
+  SELECT *, 'Source A/' || lower(replace(body, ' ', '_')) || '/' || partition_date || '/'
+         || lower(identifier) || '.' || ext AS object_key FROM pc1),
+{_changes('keyed1', 'landing', '1')},
+again AS (
+  SELECT * FROM changes1 QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY seq DESC) = 1),
+final AS (
+  SELECT identifier, body, partition_date, title, ext, path_to_file, file_hash, scrape_status,
+         '2024-07-01' AS scraped_on FROM again
+  UNION ALL
+  SELECT identifier, body, partition_date, title, ext, path_to_file, file_hash, scrape_status, '2024-06-01'
+  FROM landing WHERE identifier NOT IN (SELECT identifier FROM again)),
+content AS (
+  SELECT path_to_file, file_hash AS content_hash FROM (
+    SELECT path_to_file, file_hash, 0 AS v, seq FROM changes WHERE scrape_status = 'stored' UNION ALL
+    SELECT path_to_file, file_hash, 1, seq FROM changes1 WHERE scrape_status = 'stored')
+  QUALIFY row_number() OVER (PARTITION BY path_to_file ORDER BY v DESC, seq DESC) = 1)"""
+
+# The text that a landed payload has once it is cleaned; a suffix of the second batch stays in the text.
+_TEXTS = f"""
+{_BODIES},
+texts AS (
+  SELECT sha256(html) AS file_hash, sha256({_decoded(_WITHOUT_COMMENTS)}) AS text_hash
+  FROM c JOIN pages USING (page_id)
+  UNION
+  SELECT sha256(html || ' v2'), sha256({_decoded(_WITHOUT_COMMENTS + " || ' v2'")})
+  FROM c JOIN pages USING (page_id))"""
+
+_PROCESSED_KEY = "replace(body, ' ', '_') || '/' || partition_date || '/' || identifier || '.' || ext"
+
 _LINK = "CASE WHEN page_id % 3 = 0 THEN 'https://files.example.org/a+b%2Fcase%20' || page_id || '%2EPDF?x=1.doc' ELSE url END"
 
 ORACLE = {
@@ -432,11 +474,59 @@ WITH {_PAGE_CASES}
 SELECT identifier, body, partition_date, record_date, title, content_type, path_to_file, file_hash,
        scrape_status FROM landing""",
     "processed_zone": f"""
-WITH {_PAGE_CASES}
+WITH {_PAGE_CASES}, {_TEXTS}
 SELECT identifier, body, partition_date, record_date, title, content_type,
-       replace(body, ' ', '_') || '/' || partition_date || '/' || identifier || '.' || ext AS path_to_file,
-       scrape_status, CASE WHEN ext = 'pdf' THEN file_hash END AS binary_hash
-FROM landing WHERE partition_date BETWEEN '2024-02' AND '2024-11'""",
+       {_PROCESSED_KEY} AS path_to_file, scrape_status,
+       CASE WHEN ext = 'pdf' THEN file_hash ELSE text_hash END AS digest
+FROM landing LEFT JOIN texts USING (file_hash) WHERE partition_date BETWEEN '2024-02' AND '2024-11'""",
+    "landing_rerun": f"""
+WITH {_RERUN}
+SELECT identifier, body, partition_date, title, path_to_file, file_hash, scrape_status, content_hash, scraped_on
+FROM final LEFT JOIN content USING (path_to_file)""",
+    "rerun_counters": f"""
+WITH {_RERUN},
+all_rows AS (
+  SELECT body, partition_date, scrape_status AS outcome FROM changes1
+  UNION ALL
+  SELECT {_BODY}, '2024-' || lpad(CAST(page_id % 12 + 1 AS VARCHAR), 2, '0'),
+         CASE WHEN page_id % 8 = 0 THEN 'failed' ELSE 'dropped' END FROM pages WHERE page_id % 4 = 0)
+SELECT body, partition_date, {_COUNTERS}, count(*) FILTER (outcome = 'failed') = 0 AS success
+FROM all_rows GROUP BY 1, 2""",
+    "full_pipeline": f"""
+WITH {_RERUN}, {_TEXTS},
+runs AS (
+  SELECT l.identifier, l.body, l.partition_date, l.ext, l.scrape_status, '2024-06-01' AS scraped_on, c.file_hash,
+         '2024-06-01' AS processed_on, 0 AS run
+  FROM landing l JOIN (SELECT path_to_file, max_by(file_hash, seq) AS file_hash FROM changes
+                       WHERE scrape_status = 'stored' GROUP BY 1) c USING (path_to_file)
+  WHERE partition_date BETWEEN '2024-01' AND '2024-12'
+  UNION ALL
+  SELECT identifier, body, partition_date, ext, scrape_status, scraped_on, content_hash, '2024-07-01', 1
+  FROM final JOIN content USING (path_to_file) WHERE partition_date BETWEEN '2024-02' AND '2025-01'),
+kept AS (
+  SELECT * FROM runs WHERE body = '{_FIRST_BODY}'
+  QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY run DESC) = 1)
+SELECT identifier, body, partition_date, {_PROCESSED_KEY} AS path_to_file, scrape_status,
+       CASE WHEN ext = 'pdf' THEN file_hash ELSE text_hash END AS digest, scraped_on, processed_on
+FROM kept LEFT JOIN texts USING (file_hash)""",
+    "full_pipeline_metrics": f"""
+WITH {_RERUN},
+tagged AS (
+  SELECT 0 AS run, body, partition_date, scrape_status AS outcome, NULL AS done, NULL AS page FROM changes
+  UNION ALL SELECT 1, body, partition_date, scrape_status, NULL, NULL FROM changes1
+  UNION ALL SELECT 1, {_BODY}, '2024-' || lpad(CAST(page_id % 12 + 1 AS VARCHAR), 2, '0'),
+                   CASE WHEN page_id % 8 = 0 THEN 'failed' ELSE 'dropped' END, NULL, NULL
+            FROM pages WHERE page_id % 4 = 0
+  UNION ALL SELECT 0, body, partition_date, NULL, 1, NULL FROM landing
+            WHERE body = '{_FIRST_BODY}' AND partition_date BETWEEN '2024-01' AND '2024-12'
+  UNION ALL SELECT 1, body, partition_date, NULL, 1, NULL FROM final
+            WHERE body = '{_FIRST_BODY}' AND partition_date BETWEEN '2024-02' AND '2025-01'
+  UNION ALL SELECT 1, {_BODY}, CASE WHEN page_id % 4 = 2 THEN '2025-01'
+                   ELSE '2024-' || lpad(CAST(page_id % 12 + 1 AS VARCHAR), 2, '0') END, NULL, NULL, 1 FROM pages)
+SELECT CAST(run AS BIGINT) AS run, body, partition_date, CAST(partition_date || '-01' AS DATE) AS start_date,
+       last_day(CAST(partition_date || '-01' AS DATE)) AS end_date, {_COUNTERS}, count(page) AS pages_scraped,
+       count(done) AS processed, CAST(0 AS BIGINT) AS transform_failed, CAST(0 AS DOUBLE) AS elapsed_seconds
+FROM tagged GROUP BY 1, 2, 3""",
     "capture_run": f"""
 WITH p AS (
   SELECT page_id, url, first_value(url) OVER (PARTITION BY {_KEY} ORDER BY url) AS final_url,

@@ -15,8 +15,9 @@ from folioflow import schemas as S
 from folioflow.functions import dates, naming, payload, text, urls
 from folioflow.operators import cases, links, metrics, months, pages, upsert
 from folioflow.plans.land import land
-from folioflow.plans.transform import process_rows, transform
-from folioflow.plans.zones import capture_cases
+from folioflow.plans.transform import process_rows, processed_content, transform
+from folioflow.plans.zones import capture_cases, run_zones
+from folioflow.plans.zones import run_metrics as all_run_metrics
 from folioflow.session import ROCKS_DB, STATE_STORE, new_folder
 from folioflow.sources.captures import stream_files
 from folioflow.sources.zones import landing_zone, processed_zone
@@ -24,6 +25,7 @@ from folioflow.streaming.changes import CHANGES, stream_changes
 from folioflow.streaming.landing import stream_landing
 
 RUN_TS = datetime(2024, 6, 1)
+LATER_TS = datetime(2024, 7, 1)
 CUT_OFF = "2024-01-11 00:00:00"
 SEARCH_URL = "https://search.example.org/en/search/"
 HOSTS = ["example.org", "example.com"]
@@ -789,11 +791,23 @@ def landing_zone_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _processed(processed) -> DataFrame:
+    """Processed rows with a digest of their payload: of the text of a page, of the bytes of anything else."""
+    is_page = F.col("content_type") == "text/html"
+    held = processed_content(processed).select("path_to_file", "content", is_page.alias("is_page"))
+    html = text.decode_bytes("content")
+    read = pages.extract_pages(
+        held.where("is_page").select("path_to_file", html.alias("html")), "html", ["cleaned_text"], ["path_to_file"]
+    ).select("path_to_file", payload.content_hash("cleaned_text").alias("digest"))
+    raw = held.where("not is_page").select("path_to_file", payload.content_hash("content").alias("digest"))
+    return processed.cases.read().join(read.unionByName(raw), "path_to_file", "left")
+
+
 def processed_zone_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, landing, _ = _landed(spark, sf_dir)
     processed = processed_zone(spark, f"{folder}/processed")
     transform(landing, processed, 0, "2024-02", "2024-11", RUN_TS)
-    return processed.cases.read().select(
+    return _processed(processed).select(
         "identifier",
         "body",
         "partition_date",
@@ -802,10 +816,84 @@ def processed_zone_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "content_type",
         "path_to_file",
         "scrape_status",
-        F.when(F.col("content_type") == "application/pdf", F.col("file_hash")).alias("binary_hash"),
+        "digest",
+    )
+
+
+def _second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page cases once more: by fours changed, in another month, the same, and failed or without identifier."""
+    rows = _page_cases(spark, sf_dir)
+    turn = F.col("seq") % 4
+    html = F.when(turn == 1, F.concat("content_html", F.lit(" v2"))).otherwise(F.col("content_html"))
+    raw = F.when(turn == 1, F.concat("content_bytes", F.lit(" v2").cast("binary"))).otherwise(F.col("content_bytes"))
+    return rows.withColumns(
+        {
+            "content_html": html,
+            "content_bytes": raw,
+            "partition_date": F.when(turn == 2, "2025-01").otherwise(F.col("partition_date")),
+            "title": F.when(turn != 0, F.col("title")),
+            "source_page_url": F.when(turn != 0, F.col("source_page_url")),
+            "error": F.when(F.col("seq") % 8 == 0, "ValueError: unreadable"),
+        }
     )
 
 
+def landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping batches: state, moved months, overwritten content and rows of the first batch that stay."""
+    _, landing, _ = _landed(spark, sf_dir)
+    land(_second_batch(spark, sf_dir), landing, 1, LATER_TS)
+    content = landing.content.attach(landing.cases.read().select("identifier", "path_to_file"))
+    held = content.select("identifier", payload.content_hash("content").alias("content_hash"))
+    return landing.cases.read().join(held, "identifier").select(
+        "identifier",
+        "body",
+        "partition_date",
+        "title",
+        "path_to_file",
+        "file_hash",
+        "scrape_status",
+        "content_hash",
+        F.date_format("scraped_at", "yyyy-MM-dd").alias("scraped_on"),
+    )
+
+
+def rerun_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of the second batch, failed and dropped rows among them, per body and month."""
+    _, landing, _ = _landed(spark, sf_dir)
+    outcomes = land(_second_batch(spark, sf_dir), landing, 1, LATER_TS)
+    return metrics.landing_counters(outcomes, ["body", "partition_date"])
+
+
+def _full_run(spark: SparkSession, sf_dir: str):
+    folder = new_folder(spark, "zones")
+    landing, processed = landing_zone(spark, f"{folder}/landing"), processed_zone(spark, f"{folder}/processed")
+    body = list(S.BODIES)[0]
+    run_zones(_page_cases(spark, sf_dir), landing, processed, 0, "2024-01", "2024-12", RUN_TS, body)
+    again = _second_batch(spark, sf_dir)
+    listed = again.select("body", "partition_date")
+    run_zones(again, landing, processed, 1, "2024-02", "2025-01", LATER_TS, body, listed)
+    return processed
+
+
+def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both zones over two runs of one body."""
+    return _processed(_full_run(spark, sf_dir)).select(
+        "identifier",
+        "body",
+        "partition_date",
+        "path_to_file",
+        "scrape_status",
+        "digest",
+        F.date_format("scraped_at", "yyyy-MM-dd").alias("scraped_on"),
+        F.date_format("processed_at", "yyyy-MM-dd").alias("processed_on"),
+    )
+
+
+def full_pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both runs reported, by run, body and month."""
+    return all_run_metrics(_full_run(spark, sf_dir)).withColumnRenamed("v", "run")
+
+
 def capture_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From results pages to landed cases: four chained results pages per partition."""
     scan = table(spark, sf_dir, "pages")
@@ -957,6 +1045,10 @@ QUERIES = {
     "attach_documents": attach_documents,
     "landing_zone": landing_zone_rows,
     "processed_zone": processed_zone_rows,
+    "landing_rerun": landing_rerun,
+    "rerun_counters": rerun_counters,
+    "full_pipeline": full_pipeline,
+    "full_pipeline_metrics": full_pipeline_metrics,
     "capture_run": capture_run,
     "stream_changes": stream_change_rows,
     "stream_landing": stream_landing_rows,

@@ -15,6 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -70,11 +71,21 @@ def stored(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back.
 
     Computes the rows once, cuts their lineage, outlives lost executors, and gives the planner
-    their real size. (A checkpoint would compute them twice.)
+    their real size. (A checkpoint would compute them twice.) What was shuffled for them is
+    deleted as soon as they are written, not when the driver happens to collect its garbage.
     """
-    path = new_folder(df.sparkSession, "stored")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_folder(spark, "stored")
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stored_count(df: DataFrame) -> tuple[DataFrame, int]:
