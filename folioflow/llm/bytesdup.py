@@ -26,11 +26,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from folioflow.llm import common as C
-from folioflow.llm.shared import PACKED, bucket_count, found_keys, pack_slice
+from folioflow.llm.shared import PACKED, PARTS, bucket_count, collected, found_keys, pack_slice, parts
 from folioflow.llm.suffixes import repeats
 from folioflow.session import ship_package, stored
 
@@ -40,14 +38,9 @@ SPLIT_ROWS = 4096
 # Text of a shard, and of an anchor's span at most: the number of shards follows the number of anchors found.
 SHARD_BYTES, SPAN_BYTES = 1 << 20, 2 * MATCH - ANCHOR
 
-STAGED = (
-    "row_key long, doc_id long, text string, anchors array<struct<key: long, parts: int>>, partner boolean, "
-    "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-)
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 SPANS = "bucket int, part int, text binary, sizes binary, docs binary, places binary, split binary"
-SHARD = "row_key long, begins array<int>, ends array<int>, range int, lo binary, hi binary, who binary, place binary"
-RUNS = "row_key long, begins array<int>, ends array<int>"
+SHARD = PARTS + ", range int, lo binary, hi binary, who binary, place binary"
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -82,7 +75,8 @@ def claims(data: np.ndarray, offsets: np.ndarray):
     head[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
     begin = np.flatnonzero(head)
     end = np.append(begin[1:], len(starts)) - 1
-    return starts[begin], starts[end], row[begin], keys[anchor[begin]]
+    # Least hashes crowd at the low end; mixed once more they spread evenly over buckets.
+    return starts[begin], starts[end], row[begin], C.mix(keys[anchor[begin]])
 
 
 def _pack_anchors(buckets: int):
@@ -95,36 +89,10 @@ def _pack_anchors(buckets: int):
     return step
 
 
-def _stage(with_text: bool):
-    """Rows without a shared anchor are done, and so are copies, of which one goes on as a partner of others."""
-    fields = to_arrow_schema(T.StructType.fromDDL(STAGED))
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slices(batches):
-            text = pc.fill_null(batch.column("text"), "")
-            raw = text.cast(pa.binary())
-            shared = pc.is_valid(batch.column("anchors"))
-            copied = pc.and_(pc.is_valid(batch.column("first_key")), pc.greater_equal(pc.binary_length(raw), MATCH))
-            partner = pc.and_(copied, pc.fill_null(pc.equal(batch.column("first_key"), batch.column("row_key")), False))
-            goes = pc.and_(shared, pc.or_(partner, pc.invert(copied)))
-            out = []
-            for t, c, g in zip(raw.to_pylist(), copied.to_pylist(), pc.and_(shared, pc.invert(copied)).to_pylist()):
-                if g:
-                    out.append((None, None, None, None, None))
-                else:
-                    kept = b"" if c else t
-                    out.append((len(t), len(t) - len(kept), int(c), hashlib.sha256(kept).hexdigest(), kept if with_text else None))
-            columns = [
-                batch.column("row_key"),
-                batch.column("doc_id"),
-                pc.if_else(goes, text, pa.scalar(None, text.type)),
-                pc.if_else(goes, batch.column("anchors"), pa.scalar(None, batch.column("anchors").type)),
-                partner,
-                *[pa.array(list(c), t) for c, t in zip(zip(*out), fields.types[5:])],
-            ]
-            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, fields.types)], fields.names)
-
-    return step
+def _copied(batch: pa.RecordBatch, text: pa.Array) -> np.ndarray:
+    """Rows whose text other rows have too, if it is long enough to be a match."""
+    long = pc.greater_equal(pc.binary_length(text), MATCH)
+    return pc.and_(pc.is_valid(batch.column("first_key")), long).to_numpy(zero_copy_only=False)
 
 
 def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -136,7 +104,7 @@ def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 def _spans(batch: pa.RecordBatch):
     """The claimed runs of a slice whose anchor is shared: (data, first, size, row, key, parts)."""
-    data, offsets = C.text_bytes(batch.column("text"))
+    data, offsets = C.text_bytes(pc.fill_null(batch.column("text"), ""))
     first, last, row, keys = claims(data, offsets)
     listed = batch.column("anchors")
     flat = listed.flatten()
@@ -157,7 +125,14 @@ def _pack_spans(buckets: int):
     kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slices(batches):
+        for whole in C.slices(batches):
+            # Of copies one goes on, as a partner of others: what becomes of itself is known.
+            copied = _copied(whole, pc.fill_null(whole.column("text"), ""))
+            lead = pc.fill_null(pc.equal(whole.column("first_key"), whole.column("row_key")), False).to_numpy(zero_copy_only=False)
+            batch = whole.filter(pa.array(~copied | lead))
+            if not batch.num_rows:
+                continue
+            copied = copied[~copied | lead]
             data, offsets, first, size, row, keys, parts = _spans(batch)
             if not len(first):
                 continue
@@ -172,7 +147,7 @@ def _pack_spans(buckets: int):
             several = np.zeros(len(by), bool)
             several[by] = np.repeat(times > 1, times)
             place = first - offsets[row]
-            partner = batch.column("partner").to_numpy(zero_copy_only=False)[row]
+            partner = copied[row]
             rows = []
             t = np.flatnonzero(several & ~partner)
             if len(t):
@@ -201,7 +176,7 @@ def _shard(ranges: int):
         column = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
         sizes, docs, places = column("sizes", np.int32).astype(np.int64), column("docs", np.int64), column("places", np.int32)
         if table.column("bucket")[0].as_py() < 0:
-            return _answer(docs, places, places + sizes - MATCH + 1, [])
+            return _answer(docs, places, places + sizes - MATCH + 1, [], ranges)
         text, split = column("text", np.uint8), column("split", bool)
         ends = np.cumsum(sizes)
         left = np.repeat(ends, sizes) - np.arange(len(text))
@@ -231,26 +206,22 @@ def _shard(ranges: int):
             bounds = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)
             cuts = [0, *np.searchsorted(lo, bounds).tolist(), len(lo)]
             keys = [(i, lo[x:y].tobytes(), hi[x:y].tobytes(), whose[x:y].tobytes(), place[x:y].tobytes()) for i, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-        return _answer(docs[o], places[o] + a - begin[o], places[o] + b - begin[o] + 1, keys)
+        return _answer(docs[o], places[o] + a - begin[o], places[o] + b - begin[o] + 1, keys, ranges)
 
     return solve
 
 
-def _answer(docs: np.ndarray, begins: np.ndarray, ends: np.ndarray, keys: list[tuple]) -> pa.Table:
-    """One row per document row with its runs, then one per range of keys."""
-    by = np.argsort(docs, kind="stable")
-    docs = docs[by]
-    heads = np.flatnonzero(np.append(True, docs[1:] != docs[:-1])) if len(docs) else np.zeros(0, np.int64)
-    n, m = len(heads), len(keys)
-    bounds = np.append(np.append(heads, len(docs)), [len(docs)] * m)
-    lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x[by].astype(np.int32))) for x in (begins, ends)]
-    out = {"row_key": pa.array([*docs[heads].tolist(), *[None] * m], pa.int64()), "begins": lists[0], "ends": lists[1]}
+def _answer(docs: np.ndarray, begins: np.ndarray, ends: np.ndarray, keys: list[tuple], slots: int) -> pa.Table:
+    """Runs of match starts as `parts`, then one row per range of keys."""
+    runs = parts(docs, begins.astype(np.int32), ends.astype(np.int32), slots)
+    n, m = runs.num_rows, len(keys)
+    out = {name: pa.concat_arrays([runs.column(name).combine_chunks(), pa.nulls(m, runs.column(name).type)]) for name in runs.column_names}
     for i, (name, kind) in enumerate((("range", pa.int32()), ("lo", pa.binary()), ("hi", pa.binary()), ("who", pa.binary()), ("place", pa.binary()))):
         out[name] = pa.array([*[None] * n, *[k[i] for k in keys]], kind)
     return pa.table(out)
 
 
-def _merge(table: pa.Table) -> pa.Table:
+def _merge(table: pa.Table, slots: int) -> pa.Table:
     """Of the sorted key lists of a range: the strings that another list holds too, found by binary search."""
     pieces = []
     for lo, hi, who, place in zip(*[table.column(c).to_pylist() for c in ("lo", "hi", "who", "place")]):
@@ -265,24 +236,29 @@ def _merge(table: pa.Table) -> pa.Table:
     several = np.flatnonzero((high - low > 1) & (place >= 0))
     found = [i for i in several.tolist() if np.count_nonzero(merged["hi"][low[i] : high[i]] == hi[i]) > 1] if len(several) else []
     found = np.array(found, np.int64)
-    by = np.lexsort((place[found], who[found]))
-    found = found[by]
-    return _answer(who[found], place[found], place[found] + 1, []).select(["row_key", "begins", "ends"])
+    return parts(who[found], place[found], place[found] + 1, slots)
 
 
 def _remove(with_text: bool):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+        names = [p.split()[0] for p in RESULT.split(", ")]
         for batch in C.slices(batches):
             out = []
-            for raw, begins, ends in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("begins").to_pylist(), batch.column("ends").to_pylist()):
-                mark = np.zeros(len(raw) + 1, np.int64)
-                np.add.at(mark, np.array(begins or [], np.int64), 1)
-                np.subtract.at(mark, np.array(ends or [], np.int64) + MATCH - 1, 1)
-                gone = np.cumsum(mark[:-1]) > 0
-                spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                out.append((len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
+            text = pc.fill_null(batch.column("text"), "")
+            copied = _copied(batch, text)
+            runs = zip(batch.column("begins").to_pylist(), batch.column("ends").to_pylist())
+            for raw, copy, (begins, ends) in zip(text.cast(pa.binary()).to_pylist(), copied, runs):
+                kept, spans = raw, 0
+                if copy:
+                    kept, spans = b"", 1
+                elif begins:
+                    mark = np.zeros(len(raw) + 1, np.int64)
+                    np.add.at(mark, np.array(begins, np.int64), 1)
+                    np.subtract.at(mark, np.array(ends, np.int64) + MATCH - 1, 1)
+                    gone = np.cumsum(mark[:-1]) > 0
+                    spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+                    kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+                out.append((len(raw), len(raw) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
             columns = [pa.array(list(c), k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
@@ -291,28 +267,26 @@ def _remove(with_text: bool):
 
 def _shared_anchors(docs: DataFrame, buckets: int) -> tuple[DataFrame, int]:
     """(row_key, anchors): the shared anchors of each row, each with the number of shards it is dealt to; and their number."""
-    found = stored(found_keys(C.map_arrow(docs, _pack_anchors(buckets), PACKED)).select("row_key", F.explode(F.array_distinct("keys")).alias("key")))
+    found = stored(found_keys(C.map_arrow(docs, _pack_anchors(buckets), PACKED), buckets).select("row_key", F.explode(F.array_distinct("keys")).alias("key")))
     parts = F.ceil(F.count("*") / SPLIT_ROWS).cast("int").alias("parts")
     split = stored(found.groupBy("key").agg(parts).where("parts > 1"))
     listed = found.join(split, "key", "left").select("row_key", F.struct("key", F.coalesce("parts", F.lit(1)).alias("parts")).alias("a"))
-    return listed.groupBy("row_key").agg(F.collect_list("a").alias("anchors")), found.count()
+    return stored(listed.groupBy("row_key").agg(F.collect_list("a").alias("anchors"))), found.count()
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept (bytes) if asked for, one row per input row."""
     docs = C.keyed(docs)
     ship_package(docs.sparkSession)
+    copies = stored(C.copies(docs).drop("first_id"))
     anchors, number = _shared_anchors(docs, bucket_count(docs))
-    joined = docs.join(anchors, "row_key", "left").join(C.copies(docs).drop("first_id"), "row_key", "left")
-    staged = stored(C.map_arrow(joined, _stage(with_text), STAGED))
-    going = staged.where("text is not null").select("row_key", "text", "anchors", "partner")
+    near = docs.join(anchors, "row_key").join(copies, "row_key", "left")
     shards = max(8, -(-number * SPAN_BYTES // SHARD_BYTES))
-    spans = C.map_arrow(going, _pack_spans(shards), SPANS)
+    spans = C.map_arrow(near, _pack_spans(shards), SPANS)
     solved = stored(spans.groupBy("bucket", "part").applyInArrow(_shard(shards), SHARD))
-    merged = solved.where("range is not null").groupBy("range").applyInArrow(_merge, RUNS)
-    runs = solved.where("range is null").select("row_key", "begins", "ends").unionByName(merged)
-    runs = runs.groupBy("row_key").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("begins", "ends")])
-    opened = staged.where("kept_sha256 is null").select("row_key", "doc_id", "text")
-    changed = C.map_arrow(opened.join(runs, "row_key", "left"), _remove(with_text), RESULT)
-    rest = staged.where("kept_sha256 is not null").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
-    return changed.unionByName(rest)
+    ranges = solved.where("range is not null").groupBy("range")
+    merged = ranges.applyInArrow(lambda table: _merge(table, shards), PARTS)
+    runs = solved.where("range is null").select(*merged.columns).unionByName(merged)
+    runs = stored(collected(runs, "int", ("begins", "ends")))
+    rows = docs.join(runs, "row_key", "left").join(copies, "row_key", "left")
+    return C.map_arrow(rows, _remove(with_text), RESULT)

@@ -19,7 +19,7 @@ from folioflow.llm import common as C
 from folioflow.session import ship_package
 
 PACKED = "bucket int, lo binary, hi binary, who binary, docs binary, ids binary"
-FOUND = "row_key long, keys array<long>"
+PARTS = "slot int, docs binary, a binary, b binary"
 # Text behind one bucket: the number of buckets follows the measured size of the corpus.
 BUCKET_BYTES = 16 << 20
 MANY = np.uint32(0xFFFFFFFF)
@@ -104,8 +104,8 @@ def pack_slice(lo, who, docs, buckets: int, hi=None, ids=None, within: bool = Fa
     yield _batch(rows)
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    """(row_key, keys) of the entries of a bucket that other documents share."""
+def _merge(table: pa.Table, slots: int) -> pa.Table:
+    """The entries of a bucket that other documents share, as `parts`."""
     lo, hi, who, ids, part = [], [], [], [], []
     for i, (_, l, h, w, d, n) in enumerate(zip(*[c.to_pylist() for c in table.columns])):
         keys = _unpack(l)
@@ -140,16 +140,46 @@ def _merge(table: pa.Table) -> pa.Table:
         else:
             own = np.concatenate(ids)[order]
             found = own > np.minimum.reduceat(own, heads)[group]
-    keys, docs = keys[found], docs[found]
-    order = np.argsort(docs, kind="stable")
-    keys, docs = keys[order], docs[order]
-    heads = np.flatnonzero(np.append(True, docs[1:] != docs[:-1])) if len(docs) else np.zeros(0, np.int64)
-    lists = pa.ListArray.from_arrays(pa.array(np.append(heads, len(docs)), pa.int32()), pa.array(keys.view(np.int64)))
-    return pa.table({"row_key": pa.array(docs[heads], pa.int64()), "keys": lists})
+    return parts(docs[found], keys[found], None, slots)
 
 
-def found_keys(packed: DataFrame) -> DataFrame:
+def parts(docs: np.ndarray, a: np.ndarray, b: np.ndarray | None, slots: int) -> pa.Table:
+    """Values with the row they belong to, packed by slot of the row key: a row per slot, not per document."""
+    slot = (C.mix(docs.astype(np.int64).view(np.uint64)) % np.uint64(slots)).astype(np.int64)
+    by = np.argsort(slot, kind="stable")
+    slot, docs, a = slot[by], docs[by], a[by]
+    cut = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else np.zeros(0, np.int64)
+    ends = np.append(cut[1:], len(slot))
+    pieces = lambda x: pa.array([b"" if x is None else x[i:j].tobytes() for i, j in zip(cut, ends)], pa.binary())
+    return pa.table({"slot": pa.array(slot[cut], pa.int32()), "docs": pieces(docs.astype(np.int64)), "a": pieces(a), "b": pieces(None if b is None else b[by])})
+
+
+def collected(packed: DataFrame, kind: str, names: tuple[str, ...]) -> DataFrame:
+    """One row per document row: row_key and an array for each of `names`, from `parts` rows."""
+    ship_package(packed.sparkSession)
+    number = {"long": np.int64, "int": np.int32}[kind]
+
+    def lists(table: pa.Table) -> pa.Table:
+        docs = np.frombuffer(b"".join(table.column("docs").to_pylist()), np.int64)
+        by = np.argsort(docs, kind="stable")
+        docs = docs[by]
+        heads = np.flatnonzero(np.append(True, docs[1:] != docs[:-1])) if len(docs) else np.zeros(0, np.int64)
+        bounds = pa.array(np.append(heads, len(docs)), pa.int32())
+        out = {"row_key": pa.array(docs[heads], pa.int64())}
+        for name, column in zip(names, ("a", "b")):
+            values = np.frombuffer(b"".join(table.column(column).to_pylist()), number)[by]
+            out[name] = pa.ListArray.from_arrays(bounds, pa.array(values))
+        return pa.table(out)
+
+    schema = ", ".join(["row_key long", *[f"{name} array<{kind}>" for name in names]])
+    return packed.groupBy("slot").applyInArrow(lists, schema)
+
+
+def found_keys(packed: DataFrame, buckets: int) -> DataFrame:
     """(row_key, keys): per document row the keys found, from `pack_slice` rows."""
     ship_package(packed.sparkSession)
-    found = packed.groupBy("bucket").applyInArrow(_merge, FOUND)
-    return found.groupBy("row_key").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+
+    def merge(table: pa.Table) -> pa.Table:
+        return _merge(table, buckets)
+
+    return collected(packed.groupBy("bucket").applyInArrow(merge, PARTS), "long", ("keys",))

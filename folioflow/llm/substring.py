@@ -24,8 +24,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from folioflow.llm import common as C
 from folioflow.llm.shared import PACKED, bucket_count, found_keys, pack_slice
@@ -35,9 +33,7 @@ WINDOW = 13
 PERIOD = 7
 COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
-SLICE_BYTES = 2 << 20
-
-STAGED = "row_key long, doc_id long, text string, starts array<int>, n_words long, n_removed long, kept_sha256 string, kept_text string"
+SLICE_BYTES = 1 << 20
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
@@ -71,7 +67,7 @@ def _pack_anchors(buckets: int):
 
 def _window_starts(batch: pa.RecordBatch) -> list[np.ndarray]:
     """Per row the places of windows around shared anchors."""
-    data, offsets = C.text_bytes(batch.column("text"))
+    data, offsets = C.text_bytes(pc.fill_null(batch.column("text"), ""))
     starts, ends, first = C.word_bounds(data, offsets)
     at, row, keys = _anchors(C.word_hashes(data, starts, ends), first)
     shared = pa_lists(batch.column("keys"))
@@ -90,52 +86,33 @@ def pa_lists(column: pa.Array) -> list[np.ndarray]:
     return [np.array([] if x is None else x, np.int64).view(np.uint64) for x in column.to_pylist()]
 
 
-def _stage(with_text: bool):
-    """Rows that are copies of one with a smaller id, and rows without a shared anchor, are done; others go on."""
-
-    fields = to_arrow_schema(T.StructType.fromDDL(STAGED))
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slices(batches, limit=SLICE_BYTES):
-            batch = batch.set_column(batch.schema.get_field_index("text"), "text", pc.fill_null(batch.column("text"), ""))
-            copy = pc.fill_null(pc.less(batch.column("first_id"), pc.fill_null(batch.column("doc_id"), C.NO_ID)), False)
-            open_rows = pc.and_(pc.is_valid(batch.column("keys")), pc.invert(copy))
-            if pc.any(open_rows).as_py():
-                part = batch.filter(open_rows)
-                starts = pa.array([x.tolist() for x in _window_starts(part)], pa.list_(pa.int32()))
-                yield _staged(fields, part, part.column("text"), starts, *[pa.nulls(part.num_rows)] * 4)
-            part, copy = batch.filter(pc.invert(open_rows)), copy.filter(pc.invert(open_rows)).to_pylist()
-            words = [t.split() for t in part.column("text").cast(pa.binary()).to_pylist()]
-            gone = [len(w) if c and len(w) >= WINDOW else 0 for w, c in zip(words, copy)]
-            kept = [b"" if g else b" ".join(w) for w, g in zip(words, gone)]
-            digests = [hashlib.sha256(k).hexdigest() for k in kept]
-            none = pa.nulls(part.num_rows)
-            yield _staged(fields, part, none, none, [len(w) for w in words], gone, digests, [k.decode() for k in kept] if with_text else none)
-
-    return step
-
-
-def _staged(fields: pa.Schema, part: pa.RecordBatch, *columns) -> pa.RecordBatch:
-    arrays = [c.cast(t) if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, fields.types[2:])]
-    return pa.RecordBatch.from_arrays([part.column("row_key"), part.column("doc_id"), *arrays], fields.names)
+def _keys(data, starts, ends, at) -> tuple[np.ndarray, np.ndarray]:
+    """64 bits and 32 more of the windows that start at the given words."""
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+    lo, hi = [C.window_hashes(C.word_hashes(data, starts, ends, seed), WINDOW, seed)[at] for seed in (1, 2)]
+    return lo, (hi >> np.uint64(32)).astype(np.uint32)
 
 
-def _windows(batch: pa.RecordBatch):
-    """(window start as a word of the slice, row, 64-bit key, 32 more bits) of the staged windows."""
-    data, offsets = C.text_bytes(batch.column("text"))
-    starts, ends, first = C.word_bounds(data, offsets)
-    lists = batch.column("starts")
-    flat = lists.flatten().to_numpy().astype(np.int64)
-    row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
-    at = flat + first[row]
-    keys = [C.window_hashes(C.word_hashes(data, starts, ends, seed), WINDOW, seed)[at] if len(at) else np.zeros(0, np.uint64) for seed in (1, 2)]
-    return data, starts, ends, first, at, row, keys[0], (keys[1] >> np.uint64(32)).astype(np.uint32)
+def _copy(batch: pa.RecordBatch) -> pa.Array:
+    """Rows whose whole text a smaller id has."""
+    own = pc.fill_null(batch.column("doc_id"), C.NO_ID)
+    return pc.fill_null(pc.less(batch.column("first_id"), own), False)
 
 
 def _pack_windows(buckets: int):
+    """Windows around shared anchors, of rows that are no copies."""
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slices(batches, limit=SLICE_BYTES):
-            *_, row, lo, hi = _windows(batch)
+        for whole in C.slices(batches, limit=SLICE_BYTES):
+            batch = whole.filter(pc.and_(pc.is_valid(whole.column("keys")), pc.invert(_copy(whole))))
+            if not batch.num_rows:
+                continue
+            found = _window_starts(batch)
+            data, offsets = C.text_bytes(batch.column("text"))
+            starts, ends, first = C.word_bounds(data, offsets)
+            row = np.repeat(np.arange(batch.num_rows), [len(f) for f in found])
+            lo, hi = _keys(data, starts, ends, np.concatenate(found).astype(np.int64) + first[row])
             yield from pack_slice(lo, row, batch.column("row_key").to_numpy(), buckets, hi, C.ids(batch.column("doc_id")))
 
     return step
@@ -144,42 +121,50 @@ def _pack_windows(buckets: int):
 def _remove(with_text: bool):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.slices(batches, limit=SLICE_BYTES):
-            data, starts, ends, first, at, row, lo, _ = _windows(batch)
+            text = pc.fill_null(batch.column("text"), "")
+            data, offsets = C.text_bytes(text)
+            starts, ends, first = C.word_bounds(data, offsets)
             gone = pa_lists(batch.column("keys"))
-            edges = np.searchsorted(row, np.arange(batch.num_rows + 1))
             mark = np.zeros(len(starts) + 1, np.int64)
-            for i in range(batch.num_rows):
-                own = slice(edges[i], edges[i + 1])
-                hit = at[own][np.isin(lo[own], gone[i])]
-                np.add.at(mark, hit, 1)
-                np.subtract.at(mark, hit + WINDOW, 1)
+            if any(len(g) for g in gone):
+                windows = C.window_hashes(C.word_hashes(data, starts, ends, 1), WINDOW, 1)
+                for i, keys in enumerate(gone):
+                    if len(keys):
+                        hit = np.flatnonzero(np.isin(windows[first[i] : first[i + 1] - WINDOW + 1], keys)) + first[i]
+                        mark[hit] += 1
+                        mark[hit + WINDOW] -= 1
             kept = np.cumsum(mark[:-1]) == 0
+            sizes = np.diff(first)
+            for i in np.flatnonzero(_copy(batch).to_numpy(zero_copy_only=False) & (sizes >= WINDOW)):
+                kept[first[i] : first[i + 1]] = False
+            left = np.add.reduceat(np.append(kept, False), first[:-1]) * (sizes > 0) if len(starts) else sizes
             raw = data.tobytes()
-            words, removed, digests, texts = [], [], [], []
+            digests, texts = [], []
             for i in range(batch.num_rows):
-                own = np.flatnonzero(kept[first[i] : first[i + 1]]) + first[i]
-                text = b" ".join([raw[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist())])
-                words.append(int(first[i + 1] - first[i]))
-                removed.append(words[-1] - len(own))
-                digests.append(hashlib.sha256(text).hexdigest())
-                texts.append(text.decode() if with_text else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
-            )
+                if left[i] == sizes[i]:
+                    rest = b" ".join(raw[offsets[i] : offsets[i + 1]].split())
+                else:
+                    own = np.flatnonzero(kept[first[i] : first[i + 1]]) + first[i]
+                    rest = b" ".join([raw[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist())])
+                digests.append(hashlib.sha256(rest).hexdigest())
+                texts.append(rest.decode() if with_text else None)
+            columns = [batch.column("doc_id"), pa.array(sizes), pa.array(sizes - left), pa.array(digests, pa.string()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
     return step
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, and kept_text if asked for, one row per input row."""
+    """doc_id, n_words, n_removed, kept_sha256, and kept_text if asked for, one row per input row.
+
+    Each step is a written table of narrow rows; the texts are read for every step and shuffled twice, to meet
+    the anchors and to meet the windows.
+    """
     docs = C.keyed(docs)
     buckets = bucket_count(docs)
-    anchors = found_keys(C.map_arrow(docs, _pack_anchors(buckets), PACKED))
-    joined = docs.join(anchors, "row_key", "left").join(C.copies(docs).drop("first_key"), "row_key", "left")
-    staged = stored(C.map_arrow(joined, _stage(with_text), STAGED))
-    opened = staged.where("text is not null").select("row_key", "doc_id", "text", "starts")
-    windows = found_keys(C.map_arrow(opened, _pack_windows(buckets), PACKED))
-    changed = C.map_arrow(opened.join(windows, "row_key", "left"), _remove(with_text), RESULT)
-    rest = staged.where("text is null").select("doc_id", "n_words", "n_removed", "kept_sha256", "kept_text")
-    return changed.unionByName(rest)
+    copies = stored(C.copies(docs).drop("first_key"))
+    anchors = stored(found_keys(C.map_arrow(docs, _pack_anchors(buckets), PACKED), buckets))
+    near = docs.join(anchors, "row_key").join(copies, "row_key", "left")
+    windows = stored(found_keys(C.map_arrow(near, _pack_windows(buckets), PACKED), buckets))
+    rows = docs.join(windows, "row_key", "left").join(copies, "row_key", "left")
+    return C.map_arrow(rows, _remove(with_text), RESULT)
