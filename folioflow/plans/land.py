@@ -74,8 +74,8 @@ def land(
         return batch_outcomes(zone, batch)
 
     prepared = zone.stage("prepared", batch, cases.prepare_cases(incoming))
-    existing = zone.cases.keys("file_hash", "path_to_file")
-    changes = cases.detect_changes(cases.valid(prepared), existing)
+    rows = cases.valid(prepared)
+    changes = cases.detect_changes(rows, zone.cases.state(rows))
     decisions = zone.stage("decisions", batch, changes.drop("object_key"))
 
     zone.content.write(batch, stored_content(payloads, decisions, by))

@@ -19,6 +19,12 @@ _PATH = (
 )
 
 
+def _with_edges(table: str, number: str, every: int) -> str:
+    return f"""
+rows AS (
+  SELECT *, unnest(CASE WHEN {number} % {every} = 0 THEN [false, true] ELSE [false] END) AS edge FROM {table})"""
+
+
 def _path(url: str) -> str:
     return _PATH.format(url)
 
@@ -221,10 +227,11 @@ _LINK = "CASE WHEN page_id % 3 = 0 THEN 'https://files.example.org/a+b%2Fcase%20
 
 ORACLE = {
     "clean_text_cols": f"""
-WITH r AS (SELECT doc_id, {_case(
-        "doc_id", "text", "'  ' || chr(9) || replace(text, ' ', ' ' || chr(10) || ' ') || chr(9)",
-        "' ' || chr(9) || chr(10) || ' '", "''", "chr(10) || text")} AS raw FROM documents)
-SELECT doc_id, {_clean('raw')} AS cleaned,
+WITH {_with_edges('documents', 'doc_id', 5)},
+r AS (SELECT doc_id, edge, CASE WHEN edge THEN {_case("doc_id", "' ' || chr(9) || chr(10) || ' '", "''", "NULL")}
+             ELSE {_case("doc_id", "text", "'  ' || chr(9) || replace(text, ' ', ' ' || chr(10) || ' ') || chr(9)",
+                         "chr(10) || text")} END AS raw FROM rows)
+SELECT doc_id, edge, {_clean('raw')} AS cleaned,
        trim(regexp_replace(raw, '\\s+', ' ', 'g')) AS collapsed FROM r""",
     "normalise_dates": f"""
 WITH r AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, {_case(
@@ -238,28 +245,30 @@ n AS (SELECT *, coalesce(strftime(try_strptime(raw, '%d/%m/%Y'), '%Y-%m-%d'),
 SELECT o_orderkey, raw, record_date,
        CAST(try_strptime(record_date, '%Y-%m-%d') AS DATE) AS record_day, d AS parsed FROM n""",
     "identifier_from_url": f"""
-WITH r AS (SELECT page_id, CASE WHEN page_id % 4 = 3 THEN '' ELSE url END AS url,
-                  {_case("page_id", "NULL", "CAST(page_id AS VARCHAR)", "'REF-' || page_id", "NULL")} AS raw,
-                  'Title ' || page_id AS title FROM pages),
+WITH {_with_edges('pages', 'page_id', 4)},
+r AS (SELECT page_id, edge, CASE WHEN edge THEN '' ELSE url END AS url,
+             {_case("page_id", "NULL", "CAST(page_id AS VARCHAR)", "'REF-' || page_id")} AS raw,
+             'Title ' || page_id AS title FROM rows),
 s AS (SELECT *, {_path('url')} AS path, {_slug('url')} AS slug FROM r)
-SELECT page_id, path, slug,
+SELECT page_id, edge, path, slug,
        CASE WHEN regexp_full_match(raw, '[0-9]+') AND slug IS NOT NULL THEN slug
             ELSE coalesce(raw, slug, title) END AS identifier FROM s""",
     "content_type_ext": f"""
-WITH r AS (SELECT page_id, {_LINK} AS link, {_case(
+WITH {_with_edges('pages', 'page_id', 3)},
+r AS (SELECT page_id, edge, url AS link, {_case(
         "page_id", "'text/html'", "'application/pdf'", "''", "''", "'application/xhtml+xml'",
         "'application/vnd.ms-word.document.macroenabled.12'", "'text/plain'")} AS mime,
-     {_case("page_id", "NULL", "'docx'", "NULL", "NULL")} AS name_suffix FROM pages),
-s AS (SELECT *, CASE WHEN page_id % 3 = 0 THEN '/a+b/case ' || page_id || '.PDF'
+     {_case("page_id", "NULL", "'docx'", "NULL", "NULL")} AS name_suffix FROM rows),
+s AS (SELECT *, CASE WHEN edge THEN '/a+b/case ' || page_id || '.PDF'
                      ELSE {_path('link')} END AS decoded_path FROM r),
 t AS (SELECT *, nullif(lower(regexp_extract(regexp_extract(decoded_path, '([^/]*)/*$', 1),
                                             '^.+\\.([^.]+)$', 1)), '') AS suffix FROM s)
-SELECT page_id, mime, decoded_path, suffix,
+SELECT page_id, edge, mime, decoded_path, suffix,
        coalesce({_extension('mime')}, name_suffix, suffix,
                 CASE WHEN contains(mime, 'html') THEN 'html' END, 'bin') AS landing_ext,
        coalesce({_extension('mime')}, 'bin') AS processed_ext,
        mime IN ('application/pdf', 'application/vnd.ms-word.document.macroenabled.12')
-         OR (page_id % 3 <> 0 AND regexp_matches(lower(decoded_path), '\\.(pdf|doc|docx)$'))
+         OR (NOT edge AND regexp_matches(lower(decoded_path), '\\.(pdf|doc|docx)$'))
          AS is_binary FROM t""",
     "object_keys": f"""
 WITH r AS (SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN source ELSE 'unknown' END AS source, lang,
@@ -271,8 +280,10 @@ SELECT doc_id,
        'Court_of_' || upper(lang) || '/2024-' || m || '/Case/' || doc_id || '-A.' || ext
          AS processed_key FROM r""",
     "content_hash": """
-SELECT doc_id, sha256(CASE WHEN doc_id % 3 = 2 OR text = '' THEN 'https://docs.example.org/' || doc_id
-                           ELSE text END) AS file_hash FROM documents""",
+WITH r AS (SELECT doc_id, text, 'https://docs.example.org/' || doc_id AS link FROM documents)
+SELECT doc_id, sha256(CASE WHEN text = '' THEN 'x' ELSE text END) AS by_bytes,
+       sha256(CASE WHEN text = '' THEN link ELSE text END) AS by_html, sha256(link) AS by_link,
+       sha256(text || chr(65533) || 'z') AS decoded FROM r""",
     "resolve_links": f"""
 WITH r AS (SELECT page_id, url, {_site('url')} AS site,
                   regexp_replace({_path('url')}, '[^/]*$', '') AS folder FROM pages),
@@ -334,15 +345,16 @@ WHERE partition_date BETWEEN '1996-02' AND '1997-07' AND body = '1-URGENT'""",
 WITH {_ORDERS}
 SELECT body, count(*) AS n FROM oc WHERE partition_date BETWEEN '1996-02' AND '1997-07' GROUP BY 1""",
     "normalize_cases": f"""
-WITH r AS (SELECT d.doc_id, {_case("d.doc_id", "NULL", "CAST(d.doc_id AS VARCHAR)", "'REF ' || d.doc_id",
+WITH {_with_edges('documents', 'doc_id', 4)},
+r AS (SELECT d.doc_id, edge, {_case("d.doc_id", "NULL", "CAST(d.doc_id AS VARCHAR)", "'REF ' || d.doc_id",
                                    "NULL", "CAST(d.doc_id AS VARCHAR)")} AS raw,
-                  CASE WHEN d.doc_id % 8 <> 7 THEN {_clean('text')} END AS title,
+                  CASE WHEN NOT edge THEN {_clean('text')} END AS title,
                   {_case("d.doc_id", "'2024-03-07'", "'2024-03-09'", "'March 2024'", "NULL")} AS record_date,
-                  source || ' A' AS source, 'Court of ' || lang AS body, {_slug('url')} AS slug
-           FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id),
+                  source || ' A' AS source, 'Court of ' || lang AS body, CASE WHEN NOT edge THEN {_slug('url')} END AS slug
+           FROM rows d LEFT JOIN pages p ON p.page_id = d.doc_id),
 i AS (SELECT *, CASE WHEN regexp_full_match(raw, '[0-9]+') AND slug IS NOT NULL THEN slug
                      ELSE coalesce(raw, slug, title) END AS identifier FROM r)
-SELECT doc_id, identifier, title, CAST(NULL AS VARCHAR) AS description, 'REF ' || doc_id AS case_number,
+SELECT doc_id, edge, identifier, title, CAST(NULL AS VARCHAR) AS description, 'REF ' || doc_id AS case_number,
        record_date, source, body, identifier IS NULL AS dropped FROM i""",
     "detect_changes": _DETECT,
     "stream_changes": _DETECT,

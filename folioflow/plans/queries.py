@@ -19,7 +19,7 @@ from folioflow.plans.transform import process_rows, processed_content, transform
 from folioflow.plans.zones import capture_cases, run_zones
 from folioflow.plans.zones import run_metrics as all_run_metrics
 from folioflow.session import ROCKS_DB, STATE_STORE, new_folder
-from folioflow.sources.captures import stream_files
+from folioflow.sources.captures import read_pages, stream_files
 from folioflow.sources.zones import landing_zone, processed_zone
 from folioflow.streaming.changes import CHANGES, stream_changes
 from folioflow.streaming.landing import stream_landing
@@ -64,12 +64,19 @@ def _escaped(column: Column) -> Column:
 # --------------------------------------------------------------------------
 
 
+def _with_edges(rows: DataFrame, number: str, every: int) -> DataFrame:
+    """All rows, and every so manieth once more marked `edge`, for values that real rows do not have."""
+    copies = F.when(F.col(number) % every == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    return rows.withColumn("edge", F.explode(copies))
+
+
 def clean_text_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = _with_edges(table(spark, sf_dir, "documents"), "doc_id", 5)
     spaced = _text_of("  \t", F.replace("text", F.lit(" "), F.lit(" \n ")), "\t")
-    raw = pick("doc_id", F.col("text"), spaced, " \t\n ", "", _text_of("\n", F.col("text")))
+    real = pick("doc_id", F.col("text"), spaced, _text_of("\n", F.col("text")))
+    raw = F.when(F.col("edge"), pick("doc_id", " \t\n ", "", None)).otherwise(real)
     return docs.select(
-        "doc_id", text.clean_text(raw).alias("cleaned"), text.collapse(raw).alias("collapsed")
+        "doc_id", "edge", text.clean_text(raw).alias("cleaned"), text.collapse(raw).alias("collapsed")
     )
 
 
@@ -95,14 +102,16 @@ def normalise_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def identifier_from_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "pages").select(
+    rows = _with_edges(table(spark, sf_dir, "pages"), "page_id", 4).select(
         "page_id",
-        pick("page_id", F.col("url"), F.col("url"), F.col("url"), "").alias("url"),
-        pick("page_id", None, _n("page_id"), _text_of("REF-", _n("page_id")), None).alias("raw"),
+        "edge",
+        F.when(F.col("edge"), "").otherwise(F.col("url")).alias("url"),
+        pick("page_id", None, _n("page_id"), _text_of("REF-", _n("page_id"))).alias("raw"),
         _text_of("Title ", _n("page_id")).alias("title"),
     )
     return rows.select(
         "page_id",
+        "edge",
         urls.path("url").alias("path"),
         urls.slug("url").alias("slug"),
         naming.resolve_identifier("raw", "url", "title").alias("identifier"),
@@ -111,8 +120,9 @@ def identifier_from_url(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def content_type_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = _n("page_id")
-    rows = table(spark, sf_dir, "pages").select(
+    rows = _with_edges(table(spark, sf_dir, "pages"), "page_id", 3).select(
         "page_id",
+        "edge",
         pick(
             "page_id",
             "Text/HTML; charset=utf-8",
@@ -126,16 +136,14 @@ def content_type_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
         pick("page_id", None, _text_of("Ruling ", number, ".DOCX"), "noext", ".hidden").alias(
             "file_name"
         ),
-        pick(
-            "page_id",
-            _text_of("https://files.example.org/a+b%2Fcase%20", number, "%2EPDF?x=1.doc"),
-            F.col("url"),
-            F.col("url"),
-        ).alias("link"),
+        F.when(F.col("edge"), _text_of("https://files.example.org/a+b%2Fcase%20", number, "%2EPDF?x=1.doc"))
+        .otherwise(F.col("url"))
+        .alias("link"),
     )
     mime = naming.content_type("raw_type")
     return rows.select(
         "page_id",
+        "edge",
         mime.alias("mime"),
         urls.unquote(urls.path("link")).alias("decoded_path"),
         urls.suffix(urls.unquote(urls.path("link"))).alias("suffix"),
@@ -167,14 +175,18 @@ def object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashes of a text as bytes, as HTML, as bytes that are no UTF-8, and of the link where there is neither."""
     docs = table(spark, sf_dir, "documents")
-    turn = F.col("doc_id") % 3
-    body = payload.build_payload(
-        F.when(turn == 0, F.col("text").cast("binary")).otherwise(F.lit("").cast("binary")),
-        F.when(turn == 1, F.col("text")),
-        _text_of("https://docs.example.org/", _n("doc_id")),
+    link = _text_of("https://docs.example.org/", _n("doc_id"))
+    raw, none = F.col("text").cast("binary"), F.lit("").cast("binary")
+    broken = F.concat(raw, F.unhex(F.lit("FF")), F.lit("z").cast("binary"))
+    return docs.select(
+        "doc_id",
+        payload.content_hash(payload.build_payload(raw, F.lit("x"), link)).alias("by_bytes"),
+        payload.content_hash(payload.build_payload(none, F.col("text"), link)).alias("by_html"),
+        payload.content_hash(payload.build_payload(none, F.lit(""), link)).alias("by_link"),
+        payload.content_hash(text.decode_bytes(broken)).alias("decoded"),
     )
-    return docs.select("doc_id", payload.content_hash(body).alias("file_hash"))
 
 
 def resolve_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,24 +332,26 @@ def month_range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = _with_edges(table(spark, sf_dir, "documents"), "doc_id", 4)
     page = table(spark, sf_dir, "pages").withColumnRenamed("page_id", "doc_id")
     number = _n("doc_id")
     rows = docs.join(page, "doc_id", "left").select(
         "doc_id",
+        "edge",
         pick(
             "doc_id", None, number, _text_of(" REF ", number, "\t"), None, number
         ).alias("identifier"),
-        F.when(F.col("doc_id") % 8 != 7, _text_of(" \n", F.col("text"), " ")).alias("title"),
+        F.when(~F.col("edge"), _text_of(" \n", F.col("text"), " ")).alias("title"),
         F.lit("  ").alias("description"),
         _text_of(" REF\t", number).alias("case_number"),
         pick("doc_id", " 7/3/2024 ", "2024-3-9", "March 2024", None).alias("record_date"),
         _text_of(F.col("source"), "  A").alias("source"),
         _text_of(" Court  of ", F.col("lang")).alias("body"),
-        "url",
-    ).withColumnRenamed("url", "source_page_url")
+        F.when(~F.col("edge"), F.col("url")).alias("source_page_url"),
+    )
     return cases.normalize_cases(rows).select(
         "doc_id",
+        "edge",
         "identifier",
         "title",
         "description",
@@ -931,7 +945,10 @@ def capture_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("text/html").alias("content_type"),
         _article(F.col("html")).cast("binary").alias("body"),
     )
-    zone = landing_zone(spark, new_folder(spark, "capture"))
+    folder = new_folder(spark, "capture")
+    captured.write.parquet(f"{folder}/pages")
+    zone = landing_zone(spark, f"{folder}/landing")
+    captured = read_pages(spark, f"{folder}/pages")
     incoming = capture_cases(starts, results.select("url", "html"), captured, "Source A", zone, 0)
     land(incoming, zone, 0, RUN_TS)
     return zone.cases.read().select(

@@ -83,12 +83,6 @@ LISTING = _struct(
     "case_number string, record_date string, href string"
 )
 
-CASE_LISTINGS = _struct(
-    "source string, body string, partition_date string, identifier string, title string, "
-    "description string, case_number string, record_date string, source_page_url string, "
-    "page int, position int"
-)
-
 CASE_COLUMNS = (
     "source string, body string, identifier string, title string, description string, "
     "case_number string, record_date string, partition_date string, source_page_url string, "

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow import schemas as S
-from folioflow.functions import text
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -27,15 +26,6 @@ def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     )
 
 
-def pages_from_html(html_table: DataFrame, url: str, html: str) -> DataFrame:
-    """A table of page text as captured pages."""
-    return html_table.select(
-        F.col(url).alias("url"),
-        F.lit("text/html").alias("content_type"),
-        text.as_column(html).cast("binary").alias("body"),
-    )
-
-
 def stream_files(
     spark: SparkSession, path: str, schema, files_per_batch: int, glob: str | None = None
 ) -> DataFrame:

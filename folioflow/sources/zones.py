@@ -7,6 +7,9 @@ alternates between two slots, so a reader opens two small files however many bat
 Readers see the last published list, so they never meet a half-written batch, and a batch that
 failed is simply written again.
 
+Beside the rows, the hash, path and partition of each identifier are kept by buckets of the identifier:
+a batch appends its own and finds those of its identifiers in their buckets alone.
+
 Content tables only grow: a batch adds the payloads it stores, and the newest published one of a path
 counts.
 """
@@ -29,6 +32,8 @@ from folioflow.session import small_table, stored
 
 KEY = "identifier"
 PARTITION = ["zone_body", "zone_month"]
+# State by identifier is kept in this many buckets, and merged after this many batches.
+BUCKETS, DELTAS = 64, 16
 # A folder of this form is named exactly as its month; any other is opened and filtered.
 _MONTH = re.compile(r"\d{4}-\d{2}\Z")
 
@@ -65,6 +70,14 @@ class MetadataTable:
         ]
     )
 
+    # What is kept per identifier beside the rows; a NULL partition in the list names such a folder.
+    _STATE = T.StructType(
+        [
+            T.StructField(name, T.StringType())
+            for name in (KEY, "file_hash", "path_to_file", "zone_body", "zone_month")
+        ]
+    )
+
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self._placed = S.extended(schema, "zone_body string, zone_month string")
@@ -87,7 +100,10 @@ class MetadataTable:
         paths = [
             f"{data}/v={r.folder}/zone_body={r.zone_body}/zone_month={r.zone_month}"
             for r in index
+            if r.zone_month is not None
         ]
+        if not paths:
+            return small_table(self.spark, [], self._placed)
         reader = self.spark.read.schema(self._placed).option("basePath", data)
         return reader.parquet(*paths).drop("v")
 
@@ -108,13 +124,59 @@ class MetadataTable:
         index = [
             r
             for r in self._index()[1]
-            if wanted in (None, r.zone_body)
+            if r.zone_month is not None
+            and wanted in (None, r.zone_body)
             and (start_month <= r.zone_month <= end_month or not _MONTH.match(r.zone_month))
         ]
         return month_range(self._rows(index), start_month, end_month, body).select(
             *self.schema.names
         )
 
+    # -- state by identifier ----------------------------------------------
+
+    @staticmethod
+    def _bucket() -> Column:
+        return F.pmod(F.xxhash64(KEY), F.lit(BUCKETS)).cast("int")
+
+    def _states(self, index: list[T.Row], buckets: list[int] | None) -> DataFrame:
+        """Newest state of each identifier in some buckets; no other folder is opened."""
+        paths = [f"{self.path}/keys/v={r.folder}" for r in index if r.zone_month is None]
+        if not paths:
+            return small_table(self.spark, [], self._STATE)
+        schema = S.extended(self._STATE, "v bigint, bucket int")
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/keys").parquet(*paths)
+        if buckets is not None:
+            rows = rows.where(F.col("bucket").isin(buckets))
+        values = F.struct(*self._STATE.names[1:])
+        newest = rows.groupBy(KEY).agg(F.max_by(values, "v").alias("s"))
+        return newest.select(KEY, "s.*")
+
+    def state(self, identifiers: DataFrame, index: list[T.Row] | None = None) -> DataFrame:
+        """`identifier, file_hash, path_to_file` and partition of the given identifiers that are held.
+
+        Reads the buckets of these identifiers only, so a small batch reads little of a large table.
+        """
+        index = self._index()[1] if index is None else index
+        asked = identifiers.select(KEY)
+        found = asked.select(self._bucket().alias("b")).distinct().collect()  # BUCKETS at most
+        return self._states(index, [r.b for r in found]).join(asked, KEY, "left_semi")
+
+    def _write_states(self, batch: int, index: list[T.Row], written: DataFrame, asked: DataFrame) -> list[int]:
+        """Add the states of a batch; return the folders that hold states from now on.
+
+        Every `DELTAS` batches they are merged into one folder, so few are read and each row is
+        rewritten once in that many batches.
+        """
+        folders = [r.folder for r in index if r.zone_month is None]
+        fresh = written.select(*self._STATE.names).join(asked.select(KEY), KEY, "left_semi")
+        if len(folders) >= DELTAS:
+            kept = self._states(index, None).join(asked.select(KEY), KEY, "left_anti")
+            fresh, folders = fresh.unionByName(kept), []
+        target = f"{self.path}/keys/v={batch}"
+        placed = fresh.withColumn("bucket", self._bucket()).repartition("bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(target)
+        return [*folders, batch]
+
     # -- writing ----------------------------------------------------------
 
     def publish(self, batch: int, incoming: DataFrame, supplied: Iterable[str]) -> None:
@@ -124,11 +186,7 @@ class MetadataTable:
             return
         zone = {"zone_body": folder_name("body"), "zone_month": folder_name("partition_date")}
         new_homes = incoming.select(KEY, *[c.alias(n) for n, c in zone.items()])
-        old_homes = (
-            self._rows(index)
-            .select(KEY, *PARTITION)
-            .join(incoming.select(KEY), KEY, "left_semi")
-        )
+        old_homes = self.state(incoming, index).select(KEY, *PARTITION)
         homes = new_homes.withColumn("gains", F.lit(True)).unionByName(
             old_homes.withColumn("gains", F.lit(False))
         )
@@ -149,7 +207,10 @@ class MetadataTable:
         if len(filled) < len(touched):  # a partition that only lost rows may be empty now
             written = _read(self.spark, target, self._placed)
             filled = {tuple(r) for r in written.select(*PARTITION).distinct().collect()}
-        entries = [(r.zone_body, r.zone_month, r.folder) for r in kept]
+        written = _read(self.spark, target, self._placed)
+        folders = self._write_states(batch, index, written, incoming)
+        entries = [(r.zone_body, r.zone_month, r.folder) for r in kept if r.zone_month is not None]
+        entries += [(None, None, folder) for folder in folders]
         entries += [(body, month, batch) for body, month in sorted(filled)]
         entries = [(*e, batch) for e in entries]
         listed = small_table(self.spark, entries, T.StructType(self._INDEX.fields[:4]))

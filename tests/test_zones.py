@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from folioflow.operators.pages import document_pages
 from folioflow.plans.land import land, stored_content
 from folioflow.plans.transform import KEPT, process_rows, processed_content, transform
 from folioflow.plans.zones import build_cases, capture_cases, run_metrics, run_zones
-from folioflow.sources import captures
+from folioflow.sources import captures, zones
 from folioflow.sources.zones import landing_zone, processed_zone
 from folioflow.streaming.changes import stream_changes
 from folioflow.streaming.landing import stream_landing
@@ -139,7 +140,7 @@ def test_moved_rows_leave_their_partition(spark, tmp_path):
     assert zone.cases.scan_months("2024-01", "2024-01").count() == 1
     assert [r.identifier for r in zone.cases.scan_months("2024-02", "2024-12").collect()] == ["A"]
     assert [r.identifier for r in zone.cases.scan_months("2024-01", "2024-12", "Other").collect()] == ["B"]
-    folders = {(r.zone_body, r.folder) for r in zone.cases._index()[1]}
+    folders = {(r.zone_body, r.folder) for r in zone.cases._index()[1] if r.zone_body}
     assert folders == {("other", 0), ("labour_court", 1)}
 
 
@@ -324,6 +325,29 @@ def test_the_index_does_not_grow_with_batches(spark, tmp_path):
     assert len(files) == 2 and zone.cases.read().count() == 5
 
 
+def test_a_small_batch_opens_its_own_buckets(spark, tmp_path):
+    zone = landing_zone(spark, str(tmp_path))
+    land(frame(spark, [case(f"k{i}", i, "x") for i in range(300)]), zone, 0, T1)
+    one = frame(spark, [case("k7", 1, "x")])
+    state = zone.cases.state(one)
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*bucket#\d+ (?:=|IN)", plan)
+    assert [r.identifier for r in state.collect()] == ["k7"]
+
+
+def test_states_are_merged_and_stay_right(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(zones, "DELTAS", 2)
+    zone = landing_zone(spark, str(tmp_path))
+    for batch in range(5):
+        rows = [case(f"k{batch}", 1, "new"), case("same", 2, "x"), case("moved", 3, "y", partition_date=f"2024-0{batch + 1}")]
+        land(frame(spark, rows), zone, batch, T1)
+    table = {r.identifier: (r.file_hash, r.path_to_file) for r in zone.cases.read().collect()}
+    states = {r.identifier: (r.file_hash, r.path_to_file) for r in zone.cases.state(zone.cases.read()).collect()}
+    assert states == table and len(table) == 7
+    assert sum(r.zone_month is None for r in zone.cases._index()[1]) <= 2
+    assert table["moved"][1].endswith("/2024-01/moved.html")
+
+
 def test_run_zones_reports_each_partition(spark, tmp_path):
     landing = landing_zone(spark, str(tmp_path / "l"))
     processed = processed_zone(spark, str(tmp_path / "p"))
