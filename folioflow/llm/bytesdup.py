@@ -33,7 +33,7 @@ from folioflow.llm.suffixes import repeats
 from folioflow.session import ship_package, stored
 
 MATCH = 200
-ANCHOR = 100
+ANCHOR = 50
 SPLIT_ROWS = 4096
 # Text of a shard, and of an anchor's span at most: the number of shards follows the number of anchors found.
 SHARD_BYTES, SPAN_BYTES = 1 << 20, 2 * MATCH - ANCHOR

@@ -16,7 +16,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     first = np.zeros(n, np.uint64)
     for i in range(8):
         first = (first << np.uint64(8)) | padded[i : i + n]
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     head = np.ones(n, bool)
     head[1:] = first[order][1:] != first[order][:-1]
     rank = np.empty(n, np.int64)  # a group's number is the place of its first member
@@ -32,7 +32,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         group = rank[members]
         later = members + known
         second = np.where(later < n, rank[np.minimum(later, n - 1)] + 1, 0)
-        by = np.argsort(group * (n + 2) + second, kind="stable")
+        by = np.argsort(group * (n + 2) + second)
         members, group, second = members[by], group[by], second[by]
         order[places] = members
         new = np.ones(len(places), bool)
