@@ -312,50 +312,48 @@ def content_text(page: Page) -> str:
     return ""
 
 
-def attachment_href(page: Page) -> str | None:
-    """First non-empty link of the first rule that has one."""
-
-    def links(spans, classes=None):
-        for i in page.inside(spans):
-            if page.matches(i, "a", classes) and "href" in page.data[i]:
-                yield i, page.data[i]["href"]
-
-    def saying(spans):
-        """Links whose text has the phrase. The text of the spans is joined once, and places in it looked up."""
-        nodes = [i for i in page.inside(spans) if page.tags[i] == TEXT]
-        ends, size = [], 0
-        for i in nodes:
-            size += len(page.data[i])
-            ends.append(size)
-        words = "".join(page.data[i] for i in nodes)
-        marks = _phrase_places(words)
-        starts = [m for m, _ in marks]
-        for i, href in links(spans):
-            first, last = bisect_left(nodes, i), bisect_left(nodes, page.stop[i])
-            if first < last:
-                begin, end = ends[first] - len(page.data[nodes[first]]), ends[last - 1]
-                k = bisect_left(starts, begin)
-                if k < len(marks) and marks[k][1] <= end:
-                    yield href
-
-    content = list(page.find("div", "content"))
-    loose = [i for i in page.find("div") if "content" in page.data[i].get("class", "")]
-    rules = [
-        *(
-            lambda ending=ending: (h for _, h in links(content) if h.endswith(ending))
-            for ending in (".pdf", ".doc", ".docx")
-        ),
-        lambda: (h for _, h in links(list(page.find("div", "related-items related-file")), "download")),
-        lambda: (h for _, h in links(list(page.find("div", "related-item-content")), "download")),
-        lambda: saying(loose),
-        lambda: (h for _, h in links(loose) if ".pdf" in h or ".doc" in h),
+def anchors(page: Page) -> list[dict]:
+    """Links in the places where an attachment may be, with what the choice among them needs."""
+    spans = {
+        "content": list(page.find("div", "content")),
+        "related": list(page.find("div", "related-items related-file")),
+        "item": list(page.find("div", "related-item-content")),
+        "loose": [i for i in page.find("div") if "content" in page.data[i].get("class", "")],
+    }
+    inside = {
+        place: [i for i in page.inside(nodes) if page.tags[i] == "a" and "href" in page.data[i]]
+        for place, nodes in spans.items()
+    }
+    places = {place: set(nodes) for place, nodes in inside.items()}
+    saying = _saying(page, spans["loose"], inside["loose"])
+    return [
+        {
+            "href": page.data[i]["href"],
+            **{place: i in nodes for place, nodes in places.items()},
+            "download": page.matches(i, "a", "download"),
+            "says": i in saying,
+        }
+        for i in sorted(set().union(*places.values()))
     ]
-    # A rule is looked at only if none before it has a link.
-    for rule in rules:
-        href = next(rule(), None)
-        if href:
-            return href
-    return None
+
+
+def _saying(page: Page, spans: list[int], links: list[int]) -> set[int]:
+    """Links whose text has the phrase. The text of the spans is joined once, and places in it looked up."""
+    nodes = [i for i in page.inside(spans) if page.tags[i] == TEXT]
+    ends, size = [], 0
+    for i in nodes:
+        size += len(page.data[i])
+        ends.append(size)
+    marks = _phrase_places("".join(page.data[i] for i in nodes))
+    starts = [m for m, _ in marks]
+    out = set()
+    for i in links:
+        first, last = bisect_left(nodes, i), bisect_left(nodes, page.stop[i])
+        if first < last:
+            k = bisect_left(starts, ends[first] - len(page.data[nodes[first]]))
+            if k < len(marks) and marks[k][1] <= ends[last - 1]:
+                out.add(i)
+    return out
 
 
 def _phrase_places(words: str) -> list[tuple[int, int]]:

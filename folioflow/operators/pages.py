@@ -24,7 +24,7 @@ FACTS = {
     "cleaned_text": _TEXT,
     "content_html": _TEXT,
     "content_text": _TEXT,
-    "attachment_href": _TEXT,
+    "anchors": T.ArrayType(S.ANCHOR),
     "listings": T.ArrayType(S.LISTING),
     "next_href": _TEXT,
     "base_href": _TEXT,
@@ -105,6 +105,23 @@ def clean_pages(
     return done.withColumn("file_hash", payload.content_hash("cleaned_html"))
 
 
+def attachment(anchors: Column | str) -> Column:
+    """The attachment of a document page: the first link of the first rule that has one with a target."""
+
+    def ends(ending: str):
+        return lambda a: a["content"] & a["href"].endswith(ending)
+
+    rules = [
+        *(ends(ending) for ending in (".pdf", ".doc", ".docx")),
+        lambda a: a["related"] & a["download"],
+        lambda a: a["item"] & a["download"],
+        lambda a: a["loose"] & a["says"],
+        lambda a: a["loose"] & (a["href"].contains(".pdf") | a["href"].contains(".doc")),
+    ]
+    first = F.array(*[F.get(F.filter(anchors, rule), F.lit(0))["href"] for rule in rules])
+    return F.get(F.filter(first, lambda href: href != ""), F.lit(0))
+
+
 def has_meaningful_content(content_html: Column | str, content_text: Column | str) -> Column:
     node, words = text.as_column(content_html), text.as_column(content_text)
     return F.coalesce((node != "") & (F.length(words) >= S.MIN_TEXT_LENGTH), F.lit(False))
@@ -139,14 +156,15 @@ def document_pages(pages: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     In: `url, content_type, body binary`. Files keep their bytes and never meet Python.
     """
     binary = naming.is_binary_document("content_type", "url")
-    facts = ["content_html", "content_text", "attachment_href", "base_href"]
+    facts = ["content_html", "content_text", "anchors", "base_href"]
     kept = ["url", "content_type", *extra]
     markup = pages.where(~binary).select(*kept, text.decode_bytes("body").alias("page_html"))
     read = extract_pages(markup, "page_html", facts, kept)
     read = read.withColumn("body", F.lit(None).cast("binary"))
     none = F.lit(None).cast("string")
-    files = pages.where(binary).select(*kept, "body", *[none.alias(f) for f in [*facts, "error"]])
-    routed = read.unionByName(files).withColumn(
+    files = pages.where(binary).select(*kept, "body", none.alias("error"))
+    both = read.unionByName(files, allowMissingColumns=True)
+    routed = both.withColumn("attachment_href", attachment("anchors")).withColumn(
         "route", route("content_type", "url", "content_html", "content_text", "attachment_href")
     )
     is_file = F.col("route") == "file"

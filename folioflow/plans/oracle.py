@@ -426,7 +426,7 @@ SELECT page_id, text_length, text_length >= 100 AS meaningful,
     "page_links": f"""
 WITH r AS (SELECT page_id, url,
              replace(replace(regexp_extract(html, '<li><a href="([^"]*)"', 1), '&quot;', '"'), '&amp;', '&')
-             || {_case("page_id", "NULL", "'.pdf'", "'.doc'", "'.pdf?x=1'")} AS attachment_href
+             || {_case("page_id", "NULL", "'.pdf'", "'.doc'", "'.docx'", "''", "''", "''", "'.pdf?x=1'")} AS attachment_href
            FROM pages),
 t AS (SELECT *, {_site('url')} || attachment_href AS attachment_url FROM r)
 SELECT page_id, attachment_href, attachment_url,

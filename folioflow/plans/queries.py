@@ -503,10 +503,6 @@ def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages")
-
-
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned pages by text and its hash, the text of the markup without wrapper too."""
     scan = table(spark, sf_dir, "pages")
@@ -526,13 +522,13 @@ def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pages.extract_pages(_pages(spark, sf_dir), "html", ["cleaned_text"], ["page_id"])
+    done = pages.extract_pages(table(spark, sf_dir, "pages"), "html", ["cleaned_text"], ["page_id"])
     return done.select("page_id", "cleaned_text")
 
 
 def clean_pages_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each kind of markup in the cleaned pages."""
-    done = pages.extract_pages(_pages(spark, sf_dir), "html", ["cleaned_html"], ["page_id"])
+    done = pages.extract_pages(table(spark, sf_dir, "pages"), "html", ["cleaned_html"], ["page_id"])
     html = F.col("cleaned_html")
 
     def found(pattern: str) -> Column:
@@ -554,7 +550,7 @@ def clean_pages_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processed zone of the captured pages: identifier, key, hash and size of each."""
-    done = pages.clean_pages(_pages(spark, sf_dir), "html", ["page_id", "url"])
+    done = pages.clean_pages(table(spark, sf_dir, "pages"), "html", ["page_id", "url"])
     identifier = naming.resolve_identifier(
         F.lit(None).cast("string"), "url", _text_of("Page ", _n("page_id"))
     )
@@ -579,12 +575,12 @@ def _article(html: Column) -> Column:
 
 def page_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third page keeps its plain article, and so has no content node."""
-    rows = _pages(spark, sf_dir).withColumn(
+    rows = table(spark, sf_dir, "pages").withColumn(
         "html", pick("page_id", F.col("html"), _article(F.col("html")), _article(F.col("html")))
     )
     read = pages.extract_pages(
-        rows, "html", ["content_html", "content_text", "attachment_href"], ["page_id", "url"]
-    )
+        rows, "html", ["content_html", "content_text", "anchors"], ["page_id", "url"]
+    ).withColumn("attachment_href", pages.attachment("anchors"))
     mime = pick("page_id", "text/html", "text/html", "text/html", "text/html", "application/pdf")
     return read.select(
         "page_id",
@@ -595,22 +591,28 @@ def page_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Navigation links turned into content links, the first one into a document by turns."""
-    content = F.replace(
-        F.replace("html", F.lit("<nav>"), F.lit('<div class="content">')),
-        F.lit("</nav>"),
-        F.lit("</div>"),
-    )
+    """Navigation links turned into content links, the first one into an attachment by each rule in turn."""
+
+    def placed(opening: str) -> Column:
+        return F.replace(F.replace("html", F.lit("<nav>"), F.lit(opening)), F.lit("</nav>"), F.lit("</div>"))
+
+    content = placed('<div class="content">')
     first = r'(?s)\A(.*?<li><a href="[^"]*)"'
+    loading = (r'(?s)\A(.*?<li><a) ', '$1 class="x download" ')
     html = pick(
         "page_id",
         content,
         F.regexp_replace(content, first, '$1.pdf"'),
         F.regexp_replace(content, first, '$1.doc"'),
+        F.regexp_replace(content, first, '$1.docx"'),
+        F.regexp_replace(placed('<div class="related-items related-file">'), *loading),
+        F.regexp_replace(placed('<div class="related-item-content">'), *loading),
+        F.regexp_replace(content, r'(?s)\A(.*?<li><a href="[^"]*">)[^<]*', "$1 Full\n<i>case</i> REPORT"),
         F.regexp_replace(content, first, '$1.pdf?x=1"'),
     )
-    rows = _pages(spark, sf_dir).withColumn("html", html)
-    read = pages.extract_pages(rows, "html", ["attachment_href"], ["page_id", "url"])
+    rows = table(spark, sf_dir, "pages").withColumn("html", html)
+    read = pages.extract_pages(rows, "html", ["anchors"], ["page_id", "url"])
+    read = read.withColumn("attachment_href", pages.attachment("anchors"))
     target = urls.resolve("url", "attachment_href")
     return read.select(
         "page_id",

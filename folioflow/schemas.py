@@ -58,6 +58,7 @@ _TYPES = {
     "binary": T.BinaryType(),
     "int": T.IntegerType(),
     "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
     "double": T.DoubleType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
@@ -83,6 +84,12 @@ LISTING = _struct(
     "case_number string, record_date string, href string"
 )
 
+# A link of a document page: which of the marked places it is in, and what it looks like.
+ANCHOR = _struct(
+    "href string, content boolean, related boolean, item boolean, loose boolean, "
+    "download boolean, says boolean"
+)
+
 CASE_COLUMNS = (
     "source string, body string, identifier string, title string, description string, "
     "case_number string, record_date string, partition_date string, source_page_url string, "
