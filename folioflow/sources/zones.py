@@ -33,7 +33,7 @@ from folioflow.session import small_table, stored
 KEY = "identifier"
 PARTITION = ["zone_body", "zone_month"]
 # State by identifier is kept in this many buckets, and merged after this many batches.
-BUCKETS, DELTAS = 64, 16
+BUCKETS, DELTAS = 32, 16
 # A folder of this form is named exactly as its month; any other is opened and filtered.
 _MONTH = re.compile(r"\d{4}-\d{2}\Z")
 
