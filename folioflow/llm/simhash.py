@@ -215,20 +215,25 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) ->
     return C.map_arrow(met, _links(max_bits), "a long, b long").distinct()
 
 
-def _named(rows: DataFrame, max_bits: int, least) -> DataFrame:
-    """(fp, best): per distinct fingerprint the least of `least` over its component."""
+def _components(rows: DataFrame, max_bits: int, least) -> tuple[DataFrame, DataFrame]:
+    """(fp, component) of the distinct fingerprints, and (component, best): the least of `least` over its rows.
+
+    The second is a written table, so a join with it is of plain shuffles, which Spark splits where a
+    component is large.
+    """
     prints = stored(rows.groupBy("fp").agg(F.min(least).alias("best")))
     label = components(links(prints, max_bits), "a", "b")
     named = prints.join(label, prints.fp == label.node, "left").select("fp", "best", F.coalesce("component", "fp").alias("component"))
-    best = named.groupBy("component").agg(F.min("best").alias("best"))
-    return named.drop("best").join(best, "component").select("fp", "best")
+    named = stored(named)
+    return named.drop("best"), stored(named.groupBy("component").agg(F.min("best").alias("best")))
 
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, one row per input row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = stored(fingerprints(docs, ["doc_id"], shingle))
-    named = _named(rows, max_bits, F.col("doc_id")).withColumnRenamed("best", "component_id")
+    named, best = _components(rows, max_bits, F.col("doc_id"))
+    named = named.join(best, "component").select("fp", F.col("best").alias("component_id"))
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return rows.join(named, "fp").select("doc_id", hexed, "component_id")
 
@@ -242,5 +247,5 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     rows = fingerprints(plain, plain.columns, shingle)
     rows = stored(rows.withColumn("seq", F.monotonically_increasing_id()))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), F.col("seq"))
-    best = _named(rows, max_bits, order).select(F.col("best.seq").alias("seq")).distinct()
+    best = _components(rows, max_bits, order)[1].select(F.col("best.seq").alias("seq"))
     return rows.join(best, "seq", "left_semi").select(*plain.columns).toDF(*docs.columns)
