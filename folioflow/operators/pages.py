@@ -59,21 +59,21 @@ def extract_pages(
     fields.append(T.StructField("error", _TEXT))
     arrow_types = {name: to_arrow_type(FACTS[name]) for name in facts}
 
-    def assembled(part: pa.RecordBatch, rows: list[dict], errors: list) -> pa.RecordBatch:
-        found = []
-        for f in facts:
-            try:
-                found.append(pa.array([r.get(f) for r in rows], arrow_types[f]))
-            except pa.ArrowException:  # the facts of some page cannot be held: find it
-                for i, row in enumerate(rows):
-                    try:
-                        pa.array([row.get(f)], arrow_types[f])
-                    except pa.ArrowException as exc:
-                        rows[i], errors[i] = {}, f"{type(exc).__name__}: {exc}"
-                return assembled(part, rows, errors)
-        columns = [part.column(name) for name in keep]
-        columns += [*found, pa.array(errors, pa.string())]
-        return pa.RecordBatch.from_arrays(columns, names=[*keep, *facts, "error"])
+    def assembled(part: pa.RecordBatch, rows: list[dict], errors: list) -> Iterator[pa.RecordBatch]:
+        try:
+            found = [pa.array([r.get(f) for r in rows], arrow_types[f]) for f in facts]
+            columns = [part.column(name) for name in keep]
+            columns += [*found, pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *facts, "error"])
+        except Exception as exc:  # the facts of some page cannot be held: narrow it down
+            if len(rows) > 1:
+                half = len(rows) // 2
+                yield from assembled(part.slice(0, half), rows[:half], errors[:half])
+                yield from assembled(part.slice(half), rows[half:], errors[half:])
+            elif rows[0]:
+                yield from assembled(part, [{}], [f"{type(exc).__name__}: {exc}"])
+            else:
+                raise
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +89,7 @@ def extract_pages(
                             error = f"{type(exc).__name__}: {exc}"
                     rows.append(row)
                     errors.append(error)
-                yield assembled(part, rows, errors)
+                yield from assembled(part, rows, errors)
 
     ship_package(pages.sparkSession)
     source = pages.select(*dict.fromkeys([*keep, html]))
