@@ -141,14 +141,7 @@ def _forest(prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(np.bitwise_count(prints), kind="stable")
     prints = prints[order]
     ones = np.bitwise_count(prints).astype(np.int64)
-    parent = np.arange(len(prints))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
+    tree = np.arange(len(prints))  # each row's tree, by its least row
     left, right = [], []
     for start in range(0, len(prints), BLOCK_ROWS):
         stop = min(start + BLOCK_ROWS, len(prints))
@@ -157,14 +150,16 @@ def _forest(prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
         for other in range(start, far, BLOCK_ROWS):
             end = min(other + BLOCK_ROWS, far)
             near = np.bitwise_count(prints[start:stop, None] ^ prints[None, other:end]) <= max_bits
-            for a, b in zip(*np.nonzero(near)):
-                a, b = int(a) + start, int(b) + other
-                if a < b:
-                    x, y = root(a), root(b)
-                    if x != y:
-                        parent[max(x, y)] = min(x, y)
-                        left.append(a)
-                        right.append(b)
+            for i in range(stop - start):
+                at = np.flatnonzero(near[i]) + other
+                # One link for each tree met; a row is looked at once per block, however many are near it.
+                trees, which = np.unique(tree[at], return_index=True)
+                for found, first in zip(trees.tolist(), at[which].tolist()):
+                    own = int(tree[start + i])
+                    if found != own and tree[first] != own:
+                        left.append(start + i)
+                        right.append(first)
+                        tree[tree == max(own, found)] = min(own, found)
     return prints[left], prints[right]
 
 
