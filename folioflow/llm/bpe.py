@@ -156,23 +156,24 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return C.map_arrow(encoded.select("doc_id", "ids"), step, "doc_id long, text string")
 
 
-def tokenised(docs: DataFrame, carry: list[str], path: str, pattern: str) -> DataFrame:
-    """`carry`, token ids, their number, and digests of the ids (little-endian uint32) and of the decoded bytes."""
+def tokenised(docs: DataFrame, carry: list[str], path: str, pattern: str, with_ids: bool = True) -> DataFrame:
+    """`carry`, token ids if asked for, their number, and digests of the ids (little-endian uint32) and of the decoded bytes."""
 
     def compute(text: pa.Array) -> list:
         own = coder(path, pattern)
         lists, counts, ids, decoded = [], [], [], []
         for run in _batch(text.to_pylist()):
             for found in own.encode(run):
-                lists.append(found.astype(np.int32))
+                if with_ids:
+                    lists.append(found.astype(np.int32))
                 counts.append(len(found))
                 ids.append(hashlib.sha256(found.astype("<u4").tobytes()).hexdigest())
                 decoded.append(hashlib.sha256(own.decode(found)).hexdigest())
-        return [_lists(lists), counts, ids, decoded]
+        return [*([_lists(lists)] if with_ids else []), counts, ids, decoded]
 
-    return C.per_row(docs, carry, compute, "ids array<int>, " + DIGESTS)
+    return C.per_row(docs, carry, compute, ("ids array<int>, " if with_ids else "") + DIGESTS)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, token count and both digests."""
-    return tokenised(docs, ["doc_id"], path, pattern).drop("ids")
+    return tokenised(docs, ["doc_id"], path, pattern, with_ids=False)
