@@ -1,12 +1,14 @@
 """Language identification by prediction by partial matching over bytes.
 
 Per language a context tree of depth `DEPTH` counts which byte follows which up to three bytes. The
-counts come from all training texts by one aggregation in Spark. A node stays in a tree if it covers at
-least `FLOOR` of the language's bytes, so a tree has at most 1 / FLOOR nodes per depth however large the
-corpus; only these are collected. With the counts frozen, a byte costs -log2 of its share under the
-longest context that knows it, plus the escapes on the way there (an escape has the share of one count
-per distinct follower); the last resort is one of 256 bytes. The language with the shortest code for the
-whole text wins; the score is its posterior share against the others.
+counts come from all training texts by one aggregation in Spark, and every counted node counts. While there
+are at most 1 / `FLOOR` of them per language they are collected; else as many of the most frequent grams are
+collected with their code lengths, and the other grams of a text are looked up in the stored counts by joins.
+Code lengths are added up in whole units of 1 / `UNIT` bits, so both ways give the same. With the counts
+frozen, a byte costs -log2 of its share under the longest context that knows it, plus the escapes on the way
+there (an escape has the share of one count per distinct follower); the last resort is one of 256 bytes. The
+three zeros before a text are a context only where they occur within texts. The language with the shortest
+code for the whole text wins; the score is its posterior share against the others.
 
 Edge cases: a text that is null or has no letter is `und` with score 0, as is every text if nothing could
 be learned; documents without language, text or id are not learned from; equal code lengths go to the
@@ -20,14 +22,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioflow.llm import common as C
-from folioflow.session import stored
+from folioflow.session import stored, stored_count
 
 DEPTH = 4
 FLOOR = 2.0**-15
+UNIT = 1 << 28
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
 # Distinct grams of a language that a counting task holds before it hands them on.
@@ -81,82 +86,158 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows(lang)
 
 
+def _count(keys: np.ndarray, at: np.ndarray, lang: np.ndarray, n: np.ndarray, number: int) -> np.ndarray:
+    """Sums of n by language (rows) and key (columns)."""
+    out = np.zeros((number, len(keys)), np.int64)
+    np.add.at(out, (lang, at), n)
+    return out
+
+
+def _cost(n: np.ndarray, total: np.ndarray, kinds: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    """Bits of a byte seen n times after its context; where never, an escape and its bits after a shorter one."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        escape = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)
+        return np.where(n > 0, -np.log2(n / (total + kinds)), escape + shorter)
+
+
+def _taken(keys: np.ndarray, values: list[np.ndarray], wanted: np.ndarray) -> list[np.ndarray]:
+    """Columns of the values by sorted key, zero for a key that is not there."""
+    if not len(keys):
+        return [np.zeros((len(v), len(wanted)), np.int64) for v in values]
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return [v[:, at] * (keys[at] == wanted) for v in values]
+
+
 class Model:
-    """Frozen trees of all languages, as tables: children by node and byte, code lengths by node."""
+    """Frozen counts of all languages.
+
+    Contexts of up to two bytes are dense tables. Those of three are held as a whole if `complete`; else the
+    code lengths of the most frequent grams are held, and all counts are the stored `tables`.
+    """
 
-    def __init__(self, counts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], langs: list[str]):
-        """counts: depth -> (language number, gram, count); a gram's last byte is its lowest."""
-        self.langs = langs
+    def __init__(self, langs: list[str], pairs: tuple, followers: tuple):
+        """pairs: (language number, two bytes, count); followers: (language number, two bytes, occurrences and kinds of what follows)."""
+        self.langs, self.tables = langs, None
+        number, dense = len(langs), np.arange(1 << 16)
+        lang, gram, n = pairs
+        pair = _count(dense, gram, lang, n, number)
+        single = pair.reshape(number, 256, 256).sum(1)
+        cost1 = _cost(single, single.sum(1, keepdims=True), (single > 0).sum(1, keepdims=True), np.full((number, 1), 8.0))
+        rows = pair.reshape(number, 256, 256)
+        total, kinds = np.repeat(rows.sum(2), 256, 1), np.repeat((rows > 0).sum(2), 256, 1)
+        self.cost2 = _cost(pair, total, kinds, cost1[:, dense & 255])
+        lang, gram, total, kinds = followers
+        self.total2, self.kinds2 = _count(dense, gram, lang, total, number), _count(dense, gram, lang, kinds, number)
+
+    @classmethod
+    def whole(cls, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
+        """From all counts of four bytes."""
         number = len(langs)
-        keys = {0: np.zeros(1, np.int64)}
-        lengths = {0: np.full((number, 1), 8.0)}
-        self.escape = {}
-        dense = np.arange(256, dtype=np.int64)
-        for depth in range(1, DEPTH + 1):
-            lang, gram, n = counts[depth]
-            own = {1: dense, 2: np.arange(65536, dtype=np.int64)}.get(depth)
-            keys[depth] = np.unique(gram) if own is None else own
-            table = np.zeros((number, len(keys[depth])))
-            table[lang, np.searchsorted(keys[depth], gram)] = n
-            context = np.searchsorted(keys[depth - 1], keys[depth] >> 8)
-            place = np.minimum(context, len(keys[depth - 1]) - 1)
-            held = keys[depth - 1][place] == keys[depth] >> 8
-            size = len(keys[depth - 1])
-            total = np.zeros((number, size))
-            kinds = np.zeros((number, size))
-            for i in range(number):
-                total[i] = np.bincount(place[held], table[i][held], size)
-                kinds[i] = np.bincount(place[held], table[i][held] > 0, size)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                escape = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)
-                seen = -np.log2(table / (total + kinds)[:, place])
-            # The same byte after one byte less of context; such a gram is at least as frequent, so kept.
-            shorter = keys[depth] & ((1 << (8 * (depth - 1))) - 1)
-            shorter = np.minimum(np.searchsorted(keys[depth - 1], shorter), size - 1)
-            lengths[depth] = np.where((table > 0) & held, seen, escape[:, place] * held + lengths[depth - 1][:, shorter])
-            self.escape[depth - 1] = escape
-        # Node len(keys) stands for "not in any tree": nothing follows it, and it costs nothing itself.
-        pad = lambda x: np.pad(x, ((0, 0), (0, 1))).astype(np.float32)
-        self.length2 = lengths[2].astype(np.float32)
-        self.length3, self.length4 = pad(lengths[3]), pad(lengths[4])
-        self.escape2, self.escape3 = pad(self.escape[2]), pad(self.escape[3])
-        used = np.unique(keys[3] >> 8)
-        self.node2 = np.full(65536, len(used), np.int32)
-        self.node2[used] = np.arange(len(used))
-        self.child3 = self._children(len(used), self.node2[keys[3] >> 8], keys[3])
-        parent = np.minimum(np.searchsorted(keys[3], keys[4] >> 8), max(len(keys[3]) - 1, 0))
-        known = keys[3][parent] == keys[4] >> 8 if len(keys[3]) else np.zeros(len(keys[4]), bool)
-        self.child4 = self._children(len(keys[3]), parent[known], keys[4][known], np.flatnonzero(known), len(keys[4]))
-        self.none3, self.none4 = len(keys[3]), len(keys[4])
-        del self.escape
-
-    @staticmethod
-    def _children(parents: int, parent: np.ndarray, gram: np.ndarray, value=None, none: int | None = None) -> np.ndarray:
-        value = np.arange(len(gram)) if value is None else value
-        out = np.full((parents + 1, 256), len(gram) if none is None else none, np.int32)
-        out[parent, gram & 255] = value
+        triples, three = np.unique(gram & 0xFFFFFF, return_inverse=True)
+        counts3 = _count(triples, three, lang, n, number)
+        of, at = np.nonzero(counts3)
+        kinds = np.ones(len(of), np.int64)
+        out = cls(langs, (lang, gram & 0xFFFF, n), (of, triples[at] >> 8, counts3[of, at], kinds))
+        fours, four = np.unique(gram, return_inverse=True)
+        contexts3, three = np.unique(gram >> 8, return_inverse=True)
+        after = [_count(contexts3, three, lang, x, number) for x in (n, np.ones(len(n), np.int64))]
+        out.complete, out.zeros = True, _taken(triples, [counts3], np.zeros(1, np.int64))[0]
+        out.held = (fours, [_count(fours, four, lang, n, number)]), (contexts3, after), (triples, [counts3])
         return out
 
-    def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Bits per language (rows) and text (columns)."""
-        out = np.zeros((len(self.langs), len(offsets) - 1))
+    @classmethod
+    def partial(cls, langs: list[str], grams: DataFrame, room: int) -> Model:
+        """From stored counts (lang, gram, n); code lengths of the `room` most frequent grams are held."""
+        number = (F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int").alias("i")
+        grams = grams.select(number, "gram", "n")
+        low = lambda size: F.col("gram").bitwiseAND(F.lit(size).cast("long")).alias("gram")
+        high = F.shiftright("gram", 8).alias("gram")
+        threes = stored(grams.groupBy("i", low(0xFFFFFF)).agg(F.sum("n").alias("n")))
+        after = [F.sum("n").alias("n"), F.count("*").alias("kinds")]
+        arrays = lambda df: [c.to_numpy() for c in df.toArrow().columns]
+        out = cls(langs, arrays(threes.groupBy("i", low(0xFFFF)).agg(F.sum("n").alias("n"))), arrays(threes.groupBy("i", high).agg(*after)))
+        parts = lambda df, *names: stored(df.groupBy("gram").agg(F.collect_list(F.struct("i", *names)).alias("parts")))
+        out.tables = parts(grams, "n"), parts(grams.groupBy("i", high).agg(*after), "n", "kinds"), parts(threes, "n")
+        out.complete, out.zeros = False, np.zeros((len(langs), 1), np.int64)
+        for row in threes.where("gram = 0").collect():
+            out.zeros[row.i] = row.n
+        first = grams.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(room)
+        keys, units = out.stored_units(first.select("gram")).toArrow().columns
+        keys, units = keys.to_numpy(), units.combine_chunks().flatten().to_numpy().reshape(-1, len(langs)).T
+        order = np.argsort(keys)
+        out.held = keys[order], np.ascontiguousarray(units[:, order])
+        return out
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"tables": None}
+
+    def _units(self, gram: np.ndarray, n4: np.ndarray, total3: np.ndarray, kinds3: np.ndarray, n3: np.ndarray) -> np.ndarray:
+        """Code lengths of the last byte of grams, in units of 1 / UNIT bits."""
+        context = (gram >> 8) & 0xFFFF
+        inner = (gram >> 8 != 0) | (self.zeros > 0)
+        cost3 = _cost(n3, self.total2[:, context], self.kinds2[:, context], self.cost2[:, gram & 0xFFFF])
+        return np.rint(_cost(n4 * inner, total3 * inner, kinds3, cost3) * UNIT).astype(np.int64)
+
+    def stored_units(self, wanted: DataFrame) -> DataFrame:
+        """(gram, units): code lengths by language of the column `gram`, from the stored tables."""
+        shared, number = wanted.sparkSession.sparkContext.broadcast(self), len(self.langs)
+
+        def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+
+                def counts(column: str, *names: str) -> list[np.ndarray]:
+                    lists = batch.column(column)
+                    at, inner = pc.list_parent_indices(lists).to_numpy(), lists.flatten()
+                    out = [np.zeros((number, len(lists)), np.int64) for _ in names]
+                    for values, name in zip(out, names):
+                        values[inner.field("i").to_numpy(), at] = inner.field(name).to_numpy()
+                    return out
+
+                gram = batch.column("gram").to_numpy()
+                units = shared.value._units(gram, *counts("p4", "n"), *counts("c3", "n", "kinds"), *counts("p3", "n"))
+                units = pa.ListArray.from_arrays(np.arange(len(gram) + 1, dtype=np.int32) * number, np.ascontiguousarray(units.T).ravel())
+                yield pa.RecordBatch.from_arrays([batch.column("gram"), units], ["gram", "units"])
+
+        rows = wanted.select("gram", F.shiftright("gram", 8).alias("g3"), F.col("gram").bitwiseAND(F.lit(0xFFFFFF).cast("long")).alias("l3"))
+        for table, key, name in zip(self.tables, ("gram", "g3", "l3"), ("p4", "c3", "p3")):
+            rows = rows.join(table.select(F.col("gram").alias(key), F.col("parts").alias(name)), key, "left")
+        return C.map_arrow(rows.select("gram", "p4", "c3", "p3"), step, "gram long, units array<long>")
+
+    def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """Units per language (rows) and text (columns), and (text, gram, times) of the grams not held."""
+        out = np.zeros((len(self.langs), len(offsets) - 1), np.int64)
+        none = np.zeros(0, np.int64)
         full = np.flatnonzero(np.diff(offsets))
         if not len(full):
-            return out
-        b0, b1, b2, b3 = contexts(data, offsets[:-1])
-        pair = (b1.astype(np.uint16) << np.uint16(8)) | b0
-        before = (b2.astype(np.uint16) << np.uint16(8)) | b1
-        at3 = self.child3[self.node2[before], b0]
-        above = self.child3[self.node2[(b3.astype(np.uint16) << np.uint16(8)) | b2], b1]
-        at4 = self.child4[above, b0]
-        miss = np.flatnonzero(at4 == self.none4)
-        deep = miss[at3[miss] == self.none3]
+            return out, (none, none, none)
+        key = np.zeros(len(data), np.uint32)
+        for i, byte in enumerate(contexts(data, offsets[:-1])):
+            key |= byte.astype(np.uint32) << np.uint32(8 * i)
+        gram, at = np.unique(key, return_inverse=True)
+        gram = gram.astype(np.int64)
+        if self.complete:
+            four, after, three = self.held
+            units = self._units(gram, *_taken(*four, gram), *_taken(*after, gram >> 8), *_taken(*three, gram & 0xFFFFFF))
+            missed = none
+        else:
+            units = _taken(self.held[0], [self.held[1]], gram)[0]
+            missed = np.flatnonzero(~np.isin(gram, self.held[0])[at])
         for i in range(len(self.langs)):
-            bits = self.length4[i][at4]
-            bits[miss] = self.escape3[i][above[miss]] + self.length3[i][at3[miss]]
-            bits[deep] += self.escape2[i][before[deep]] + self.length2[i][pair[deep]]
-            out[i, full] = np.add.reduceat(bits, offsets[full], dtype=np.float64)
-        return out
+            out[i, full] = np.add.reduceat(units[i][at], offsets[full])
+        text = np.searchsorted(offsets, missed, side="right") - 1
+        pairs, times = np.unique(text * len(gram) + at[missed], return_counts=True)
+        return out, (pairs // len(gram), gram[pairs % len(gram)], times)
+
+    def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Bits per language (rows) and text (columns), of a complete model."""
+        return self.units(data, offsets)[0] / UNIT
+
+    def verdict(self, units: np.ndarray, sizes: np.ndarray) -> list:
+        """lang_pred, score and bits_per_byte from units per language (rows) and text (columns)."""
+        bits = units / UNIT
+        best, least = bits.argmin(0), bits.min(0)
+        score = 1 / np.exp2(least - bits).sum(0)
+        return [pa.array([self.langs[i] for i in best], pa.string()), pa.array(score), pa.array(least / np.maximum(sizes, 1))]
 
 
 def learn(docs: DataFrame) -> Model:
@@ -164,21 +245,19 @@ def learn(docs: DataFrame) -> Model:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder() != HELD_OUT))
     grams = C.map_arrow(rows.select("lang", "text"), _grams, "lang string, gram long, n long")
-    grams = stored(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    total = grams.groupBy("lang").agg(F.sum("n").alias("total"))
-    counts, langs = {}, sorted(r.lang for r in total.collect())
+    grams, size = stored_count(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    langs = sorted(r.lang for r in grams.select("lang").distinct().collect())
+    room = int(len(langs) / FLOOR)
+    if size > room:
+        return Model.partial(langs, grams, room)
     number = {lang: i for i, lang in enumerate(langs)}
-    for depth in range(1, DEPTH + 1):
-        key = F.col("gram").bitwiseAND(F.lit((1 << (8 * depth)) - 1).cast("long"))
-        nodes = grams.groupBy("lang", key.alias("gram")).agg(F.sum("n").alias("n")).join(total, "lang")
-        kept = nodes.where(F.col("n") >= F.col("total") * FLOOR).select("lang", "gram", "n").toArrow()
-        lang = np.array([number[x] for x in kept.column("lang").to_pylist()], np.int64)
-        counts[depth] = (lang, kept.column("gram").to_numpy(), kept.column("n").to_numpy())
-    return Model(counts, langs)
+    rows = grams.toArrow()
+    lang = np.array([number[x] for x in rows.column("lang").to_pylist()], np.int64)
+    return Model.whole(langs, lang, rows.column("gram").to_numpy(), rows.column("n").to_numpy())
 
 
 def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
-    """`carry`, then lang_pred and score. Only the text is read for the prediction."""
+    """`carry`, then lang_pred, score and bits_per_byte. Only the text is read for the prediction."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = "lang_pred string, score double, bits_per_byte double"
 
@@ -187,15 +266,37 @@ def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
         if not own.langs:
             return [[UNKNOWN] * len(text), [0.0] * len(text), [0.0] * len(text)]
         data, offsets = C.text_bytes(text)
-        bits = own.code_lengths(data, offsets)
-        best = bits.argmin(0)
-        gap = bits - bits.min(0)
-        score = 1 / np.exp2(-gap).sum(0)
-        rate = bits.min(0) / np.maximum(np.diff(offsets), 1)
-        return [pa.array([own.langs[i] for i in best], pa.string()), score, rate]
-
-    out = C.per_row(docs, carry, compute, fields, "text")
-    return out
+        return own.verdict(own.units(data, offsets)[0], np.diff(offsets))
+
+    if model.complete:
+        return C.per_row(docs, carry, compute, fields, "text")
+
+    def known(text: pa.Array) -> list:
+        data, offsets = C.text_bytes(text)
+        units, (row, gram, times) = shared.value.units(data, offsets)
+        bounds = pa.array(np.searchsorted(row, np.arange(len(text) + 1)), pa.int32())
+        every = pa.array(np.arange(len(text) + 1) * len(units), pa.int32())
+        lists = [(every, np.ascontiguousarray(units.T).ravel()), (bounds, gram), (bounds, times)]
+        return [np.diff(offsets), *[pa.ListArray.from_arrays(b, pa.array(v, pa.int64())) for b, v in lists]]
+
+    plain = [f"c{i}" for i in range(len(carry))]
+    rows = C.per_row(docs, carry, known, "size long, units array<long>, grams array<long>, times array<long>", "text")
+    rows = stored(rows.toDF(*plain, "size", "units", "grams", "times").withColumn("place", F.monotonically_increasing_id()))
+    missed = rows.select("place", F.explode(F.arrays_zip("grams", "times")).alias("one")).select("place", F.col("one.grams").alias("gram"), "one.times")
+    units = stored(model.stored_units(missed.select("gram").distinct()))
+    sums = [F.sum(F.col("times") * F.col("units")[i]) for i in range(len(model.langs))]
+    more = missed.join(units, "gram").groupBy("place").agg(F.array(*sums).alias("more"))
+    every = F.coalesce(F.zip_with("units", "more", lambda a, b: a + b), "units").alias("units")
+    rows = rows.drop("grams", "times").join(more, "place", "left").select(*plain, "size", every)
+    schema = T.StructType([rows.schema[n] for n in plain] + T.StructType.fromDDL(fields).fields)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = batch.column("units").flatten().to_numpy().reshape(batch.num_rows, -1).T
+            found = shared.value.verdict(units, batch.column("size").to_numpy())
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in plain], *found], schema.names)
+
+    return C.map_arrow(rows, judge, schema).toDF(*carry, *schema.names[len(plain) :])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -115,3 +115,21 @@ def test_predictions_do_not_see_language_source_or_id(spark, corpus):
     other = corpus.selectExpr("doc_id + 7 as doc_id", "text", "'xx' as lang", "'y' as source")
     again = {r.text_: r.lang_pred for r in language.predict(other.selectExpr("text", "text as text_"), model, ["text_"]).collect()}
     assert once == again
+
+
+def test_rare_contexts_count_however_few_are_collected(spark, corpus, monkeypatch):
+    rows = corpus.collect()
+    training = {}
+    for r in rows:
+        if crc32(str(r.doc_id).encode()) % 3 != 1:
+            training.setdefault(r.lang, []).append(r.text)
+    odd = [(1000, "zzz QQQ é", "aa", None), (1001, "sch\0x" + sample("bb", 5, 3), "bb", None), (1001, "", None, None), (1002, "zzz QQQ é", None, None)]
+    docs = corpus.where("doc_id < 40").union(spark.createDataFrame(odd, edges.SCHEMA))
+    whole = edges.rows(language.identify(docs, language.learn(corpus)))
+    monkeypatch.setattr(language, "FLOOR", 2.0**-5)
+    model = language.learn(corpus)
+    assert edges.rows(language.identify(docs, model)) == whole
+    monkeypatch.setattr(language, "FLOOR", 0.0)  # every node counts in brute()
+    rate = {r[0]: r[4] for r in whole}
+    for doc_id, text in [(0, rows[0].text), (7, rows[7].text), (1000, odd[0][1])]:
+        assert rate[doc_id] * len(text.encode()) == pytest.approx(min(brute(training, model.langs, text)), rel=1e-6)
