@@ -3,9 +3,10 @@
 A page is read once into containers and text blocks. Containers are scored by the running text below
 them that is neither link text nor within parts that are never an article (navigation, forms, adverts,
 comments and so on, by tag, role and class). A page votes for the generalised path of its deepest container that
-holds nearly all of that text: tags and classes from the root, digits made alike. Spark counts the votes
-per host; the path with most votes wins, and pages are extracted anew from the elements on their host's path.
-A page without such an element falls back to its own choice.
+holds all of that text and all main headings: tags and classes from the root, digits made alike. Spark counts the
+votes per host; the path with most votes wins, and pages are extracted anew from the elements on their host's path.
+A page falls back to its own choice if it has no such element, or if a main heading, text of an article or main
+element, or text right beside such an element, in a container around it, would be left out.
 
 Votes are aggregated before they are shuffled and the winners, one row per host, are a written table: while
 small the planner broadcasts it by its measured size, else it is joined by a shuffle that Spark splits
@@ -30,8 +31,6 @@ from pyspark.sql import functions as F
 from folioflow.llm import common as C
 from folioflow.session import stored
 
-# A page votes for the deepest container with at least this share of its running text.
-NEARLY_ALL = 0.85
 SLICE_BYTES = 1 << 20
 
 # Element names, by what they mean here.
@@ -68,7 +67,8 @@ class Page:
         self.key: list[int] = [0]
         self.article: list[bool] = [False]
         self.never: list[bool] = [False]
-        self.blocks: list[tuple[int, str, int]] = []  # container, text, characters of link text
+        self.blocks: list[tuple[int, str, int]] = []  # container, text, characters of running text; a main heading is all that
+        self.headings: list[int] = []  # blocks that are main headings
         self._read(markup)
 
     def _read(self, markup: str) -> None:
@@ -77,12 +77,15 @@ class Page:
         run: list[str] = []
         linked = links = 0
         at = 0
+        heading = False
 
         def flush() -> None:
             nonlocal run, linked
             text = _SPACE.sub(" ", html.unescape("".join(run))).strip()
             if text:
-                self.blocks.append((stack[-1][1], text, linked))
+                if heading:
+                    self.headings.append(len(self.blocks))
+                self.blocks.append((stack[-1][1], text, len(text) if heading else max(0, len(text) - 2 * linked)))
             run, linked = [], 0
 
         position, size = 0, len(markup)
@@ -105,7 +108,7 @@ class Page:
                     links = max(0, links - 1)
                 elif name in BLOCKS:
                     flush()
-                    links = 0
+                    links, heading = 0, False
                     if opened[name]:
                         while True:
                             gone = stack.pop()[0]
@@ -123,7 +126,7 @@ class Page:
                 links += 1
             elif name in BLOCKS:
                 flush()
-                links = 0
+                links, heading = 0, name == "h1"
                 if name in CONTAINERS:
                     opened[name] += 1
                     stack.append((name, self._container(name, token[3], stack[-1][1])))
@@ -145,19 +148,18 @@ class Page:
         return len(self.parent) - 1
 
     def choice(self) -> int:
-        """The deepest container with nearly all running text; 0 if there is none."""
+        """The deepest container with all running text; 0 if there is none."""
         below = [0] * len(self.parent)
-        for container, text, linked in self.blocks:
+        for container, _, running in self.blocks:
             if not self.never[container]:
-                below[container] += max(0, len(text) - 2 * linked)
+                below[container] += running
         for i in range(len(below) - 1, 0, -1):  # children come after their parents
             below[self.parent[i]] += below[i]
         if not below[0]:
             return 0
-        enough = NEARLY_ALL * below[0]
         best = 0
         for i in range(1, len(below)):
-            if self.parent[i] == best and below[i] >= enough:
+            if self.parent[i] == best and below[i] == below[0]:
                 best = i
         return best
 
@@ -170,15 +172,33 @@ class Page:
         return "/".join(reversed(steps))
 
     def text(self, path: str | None) -> str:
-        """Blocks below the elements on a path, or below the page's own choice if it has no such element."""
+        """Blocks below the elements on a path, or below the page's own choice if those do not hold its article."""
         wanted = 0
         for step in path.split("/") if path else ():
             wanted = hash((wanted, step))
-        roots = {i for i, k in enumerate(self.key) if i and k == wanted and not self.never[i]} or {self.choice()}
+        roots = {i for i, k in enumerate(self.key) if i and k == wanted and not self.never[i]}
+        inside = self._inside(roots)
+        if not roots or self._leaves_out(roots, inside):
+            inside = self._inside({self.choice()})
+        return "\n".join(text for container, text, _ in self.blocks if inside[container] and not self.never[container])
+
+    def _inside(self, roots: set[int]) -> list[bool]:
         inside = [i in roots for i in range(len(self.parent))]
         for i in range(1, len(inside)):
             inside[i] = inside[i] or inside[self.parent[i]]
-        return "\n".join(text for container, text, _ in self.blocks if inside[container] and not self.never[container])
+        return inside
+
+    def _leaves_out(self, roots: set[int], inside: list[bool]) -> bool:
+        """Whether running text of the article is not inside: a main heading, in an article or main, or right beside a root."""
+        around = [False] * len(self.parent)
+        for i in range(len(around) - 1, 0, -1):
+            if around[i] or i in roots:
+                around[self.parent[i]] = True
+        headings = set(self.headings)
+        return any(
+            running and not inside[c] and not self.never[c] and (self.article[c] or around[c] or number in headings)
+            for number, (c, _, running) in enumerate(self.blocks)
+        )
 
 
 def _host(url: Column) -> Column:

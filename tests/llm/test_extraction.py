@@ -53,3 +53,17 @@ def test_broken_markup_takes_linear_time(markup):
     start = time.process_time()
     extraction.Page(markup).text("html/body")
     assert time.process_time() - start < 5
+
+
+def test_title_and_lead_outside_the_body_container_stay(spark):
+    long = edges.prose(3, 120)
+    split = "<html><body><nav>Menu</nav><article><h1><a href='/'>Title {n}</a></h1><p>lead {n}</p><div class='entry-content'><p>" + long + "</p></div></article></body></html>"
+    body = "<html><body><div class='entry-content'><p>" + long + "</p></div></body></html>"
+    other = "<html><body><article><p>" + long + "</p></article><div class='entry-content'><p>small</p></div></body></html>"
+    lead = body.replace("<div", "<p>lead</p><div")
+    rows = [(n, f"http://a/{n}", split.format(n=n)) for n in range(3)] + [(n, f"http://b/{n}", body) for n in range(10, 14)]
+    rows += [(14, "http://b/14", other), (15, "http://b/15", lead), (16, "http://b/16", body.replace("<div", "<div><h1>Title</h1></div><div"))]
+    found = {r.page_id: r.text for r in extraction.extract(pages(spark, rows)).collect()}
+    assert all(found[n] == f"Title {n}\nlead {n}\n{long}" for n in range(3))
+    assert all(found[n] == long for n in range(10, 14))
+    assert [found[14], found[15], found[16]] == [f"{long}\nsmall", f"lead\n{long}", f"Title\n{long}"]
