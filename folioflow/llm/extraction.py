@@ -8,6 +8,10 @@ votes per host; the path with most votes wins, and pages are extracted anew from
 A page falls back to its own choice if it has no such element, or if a main heading, text of an article or main
 element, or text right beside such an element, in a container around it, would be left out.
 
+A class or id means such a part by its first or last word, not behind has, no, with and the like; never on an element
+that holds a main heading, a main element, the longest article or most of the page's running text (a discussion only
+for the first two). Elements that are never text are skipped if they are closed within their parent; else their tag alone is.
+
 Votes are aggregated before they are shuffled and the winners, one row per host, are a written table: while
 small the planner broadcasts it by its measured size, else it is joined by a shuffle that Spark splits
 where a host is hot.
@@ -46,15 +50,61 @@ NAMES = frozenset(
     "consent gdpr notice notices alert popup modal overlay comment comments commentlist disqus reply replies share sharing social related recommended newsletter "
     "subscribe subscription signup login breadcrumb breadcrumbs pagination pager widget toolbar skip search".split()
 )
+DISCUSSION = frozenset("comment comments commentlist disqus reply replies".split())
+# A class behind one of these says what else there is, or is not.
+MODIFIERS = frozenset("has no not non with without hide".split())
+# RAW elements whose content is text up to their end, or up to the end of the page.
+TEXT_ONLY = frozenset("script style".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|$|=)|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
+_HIDDEN = re.compile(r"display\s*:\s*none", re.I)
+_STRUCTURE = re.compile(rf"</?(?:{'|'.join(sorted(CONTAINERS))})(?=[\s/>])", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
 
 
+def _closings(markup: str) -> dict[int, int]:
+    """Where elements of RAW that are closed within their parent start (behind the tag) and end; linear."""
+    out: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
+    position = 0
+    while token := _TOKEN.search(markup, position):
+        position = token.end()
+        name = (token[2] or "").lower()
+        if name in TEXT_ONLY and not token[1] and not token[3].rstrip().endswith("/"):
+            close = re.compile(rf"</{name}\s*>", re.I).search(markup, position)
+            position = close.end() if close else len(markup)
+        elif name not in RAW and name not in CONTAINERS:
+            continue
+        elif not token[1]:
+            if name in CONTAINERS or not token[3].rstrip().endswith("/"):
+                opened[name] += 1
+                stack.append((name, position))
+        elif opened[name]:
+            while True:
+                gone, start = stack.pop()
+                opened[gone] -= 1
+                if gone == name:
+                    break
+            if name in RAW:
+                out[start] = position
+    return out
+
+
+def _chrome(classes: list[str]) -> int:
+    """2 if a class or id names a discussion, 1 another part that is never an article, else 0."""
+    found = 0
+    for token in classes:
+        words = [w.lower() for w in _NAME.findall(token)]
+        if words and words[0] not in MODIFIERS:
+            for word in (words[0], words[-1]):
+                found = max(found, 2 if word in DISCUSSION else word in NAMES)
+    return found
+
+
 class Page:
     """Containers of a page, each with its parent, step and verdict, and blocks of text in page order.
 
@@ -63,13 +113,17 @@ class Page:
 
     def __init__(self, markup: str):
         self.parent: list[int] = [-1]
+        self.kind: list[str] = [""]
         self.step: list[str] = [""]
         self.key: list[int] = [0]
         self.article: list[bool] = [False]
         self.never: list[bool] = [False]
+        self.named: list[int] = [0]  # by class or id
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters of running text; a main heading is all that
         self.headings: list[int] = []  # blocks that are main headings
         self._read(markup)
+        if any(self.named):
+            self._judge_names()
 
     def _read(self, markup: str) -> None:
         stack: list[tuple[str, int]] = [("", 0)]
@@ -78,6 +132,7 @@ class Page:
         linked = links = 0
         at = 0
         heading = False
+        ends: dict[int, int] | None = None
 
         def flush() -> None:
             nonlocal run, linked
@@ -117,8 +172,15 @@ class Page:
                                 break
                 continue
             if name in RAW:
-                close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(markup, position)
-                position = at = close.end() if close else size
+                if token[3].rstrip().endswith("/"):
+                    continue
+                if name in TEXT_ONLY or ends is None:
+                    close = re.compile(rf"</{name}\s*>", re.I).search(markup, position)
+                    if name in TEXT_ONLY or (close and not _STRUCTURE.search(markup, position, close.start())):
+                        position = at = close.end() if close else size
+                        continue
+                    ends = _closings(markup)
+                position = at = ends.get(position, position)
                 continue
             if name == "br":
                 run.append(" ")
@@ -133,20 +195,46 @@ class Page:
         flush()
 
     def _container(self, name: str, attributes: str, parent: int) -> int:
-        found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
+        found: dict[str, str] = {}
+        for m in _ATTRIBUTE.finditer(attributes):
+            found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
         classes = found.get("class", "").split()
-        words = {w.lower() for w in _NAME.findall(" ".join([*classes, found.get("id", "")]))}
-        never = self.never[parent] or name in NEVER or bool(words & NAMES and name not in ("html", "body", "article", "main"))
-        never = never or found.get("role", "").lower() in ROLES or (name == "header" and not self.article[parent])
-        never = never or bool(attributes and _HIDDEN.search(attributes))
+        never = self.never[parent] or name in NEVER or found.get("role", "").lower() in ROLES or (name == "header" and not self.article[parent])
+        never = never or "hidden" in found or bool(_HIDDEN.search(found.get("style", "")))
+        named = 0 if name in ("html", "body", "article", "main") else _chrome([*classes, found.get("id", "")])
         step = name + "".join(f".{c}" for c in sorted({_DIGITS.sub("N", c.lower()).replace("/", "|") for c in classes}))
         self.parent.append(parent)
         self.step.append(step)
         self.key.append(hash((self.key[parent], step)))
         self.article.append(self.article[parent] or name in ("article", "main"))
         self.never.append(never)
+        self.named.append(named)
+        self.kind.append(name)
         return len(self.parent) - 1
 
+    def _judge_names(self) -> None:
+        """Elements named like no article are never one, unless they hold it."""
+        below, holds, article = [0] * len(self.parent), [0] * len(self.parent), 0
+        for container, _, running in self.blocks:
+            if not self.never[container]:
+                below[container] += running
+        for number in self.headings:
+            if not self.never[self.blocks[number][0]]:
+                holds[self.blocks[number][0]] = 2
+        for i in range(len(below) - 1, 0, -1):
+            if self.kind[i] == "main" and not self.never[i]:
+                holds[i] = 2
+            if self.kind[i] == "article" and below[i] and below[i] >= below[article] * (article > 0):
+                article = i
+            below[self.parent[i]] += below[i]
+            holds[self.parent[i]] = max(holds[self.parent[i]], holds[i])
+        while article:
+            holds[article] = max(holds[article], 1)
+            article = self.parent[article]
+        for i in range(1, len(below)):
+            named = self.named[i] and holds[i] < self.named[i] and (self.named[i] == 2 or 2 * below[i] <= below[0])
+            self.never[i] = self.never[i] or self.never[self.parent[i]] or bool(named)
+
     def choice(self) -> int:
         """The deepest container with all running text; 0 if there is none."""
         below = [0] * len(self.parent)

@@ -67,3 +67,40 @@ def test_title_and_lead_outside_the_body_container_stay(spark):
     assert all(found[n] == f"Title {n}\nlead {n}\n{long}" for n in range(3))
     assert all(found[n] == long for n in range(10, 14))
     assert [found[14], found[15], found[16]] == [f"{long}\nsmall", f"lead\n{long}", f"Title\n{long}"]
+
+
+LONG = edges.prose(4, 60)
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<div class='content has-sidebar'>{}</div>",
+        "<div id='page' class='site no-sidebar'>{}</div>",
+        "<div class='layout with-comments'>{}</div>",
+        "<div class='page-widget'>{}</div>",
+        "<div title='the hidden cost'>{}</div>",
+        "<div class='hidden lg:block' data-class='ad'>{}</div>",
+        "<div><svg class='i'/>{}</div><p><svg></svg></p>",
+        "<div><iframe src='x' />{}</div>",
+        "<div><div><button></div>{}</div>",
+        "<div><button>{}</div><div><button>Go</button></div>",
+        "<div><script>var a = '<div>';</script><button><div>Menu</div></button>{}</div>",
+    ],
+)
+def test_an_article_is_not_lost_by_its_wrapper(around):
+    page = "<html><body><div class='sidebar'><p>side</p></div>" + around.format(f"<p>{LONG}</p>") + "<div class='comments'><p>me too</p></div><p hidden>no</p><div hidden>no</div></body></html>"
+    found = extraction.Page(page).text(None)
+    assert LONG in found and "side" not in found.split() and "me too" not in found and "Menu" not in found and "Go" not in found
+
+
+def test_names_of_discussions_and_hidden_parts_still_go():
+    page = f"<html><body><div><p>{LONG}</p></div><div id='comments-area'><article><p>{LONG * 3} yes</p></article></div><div hidden><p>secret</p></div><div class='site-footer'><p>foot</p></div></body></html>"
+    assert extraction.Page(page).text(None) == LONG
+
+
+@pytest.mark.parametrize("markup", ["<div><svg>" * 50_000 + "</div>" * 50_000 + "</svg>", "<button>" * 100_000, "<div><svg></div>" * 50_000, "<div " + "a " * 300_000 + ">x"])
+def test_unclosed_elements_take_linear_time(markup):
+    start = time.process_time()
+    extraction.Page(markup).text("html/body")
+    assert time.process_time() - start < 5
