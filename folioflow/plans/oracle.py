@@ -558,3 +558,9 @@ SELECT identifier, body, CAST(seq // 2 AS VARCHAR) AS case_number, strftime(ts,
          AS path_to_file
 FROM changes QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY seq DESC) = 1""",
 }
+
+# The whole runs over all bodies: the same without the body.
+ORACLE |= {
+    "full_pipeline_bodies": ORACLE["full_pipeline"].replace(f" WHERE body = '{_FIRST_BODY}'", ""),
+    "full_pipeline_bodies_metrics": ORACLE["full_pipeline_metrics"].replace(f"body = '{_FIRST_BODY}' AND ", ""),
+}

@@ -880,10 +880,9 @@ def rerun_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.landing_counters(outcomes, ["body", "partition_date"])
 
 
-def _full_run(spark: SparkSession, sf_dir: str):
+def _full_run(spark: SparkSession, sf_dir: str, body: str | None):
     folder = new_folder(spark, "zones")
     landing, processed = landing_zone(spark, f"{folder}/landing"), processed_zone(spark, f"{folder}/processed")
-    body = list(S.BODIES)[0]
     run_zones(_page_cases(spark, sf_dir), landing, processed, 0, "2024-01", "2024-12", RUN_TS, body)
     again = _second_batch(spark, sf_dir)
     listed = again.select("body", "partition_date")
@@ -891,9 +890,8 @@ def _full_run(spark: SparkSession, sf_dir: str):
     return processed
 
 
-def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both zones over two runs of one body."""
-    return _processed(_full_run(spark, sf_dir)).select(
+def _full_rows(processed) -> DataFrame:
+    return _processed(processed).select(
         "identifier",
         "body",
         "partition_date",
@@ -905,9 +903,24 @@ def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both zones over two runs of one body."""
+    return _full_rows(_full_run(spark, sf_dir, list(S.BODIES)[0]))
+
+
 def full_pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What both runs reported, by run, body and month."""
-    return all_run_metrics(_full_run(spark, sf_dir)).withColumnRenamed("v", "run")
+    """What both runs of one body reported, by run, body and month."""
+    return all_run_metrics(_full_run(spark, sf_dir, list(S.BODIES)[0])).withColumnRenamed("v", "run")
+
+
+def full_pipeline_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both zones over two runs of all bodies: changed, moved, unchanged, failed and dropped rows meet the second transform."""
+    return _full_rows(_full_run(spark, sf_dir, None))
+
+
+def full_pipeline_bodies_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both runs of all bodies reported, by run, body and month."""
+    return all_run_metrics(_full_run(spark, sf_dir, None)).withColumnRenamed("v", "run")
 
 
 def capture_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1068,6 +1081,8 @@ QUERIES = {
     "rerun_counters": rerun_counters,
     "full_pipeline": full_pipeline,
     "full_pipeline_metrics": full_pipeline_metrics,
+    "full_pipeline_bodies": full_pipeline_bodies,
+    "full_pipeline_bodies_metrics": full_pipeline_bodies_metrics,
     "capture_run": capture_run,
     "stream_changes": stream_change_rows,
     "stream_landing": stream_landing_rows,

@@ -34,3 +34,10 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["page_id", "identifier", "path_to_file", "file_hash", "size"]
     assert df.count() > 0
+
+
+def test_whole_runs_transform_changed_moved_and_unchanged_rows_of_all_bodies(spark):
+    rows = QUERIES["full_pipeline_bodies"](spark, SF_DIR).collect()
+    again = [r for r in rows if r.processed_on == "2024-07-01"]
+    assert len({r.body for r in again}) == 4
+    assert any(r.partition_date == "2025-01" for r in again) and {"stored", "unchanged"} <= {r.scrape_status for r in again}
