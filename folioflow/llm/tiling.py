@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words are runs of letters and digits in lower case. A document and a benchmark item meet if they share
+Words are runs of letters and digits in lower case, parted by blanks and by the punctuation of any script; in scripts
+written without blanks every code point is a word. A document and a benchmark item meet if they share
 a seed of `SEED` words. Such pairs are tiled: the longest unmarked words that run alike in both, found by
 running Karp-Rabin over falling lengths, are marked again and again, never twice the same word. A document is
 contaminated if tiles of at least `SEED` words cover at least `THRESHOLD` of an item's words; the order of
@@ -17,6 +18,9 @@ if asked for.
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,12 +38,58 @@ FIELDS = "items array<long>, best_item long, coverage double"
 _BYTES = np.arange(256)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
 _BETWEEN = ~(((_LOWER >= 97) & (_LOWER <= 122)) | ((_BYTES >= 48) & (_BYTES <= 57)) | (_BYTES >= 0x80))
+# Code points of scripts written without blanks: first and last of a range.
+_UNSPACED = [
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029),
+    (0x3031, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF),
+]
+BETWEEN, WORD, ALONE = 0, 1, 2
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """BETWEEN, WORD or ALONE of every code point from 0x80 on."""
+    out = np.full(0x200000, WORD, np.uint8)
+    for first, last in _UNSPACED:
+        out[first : last + 1] = ALONE
+    for point in range(0x80, 0x20000):  # no punctuation beyond
+        if unicodedata.category(chr(point))[0] in "PZ" or 0x80 <= point < 0xA0:
+            out[point] = BETWEEN
+    return out
+
+
+def _word_bounds(data: np.ndarray, offsets: np.ndarray):
+    """As `common.word_bounds`, with the kinds of all code points."""
+    leads = np.flatnonzero(data >= 0xC0)
+    if not len(leads):
+        return C.word_bounds(data, offsets, _BETWEEN)
+    kind = np.where(_BETWEEN, BETWEEN, WORD).astype(np.uint8)[data]
+    lead = data[leads].astype(np.int32)
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    point = lead & (0x7F >> size)
+    last = len(data) - 1
+    for i in range(1, 4):
+        more = size > i
+        point = np.where(more, (point << 6) | (data[np.minimum(leads + i, last)] & 0x3F), point)
+    found = _kinds()[point]
+    for i in range(4):
+        more = (size > i) & (leads + i <= last)
+        kind[leads[more] + i] = found[more]
+    begins = kind != BETWEEN
+    inside = begins.copy()
+    begins[1:] &= ~inside[:-1] | (((data[1:] & 0xC0) != 0x80) & ((kind[1:] == ALONE) | (kind[:-1] == ALONE)))
+    cuts = offsets[(offsets > 0) & (offsets < len(data))]
+    begins[cuts] = inside[cuts]
+    ends = inside.copy()
+    ends[:-1] &= ~inside[1:] | begins[1:]
+    starts = np.flatnonzero(begins)
+    return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, offsets)
 
 
 def word_ids(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit words of all rows and each row's first."""
     data, offsets = C.text_bytes(text)
-    starts, ends, first = C.word_bounds(data, offsets, _BETWEEN)
+    starts, ends, first = _word_bounds(data, offsets)
     return C.word_hashes(data, starts, ends, fold=_LOWER), first
 
 

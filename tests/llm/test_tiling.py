@@ -1,6 +1,7 @@
 import random
 
 import edges
+import pyarrow as pa
 from folioflow.llm import tiling
 
 ITEMS = [(1, edges.prose(501, 30)), (2, edges.prose(502, 12)), (3, "too short"), (4, None), (None, edges.prose(503, 20)), (5, edges.prose(501, 30))]
@@ -85,3 +86,17 @@ def test_edge_rows(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert edges.rows(tiling.decontaminate(docs, none)) == edges.rows(docs)
     assert tiling.contamination(edges.empty(spark), benchmark(spark)).collect() == []
+
+
+def test_scripts_without_blanks_and_their_punctuation(spark):
+    items = [(1, "天地玄黄宇宙洪荒日月盈昃辰宿列张"), (2, "ภาษาไทยไม่มีช่องว่างระหว่างคำ"), (3, "いろはにほへと、ちりぬるを。わかよたれそ"), (4, "« één » – deux… trois “quatre” cinq")]
+    texts = ["前言" + items[0][1] + "后记", "ก" + items[1][1] + "ข", "古い歌：" + items[2][1].replace("、", " ") + "！", "een éen één deux trois quatre, cinq", "天地人和", "x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.items for r in tiling.contamination(docs, spark.createDataFrame(items, SCHEMA)).collect()}
+    assert found == {0: [1], 1: [2], 2: [3], 3: [4], 4: [], 5: []}
+
+
+def test_words_of_mixed_scripts():
+    words, first = tiling.word_ids(pa.array(["abc中文d", "中", "", "é、é", "É😀", "abc 中 文 d"]))
+    assert first.tolist() == [0, 4, 5, 5, 7, 8, 12]
+    assert words[:4].tolist() == words[8:].tolist() and words[1] == words[4] and words[5] == words[6]
