@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import bpe, bytesdup, extraction, language, pii, quality, sharding, simhash, substring, tiling
+from folioflow.llm import bpe, bytesdup, extraction, language, manifest, pii, quality, sharding, simhash, substring, tiling
 from folioflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -55,6 +55,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*first, "posterior")
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"), manifest.tampered())
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
@@ -66,6 +70,7 @@ QUERIES = {
     "op8_suffix": op8_suffix,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op12_manifest": op12_manifest,
 }
 # The other operators' models, tokenisers, hashes and searches have no SQL form; brute force tests them.
 ORACLE: dict[str, str] = {
