@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import bpe, bytesdup, extraction, language, manifest, pii, quality, sharding, simhash, substring, tiling
+from folioflow.llm import bpe, bytesdup, extraction, language, manifest, pii, quality, sharding, simhash, substring, tiling, warc
 from folioflow.llm.common import table
+from folioflow.session import new_folder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -59,6 +60,13 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"), manifest.tampered())
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = new_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), archives)
+    captured = warc.captures(warc.read_records(spark, archives))
+    return warc.resolved(captured).drop("target_uri")
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
@@ -71,6 +79,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
     "op12_manifest": op12_manifest,
+    "op13_warc": op13_warc,
 }
 # The other operators' models, tokenisers, hashes and searches have no SQL form; brute force tests them.
 ORACLE: dict[str, str] = {
@@ -95,5 +104,15 @@ kept AS (
 )
 SELECT s.doc_id, len(s.words) AS n_words, len(s.words) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
 FROM split s LEFT JOIN kept k USING (doc_id)
+""",
+    "op13_warc": r"""
+WITH read AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size FROM pages
+),
+newest AS (SELECT html, max(page_id) AS page_id FROM read WHERE size >= 1000 GROUP BY html)
+SELECT r.page_id, r.size::BIGINT AS payload_bytes, sha1(r.html) AS payload_digest,
+    CASE WHEN n.page_id <> r.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n.page_id <> r.page_id THEN n.page_id END AS refers_to
+FROM read r LEFT JOIN newest n USING (html)
 """,
 }
