@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import bpe, bytesdup, extraction, language, manifest, pii, quality, sharding, simhash, substring, tiling, warc
+from folioflow.llm import bpe, bytesdup, extraction, language, manifest, pii, quality, sharding, simhash, substring, tiling, trie, warc
 from folioflow.llm.common import table
 from folioflow.session import new_folder
 
@@ -56,6 +56,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*first, "posterior")
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"), manifest.tampered())
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_suffix": op8_suffix,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op11_trie": op11_trie,
     "op12_manifest": op12_manifest,
     "op13_warc": op13_warc,
 }
