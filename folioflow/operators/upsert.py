@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,3 +46,32 @@ def upsert_latest(
 ) -> DataFrame:
     """Upsert of a batch that may repeat keys: the last write wins."""
     return upsert(existing, latest(incoming, key, order), key, supplied)
+
+
+def fold_fields(
+    existing: DataFrame, incoming: DataFrame, key: str, order: str, supplied: str
+) -> DataFrame:
+    """The rows of the incoming keys, each field with its last supplied value in `order`, or else the existing one.
+
+    Every incoming row names the fields it supplies in its array column `supplied`; a supplied NULL is a
+    value, names that are no fields are ignored, and a NULL list supplies none. Rows of a key may repeat; `order` tells them apart.
+    A field that was never supplied is NULL in a new row. `existing` is unique on `key`; the result has its columns.
+
+    One aggregation before the shuffle keeps a value per field and key, so a hot key is no burden.
+    """
+    fields = [c for c in existing.columns if c != key]
+
+    def last(field: str) -> Column:
+        # Wrapped, so that a supplied NULL is told from no value.
+        given = F.when(F.array_contains(supplied, field), F.col(order))
+        return F.max_by(F.struct(F.col(field).alias("value")), given).alias(f"_{field}")
+
+    folded = incoming.groupBy(key).agg(*[last(c) for c in fields if c in incoming.columns])
+    joined = folded.join(existing, key, "left")
+    columns = [
+        F.when(F.col(f"_{c}").isNotNull(), F.col(f"_{c}.value")).otherwise(F.col(c)).alias(c)
+        if f"_{c}" in folded.columns
+        else F.col(c)
+        for c in fields
+    ]
+    return joined.select(key, *columns).select(*existing.columns)

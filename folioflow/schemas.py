@@ -114,6 +114,15 @@ CONTENT = _struct(
     "path_to_file string, content binary, content_type string, file_hash string"
 )
 
+# The batch that wrote a path last.
+CONTENT_VERSIONS = _struct("path_to_file string, file_hash string, version bigint")
+
+# A range of keys in a file of a run: `folder` is the batch that wrote it.
+KEY_RANGES = _struct("folder bigint, bucket int, level int, low string, high string, rows bigint")
+
+# A file of rows in force, with its partition and the range of its identifiers.
+ROW_FILES = _struct("zone_body string, zone_month string, path string, folder bigint, low string, high string, rows bigint")
+
 # Landing supplies every column but the file name; processing supplies them all.
 LANDING_SUPPLIED = [c for c in LANDING_CASES.names if c != "file_name"]
 PROCESSED_SUPPLIED = list(PROCESSED_CASES.names)

@@ -2,21 +2,21 @@
 
 Metadata tables are partitioned by body and month while their key is global, so an upsert may
 move a row to another partition. Each batch rewrites only the partitions it touches, in a folder
-of its own (`v=<batch>`), and publishes a small list of which folder holds which partition. The list
-alternates between two slots, so a reader opens two small files however many batches there were.
+of its own (`v=<batch>`), and publishes a list of the files in force, each with its partition and its range of
+identifiers. The list is a table: scans and upserts filter and join it, and the driver sees the files they
+open, not all. It alternates between two slots, so a reader opens two small files however many batches there were.
 Readers see the last published list, so they never meet a half-written batch, and a batch that
 failed is simply written again.
 
-Beside the rows, the hash, path and partition of each identifier are kept by buckets of the identifier:
-a batch appends its own and finds those of its identifiers in their buckets alone.
+Beside the rows, the hash, path and partition of each identifier are kept in sorted runs (`sources.runs`), whose
+ranges are in the same list: a batch adds its own and finds those of its identifiers in the ranges they fall into.
 
 Content tables only grow: a batch adds the payloads it stores, and the newest published one of a path
-counts.
+counts. Which batch that is, is kept by path in runs as well, brought up to the published batches when it is asked for.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
@@ -27,15 +27,16 @@ from pyspark.sql import types as T
 from folioflow import schemas as S
 from folioflow.functions import text
 from folioflow.operators.months import month_range
-from folioflow.operators.upsert import upsert
+from folioflow.operators.upsert import fold_fields, upsert
 from folioflow.session import small_table, stored
+from folioflow.sources.runs import ENTRY, KeyRuns
 
 KEY = "identifier"
 PARTITION = ["zone_body", "zone_month"]
-# State by identifier is kept in this many buckets, and merged after this many batches.
-BUCKETS, DELTAS = 32, 16
+# Runs of a level before they are merged.
+DELTAS = 8
 # A folder of this form is named exactly as its month; any other is opened and filtered.
-_MONTH = re.compile(r"\d{4}-\d{2}\Z")
+_MONTH = r"^[0-9]{4}-[0-9]{2}\z"
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -60,17 +61,10 @@ def folder_name(value: Column | str) -> Column:
 class MetadataTable:
     """One row per identifier, partitioned by body and month."""
 
-    _INDEX = T.StructType(
-        [
-            T.StructField("zone_body", T.StringType()),
-            T.StructField("zone_month", T.StringType()),
-            T.StructField("folder", T.LongType()),
-            T.StructField("v", T.LongType()),
-            T.StructField("slot", T.IntegerType()),
-        ]
-    )
+    # One list for files of rows and for ranges of states; the latter have no partition.
+    _INDEX = S.extended(S.ROW_FILES, "bucket int, level int, v bigint, slot int")
 
-    # What is kept per identifier beside the rows; a NULL partition in the list names such a folder.
+    # What is kept per identifier beside the rows.
     _STATE = T.StructType(
         [
             T.StructField(name, T.StringType())
@@ -80,143 +74,125 @@ class MetadataTable:
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self._placed = S.extended(schema, "zone_body string, zone_month string")
+        self.runs = KeyRuns(spark, f"{self.path}/keys", KEY, self._STATE)
 
     # -- reading ----------------------------------------------------------
 
-    def _index(self) -> tuple[int, list[T.Row]]:
-        """Last published batch and its list: one row per body and month, a few thousand."""
+    def _published(self) -> tuple[int, int, DataFrame]:
+        """Last published batch, the slot of its list, and the list."""
         lists = _read(self.spark, f"{self.path}/index", self._INDEX)
-        newest = lists.where(F.col("v") == lists.agg(F.max("v")).scalar()).collect()
-        return (newest[0].v if newest else -1), newest
+        newest = lists.agg(F.max(F.struct("v", "slot")).alias("n")).select("n.*").first()
+        if newest.v is None:
+            return -1, 1, small_table(self.spark, [], self._INDEX)
+        return newest.v, newest.slot, lists.where(F.col("slot") == newest.slot)
+
+    def _index(self) -> tuple[int, list[T.Row]]:
+        """Last published batch and its whole list."""
+        last, _, entries = self._published()
+        return last, entries.collect()
 
     def last_batch(self) -> int:
-        return self._index()[0]
-
-    def _rows(self, index: list[T.Row]) -> DataFrame:
-        if not index:
-            return small_table(self.spark, [], self._placed)
-        data = f"{self.path}/data"
-        paths = [
-            f"{data}/v={r.folder}/zone_body={r.zone_body}/zone_month={r.zone_month}"
-            for r in index
-            if r.zone_month is not None
-        ]
+        return self._published()[0]
+
+    @staticmethod
+    def _files(entries: DataFrame) -> DataFrame:
+        """The files of rows, narrow, of a list."""
+        return entries.where(F.col("zone_month").isNotNull()).select(*S.ROW_FILES.names)
+
+    @staticmethod
+    def _ranges(entries: DataFrame) -> DataFrame:
+        """The ranges of states of a list."""
+        return entries.where(F.col("zone_month").isNull()).select(*ENTRY.names)
+
+    def _open(self, files: DataFrame) -> DataFrame:
+        """The rows of some files."""
+        paths = [f"{self.path}/{r.path}" for r in files.select("path").collect()]
         if not paths:
-            return small_table(self.spark, [], self._placed)
-        reader = self.spark.read.schema(self._placed).option("basePath", data)
-        return reader.parquet(*paths).drop("v")
+            return small_table(self.spark, [], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def read(self) -> DataFrame:
-        return self._rows(self._index()[1]).select(*self.schema.names)
+        return self._open(self._files(self._published()[2]))
 
     def keys(self, *columns: str) -> DataFrame:
         """Identifiers with a few columns: what change detection reads."""
         return self.read().select(KEY, *columns)
 
+    def month_files(self, start_month: str, end_month: str, body: str | None = None) -> DataFrame:
+        """The files that hold rows of an inclusive month range and body."""
+        files = self._files(self._published()[2])
+        if body:
+            files = files.where(F.col("zone_body") == folder_name(F.lit(body)))
+        month = F.col("zone_month")
+        return files.where(month.between(start_month, end_month) | ~month.rlike(_MONTH))
+
     def scan_months(
         self, start_month: str, end_month: str, body: str | None = None
     ) -> DataFrame:
-        """Rows of an inclusive month range and body; other partitions are not opened."""
-        wanted = None
-        if body:
-            wanted = self.spark.range(1).select(folder_name(F.lit(body))).first()[0]
-        index = [
-            r
-            for r in self._index()[1]
-            if r.zone_month is not None
-            and wanted in (None, r.zone_body)
-            and (start_month <= r.zone_month <= end_month or not _MONTH.match(r.zone_month))
-        ]
-        return month_range(self._rows(index), start_month, end_month, body).select(
-            *self.schema.names
-        )
+        """Rows of an inclusive month range and body; other files are not opened."""
+        return month_range(self._open(self.month_files(start_month, end_month, body)), start_month, end_month, body)
 
-    # -- state by identifier ----------------------------------------------
+    # -- by identifier ----------------------------------------------------
 
-    @staticmethod
-    def _bucket() -> Column:
-        return F.pmod(F.xxhash64(KEY), F.lit(BUCKETS)).cast("int")
-
-    def _states(self, index: list[T.Row], buckets: list[int] | None) -> DataFrame:
-        """Newest state of each identifier in some buckets; no other folder is opened."""
-        paths = [f"{self.path}/keys/v={r.folder}" for r in index if r.zone_month is None]
-        if not paths:
-            return small_table(self.spark, [], self._STATE)
-        schema = S.extended(self._STATE, "v bigint, bucket int")
-        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/keys").parquet(*paths)
-        if buckets is not None:
-            rows = rows.where(F.col("bucket").isin(buckets))
-        values = F.struct(*self._STATE.names[1:])
-        newest = rows.groupBy(KEY).agg(F.max_by(values, "v").alias("s"))
-        return newest.select(KEY, "s.*")
-
-    def state(self, identifiers: DataFrame, index: list[T.Row] | None = None) -> DataFrame:
+    def state(self, identifiers: DataFrame, entries: DataFrame | None = None) -> DataFrame:
         """`identifier, file_hash, path_to_file` and partition of the given identifiers that are held.
 
-        Reads the buckets of these identifiers only, so a small batch reads little of a large table.
+        Opens the ranges that these identifiers fall into only, so a small batch reads little of a large table.
         """
-        index = self._index()[1] if index is None else index
-        asked = identifiers.select(KEY)
-        found = asked.select(self._bucket().alias("b")).distinct().collect()  # BUCKETS at most
-        return self._states(index, [r.b for r in found]).join(asked, KEY, "left_semi")
-
-    def _write_states(self, batch: int, index: list[T.Row], written: DataFrame, asked: DataFrame) -> list[int]:
-        """Add the states of a batch; return the folders that hold states from now on.
-
-        Every `DELTAS` batches they are merged into one folder, so few are read and each row is
-        rewritten once in that many batches.
-        """
-        folders = [r.folder for r in index if r.zone_month is None]
-        fresh = written.select(*self._STATE.names).join(asked.select(KEY), KEY, "left_semi")
-        if len(folders) >= DELTAS:
-            kept = self._states(index, None).join(asked.select(KEY), KEY, "left_anti")
-            fresh, folders = fresh.unionByName(kept), []
-        target = f"{self.path}/keys/v={batch}"
-        placed = fresh.withColumn("bucket", self._bucket()).repartition("bucket")
-        placed.write.mode("overwrite").partitionBy("bucket").parquet(target)
-        return [*folders, batch]
+        entries = self._published()[2] if entries is None else entries
+        return self.runs.lookup(identifiers, self._ranges(entries))
+
+    def lookup(self, identifiers: DataFrame) -> DataFrame:
+        """The rows of the given identifiers that are held. Of the partitions they are in, files whose range of identifiers
+        holds none of them are not opened."""
+        entries = self._published()[2]
+        homes = stored(self.state(identifiers, entries).select(KEY, *PARTITION))
+        files = self._files(entries)
+        spans = homes.groupBy(*PARTITION).agg(F.min(KEY).alias("least"), F.max(KEY).alias("most"))
+        near = files.join(spans, PARTITION).where("low <= most and high >= least")
+        return self._open(near).join(homes.select(KEY), KEY, "left_semi")
 
     # -- writing ----------------------------------------------------------
 
     def publish(self, batch: int, incoming: DataFrame, supplied: Iterable[str]) -> None:
         """Upsert rows that are unique by identifier. A batch published before does nothing."""
-        last, index = self._index()
+        last, slot, entries = self._published()
         if batch <= last:
             return
         zone = {"zone_body": folder_name("body"), "zone_month": folder_name("partition_date")}
-        new_homes = incoming.select(KEY, *[c.alias(n) for n, c in zone.items()])
-        old_homes = self.state(incoming, index).select(KEY, *PARTITION)
-        homes = new_homes.withColumn("gains", F.lit(True)).unionByName(
-            old_homes.withColumn("gains", F.lit(False))
-        )
-        touched = {
-            (r.zone_body, r.zone_month): r.gains
-            for r in homes.groupBy(*PARTITION).agg(F.max("gains").alias("gains")).collect()
-        }
-        before = [r for r in index if (r.zone_body, r.zone_month) in touched]
-        kept = [r for r in index if (r.zone_body, r.zone_month) not in touched]
-
-        rows = upsert(self._rows(before).select(*self.schema.names), incoming, KEY, supplied)
+        homes = incoming.select(*[c.alias(n) for n, c in zone.items()])
+        homes = homes.unionByName(self.state(incoming, entries).select(*PARTITION))
+        touched = stored(homes.distinct())
+        files = self._files(entries)
+
+        rows = upsert(self._open(files.join(touched, PARTITION, "left_semi")), incoming, KEY, supplied)
         # Rebalancing gives even files per partition and splits a large partition.
         placed = rows.withColumns(zone).hint("rebalance", *PARTITION)
         target = f"{self.path}/data/v={batch}"
         placed.write.mode("overwrite").partitionBy(*PARTITION).parquet(target)
 
-        filled = {home for home, gains in touched.items() if gains}
-        if len(filled) < len(touched):  # a partition that only lost rows may be empty now
-            written = _read(self.spark, target, self._placed)
-            filled = {tuple(r) for r in written.select(*PARTITION).distinct().collect()}
-        written = _read(self.spark, target, self._placed)
-        folders = self._write_states(batch, index, written, incoming)
-        entries = [(r.zone_body, r.zone_month, r.folder) for r in kept if r.zone_month is not None]
-        entries += [(None, None, folder) for folder in folders]
-        entries += [(body, month, batch) for body, month in sorted(filled)]
-        entries = [(*e, batch) for e in entries]
-        listed = small_table(self.spark, entries, T.StructType(self._INDEX.fields[:4]))
+        written = _read(self.spark, target, S.extended(self.schema, "zone_body string, zone_month string"))
+        fresh = stored(written.select(*self._STATE.names).join(incoming.select(KEY), KEY, "left_semi"))
+        ranges = self.runs.add(batch, fresh, self._ranges(entries), DELTAS)
+
+        named = F.regexp_extract(F.col("_metadata.file_path"), "^.*/(data/v=[0-9]+/.*)$", 1).alias("path")
+        filled = written.groupBy(*PARTITION, named).agg(F.min(KEY).alias("low"), F.max(KEY).alias("high"), F.count("*").alias("rows"))
+        filled = filled.withColumn("folder", F.lit(batch).cast("long"))
+        kept = files.join(touched, PARTITION, "left_anti")
+        listed = kept.unionByName(filled).unionByName(ranges, allowMissingColumns=True).withColumn("v", F.lit(batch).cast("long"))
         # The list in force stays untouched until the new one is complete.
-        slot = 1 - index[0].slot if index else 0
-        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/index/slot={slot}")
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/index/slot={1 - slot}")
+
+    def publish_fields(self, batch: int, incoming: DataFrame, order: str, supplied: str) -> None:
+        """Upsert rows that each supply the fields named in their array column `supplied`, and may repeat an identifier.
+
+        Of a field the last supplied value in `order` counts, NULL too; one that no row supplies keeps the stored value.
+        """
+        if batch <= self.last_batch():
+            return
+        held = self.lookup(incoming.select(KEY).distinct())
+        folded = fold_fields(held, incoming, KEY, order, supplied)
+        self.publish(batch, stored(folded), self.schema.names)
 
 
 class ContentTable:
@@ -226,8 +202,14 @@ class ContentTable:
     # Bounds a file of payloads, which are written by the tasks that hold them.
     ROWS_PER_FILE = 10_000
 
+    # What is kept per path: the batch that wrote it last, and the hash of what it wrote.
+    _VERSION = S.CONTENT_VERSIONS
+
+    _INDEX = S.extended(S.KEY_RANGES, "upto bigint, slot int")
+
     def __init__(self, spark: SparkSession, path: str, published: Callable[[], int]) -> None:
         self.spark, self.path, self._published = spark, path.rstrip("/"), published
+        self.runs = KeyRuns(spark, f"{self.path}-versions/keys", "path_to_file", self._VERSION)
 
     @staticmethod
     def month_of(path: Column | str) -> Column:
@@ -248,43 +230,70 @@ class ContentTable:
         every = _read(self.spark, self.path, S.extended(S.CONTENT, "v bigint, month string"))
         return every.where(F.col("v") <= self._published())
 
-    def _newest(self, rows: DataFrame) -> DataFrame:
-        """Newest batch of each path: reads paths only, no payloads."""
-        return rows.groupBy("month", "path_to_file").agg(F.max("v").alias("v"))
+    # -- newest versions --------------------------------------------------
+
+    def _versions(self) -> DataFrame:
+        """The ranges of newest versions by path, with those of batches published since they were last brought up to date."""
+        lists = _read(self.spark, f"{self.path}-versions/index", self._INDEX)
+        newest = lists.agg(F.max(F.struct("upto", "slot")).alias("n")).select("n.*").first()
+        upto, slot = (-1, 1) if newest.upto is None else newest
+        entries = lists.where(F.col("slot") == slot).select(*ENTRY.names)
+        last = self._published()
+        if upto >= last:
+            return entries
+        since = self._all().where(F.col("v") > upto).select("path_to_file", "file_hash", "v")
+        new = since.groupBy("path_to_file").agg(F.max_by(F.struct("file_hash", F.col("v").alias("version")), "v").alias("s"))
+        fresh = stored(new.select("path_to_file", "s.*"))
+        entries = self.runs.add(last, fresh, entries, DELTAS).withColumn("upto", F.lit(last).cast("long"))
+        index = f"{self.path}-versions/index"
+        entries.coalesce(1).write.mode("overwrite").parquet(f"{index}/slot={1 - slot}")
+        return _read(self.spark, index, self._INDEX).where(F.col("slot") == 1 - slot).select(*ENTRY.names)
+
+    def versions(self, paths: DataFrame) -> DataFrame:
+        """`path_to_file, file_hash, version` of the paths that are held: the batch that wrote each last. Reads no payload, and
+        of what is kept per path the ranges that these paths fall into."""
+        return self.runs.lookup(paths, self._versions())
 
     def read(self) -> DataFrame:
         every = self._all()
-        keys = ["month", "path_to_file", "v"]
-        return every.join(self._newest(every), keys, "left_semi").select(*S.CONTENT.names)
+        newest = self.versions(every.select("path_to_file").distinct())
+        keys = newest.select("path_to_file", F.col("version").alias("v"))
+        return every.join(keys, ["path_to_file", "v"], "left_semi").select(*S.CONTENT.names)
 
     def attach(self, metadata: DataFrame, columns: Iterable[str] = ("content",)) -> DataFrame:
         """Metadata rows with the payload at their `path_to_file`, NULL where none exists.
 
-        The newest batch of each path is found on paths alone and written as a narrow table. The one
+        The newest batch of each path is looked up and written as a narrow table. The one
         join that sees payloads is with that table, whose size the planner knows: it broadcasts a
         small one, and for a large one prunes partitions and filters payloads before they are shuffled.
         """
         keys = ["month", "path_to_file"]
         located = metadata.withColumn("month", self.month_of("path_to_file"))
-        every = self._all()
-        paths = every.select(*keys, "v").join(located.select(*keys), keys, "left_semi")
-        versions = stored(located.join(self._newest(paths), keys, "left"))
+        newest = self.versions(metadata.where(F.col("path_to_file").isNotNull()).select("path_to_file").distinct())
+        newest = newest.select("path_to_file", F.col("version").alias("v"))
+        versions = stored(located.join(newest, "path_to_file", "left"))
 
         found = versions.where(F.col("v").isNotNull())
         missing = versions.where(F.col("v").isNull())
         for name in columns:
             missing = missing.withColumn(name, F.lit(None).cast(S.CONTENT[name].dataType))
-        joined = every.select(*keys, "v", *columns).join(found, [*keys, "v"])
+        joined = self._all().select(*keys, "v", *columns).join(found, [*keys, "v"])
         return joined.unionByName(missing).select(*metadata.columns, *columns)
 
     def holds(self, candidates: DataFrame) -> DataFrame:
         """Rows of `path_to_file, file_hash` whose payload is here with that hash. Reads no payload."""
-        every = self._all().select("month", "path_to_file", "file_hash", "v")
-        keys = ["month", "path_to_file"]
-        asked = candidates.withColumn("month", self.month_of("path_to_file"))
-        near = every.join(asked.select(*keys), keys, "left_semi")
-        last = near.groupBy(*keys).agg(F.max_by("file_hash", "v").alias("file_hash"))
-        return asked.join(last, [*keys, "file_hash"], "left_semi").select(*candidates.columns)
+        last = self.versions(candidates.select("path_to_file").distinct())
+        return candidates.join(last.select("path_to_file", "file_hash"), ["path_to_file", "file_hash"], "left_semi")
+
+    def unreferenced(self, metadata: DataFrame) -> DataFrame:
+        """`path_to_file, v, reason` of the payloads that no row of the metadata leads to: replaced by a later one, or at a path that
+        no row has. Reads no payload."""
+        every = self._all().select("path_to_file", "v")
+        newest = every.groupBy("path_to_file").agg(F.max("v").alias("last"))
+        used = metadata.where(F.col("path_to_file").isNotNull()).select("path_to_file").distinct().withColumn("used", F.lit(True))
+        judged = every.join(newest, "path_to_file").join(used, "path_to_file", "left")
+        reason = F.when(F.col("v") < F.col("last"), "replaced").when(F.col("used").isNull(), "no row")
+        return judged.select("path_to_file", "v", reason.alias("reason")).where("reason is not null")
 
 
 class Zone:
