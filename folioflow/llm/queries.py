@@ -67,7 +67,7 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = new_folder(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), archives)
-    captured = warc.captures(warc.read_records(spark, archives))
+    captured = warc.captures(warc.read_records(spark, archives, payloads=False))
     return warc.resolved(captured).drop("target_uri")
 
 

@@ -47,10 +47,10 @@ def record_id(kind: str, unique: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-"), F.lit(">"))
 
 
-def record(kind: str, headers: dict[str, Column], block: Column) -> Column:
-    """A record up to its end; headers that are null are left out."""
+def record(kind: str, headers: dict[str, Column], block: Column, length: Column | None = None) -> Column:
+    """A record up to its end; headers that are null are left out. length: bytes of the block, where they are known."""
     fields = [F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(LINE)), F.lit("")) for name, value in headers.items()]
-    length = F.octet_length(block).cast("string")
+    length = (F.octet_length(block) if length is None else length).cast("string")
     return F.concat(F.lit(f"{MARK}1{LINE}WARC-Type: {kind}{LINE}"), *fields, F.lit("Content-Length: "), length, F.lit(GAP), block)
 
 
@@ -83,7 +83,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST, date: str =
     http = {"Content-Type": F.lit("application/http; msgtype=response")}
     answer = F.concat(F.lit(f"HTTP/1.1 200 OK{LINE}Content-Type: text/html; charset=utf-8{LINE}Content-Length: "), F.col("size").cast("string"), F.lit(GAP))
 
-    full = record("response", {"WARC-Record-ID": response, **common, "WARC-Payload-Digest": digest, **http}, F.concat(answer, F.col("html")))
+    full = record("response", {"WARC-Record-ID": response, **common, "WARC-Payload-Digest": digest, **http}, F.concat(answer, F.col("html")), F.octet_length(answer) + F.col("size"))
     again = {"WARC-Record-ID": response, **common, "WARC-Payload-Digest": digest, "WARC-Refers-To": record_id("response", first), "WARC-Profile": F.lit(REVISIT_PROFILE), **http}
     host = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
     asked = F.concat(F.lit("GET "), F.coalesce("url", F.lit("/")), F.lit(f" HTTP/1.1{LINE}Host: "), F.coalesce(host, F.lit("")), F.lit(GAP))
@@ -157,34 +157,44 @@ def _due(record: bytes, gap: bytes) -> int:
     return 0
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """One row per record: kind, record_id, date, target_uri, concurrent_to (array), refers_to, payload_digest, content_type, length,
-    block (binary), damaged."""
+    damaged, payload_bytes and payload_sha1 of responses and revisits, and block (binary).
+
+    payloads: whether responses and revisits have their block. Without, the files are read once and the rest is written
+    as a narrow table; with, they are read when the rows are.
+    """
     pieces = spark.read.option("lineSep", MARK).text(path)
     pieces = pieces.select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
     pieces = pieces.withColumn("place", F.monotonically_increasing_id())
     # What stands before the first mark of a file is empty and no record.
     filled = pieces.where(F.octet_length("value") > 0)
-    cut = stored(_measured(filled).where("damaged").select("file").distinct())
-    records = filled.select("value")
+    parsed = _parsed(filled, payloads)
+    if not payloads:
+        parsed = stored(parsed.drop("start", "place"))
+    marks = parsed if not payloads else _measured(filled)
+    cut = stored(marks.where("damaged").select("file").distinct())
     if cut.head(1):
         again = pieces.join(cut, "file", "left_semi").select("file", "start", "place", "value").repartition("file")
         mended = map_arrow(again.sortWithinPartitions("file", "start", "place"), _joined, "value binary")
-        records = filled.join(cut, "file", "left_anti").select("value").unionByName(mended)
+        parsed = parsed.join(cut, "file", "left_anti").select(*RECORD).unionByName(_parsed(mended, payloads).select(*RECORD))
+    return parsed.select(*RECORD)
+
+
+RECORD = ["kind", "record_id", "date", "target_uri", "concurrent_to", "refers_to", "payload_digest", "content_type", "length", "damaged", "payload_bytes", "payload_sha1", "block"]
+
+
+def _parsed(pieces: DataFrame, payloads: bool) -> DataFrame:
+    """The columns of records, beside those of the pieces other than their value."""
+    kept = [c for c in pieces.columns if c != "value"]
     block = F.substring(F.col("value"), F.octet_length("head") + F.lit(len(GAP) + 1), F.col("length").cast("int"))
-    return _measured(records).select(
-        _header("warc-type").alias("kind"),
-        _header("warc-record-id").alias("record_id"),
-        _header("warc-date").alias("date"),
-        _header("warc-target-uri").alias("target_uri"),
-        F.regexp_extract_all("head", F.lit(r"(?i)\r\nwarc-concurrent-to:[ \t]*([^\r\n]*)"), F.lit(1)).alias("concurrent_to"),
-        _header("warc-refers-to").alias("refers_to"),
-        _header("warc-payload-digest").alias("payload_digest"),
-        _header("content-type").alias("content_type"),
-        "length",
-        block.alias("block"),
-        "damaged",
-    )
+    headers = {"kind": "warc-type", "record_id": "warc-record-id", "date": "warc-date", "target_uri": "warc-target-uri", "refers_to": "warc-refers-to", "payload_digest": "warc-payload-digest", "content_type": "content-type"}
+    concurrent = F.regexp_extract_all("head", F.lit(r"(?i)\r\nwarc-concurrent-to:[ \t]*([^\r\n]*)"), F.lit(1))
+    read = _measured(pieces).select(*kept, *[_header(name).alias(c) for c, name in headers.items()], concurrent.alias("concurrent_to"), "length", block.alias("block"), "damaged")
+    capture = F.coalesce(F.col("kind").isin(*CAPTURES), F.lit(False))
+    body = payload(F.col("block"), F.col("content_type"))
+    read = read.withColumns({"payload_bytes": F.when(capture, F.octet_length(body).cast("long")), "payload_sha1": F.when(capture, F.sha1(body))})
+    return read if payloads else read.withColumn("block", F.when(~capture, F.col("block")))
 
 
 def payload(block: Column, content_type: Column) -> Column:
@@ -195,11 +205,9 @@ def payload(block: Column, content_type: Column) -> Column:
 
 
 def captures(records: DataFrame) -> DataFrame:
-    """One nested row per response or revisit: record_id, kind, date, target_uri, refers_to, payload_digest, payload_bytes, payload_sha1, payload,
-    requests and metadata (arrays of record_id, date, block)."""
-    main = records.where(F.col("kind").isin(*CAPTURES))
-    body = payload(F.col("block"), F.col("content_type"))
-    main = main.withColumns({"payload": body, "payload_bytes": F.octet_length(body).cast("long"), "payload_sha1": F.sha1(body)})
+    """One nested row per response or revisit: record_id, kind, date, target_uri, refers_to, payload_digest, payload_bytes, payload_sha1, payload (null
+    if the records were read without), requests and metadata (arrays of record_id, date, block)."""
+    main = records.where(F.col("kind").isin(*CAPTURES)).withColumn("payload", payload(F.col("block"), F.col("content_type")))
     kept = ["record_id", "kind", "date", "target_uri", "refers_to", "payload_digest", "payload_bytes", "payload_sha1", "payload"]
 
     beside = records.where(F.col("kind").isin("request", "metadata"))

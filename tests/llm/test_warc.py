@@ -178,6 +178,13 @@ def test_edge_rows(spark):
     assert report(spark, archived(spark, [])) == []
 
 
+def test_records_without_payloads_give_the_same_report(spark):
+    folder = archived(spark, PAGES)
+    records = warc.read_records(spark, folder, payloads=False)
+    assert records.where("kind = 'response' and block is not null").count() == 0
+    assert edges.rows(warc.resolved(warc.captures(records)).select(*COLUMNS)) == brute(PAGES)
+
+
 def test_payload_is_not_shuffled(spark):
     """Only narrow columns meet the joins of the report."""
     captured = warc.captures(warc.read_records(spark, archived(spark, PAGES[:6])))
