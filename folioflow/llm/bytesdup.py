@@ -6,10 +6,10 @@ pieces, and only documents that hold an anchor of some other place are looked at
 
 The bytes that an anchor's strings span (at most `2 * MATCH - ANCHOR`) go to the shard of the anchor. Each
 shard has a suffix array, made by Larsson-Sadakane refinement, and Kasai's common prefixes of neighbours
-tell which of its strings are equal. An anchor with more than `SPLIT_ROWS` rows is dealt to several shards;
-those hand on their distinct strings as sorted keys, cut by binary search into ranges, and a range's
-pieces are merged by looking each up in the others by binary search. Equal spans of one slice travel once,
-and of equal texts one does, as a partner of others: its own bytes and its copies' all go.
+tell which of its strings are equal. An anchor fills as many shards as it has `SPLIT_ROWS` rows; those
+hand on their distinct strings as sorted keys, cut by binary search into ranges, and a range's
+pieces are merged by looking each up among all by binary search. Equal spans of one slice travel once, equal spans of
+a shard are sorted once, and of equal texts one travels, as a partner of others: its own bytes and its copies' all go.
 
 Edge cases: null text has no bytes; a text shorter than a match keeps all; repeated rows are documents of
 their own, so each repeats the other; null ids are kept; an empty table gives an empty table; other
@@ -169,8 +169,25 @@ def _pack_spans(buckets: int):
     return step
 
 
+def _equal_spans(text: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, times): the first of the spans that equal each span, and how many there are."""
+    hashes = [C.range_hash(C._base(seed)[0][text], begin, begin + sizes, seed) for seed in (4, 5)]
+    by = np.lexsort((hashes[1], hashes[0]))
+    new = np.ones(len(by), bool)
+    new[1:] = (hashes[0][by][1:] != hashes[0][by][:-1]) | (hashes[1][by][1:] != hashes[1][by][:-1])
+    heads = np.flatnonzero(new)
+    times = np.diff(np.append(heads, len(by)))
+    first, count = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
+    first[by] = np.repeat(np.minimum.reduceat(by, heads), times)
+    count[by] = np.repeat(times, times)
+    return first, count
+
+
 def _shard(ranges: int):
-    """Strings of one shard that repeat in it, as runs of starts; keys of those that other shards may hold."""
+    """Strings of one shard that repeat in it, as runs of starts; keys of those that other shards may hold.
+
+    Of equal spans one is sorted, for the sake of others: all strings of each of them repeat.
+    """
 
     def solve(table: pa.Table) -> pa.Table:
         column = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
@@ -178,6 +195,14 @@ def _shard(ranges: int):
         if table.column("bucket")[0].as_py() < 0:
             return _answer(docs, places, places + sizes - MATCH + 1, [], ranges)
         text, split = column("text", np.uint8), column("split", bool)
+        first, times = _equal_spans(text, np.cumsum(sizes) - sizes, sizes)
+        told = np.flatnonzero((times > 1) & (places >= 0))
+        whole = docs[told], places[told].astype(np.int64), places[told] + sizes[told] - MATCH + 1
+
+        one = np.flatnonzero(first == np.arange(len(first)))
+        text = gather(text, (np.cumsum(sizes) - sizes)[one], sizes[one])
+        # An answer is owed to those that are told nothing yet.
+        sizes, docs, split, places = sizes[one], docs[one], split[one], np.where(times[one] > 1, -1, places[one])
         ends = np.cumsum(sizes)
         left = np.repeat(ends, sizes) - np.arange(len(text))
         order, same = repeats(text, left, MATCH)
@@ -193,20 +218,19 @@ def _shard(ranges: int):
         a = mine[head]
         b = mine[np.append(np.flatnonzero(head)[1:], len(mine)) - 1] if len(mine) else a
         o = owner[a]
-        keys = []
-        if split.any():
-            # One of each class of equal strings; classes follow each other in the suffix array.
-            rest = order[split[owner[order]] & starts[order] & ~same]
-            hashes = [C.range_hash(C._base(seed)[0][text], rest, rest + MATCH, seed) for seed in (6, 7)]
-            by = np.lexsort((hashes[1], hashes[0]))
-            rest, lo, hi = rest[by], hashes[0][by], hashes[1][by]
-            open_ = ~repeated[rest] & (places[owner[rest]] >= 0)  # known repeats need no answer
-            whose = np.where(open_, docs[owner[rest]], 0)
-            place = np.where(open_, places[owner[rest]] + rest - begin[owner[rest]], -1).astype(np.int32)
-            bounds = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)
-            cuts = [0, *np.searchsorted(lo, bounds).tolist(), len(lo)]
-            keys = [(i, lo[x:y].tobytes(), hi[x:y].tobytes(), whose[x:y].tobytes(), place[x:y].tobytes()) for i, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-        return _answer(docs[o], places[o] + a - begin[o], places[o] + b - begin[o] + 1, keys, ranges)
+        # One of each class of equal strings; classes follow each other in the suffix array.
+        rest = order[split[owner[order]] & starts[order] & ~same]
+        hashes = [C.range_hash(C._base(seed)[0][text], rest, rest + MATCH, seed) for seed in (6, 7)]
+        by = np.lexsort((hashes[1], hashes[0]))
+        rest, lo, hi = rest[by], hashes[0][by], hashes[1][by]
+        open_ = ~repeated[rest] & (places[owner[rest]] >= 0)  # known repeats need no answer
+        whose = np.where(open_, docs[owner[rest]], 0)
+        place = np.where(open_, places[owner[rest]] + rest - begin[owner[rest]], -1).astype(np.int32)
+        bounds = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64) if len(rest) else np.zeros(0, np.uint64)
+        cuts = [0, *np.searchsorted(lo, bounds).tolist(), len(lo)]
+        keys = [(i, lo[x:y].tobytes(), hi[x:y].tobytes(), whose[x:y].tobytes(), place[x:y].tobytes()) for i, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
+        found = docs[o], places[o] + a - begin[o], places[o] + b - begin[o] + 1
+        return _answer(*[np.concatenate(c) for c in zip(whole, found)], keys, ranges)
 
     return solve
 
@@ -221,21 +245,26 @@ def _answer(docs: np.ndarray, begins: np.ndarray, ends: np.ndarray, keys: list[t
     return pa.table(out)
 
 
+def shared_strings(lists: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+    """Of sorted lists of keys (lo, hi, ...): which strings, of all one after the other, another list holds too.
+
+    A list holds a key once. Keys become one number each, by the places of their halves; each is looked up in the sorted
+    numbers of all lists by binary search.
+    """
+    lo, hi = [np.concatenate([piece[i] for piece in lists]) for i in (0, 1)]
+    low, high = np.unique(lo), np.unique(hi)
+    keys = np.searchsorted(low, lo) * len(high) + np.searchsorted(high, hi)
+    merged = np.sort(keys)
+    return np.searchsorted(merged, keys, side="right") - np.searchsorted(merged, keys, side="left") > 1
+
+
 def _merge(table: pa.Table, slots: int) -> pa.Table:
-    """Of the sorted key lists of a range: the strings that another list holds too, found by binary search."""
-    pieces = []
-    for lo, hi, who, place in zip(*[table.column(c).to_pylist() for c in ("lo", "hi", "who", "place")]):
-        pieces.append((np.frombuffer(lo, np.uint64), np.frombuffer(hi, np.uint64), np.frombuffer(who, np.int64), np.frombuffer(place, np.int32)))
-    lo, hi, who, place = [np.concatenate(x) for x in zip(*pieces)]
-    pair = np.empty(len(lo), np.dtype([("lo", np.uint64), ("hi", np.uint64)]))
-    pair["lo"], pair["hi"] = lo, hi
-    merged = np.sort(pair, order=("lo", "hi"))
-    low = np.searchsorted(merged["lo"], lo, side="left")
-    high = np.searchsorted(merged["lo"], lo, side="right")
-    # Ranges of equal low halves are nearly always of one key; their high halves decide.
-    several = np.flatnonzero((high - low > 1) & (place >= 0))
-    found = [i for i in several.tolist() if np.count_nonzero(merged["hi"][low[i] : high[i]] == hi[i]) > 1] if len(several) else []
-    found = np.array(found, np.int64)
+    """Of the sorted key lists of a range: the strings that another list holds too."""
+    kinds = (np.uint64, np.uint64, np.int64, np.int32)
+    columns = [table.column(c).to_pylist() for c in ("lo", "hi", "who", "place")]
+    lists = [tuple(np.frombuffer(raw, kind) for raw, kind in zip(row, kinds)) for row in zip(*columns)]
+    who, place = [np.concatenate([piece[i] for piece in lists]) for i in (2, 3)]
+    found = np.flatnonzero(shared_strings(lists) & (place >= 0))
     return parts(who[found], place[found], place[found] + 1, slots)
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import time
 from collections import Counter
 
 import edges
@@ -84,3 +85,28 @@ def test_sliding_least():
     for width in (1, 2, 101, 237):
         want = [values[i : i + width].min() for i in range(len(values) - width + 1)]
         assert bytesdup.sliding_least(values, width).tolist() == want
+
+
+def test_shared_strings_of_many_lists():
+    rng = np.random.default_rng(5)
+    lists = []
+    for _ in range(60):
+        keys = sorted({(int(a), int(b)) for a, b in zip(rng.integers(0, 40, 30), rng.integers(0, 6, 30))})
+        lists.append(tuple(np.array(c, np.uint64) << np.uint64(60) | np.array(c, np.uint64) for c in zip(*keys)))
+    pairs = [p for lo, hi in lists for p in zip(lo.tolist(), hi.tolist())]
+    count = Counter(pairs)
+    assert bytesdup.shared_strings(lists).tolist() == [count[p] > 1 for p in pairs]
+
+
+def test_merge_of_many_parts_is_fast():
+    keys = [np.sort(np.random.default_rng(1).integers(0, 1 << 63, 50).astype(np.uint64)) for _ in range(1)][0]
+    began = time.perf_counter()
+    found = bytesdup.shared_strings([(keys, keys)] * 16_000)
+    assert found.all() and time.perf_counter() - began < 2
+
+
+def test_equal_spans():
+    strings = [b"x" * 210, b"ab" * 120, b"x" * 210, b"x" * 211, b"ab" * 120, b"x" * 210]
+    sizes = np.array([len(x) for x in strings])
+    first, times = bytesdup._equal_spans(np.frombuffer(b"".join(strings), np.uint8), np.cumsum(sizes) - sizes, sizes)
+    assert first.tolist() == [0, 1, 0, 3, 1, 0] and times.tolist() == [3, 2, 3, 1, 2, 3]
