@@ -57,7 +57,8 @@ LOOSE = "|".join(
         PATTERNS["phone"],
         r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key)[\x20]?[=:][\x20]?\"?[A-Za-z0-9/+_-]{6,}+\"?",
         r"(?<![A-Za-z0-9])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z-])",
-        r"(?<![0-9A-Za-z])[0-9](?:[\x20.-]?[0-9])*+(?![A-Za-z0-9])",
+        # A group of digits that a letter follows ends a run before it, so a run is never tried twice.
+        r"(?<![0-9A-Za-z])[0-9]++(?![A-Za-z])(?:[\x20.-][0-9]++(?![A-Za-z]))*+",
         r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])[A-Za-z0-9]++",
     ]
 )
@@ -221,7 +222,7 @@ def spans(rows: DataFrame, model: dict[tuple[int, ...], float]) -> Column:
         F.filter("cands", lambda c: F.array_contains(chosen, code(c))),
         lambda c: _span(c.start, F.element_at(kinds, c["shape"] + 1), F.lit(len(KINDS)) + c["shape"], c.end),
     )
-    return F.array_sort(F.array_union(F.col("base"), new))
+    return F.array_sort(F.concat(F.col("base"), new))  # kinds that add spans are no base kinds
 
 
 def joined(found: Column) -> Column:
@@ -251,16 +252,45 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def masked(text: Column, found: Column) -> Column:
-    """The text with each span, overlapping ones together, replaced by the kind of its first in angle brackets."""
+    """The text with each span, overlapping ones together, replaced by the kind of its first in angle brackets.
+
+    Spans are sorted by start. Each gives what stands between the spans before it and itself, cut from the text of its block.
+    """
+    number = F.size(found)
+
+    def blocks(v: Column) -> Column:
+        """The text, the spans, the furthest end before each block and within it."""
+        starts = F.sequence(F.lit(0), F.floor((v.n - 1) / BLOCK).cast("int"))
+        most = F.transform(starts, lambda b: F.array_max(F.transform(F.slice(v.spans, b * BLOCK + 1, F.lit(BLOCK)), lambda s: s.end)))
+        return once(F.struct(v.text.alias("text"), v.spans.alias("spans"), _furthest(most, F.lit(0).cast("long")).alias("upto"), starts.alias("starts")), pieces)
+
+    def pieces(v: Column) -> Column:
+        cut = F.transform(v.starts, lambda b: piece(v, F.slice(v.spans, b * BLOCK + 1, F.lit(BLOCK)), v.upto[b]))
+        end = F.element_at(v.upto, F.lit(-1))
+        return F.concat(F.array_join(cut, ""), F.substring(v.text, (end + 1).cast("int"), F.length(v.text)))
+
+    def piece(v: Column, own: Column, base: Column) -> Column:
+        last = F.element_at(own, F.lit(-1)).start
+        part = F.substring(v.text, (base + 1).cast("int"), (last - base).cast("int"))
+        upto = _furthest(F.transform(own, lambda s: s.end), base)
+
+        def joined_up(w: Column) -> Column:
+            def one(s: Column, i: Column) -> Column:
+                between = F.substring(w.part, (w.upto[i] - w.base + 1).cast("int"), (s.start - w.upto[i]).cast("int"))
+                return F.when(s.start >= w.upto[i], F.concat(between, F.lit("<"), s.kind, F.lit(">"))).otherwise("")
+
+            return F.array_join(F.transform(w.own, one), "")
+
+        return once(F.struct(own.alias("own"), part.alias("part"), upto.alias("upto"), base.alias("base")), joined_up)
+
+    whole = once(F.struct(text.alias("text"), found.alias("spans"), number.alias("n")), blocks)
+    return F.when(number == 0, text).otherwise(whole)
 
-    def step(a: Column, s: Column) -> Column:
-        inside = s.start < a.at
-        piece = F.concat(F.substring(text, (a.at + 1).cast("int"), (s.start - a.at).cast("int")), F.lit("<"), s.kind, F.lit(">"))
-        return F.struct(F.greatest(a.at, s.end).alias("at"), F.when(inside, a.out).otherwise(F.concat(a.out, piece)).alias("out"))
 
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    end = lambda a: F.concat(a.out, F.substring(text, (a.at + 1).cast("int"), F.length(text)))
-    return F.when(F.size(found) == 0, text).otherwise(F.aggregate(found, zero, step, end))
+def _furthest(values: Column, start: Column) -> Column:
+    """The greatest value before each place, and after the last; for short arrays."""
+    step = lambda a, x: F.array_append(a, F.greatest(F.element_at(a, F.lit(-1)), x))
+    return F.aggregate(values, F.array(start), step)
 
 
 def mask(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import edges
 from folioflow.llm import pii
@@ -96,3 +97,35 @@ def test_plan_is_native(spark):
     rows = edges.docs(spark).select(pii.base_spans(F.coalesce("text", F.lit(""))), pii.candidates(F.coalesce("text", F.lit(""))))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_runs_take_linear_time(spark):
+    """Megabytes of numbers that end in a letter, and a hundred thousand spans in one text."""
+    runs = [f"1{c}" * 500_000 + "1a" for c in ("-", " ", ".")]
+    many = "x@y.zz " * 100_000
+    docs = spark.createDataFrame(list(enumerate([*runs, many])), "doc_id long, text string")
+    began = time.perf_counter()
+    found = report(docs)
+    assert found[3].n_email == 100_000 and [found[i].n_card for i in range(3)] == [0, 0, 0]
+    masked = {r.doc_id: r.text for r in pii.mask(docs).collect()}
+    assert masked[3] == "<email> " * 100_000 and masked[0] == runs[0]
+    assert time.perf_counter() - began < 120
+
+
+def test_mask_equals_a_sequential_model(spark):
+    random.seed(9)
+    rows, want = [], []
+    for i in range(60):
+        text = "".join(random.choice("aé😀b ") for _ in range(random.choice([0, 30, 3000])))
+        n = random.choice([1, 5, 700]) if text else 0
+        spans = sorted((lambda s: (s, i % 3, min(len(text), s + random.randrange(1, 9)), random.choice("pq")))(random.randrange(len(text))) for _ in range(n))
+        out, at = [], 0
+        for start, _, end, kind in spans:
+            if start >= at:
+                out += [text[at:start], f"<{kind}>"]
+            at = max(at, end)
+        rows.append((i, text, spans))
+        want.append("".join(out) + text[at:])
+    frame = spark.createDataFrame(rows, "i int, text string, spans array<struct<start: bigint, rank: int, end: bigint, kind: string>>")
+    got = {r.i: r.t for r in frame.select("i", pii.masked(F.col("text"), F.col("spans")).alias("t")).collect()}
+    assert [got[i] for i in range(60)] == want
