@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow import schemas as S
 from folioflow.functions import dates, naming, payload, text
+from folioflow.session import stored
 
 CLEANED = ("title", "description", "case_number", "record_date", "source", "body")
 ROWS_PER_GROUP = 1_000_000
+# Points of the sketch that a hot identifier is cut at.
+QUANTILES = 4096
 
 
 def normalize_cases(cases: DataFrame) -> DataFrame:
@@ -83,9 +84,9 @@ def detect_changes(
     In: `identifier, seq, file_hash, object_key` and any other columns; `seq` is unique per
     identifier. `existing` holds one row per identifier: `identifier, file_hash, path_to_file`.
 
-    All identifiers are cut at the same places into ranges of `seq`, as many as make
-    `rows_per_group` rows each on average, so that a hot identifier fills many windows. Within a range
-    everything but its head row is settled; one row per range carries hash and path over to the next.
+    An identifier with more than `rows_per_group` rows is cut at quantiles of its own `seq` into ranges of about as many,
+    so that it fills many windows of even size. Within a range everything but its head row is settled; one row per range
+    carries hash and path over to the next.
     """
     state = existing.select(
         "identifier",
@@ -131,10 +132,10 @@ def detect_changes(
         )
         .select(*keys, "_head_stored", "_entry_path")
     )
-    stored = F.when(F.col("_head"), F.col("_head_stored")).otherwise(F.col("_changed"))
+    written = F.when(F.col("_head"), F.col("_head_stored")).otherwise(F.col("_changed"))
     return local.join(heads, keys).select(
         *incoming.columns,
-        F.when(stored, F.lit(S.STORED)).otherwise(F.lit(S.UNCHANGED)).alias("scrape_status"),
+        F.when(written, F.lit(S.STORED)).otherwise(F.lit(S.UNCHANGED)).alias("scrape_status"),
         F.coalesce("_inner_path", "_entry_path").alias("path_to_file"),
     )
 
@@ -145,12 +146,33 @@ def _differs(other: Column) -> Column:
 
 
 def _seq_ranges(rows: DataFrame, rows_per_group: int) -> DataFrame:
-    """Number equally wide ranges of `seq`, which hold rows_per_group rows each on average.
+    """Number the ranges of `seq` of each identifier, in order: one, but for hot identifiers.
 
-    Three figures are read for it, whatever the number of rows.
+    The cuts of a hot one are quantiles of its `seq`, from a sketch of fixed size that is merged map-side; so neither gaps nor
+    outliers make a range much larger than `rows_per_group`, up to `QUANTILES` times that many rows. All cuts together are
+    fewer than the rows divided by `rows_per_group`.
     """
-    low, high, number = rows.agg(F.min("seq"), F.max("seq"), F.count("*")).first()
-    ranges = max(1, math.ceil(number / rows_per_group))
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // ranges))
-    place = (F.col("seq").cast("decimal(20,0)") - F.lit(low or 0)) / F.lit(width)
-    return rows.withColumn("_range", F.floor(place).cast("long"))
+    counted = rows.groupBy("identifier").agg(F.count("*").alias("_n"))
+    hot = stored(counted.where(F.col("_n") > rows_per_group))
+    if not hot.head(1):
+        return rows.withColumn("_range", F.lit(0).cast("long"))
+    fractions = [i / QUANTILES for i in range(1, QUANTILES)]
+    sketch = F.percentile_approx("seq", fractions, 8 * QUANTILES).alias("_at")
+    parts = F.least(F.ceil(F.col("_n") / rows_per_group), F.lit(QUANTILES)).cast("int")
+    # The i-th of n cuts is the quantile nearest below i / n.
+    chosen = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.col("_at")[F.floor(i * QUANTILES / parts).cast("int") - 1])
+    sketched = rows.select("identifier", "seq").join(hot, "identifier").groupBy("identifier", "_n").agg(sketch)
+    cuts = stored(sketched.select("identifier", chosen.alias("_cuts")))
+    ranged = rows.join(cuts, "identifier", "left")
+    return ranged.withColumn("_range", F.when(F.col("_cuts").isNotNull(), _place("_cuts", "seq")).otherwise(F.lit(0)).cast("long")).drop("_cuts")
+
+
+def _place(cuts: str, value: str) -> Column:
+    """How many of the sorted cuts are at most the value, by halving."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(QUANTILES.bit_length()))])
+
+    def step(at: Column, width: Column) -> Column:
+        reached = (at + width <= F.size(cuts)) & (F.try_element_at(F.col(cuts), at + width) <= F.col(value))
+        return F.when(reached, at + width).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step)

@@ -120,6 +120,19 @@ def test_hot_key_is_spread_over_ranges(spark):
     assert len(ranged) >= 10 and max(r["count"] for r in ranged) <= 150
 
 
+@pytest.mark.parametrize("rows", [10_000, 999])
+def test_an_outlier_does_not_fill_a_range(spark, rows):
+    """Gaps of 2^33 between parts and one row far out, on a hot identifier among others."""
+    seqs = [i + (i % 3 << 33) for i in range(rows - 1)] + [1 << 50]
+    incoming = [("hot", s, "AB"[s % 2], f"k{s}") for s in seqs] + [(f"k{i % 40}", i, "A", f"c{i}") for i in range(800)]
+    df, _ = frames(spark, incoming, {"x": ("A", "p")})
+    sizes = {tuple(r)[:2]: r["count"] for r in cases._seq_ranges(df, 100).groupBy("identifier", "_range").count().collect()}
+    hot = [n for (k, _), n in sizes.items() if k == "hot"]
+    assert sum(hot) == rows and max(hot) <= 300 and len(hot) >= rows / 300
+    assert {r for k, r in sizes if k != "hot"} == {0}
+    assert detected(spark, incoming, {"hot": ("A", "old")}, rows_per_group=100) == model(incoming, {"hot": ("A", "old")})
+
+
 def test_status_and_path_of_a_moved_case(spark):
     """Unchanged content keeps the key of its old month."""
     rows = [case(1, identifier="A", content_html="x", partition_date="2024-02", content_type="text/html")]
