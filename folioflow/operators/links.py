@@ -41,31 +41,24 @@ def results_chains(starts: DataFrame, edges: DataFrame, order: Iterable[str]) ->
     start that reaches it in the fewest steps. URLs are compared by `request_key`; a page is given
     by the URL under which it is an edge's `src`, or else by the one that leads to it.
 
-    Path doubling: each round doubles the reach, so a chain of n pages takes log2(n) rounds of
-    joins, not n, and a loop of links ends the rounds once nothing new is reached. Only links from
-    pages that matter so far are doubled: those reached, and those that such links lead to.
+    Nothing is nearer to a start than itself, so links that lead to a start are left out; what remains are trees of
+    links, some with a loop at their root, which `nearest` contracts.
     """
     order = list(order)
     context = [c for c in starts.columns if c != "url"]
     named = edges.select(request_key("src").alias("src"), request_key("dst").alias("dst"), F.col("src").alias("url"), F.col("dst").alias("to"))
     named = stored(first_by(named, "src", ["url", "to"]))
-    first = starts.withColumn("page", F.lit(1).cast("long")).withColumn("key", request_key("url"))
-    reach, number = stored_count(first_by(first, "key", [*order, "url"]).drop("url"))
-    jumps = named.select("src", "dst", F.lit(1).cast("long").alias("steps"))
-    while True:
-        further = reach.join(jumps, reach.key == jumps.src).select(
-            *context, (F.col("page") + F.col("steps")).alias("page"), F.col("dst").alias("key")
-        )
-        wider, now = stored_count(first_by(reach.unionByName(further), "key", ["page", *order]))
-        if now == number:
-            break
-        reach, number = wider, now
-        a, b = jumps.alias("a"), jumps.alias("b")
-        jumps = stored(
-            a.join(b, F.col("a.dst") == F.col("b.src")).select(
-                "a.src", "b.dst", (F.col("a.steps") + F.col("b.steps")).alias("steps")
-            )
-        )
+    first = starts.withColumn("key", request_key("url"))
+    begun = stored(first_by(first, "key", [*order, "url"]).drop("url"))
+
+    rank = [c for c in order if c in context]
+    value = F.struct(F.lit(1).cast("long").alias("page"), *[F.col(c) for c in [*rank, *[c for c in context if c not in rank]]])
+    starting = begun.select("key", value.alias("cand"))
+    inward = named.select("src", "dst").join(begun.select(F.col("key").alias("dst")), "dst", "left_anti")
+    nodes = starting.select("key").unionByName(inward.select(F.col("src").alias("key"))).unionByName(inward.select(F.col("dst").alias("key"))).distinct()
+    out = inward.select(F.col("src").alias("key"), "dst", F.lit(1).cast("long").alias("steps"))
+    reach = nearest(nodes.join(starting, "key", "left").join(out, "key", "left")).select("key", "value.*")
+
     urls_of = named.select(F.col("src").alias("key"), F.col("url"), F.lit(0).alias("rank"))
     urls_of = urls_of.unionByName(first.select("key", "url", F.lit(1).alias("rank")))
     urls_of = urls_of.unionByName(named.select(F.col("dst").alias("key"), F.col("to").alias("url"), F.lit(2).alias("rank")))
@@ -73,6 +66,63 @@ def results_chains(starts: DataFrame, edges: DataFrame, order: Iterable[str]) ->
     return reach.join(known, "key").select("url", *context, "page")
 
 
+def nearest(live: DataFrame) -> DataFrame:
+    """`key, value` of the nodes that a candidate reaches: the least of its own and those of the nodes that lead to it.
+
+    `live`: `key`, its candidate `cand` (a struct that begins with `page`, or NULL), its one link `dst` or NULL, and the
+    `steps` the link adds to `page`. A node that has a candidate of page 1 has no links to it.
+
+    Each round takes out two kinds of nodes. One to which no link leads is settled: it hands its candidate on, or nothing,
+    if it has none. One with a single link to it, and whose random number is less than those of both its neighbours, is
+    bridged: its predecessor takes over its link, and it waits for that one's value. About a third of the nodes of chains
+    and all ends of trees go in a round, loops shrink to a node that leads to itself, and the work of all rounds together is
+    a few times that of the first. Bridged nodes are then given their values, last round first.
+    """
+    settled: list[DataFrame] = []
+    bridged: list[DataFrame] = []
+    while True:
+        chance = lambda c, salt=len(settled): F.xxhash64(F.lit(salt), F.col(c))
+        links = live.where("dst is not null")
+        before = links.groupBy(F.col("dst").alias("key")).agg(F.count("*").alias("n"), F.min("key").alias("pred"), F.max("steps").alias("behind"))
+        least = (chance("key") < chance("pred")) & (F.col("dst").isNull() | (chance("key") < chance("dst")))
+        single = (F.col("n") == 1) & (F.col("pred") != F.col("key")) & least
+        state = live.join(before, "key", "left").select("key", "cand", "dst", "steps", "n", "pred", "behind", F.coalesce(single, F.lit(False)).alias("out"))
+        state, number = stored_count(state)
+        if not number:
+            break
+        gone = state.where("out")
+        bridged.append(gone.select("key", "cand", "pred", "behind"))
+
+        over = gone.select(F.col("pred").alias("key"), F.lit(True).alias("took"), F.col("dst").alias("onward"), F.col("steps").alias("further"))
+        rest = state.where("not out").join(over, "key", "left")
+        dst = F.when(F.col("took"), F.col("onward")).otherwise(F.col("dst"))
+        steps = F.when(F.col("took"), F.col("steps") + F.col("further")).otherwise(F.col("steps"))
+        # A node that leads to itself has come round a loop.
+        rest = rest.select("key", "cand", "n", F.nullif(dst, F.col("key")).alias("dst"), steps.alias("steps"))
+        ends = rest.where("n is null")
+        settled.append(state.where("n is null and cand is not null").select("key", F.col("cand").alias("value")))
+
+        handed = gone.unionByName(ends, allowMissingColumns=True).where("cand is not null and dst is not null")
+        handed = handed.select(F.col("dst").alias("key"), _further("cand", F.col("steps")).alias("given"))
+        given = handed.groupBy("key").agg(F.min("given").alias("given"))
+        kept = rest.where("n is not null").join(given, "key", "left")
+        live = kept.select("key", F.least("cand", "given").alias("cand"), "dst", "steps")
+
+    known: list[DataFrame] = []
+    for own, waiting in zip(reversed(settled), reversed(bridged)):
+        # A predecessor was settled in the same round, or has its value from a later one; those are few as against all.
+        known.append(own)
+        later = reduce(DataFrame.unionByName, known).withColumnRenamed("key", "pred")
+        found = waiting.join(later, "pred", "left").select("key", F.least("cand", _further("value", F.col("behind"))).alias("value"))
+        known.append(stored(found.where("value is not null")))
+    return reduce(DataFrame.unionByName, known) if known else state.select("key", F.col("cand").alias("value"))
+
+
+def _further(value: str, steps: Column) -> Column:
+    """A candidate so many pages on, NULL if there is none."""
+    return F.when(F.col(value).isNotNull(), F.col(value).withField("page", F.col(f"{value}.page") + steps))
+
+
 def attach_documents(
     listings: DataFrame, documents: DataFrame, order: Iterable[str], hosts: list[str] | None = None
 ) -> DataFrame:

@@ -2,10 +2,12 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from folioflow import schemas as S
 from folioflow.operators import links, months
+from folioflow.session import stored_count
 
 
 def spans(spark, *rows):
@@ -100,6 +102,51 @@ def test_long_chain_takes_few_rounds(spark):
     assert {r.url: r.page for r in got.collect()} == {f"p{i}": i for i in range(1, 201)}
 
 
+def reach_model(starts, edges):
+    """Breadth first from all starts, page by page."""
+    out, frontier = {}, {}
+    for url, start in starts:
+        frontier[url] = min(start, frontier.get(url, start))
+    page = 1
+    while frontier:
+        out |= {url: (start, page) for url, start in frontier.items()}
+        onward = {}
+        for url, start in frontier.items():
+            if url in edges and edges[url] not in out:
+                onward[edges[url]] = min(start, onward.get(edges[url], start))
+        frontier, page = onward, page + 1
+    return sorted((url, *found) for url, found in out.items())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_results_chains_equal_the_model(spark, seed):
+    """Random links make trees with loops at their roots; others make long chains and loops."""
+    rng = random.Random(seed)
+    edges = {f"p{i}": f"p{rng.randrange(150) if seed == 1 else i + 1 if rng.random() < 0.9 else rng.randrange(150)}" for i in range(150) if rng.random() < 0.95}
+    starts = [(f"p{rng.randrange(150)}", i) for i in range(seed * 3)]
+    got = links.results_chains(
+        spark.createDataFrame(starts, "url string, start int"), spark.createDataFrame(list(edges.items()), "src string, dst string"), ["start"]
+    )
+    assert sorted((r.url, r.start, r.page) for r in got.collect()) == reach_model(starts, edges)
+
+
+def test_rounds_of_a_chain_shrink_geometrically(spark, monkeypatch):
+    """A long chain, a loop and links nothing reaches: every round has a fraction of the rows of the one before."""
+    sizes = []
+
+    def counted(df):
+        out, n = stored_count(df)
+        sizes.append(n)
+        return out, n
+
+    monkeypatch.setattr(links, "stored_count", counted)
+    chain = [(f"p{i}", f"p{i + 1}") for i in range(1, 1500)] + [(f"l{i}", f"l{(i + 1) % 700}") for i in range(700)] + [(f"x{i}", "y") for i in range(700)]
+    got = links.results_chains(spark.createDataFrame([("p1", 0), ("l5", 1)], "url string, start int"), spark.createDataFrame(chain, "src string, dst string"), ["start"])
+    assert {r.url: r.page for r in got.collect()} == {f"p{i}": i for i in range(1, 1501)} | {f"l{i}": (i - 5) % 700 + 1 for i in range(700)}
+    assert sizes[0] == 1500 + 700 + 701 and sizes[-1] == 0
+    assert all(b <= 0.85 * a + 3 for a, b in zip(sizes, sizes[1:])) and sum(sizes) < 4 * sizes[0]
+
+
 def follow_model(listings, pages):
     """Breadth first with every URL requested once, hop by hop in listing order."""
     requested, settled, frontier = set(), [], []
