@@ -134,6 +134,9 @@ def attach_documents(
     listing in `order` gets it, and a listing whose next URL was requested before ends there, so loops
     end too.
 
+    So a URL goes to the listing that comes to it in the fewest hops, the first of them in `order`: one that comes later
+    would meet the other on all of its further way. `nearest` finds it along the links of the pages that lead on.
+
     Only these narrow columns move; join page contents to `final_url` afterwards.
     """
     order = list(order)
@@ -144,20 +147,15 @@ def attach_documents(
     pages = documents.select(request_key("url").alias("key"), "url", "route", "follow_url")
     pages = stored(first_by(pages, "key", ["url"]))
 
-    frontier = rows.select(F.col("_at").alias("at"), F.col("_at").alias("start"), *order)
-    requested = [frontier.select("at")]
-    settled: list[DataFrame] = []
-    while True:
-        hit = stored(frontier.join(pages, frontier["at"] == pages["key"]))
-        settled.append(hit.where("route <> 'follow'").select("start", F.col("url").alias("final_url"), "route"))
-        onward = hit.where("route = 'follow'").select("follow_url", "start", *order)
-        if hosts:
-            onward = onward.where(urls.host_allowed("follow_url", hosts))
-        onward = onward.select(request_key("follow_url").alias("at"), "start", *order)
-        # Each hop is a table of its own; what was requested before is their union.
-        before = reduce(DataFrame.unionByName, requested)
-        frontier, number = stored_count(first_by(onward, "at", order).join(before, "at", "left_anti"))
-        if not number:
-            ended = reduce(DataFrame.unionByName, settled)
-            return rows.join(ended, rows["_at"] == ended["start"], "left").drop("_at", "start")
-        requested.append(frontier.select("at"))
+    claim = F.struct(F.lit(1).cast("long").alias("page"), *order, F.col("_at").alias("start"))
+    asked = rows.select(F.col("_at").alias("key"), claim.alias("cand"))
+    onward = pages.where("route = 'follow'")
+    if hosts:
+        onward = onward.where(urls.host_allowed("follow_url", hosts))
+    onward = onward.select("key", request_key("follow_url").alias("dst"))
+    # What a listing names itself is requested first; no link makes it another's.
+    onward = onward.where("dst is not null").join(asked.select(F.col("key").alias("dst")), "dst", "left_anti")
+    nodes = asked.select("key").unionByName(onward.select("key")).unionByName(onward.select(F.col("dst").alias("key"))).distinct()
+    live = nodes.join(asked, "key", "left").join(onward.withColumn("steps", F.lit(1).cast("long")), "key", "left")
+    ended = pages.where("route <> 'follow'").join(nearest(live), "key").select("value.start", F.col("url").alias("final_url"), "route")
+    return rows.join(ended, rows["_at"] == ended["start"], "left").drop("_at", "start")

@@ -91,6 +91,17 @@ def partition_summary(
     )
 
 
+def merged_summaries(parts: DataFrame) -> DataFrame:
+    """One row per body and month from the summaries of many batches: counters add up, a partition without rows in a batch adds nothing.
+
+    A summary is a partial aggregate with its batch as identity: a batch that is run again replaces its own part, so
+    nothing counts twice, and rows are not read again.
+    """
+    keys = ["body", "partition_date", "start_date", "end_date"]
+    numbers = [c for c in S.RUN_METRICS.names if c not in keys]
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in numbers], F.count_distinct("v").alias("runs"))
+
+
 # Fixed names of the exported run statistics and the metric each one feeds.
 STATISTICS = {
     "landing_pipeline/stored": "stored",

@@ -80,11 +80,12 @@ def extract_pages(
             for start in range(0, batch.num_rows, ROWS_PER_SLICE):
                 part = batch.slice(start, ROWS_PER_SLICE)
                 rows, errors = [], []
-                for page in part.column(html).to_pylist():
+                for page in part.column(html).cast(pa.binary()).to_pylist():
                     row, error = {}, None
                     if page is not None:
                         try:
-                            row = _read_page(page, facts, wrap)
+                            # Text may hold bytes that are none; only this page fails of them.
+                            row = _read_page(page.decode("utf-8"), facts, wrap)
                         except Exception as exc:  # one bad page must not end the job
                             error = f"{type(exc).__name__}: {exc}"
                     rows.append(row)

@@ -564,3 +564,75 @@ ORACLE |= {
     "full_pipeline_bodies": ORACLE["full_pipeline"].replace(f" WHERE body = '{_FIRST_BODY}'", ""),
     "full_pipeline_bodies_metrics": ORACLE["full_pipeline_metrics"].replace(f"body = '{_FIRST_BODY}' AND ", ""),
 }
+
+_MONTH = "'2024-' || lpad(CAST(page_id % 12 + 1 AS VARCHAR), 2, '0')"
+_HOT = "CASE WHEN seq % 3 = 0 THEN 'hot' ELSE identifier END"
+
+
+def _entities(words: str) -> str:
+    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        words = f"replace({words}, '{name}', '{char}')"
+    return words
+
+
+def _article_found(markup: str) -> str:
+    return f"CAST(len(string_split(a, '{markup}')) - 1 AS INTEGER)"
+
+
+def _given(field: str, value: str) -> str:
+    mine = f"list_contains(mask, '{field}')"
+    return (
+        f"max_by({{'v': {value}}}, seq) FILTER ({mine}).v AS {field}, count(*) FILTER ({mine}) > 0 AS {field}_given"
+    )
+
+
+_FIELDS = ["body", "partition_date", "title", "description", "case_number"]
+
+ORACLE |= {
+    "content_markup": f"""
+WITH r AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS a FROM pages),
+t AS (SELECT *, regexp_replace(regexp_replace(a, '(?s)<!--.*?-->', '', 'g'), '<[^>]*>', '', 'g') AS w FROM r)
+SELECT page_id, true AS whole, {_article_found('<p>')} AS paragraphs, {_article_found('<b>')} AS bold,
+       {_article_found('<br>')} AS breaks, {_article_found('<h1>')} AS headings, {_article_found('<a ')} AS links,
+       {_article_found('<!--')} AS comments,
+       CAST(len(regexp_extract_all(a, '<(script|style|form|div|ul|li)[ >]')) AS INTEGER) AS others,
+       sha256(trim(regexp_replace({_entities('w')}, '\\s+', ' ', 'g'))) AS words_hash FROM t""",
+    "page_isolation": f"""
+WITH r AS (SELECT {_BODY} AS body, {_MONTH} AS partition_date,
+                  page_id % 7 = 3 AND page_id % 6 <> 0 AS bad FROM pages)
+SELECT body, partition_date, count(*) FILTER (NOT bad) AS stored, CAST(0 AS BIGINT) AS unchanged,
+       count(*) FILTER (bad) AS failed, count(*) FILTER (bad) AS dropped, count(*) FILTER (bad) = 0 AS success,
+       count(*) FILTER (bad) AS undecodable, count(*) FILTER (NOT bad) AS held FROM r GROUP BY 1, 2""",
+    "stream_changes_hot": f"""
+WITH {_EVENTS},
+inc2 AS (SELECT * REPLACE ({_HOT} AS identifier) FROM inc),
+st2 AS (SELECT * REPLACE ({_HOT} AS identifier) FROM st
+        QUALIFY row_number() OVER (PARTITION BY {_HOT} ORDER BY seq DESC) = 1),
+{_changes('inc2', 'st2')} {_CHANGE_COLUMNS}""",
+    "field_writes": f"""
+WITH {_EVENTS},
+f AS (SELECT identifier, seq, ts, body, left(partition_date, 7) AS partition_date,
+             CAST(round(value, 2) AS VARCHAR) AS title,
+             CASE WHEN seq % 4 <> 0 THEN props END AS description, CAST(seq AS VARCHAR) AS case_number FROM ev),
+o AS (SELECT * FROM f WHERE ts < TIMESTAMP '{CUT_OFF}' QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY seq DESC) = 1),
+m AS (SELECT *, CASE seq % 5 WHEN 0 THEN ['title', 'description'] WHEN 1 THEN ['description']
+                             WHEN 2 THEN ['body', 'partition_date', 'case_number'] WHEN 3 THEN ['title'] END AS mask
+      FROM f WHERE ts >= TIMESTAMP '{CUT_OFF}'),
+n AS (SELECT identifier, {', '.join(_given(c, "CASE WHEN seq % 3 <> 0 THEN title END" if c == "title" else c) for c in _FIELDS)} FROM m GROUP BY 1)
+SELECT identifier, {', '.join(f"CASE WHEN n.{c}_given THEN n.{c} ELSE o.{c} END AS {c}" for c in _FIELDS)}
+FROM o FULL OUTER JOIN n USING (identifier)""",
+    "unreferenced_content": f"""
+WITH {_RERUN},
+written AS (
+  SELECT DISTINCT path_to_file, CAST(0 AS BIGINT) AS batch FROM changes WHERE scrape_status = 'stored' UNION ALL
+  SELECT DISTINCT path_to_file, CAST(1 AS BIGINT) FROM changes1 WHERE scrape_status = 'stored'),
+judged AS (
+  SELECT path_to_file, batch, batch < max(batch) OVER (PARTITION BY path_to_file) AS replaced,
+         path_to_file IN (SELECT path_to_file FROM final WHERE title <> 'Page 7') AS used FROM written)
+SELECT path_to_file, batch, CASE WHEN replaced THEN 'replaced' ELSE 'no row' END AS reason FROM judged WHERE replaced OR NOT used""",
+}
+ORACLE["full_pipeline_totals"] = f"""
+SELECT body, partition_date, start_date, end_date, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in
+  ('stored', 'unchanged', 'failed', 'dropped', 'pages_scraped', 'processed', 'transform_failed'))},
+  sum(elapsed_seconds) AS elapsed_seconds, count(DISTINCT run) AS runs
+FROM ({ORACLE["full_pipeline_bodies_metrics"]}) GROUP BY 1, 2, 3, 4"""

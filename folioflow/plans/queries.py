@@ -16,12 +16,12 @@ from folioflow.functions import dates, naming, payload, text, urls
 from folioflow.operators import cases, links, metrics, months, pages, upsert
 from folioflow.plans.land import land
 from folioflow.plans.transform import process_rows, processed_content, transform
-from folioflow.plans.zones import capture_cases, run_zones
+from folioflow.plans.zones import capture_cases, run_zones, total_metrics
 from folioflow.plans.zones import run_metrics as all_run_metrics
 from folioflow.session import ROCKS_DB, STATE_STORE, new_folder
 from folioflow.sources.captures import read_pages, stream_files
 from folioflow.sources.zones import landing_zone, processed_zone
-from folioflow.streaming.changes import CHANGES, stream_changes
+from folioflow.streaming.changes import CHANGES, land_changes, read_changes, stream_changes
 from folioflow.streaming.landing import stream_landing
 
 RUN_TS = datetime(2024, 6, 1)
@@ -29,6 +29,8 @@ LATER_TS = datetime(2024, 7, 1)
 CUT_OFF = "2024-01-11 00:00:00"
 SEARCH_URL = "https://search.example.org/en/search/"
 HOSTS = ["example.org", "example.com"]
+# Files of a micro-batch where an arrival is to be one.
+EVERY_FILE = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -548,6 +550,54 @@ def clean_pages_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def content_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The content node of pages as it stands, chrome and comments in it included: each kind of markup, and the text between it."""
+    rows = table(spark, sf_dir, "pages").withColumn("html", _article(F.col("html")))
+    done = pages.extract_pages(rows, "html", ["content_html"], ["page_id"])
+    html = F.col("content_html")
+
+    def found(pattern: str) -> Column:
+        return F.regexp_count(html, F.lit(pattern))
+
+    words = F.regexp_replace(F.regexp_replace(html, "(?s)<!--.*?-->", ""), "<[^>]*>", "")
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        words = F.replace(words, F.lit(name), F.lit(char))
+    return done.select(
+        "page_id",
+        (html.startswith('<article class="case-detail">') & html.endswith("</article>")).alias("whole"),
+        found("<p>").alias("paragraphs"),
+        found("<b>").alias("bold"),
+        found("<br/>").alias("breaks"),
+        found("<h1>").alias("headings"),
+        found("<a ").alias("links"),
+        found("<!--").alias("comments"),
+        found("<(script|style|form|div|ul|li)[ >]").alias("others"),
+        F.sha2(text.collapse(words), 256).alias("words_hash"),
+    )
+
+
+def page_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page whose bytes are no text makes the pass raise. It alone lands as failed; what the zone holds are the others."""
+    rows = _page_cases(spark, sf_dir).where("seq is not null")
+    broken = F.concat(F.encode("content_html", "UTF-8"), F.unhex(F.lit("C328FF"))).cast("string")
+    rows = rows.withColumns(
+        {
+            "identifier": _text_of("P", _n("seq")),
+            "content_html": F.when(F.col("seq") % 7 == 3, broken).otherwise(F.col("content_html")),
+        }
+    )
+    kept = [c for c in rows.columns if c != "content_html"]
+    read = pages.extract_pages(rows, "content_html", ["cleaned_html"], kept)
+    zone = landing_zone(spark, f"{new_folder(spark, 'zones')}/landing")
+    outcomes = land(read.withColumnRenamed("cleaned_html", "content_html"), zone, 0, RUN_TS)
+    held = zone.cases.read().select("body", "partition_date", "identifier")
+    held = held.groupBy("body", "partition_date").agg(F.count("*").alias("held"))
+    counted = metrics.landing_counters(outcomes, ["body", "partition_date"])
+    why = outcomes.groupBy("body", "partition_date").agg(F.count_if(F.col("reason").startswith("UnicodeDecodeError")).alias("undecodable"))
+    keys = ["body", "partition_date"]
+    return counted.join(why, keys).join(held, keys, "left").withColumn("held", F.coalesce("held", F.lit(0).cast("long")))
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processed zone of the captured pages: identifier, key, hash and size of each."""
     done = pages.clean_pages(table(spark, sf_dir, "pages"), "html", ["page_id", "url"])
@@ -903,6 +953,42 @@ def _full_rows(processed) -> DataFrame:
     )
 
 
+def field_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each supply other fields: NULLs supplied and absent, keys written several times, moved and new ones."""
+    events = _event_cases(spark, sf_dir)
+    cut = F.lit(CUT_OFF).cast("timestamp_ntz")
+    columns = {
+        "title": F.round(F.col("value"), 2).cast("string"),
+        "description": F.when(F.col("seq") % 4 != 0, F.col("props")),
+        "case_number": _n("seq"),
+        "partition_date": F.substring("partition_date", 1, 7),
+    }
+    rows = events.withColumns(columns).select("identifier", "seq", "ts", "body", *columns)
+    others = [F.lit(None).cast(f.dataType).alias(f.name) for f in S.LANDING_CASES.fields if f.name not in rows.columns]
+    zone = landing_zone(spark, new_folder(spark, "zones"))
+    first = upsert.latest(rows.where(F.col("ts") < cut), "identifier", "seq")
+    zone.cases.publish(0, first.select("*", *others).select(*S.LANDING_CASES.names), S.LANDING_CASES.names)
+
+    masks = ["title,description", "description", "body,partition_date,case_number", "title", None]
+    supplied = F.split(pick("seq", *masks), ",")
+    second = rows.where(F.col("ts") >= cut).withColumn("title", F.when(F.col("seq") % 3 != 0, F.col("title")))
+    zone.cases.publish_fields(1, second.withColumn("supplied", supplied), "seq", "supplied")
+    return zone.cases.read().select("identifier", "body", "partition_date", "title", "description", "case_number")
+
+
+def unreferenced_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After two batches, payloads that were replaced, and those of cases that have since been taken out."""
+    _, landing, _ = _landed(spark, sf_dir)
+    land(_second_batch(spark, sf_dir), landing, 1, LATER_TS)
+    kept = landing.cases.read().where(F.col("title") != "Page 7")
+    return landing.content.unreferenced(kept).withColumnRenamed("v", "batch")
+
+
+def full_pipeline_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the runs of all bodies reported, merged per body and month."""
+    return total_metrics(_full_run(spark, sf_dir, None))
+
+
 def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both zones over two runs of one body."""
     return _full_rows(_full_run(spark, sf_dir, list(S.BODIES)[0]))
@@ -998,15 +1084,30 @@ def stream_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(CHANGES).parquet(f"{folder}/out")
 
 
+def stream_changes_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three arrivals of events, a third of them of one identifier, in ranges of a few hundred rows."""
+    incoming, state = _event_halves(spark, sf_dir)
+    hot = F.when(F.col("seq") % 3 == 0, "hot").otherwise(F.col("identifier"))
+    columns = ["identifier", "seq", "file_hash", "object_key"]
+    incoming = incoming.withColumn("identifier", hot).select(*columns)
+    state = upsert.latest(state.withColumn("identifier", hot).select("identifier", "seq", "file_hash", "path_to_file"), "identifier", "seq")
+    folder = new_folder(spark, "changes")
+    ends = incoming.agg(F.min("seq").alias("low"), F.max("seq").alias("high")).first()
+    third = (F.col("seq") - ends.low) * 3 / (ends.high - ends.low + 1)
+    for part in range(3):
+        incoming.where(F.floor(third) == part).write.mode("append").parquet(f"{folder}/in")
+        arriving = stream_files(spark, f"{folder}/in", incoming.schema, EVERY_FILE)
+        land_changes(arriving, folder, f"{folder}/checkpoint", state, 300).awaitTermination()
+    return read_changes(spark, folder).select("identifier", "seq", "file_hash", "scrape_status", "path_to_file")
+
+
 def stream_landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three micro-batches, one after the other in time."""
+    """Three arrivals, one after the other in time, each a micro-batch of all its files."""
     events = table(spark, sf_dir, "events")
     none = F.lit(None).cast("string")
     folder = new_folder(spark, "stream")
     third = F.col("event_id") * 3 / (events.agg(F.max("event_id")).scalar() + 1)
-    for part in range(3):
-        events.where(F.floor(third) == part).coalesce(1).write.mode("append").parquet(f"{folder}/events")
-    incoming = stream_files(spark, f"{folder}/events", events.schema, 1).select(
+    incoming = [
         F.lit("Events").alias("source"),
         F.col("event_type").alias("body"),
         F.concat_ws("-", "user_id", "event_type").alias("identifier"),
@@ -1022,9 +1123,12 @@ def stream_landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("binary").alias("content_bytes"),
         F.floor(F.col("value") / 10).cast("string").alias("content_html"),
         F.col("event_id").alias("seq"),
-    )
+    ]
     zone = landing_zone(spark, f"{folder}/landing")
-    stream_landing(incoming, zone, f"{folder}/checkpoint", lambda: RUN_TS).awaitTermination()
+    for part in range(3):
+        events.where(F.floor(third) == part).write.mode("append").parquet(f"{folder}/events")
+        arriving = stream_files(spark, f"{folder}/events", events.schema, EVERY_FILE)
+        stream_landing(arriving.select(*incoming), zone, f"{folder}/checkpoint", lambda: RUN_TS).awaitTermination()
     return zone.cases.read().select(
         "identifier",
         "body",
@@ -1068,6 +1172,8 @@ QUERIES = {
     "clean_pages": clean_pages,
     "clean_pages_text": clean_pages_text,
     "clean_pages_markup": clean_pages_markup,
+    "content_markup": content_markup,
+    "page_isolation": page_isolation,
     "page_quality_gate": page_quality_gate,
     "page_links": page_links,
     "listings": listings,
@@ -1079,11 +1185,15 @@ QUERIES = {
     "processed_zone": processed_zone_rows,
     "landing_rerun": landing_rerun,
     "rerun_counters": rerun_counters,
+    "field_writes": field_writes,
+    "unreferenced_content": unreferenced_content,
+    "full_pipeline_totals": full_pipeline_totals,
     "full_pipeline": full_pipeline,
     "full_pipeline_metrics": full_pipeline_metrics,
     "full_pipeline_bodies": full_pipeline_bodies,
     "full_pipeline_bodies_metrics": full_pipeline_bodies_metrics,
     "capture_run": capture_run,
     "stream_changes": stream_change_rows,
+    "stream_changes_hot": stream_changes_hot,
     "stream_landing": stream_landing_rows,
 }

@@ -119,6 +119,11 @@ def run_zones(
     )
 
 
+def total_metrics(processed: Zone) -> DataFrame:
+    """The metrics of all runs together, per body and month, from what each run reported."""
+    return metrics.merged_summaries(run_metrics(processed))
+
+
 def run_metrics(processed: Zone) -> DataFrame:
     """The metrics of every run so far, by batch."""
     schema = S.extended(S.RUN_METRICS, "v bigint")

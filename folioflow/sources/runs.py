@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +29,16 @@ DELTAS, RANGE_ROWS = 8, 250_000
 ENTRY = S.KEY_RANGES
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at a path, empty before its first write."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return small_table(spark, [], schema)
+
+
 def ranges_hit(keys: DataFrame, key: str, ranges: list[Row]) -> DataFrame:
     """`folder, bucket` of the ranges that a key falls into, once per task that finds them.
 
@@ -111,3 +122,36 @@ class KeyRuns:
         if not named.head(1):
             return small_table(self.spark, [(batch, None, level, None, None, 0)], ENTRY)
         return named.select(*ENTRY.names)
+
+
+class KeyTable:
+    """Key runs with a list of their own, published batch by batch in one of two slots."""
+
+    _LIST = S.extended(S.KEY_RANGES, "upto bigint, slot int")
+
+    def __init__(self, spark: SparkSession, path: str, key: str, schema: T.StructType) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        self.runs = KeyRuns(spark, f"{self.path}/keys", key, schema)
+
+    def _published(self) -> tuple[int, int, DataFrame]:
+        lists = read_or_empty(self.spark, f"{self.path}/index", self._LIST)
+        newest = lists.agg(F.max(F.struct("upto", "slot")).alias("n")).select("n.*").first()
+        upto, slot = (-1, 1) if newest.upto is None else newest
+        return upto, slot, lists.where(F.col("slot") == slot).select(*ENTRY.names)
+
+    def upto(self) -> int:
+        """The last batch that was added."""
+        return self._published()[0]
+
+    def add(self, batch: int, fresh: DataFrame, deltas: int = DELTAS) -> None:
+        """Add the values of a batch, unique by key. A batch added before does nothing."""
+        upto, slot, entries = self._published()
+        if batch <= upto:
+            return
+        listed = self.runs.add(batch, fresh, entries, deltas).withColumn("upto", F.lit(batch).cast("long"))
+        # The list in force stays untouched until the new one is complete.
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/index/slot={1 - slot}")
+
+    def lookup(self, keys: DataFrame) -> DataFrame:
+        """The newest values of the given keys that are held."""
+        return self.runs.lookup(keys, self._published()[2])

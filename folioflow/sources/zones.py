@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +28,7 @@ from folioflow.functions import text
 from folioflow.operators.months import month_range
 from folioflow.operators.upsert import fold_fields, upsert
 from folioflow.session import small_table, stored
-from folioflow.sources.runs import ENTRY, KeyRuns
+from folioflow.sources.runs import ENTRY, KeyRuns, KeyTable, read_or_empty
 
 KEY = "identifier"
 PARTITION = ["zone_body", "zone_month"]
@@ -39,16 +38,6 @@ DELTAS = 8
 _MONTH = r"^[0-9]{4}-[0-9]{2}\z"
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at a path, empty before its first write."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return small_table(spark, [], schema)
-
-
 def folder_name(value: Column | str) -> Column:
     """A value as a safe folder name: what is plain in it, and a digest of the rest if there is one."""
     given = text.or_default(value, S.UNKNOWN)
@@ -80,7 +69,7 @@ class MetadataTable:
 
     def _published(self) -> tuple[int, int, DataFrame]:
         """Last published batch, the slot of its list, and the list."""
-        lists = _read(self.spark, f"{self.path}/index", self._INDEX)
+        lists = read_or_empty(self.spark, f"{self.path}/index", self._INDEX)
         newest = lists.agg(F.max(F.struct("v", "slot")).alias("n")).select("n.*").first()
         if newest.v is None:
             return -1, 1, small_table(self.spark, [], self._INDEX)
@@ -171,7 +160,7 @@ class MetadataTable:
         target = f"{self.path}/data/v={batch}"
         placed.write.mode("overwrite").partitionBy(*PARTITION).parquet(target)
 
-        written = _read(self.spark, target, S.extended(self.schema, "zone_body string, zone_month string"))
+        written = read_or_empty(self.spark, target, S.extended(self.schema, "zone_body string, zone_month string"))
         fresh = stored(written.select(*self._STATE.names).join(incoming.select(KEY), KEY, "left_semi"))
         ranges = self.runs.add(batch, fresh, self._ranges(entries), DELTAS)
 
@@ -202,14 +191,10 @@ class ContentTable:
     # Bounds a file of payloads, which are written by the tasks that hold them.
     ROWS_PER_FILE = 10_000
 
-    # What is kept per path: the batch that wrote it last, and the hash of what it wrote.
-    _VERSION = S.CONTENT_VERSIONS
-
-    _INDEX = S.extended(S.KEY_RANGES, "upto bigint, slot int")
-
     def __init__(self, spark: SparkSession, path: str, published: Callable[[], int]) -> None:
         self.spark, self.path, self._published = spark, path.rstrip("/"), published
-        self.runs = KeyRuns(spark, f"{self.path}-versions/keys", "path_to_file", self._VERSION)
+        # Kept per path: the batch that wrote it last, and the hash of what it wrote.
+        self._kept = KeyTable(spark, f"{self.path}-versions", "path_to_file", S.CONTENT_VERSIONS)
 
     @staticmethod
     def month_of(path: Column | str) -> Column:
@@ -227,32 +212,23 @@ class ContentTable:
 
     def _all(self) -> DataFrame:
         """Payloads of published batches: one that failed before its metadata does not count."""
-        every = _read(self.spark, self.path, S.extended(S.CONTENT, "v bigint, month string"))
+        every = read_or_empty(self.spark, self.path, S.extended(S.CONTENT, "v bigint, month string"))
         return every.where(F.col("v") <= self._published())
 
     # -- newest versions --------------------------------------------------
 
-    def _versions(self) -> DataFrame:
-        """The ranges of newest versions by path, with those of batches published since they were last brought up to date."""
-        lists = _read(self.spark, f"{self.path}-versions/index", self._INDEX)
-        newest = lists.agg(F.max(F.struct("upto", "slot")).alias("n")).select("n.*").first()
-        upto, slot = (-1, 1) if newest.upto is None else newest
-        entries = lists.where(F.col("slot") == slot).select(*ENTRY.names)
-        last = self._published()
-        if upto >= last:
-            return entries
-        since = self._all().where(F.col("v") > upto).select("path_to_file", "file_hash", "v")
-        new = since.groupBy("path_to_file").agg(F.max_by(F.struct("file_hash", F.col("v").alias("version")), "v").alias("s"))
-        fresh = stored(new.select("path_to_file", "s.*"))
-        entries = self.runs.add(last, fresh, entries, DELTAS).withColumn("upto", F.lit(last).cast("long"))
-        index = f"{self.path}-versions/index"
-        entries.coalesce(1).write.mode("overwrite").parquet(f"{index}/slot={1 - slot}")
-        return _read(self.spark, index, self._INDEX).where(F.col("slot") == 1 - slot).select(*ENTRY.names)
-
     def versions(self, paths: DataFrame) -> DataFrame:
         """`path_to_file, file_hash, version` of the paths that are held: the batch that wrote each last. Reads no payload, and
-        of what is kept per path the ranges that these paths fall into."""
-        return self.runs.lookup(paths, self._versions())
+        of what is kept per path the ranges that these paths fall into.
+
+        What is kept is first brought up to the published batches, reading paths of those since only.
+        """
+        last, upto = self._published(), self._kept.upto()
+        if upto < last:
+            since = self._all().where(F.col("v") > upto).select("path_to_file", "file_hash", "v")
+            new = since.groupBy("path_to_file").agg(F.max_by(F.struct("file_hash", F.col("v").alias("version")), "v").alias("s"))
+            self._kept.add(last, stored(new.select("path_to_file", "s.*")), DELTAS)
+        return self._kept.lookup(paths)
 
     def read(self) -> DataFrame:
         every = self._all()

@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from folioflow.operators.cases import ROWS_PER_GROUP, detect_changes
+from folioflow.operators.upsert import latest
 from folioflow.schemas import STORED, UNCHANGED
+from folioflow.session import stored
+from folioflow.sources.runs import KeyTable
 
 STATE = T.StructType(
     [T.StructField("file_hash", T.StringType()), T.StructField("path_to_file", T.StringType())]
@@ -76,8 +81,7 @@ def stream_changes(rows: DataFrame, existing: DataFrame | None = None) -> DataFr
 
     Late rows are compared with the state they find, without a bound on lateness, so no
     watermark is set and state is kept. Bound the micro-batch at the source (files per trigger);
-    where one identifier may fill it beyond a task's memory, use `stream_landing`, whose change
-    detection splits such identifiers.
+    where one identifier may fill it beyond a task's memory, use `land_changes`, which holds no identifier's rows together.
     """
     initial = None
     if existing is not None:
@@ -93,3 +97,39 @@ def stream_changes(rows: DataFrame, existing: DataFrame | None = None) -> DataFr
             initialState=initial,
         )
     )
+
+
+def land_changes(
+    rows: DataFrame, folder: str, checkpoint: str, existing: DataFrame | None = None, rows_per_group: int = ROWS_PER_GROUP
+) -> StreamingQuery:
+    """Status and path of each row of a stream, written below `folder`; `read_changes` reads them.
+
+    A micro-batch is cut into ranges of its identifiers' `seq`; each is reduced to one transition (first hash, last
+    hash, last stored key), the transitions of an identifier are composed with its state in order, and the rows of a range are settled by what
+    comes in. A task holds a range, about `rows_per_group` rows of an identifier, and spills beyond its memory; what is
+    held per identifier and range is one row. State is kept in runs by identifier, of which a micro-batch
+    opens the ranges of its own. A micro-batch that is replayed is written again, or left alone if its state was published.
+    """
+    spark = rows.sparkSession
+    state = KeyTable(spark, f"{folder}/state", "identifier", T.StructType([CHANGES["identifier"], *STATE.fields]))
+    if existing is not None:
+        state.add(0, stored(existing.select("identifier", "file_hash", "path_to_file")))
+
+    def land_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch_id + 1 <= state.upto():
+            return
+        own = stored(batch.select(*COLUMNS))
+        changes = detect_changes(own, state.lookup(own.select("identifier").distinct()), rows_per_group)
+        out = f"{folder}/changes/batch={batch_id}"
+        changes.select(*CHANGES.names).write.mode("overwrite").parquet(out)
+        last = latest(spark.read.schema(CHANGES).parquet(out), "identifier", "seq")
+        state.add(batch_id + 1, stored(last.select("identifier", "file_hash", "path_to_file")))
+
+    query = rows.select(*COLUMNS).writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
+    return query.trigger(availableNow=True).start()
+
+
+def read_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """What `land_changes` wrote, by micro-batch."""
+    schema = T.StructType([*CHANGES.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(schema).parquet(f"{folder}/changes")
