@@ -141,3 +141,29 @@ def host_allowed(url: Column | str, hosts: list[str]) -> Column:
         return allowed
 
     return once(host(url), listed)
+
+
+# Characters that may stand in a URL as they are; the escape of one that has no meaning of its own is undone.
+_ALLOWED = r"[A-Za-z0-9\-._~:/?#\[\]@!$&'()*+,;=%]"
+_UNRESERVED = r"^(?:2D|2E|5F|7E|3[0-9]|[46][1-9A-F]|[57][0-9A])$"
+
+
+def normal_escapes(part: Column | str) -> Column:
+    """A part of a URL with its percent escapes in one form: capital digits, none for letters, digits and `-._~`, one for
+    every character that may not stand in a URL."""
+
+    def escaped(value: Column) -> Column:
+        runs = F.regexp_extract_all(value, F.lit(f"(?s){_ALLOWED}+|(?:(?!{_ALLOWED}).)+"), F.lit(0))
+        written = F.transform(runs, lambda r: F.when(r.rlike(f"^{_ALLOWED}"), r).otherwise(F.replace(F.url_encode(r), F.lit("+"), F.lit("%20"))))
+        return F.array_join(written, "")
+
+    def one(piece: Column, i: Column) -> Column:
+        code, rest = F.upper(F.left(piece, F.lit(2))), F.substring(piece, F.lit(3), F.length(piece))
+        plain = F.when(code.rlike(_UNRESERVED), F.decode(F.unhex(code), "US-ASCII")).otherwise(F.concat(F.lit("%"), code))
+        return F.when(i == 0, piece).when(code.rlike("^[0-9A-F]{2}$"), F.concat(plain, rest)).otherwise(F.concat(F.lit("%"), piece))
+
+    def normal(value: Column) -> Column:
+        return F.array_join(F.transform(F.split(escaped(value), "%"), one), "")
+
+    value = as_column(part)
+    return F.when(value.rlike(f"%|(?!{_ALLOWED})(?s:.)"), normal(value)).otherwise(value)

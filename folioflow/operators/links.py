@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions import text, urls
+from folioflow.functions.text import once
 from folioflow.session import stored, stored_count
 
 
@@ -22,15 +23,26 @@ def first_by(rows: DataFrame, key: str, order: Iterable[str]) -> DataFrame:
 
 
 def request_key(url: Column | str) -> Column:
-    """What makes two URLs the same request: no fragment, arguments in order."""
+    """What makes two URLs the same request: no fragment, scheme and host in lower case, escapes in their normal form, arguments
+    in order of name and value. An absolute URL without a path asks for `/`."""
     plain = F.substring_index(text.as_column(url), "#", 1)
 
-    def sorted_arguments(u: Column) -> Column:
-        query = F.regexp_extract(u, r"\?(.*)$", 1)
-        ordered = F.array_join(F.array_sort(F.split(query, "&")), "&")
-        return F.when(query == "", u).otherwise(F.concat(F.substring_index(u, "?", 1), F.lit("?"), ordered))
-
-    return text.once(plain, sorted_arguments)
+    def parts(u: Column) -> Column:
+        site = F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?)[^/?]*", 0)
+        user = F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?@]*@)", 1)
+        named = F.when(user == "", F.lower(site)).otherwise(F.replace(F.lower(site), F.lower(user), user))
+        rest = F.substring(u, F.length(site) + 1, F.length(u))
+        path, query = F.substring_index(rest, "?", 1), F.regexp_extract(rest, r"(?s)\?(.*)$", 1)
+        return once(F.struct(named.alias("site"), path.alias("path"), query.alias("query"), rest.contains("?").alias("asks")), joined)
+
+    def joined(v: Column) -> Column:
+        path = F.when((v.site != "") & (v.path == ""), "/").otherwise(urls.normal_escapes(v.path))
+        arguments = F.transform(F.split(v.query, "&"), lambda a: F.replace(urls.normal_escapes(F.replace(a, F.lit("+"), F.lit("%20"))), F.lit("%20"), F.lit("+")))
+        by_name = F.array_sort(F.transform(arguments, lambda a: F.struct(F.substring_index(a, "=", 1).alias("name"), a.alias("whole"))))
+        query = F.when(v.query == "", "").otherwise(F.array_join(F.transform(by_name, lambda a: a.whole), "&"))
+        return F.concat(v.site, path, F.when(v.asks, F.concat(F.lit("?"), query)).otherwise(""))
+
+    return once(plain, parts)
 
 
 def results_chains(starts: DataFrame, edges: DataFrame, order: Iterable[str]) -> DataFrame:

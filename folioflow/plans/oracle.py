@@ -636,3 +636,10 @@ SELECT body, partition_date, start_date, end_date, {', '.join(f'CAST(sum({c}) AS
   ('stored', 'unchanged', 'failed', 'dropped', 'pages_scraped', 'processed', 'transform_failed'))},
   sum(elapsed_seconds) AS elapsed_seconds, count(DISTINCT run) AS runs
 FROM ({ORACLE["full_pipeline_bodies_metrics"]}) GROUP BY 1, 2, 3, 4"""
+ORACLE["same_requests"] = """
+WITH r AS (SELECT page_id, unnest([0, 3]) AS spelling, CAST(page_id AS VARCHAR) AS n FROM pages)
+SELECT page_id, CAST(spelling AS INTEGER) AS spelling,
+       'https://cases.example.org/' || CASE spelling WHEN 0 THEN 'doc' ELSE 'DOC' END || '/' || n
+       || '~x%20%C3%A9?b=2&a=' || n || '&a-b=3&a=1' AS url,
+       'https://cases.example.org/' || CASE spelling WHEN 0 THEN 'doc' ELSE 'DOC' END || '/' || n
+       || '~x%20%C3%A9?a=' || least(n, '1') || '&a=' || greatest(n, '1') || '&a-b=3&b=2' AS request FROM r"""

@@ -750,6 +750,20 @@ def first_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.first_by(rows, "url", ["body", "position"])
 
 
+def same_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four spellings of a link to each page, of which three are one request: the first of each request, and its normal form."""
+    number = _n("page_id")
+    spellings = F.array(
+        _text_of("https://cases.example.org/doc/", number, "~x%20%C3%A9?b=2&a=", number, "&a-b=3&a=1"),
+        _text_of("HTTPS://CASES.example.org/doc/", number, "%7Ex é?a=1&a-b=3&b=2&a=", number, "#top"),
+        _text_of("https://cases.Example.ORG/do%63/", number, "%7ex%20%c3%a9?a=", number, "&a=1&a-b=%33&b=2"),
+        _text_of("https://cases.example.org/DOC/", number, "~x%20%C3%A9?b=2&a=", number, "&a-b=3&a=1"),
+    )
+    rows = table(spark, sf_dir, "pages").select("page_id", F.posexplode(spellings).alias("spelling", "url"))
+    keyed = rows.withColumn("request", links.request_key("url"))
+    return links.first_by(keyed, "request", ["page_id", "spelling"])
+
+
 def crawl_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Next links in blocks of 16 pages: chains, loops and merges into the next block."""
     scan = table(spark, sf_dir, "pages")
@@ -1179,6 +1193,7 @@ QUERIES = {
     "listings": listings,
     "listings_per_page": listings_per_page,
     "first_requests": first_requests,
+    "same_requests": same_requests,
     "crawl_chain": crawl_chain,
     "attach_documents": attach_documents,
     "landing_zone": landing_zone_rows,

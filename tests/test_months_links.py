@@ -219,6 +219,30 @@ def test_requests_ignore_fragment_and_order_of_arguments(spark):
     assert sorted((r.page, r.url) for r in got) == [(1, "http://h/1#top"), (2, "http://h/2?a=2&b=1"), (3, "http://h/3")]
 
 
+def test_normal_forms_of_requests(spark):
+    same = [
+        ["HTTP://User:Pw@H.Example:8080/A%2fb/%7e%41c", "http://User:Pw@h.example:8080/A%2Fb/~Ac"],
+        ["http://h?b=1&a=2", "http://h/?a=2&b=1", "http://H/?b=1&a=2#z"],
+        ["http://h/é x", "http://h/%c3%A9%20x", "http://h/%C3%A9 x#"],
+        ["http://h/a?q=a b&p", "http://h/a?p&q=a+b", "http://h/a?q=a%20b&p"],
+        ["http://h/a?a-b=1&a=2", "http://h/a?a=2&a-b=1"],
+        ["http://h/100%", "http://h/100%#x"],
+        ["http://h/%e2%82%ac%zz", "http://h/€%zz"],
+    ]
+    rows = spark.createDataFrame([(i, u) for i, group in enumerate(same) for u in group], "i int, u string")
+    keys = rows.select("i", links.request_key("u").alias("k")).distinct().collect()
+    assert len(keys) == len(same) and len({r.k for r in keys}) == len(same)
+    other = ["http://h/a%2Fb", "http://h/a/b", "http://h/A/b", "http://h/a/b?", "http://h/a/b?c=%26", "http://h/a/b?c=&", "http://h/a/b?c="]
+    keys = spark.createDataFrame([(u,) for u in other], "u string").select(links.request_key("u")).distinct()
+    assert keys.count() == len(other)
+    got = links.attach_documents(
+        spark.createDataFrame([(1, "http://H.example/a%7Eb"), (2, "http://h.example/a~b")], "position int, document_url string"),
+        spark.createDataFrame([("http://h.example/a~b", "follow", "http://h.example/f é?y=2&x=1"), ("http://h.example/f%20%C3%A9?x=1&y=2", "file", None)], "url string, route string, follow_url string"),
+        ["position"],
+    ).collect()
+    assert [(r.position, r.final_url) for r in got] == [(1, "http://h.example/f%20%C3%A9?x=1&y=2")]
+
+
 def test_first_by_keeps_whole_rows(spark):
     rows = spark.createDataFrame([("u", 2, None), ("u", 1, "x"), ("v", 3, "y")], "url string, n int, t string")
     got = links.first_by(rows, "url", ["n"])
