@@ -8,9 +8,12 @@ votes per host; the path with most votes wins, and pages are extracted anew from
 A page falls back to its own choice if it has no such element, or if a main heading, text of an article or main
 element, or text right beside such an element, in a container around it, would be left out.
 
-A class or id means such a part by its first or last word, not behind has, no, with and the like; never on an element
-that holds a main heading, a main element, the longest article or most of the page's running text (a discussion only
-for the first two). Elements that are never text are skipped if they are closed within their parent; else their tag alone is.
+A class or id means such a part by its last word that says more than box or wrapper, by its first word unless that may as
+well be a topic (an alert level, a notice period), and by words of adverts, cookies and readers' comments wherever they stand or
+what they are joined to; not behind has, no, with and the like. Every element is judged: containers and blocks never on
+an element that holds a main heading, a main element, the longest article or most of the page's running text (a discussion only
+for the first two); inline ones take their own text out of the block they are in. Elements that are never text are skipped if they
+are closed within their parent; else their tag alone is. Formulas are text, but for their sources in annotations.
 
 Votes are aggregated before they are shuffled and the winners, one row per host, are a written table: while
 small the planner broadcasts it by its measured size, else it is joined by a shuffle that Spark splits
@@ -38,7 +41,7 @@ from folioflow.session import stored
 SLICE_BYTES = 1 << 20
 
 # Element names, by what they mean here.
-RAW = frozenset("script style noscript template textarea title iframe svg select object canvas audio video math button".split())
+RAW = frozenset("script style noscript template textarea title iframe svg select object canvas audio video annotation button".split())
 CONTAINERS = frozenset(
     "html body div article section main table tbody thead tfoot tr td th ul ol dl form nav header footer aside center blockquote figure details fieldset menu dialog".split()
 )
@@ -50,7 +53,16 @@ NAMES = frozenset(
     "consent gdpr notice notices alert popup modal overlay comment comments commentlist disqus reply replies share sharing social related recommended newsletter "
     "subscribe subscription signup login breadcrumb breadcrumbs pagination pager widget toolbar skip search".split()
 )
-DISCUSSION = frozenset("comment comments commentlist disqus reply replies".split())
+DISCUSSION = frozenset("comment comments commentlist disqus reply replies reviews".split())
+# Behind these the word before decides; these as first words may be a topic; these count anywhere in a name, and as beginnings of words.
+PLAIN = frozenset("box wrapper wrap container area block section list item inner outer slot unit bar panel holder group row frame link links button buttons".split())
+TOPICS = frozenset("alert notice notices search header banner widget skip promo share reply related overlay toolbar login signup subscription".split())
+ANYWHERE = frozenset("ad ads advert adverts advertisement adsense cookie cookies comment comments commentlist disqus newsletter sponsored".split())
+JOINED = re.compile("cookie(?:bar|box|banner|notice|consent|law)|adsby|adsense|advert(?:is|s)|(?:ad|comment|comments)(?:box|list|wrapper|container|slot|unit|area|form)$")
+# Blocks that end where the next of their name begins.
+ENDED = frozenset("li dt dd option".split())
+# Elements without content.
+EMPTY = frozenset("br img input hr wbr meta link source track area base col embed param".split())
 # A class behind one of these says what else there is, or is not.
 MODIFIERS = frozenset("has no not non with without hide".split())
 # RAW elements whose content is text up to their end, or up to the end of the page.
@@ -61,6 +73,7 @@ _ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'
 _HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 _STRUCTURE = re.compile(rf"</?(?:{'|'.join(sorted(CONTAINERS))})(?=[\s/>])", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_TELLING = re.compile(r"class|id|hidden|style|role", re.I)
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
 
@@ -99,9 +112,17 @@ def _chrome(classes: list[str]) -> int:
     found = 0
     for token in classes:
         words = [w.lower() for w in _NAME.findall(token)]
-        if words and words[0] not in MODIFIERS:
-            for word in (words[0], words[-1]):
-                found = max(found, 2 if word in DISCUSSION else word in NAMES)
+        if not words or words[0] in MODIFIERS:
+            continue
+        last = len(words) - 1
+        while last and words[last] in PLAIN:
+            last -= 1
+        said = {words[last], *(w for w in words if w in ANYWHERE or JOINED.match(w))}
+        if words[0] not in TOPICS:
+            said.add(words[0])
+        for word in said:
+            joined = JOINED.match(word)
+            found = max(found, 2 if word in DISCUSSION or joined and word.startswith("comment") else int(word in NAMES or joined is not None))
     return found
 
 
@@ -132,6 +153,7 @@ class Page:
         linked = links = 0
         at = 0
         heading = False
+        muted: list[tuple[str, str]] = []  # the inline element whose text is left out, and elements of its name in it
         ends: dict[int, int] | None = None
 
         def flush() -> None:
@@ -147,7 +169,7 @@ class Page:
         while position < size:
             token = _TOKEN.search(markup, position)
             end = token.start() if token else size
-            if end > at:
+            if end > at and not muted:
                 run.append(markup[at:end])
                 if links:
                     linked += end - at
@@ -159,11 +181,13 @@ class Page:
                 continue
             name = name.lower()
             if token[1]:
+                if muted and name == muted[-1][0]:
+                    muted.pop()
                 if name == "a":
                     links = max(0, links - 1)
-                elif name in BLOCKS:
+                if name in BLOCKS or opened[name]:
                     flush()
-                    links, heading = 0, False
+                    links, heading, muted = 0, False, []
                     if opened[name]:
                         while True:
                             gone = stack.pop()[0]
@@ -182,18 +206,39 @@ class Page:
                     ends = _closings(markup)
                 position = at = ends.get(position, position)
                 continue
-            if name == "br":
+            if name == "br" and not muted:
                 run.append(" ")
-            elif name == "a":
-                links += 1
             elif name in BLOCKS:
                 flush()
                 links, heading = 0, name == "h1"
-                if name in CONTAINERS:
+                if muted:  # an inline element around blocks is one of them
+                    opened[muted[0][0]] += 1
+                    stack.append((muted[0][0], self._container(*muted[0], stack[-1][1])))
+                    muted = []
+                # A paragraph ends where a block begins, an item where the next does.
+                while stack[-1][0] == "p" or stack[-1][0] == name and name in ENDED:
+                    opened[stack.pop()[0]] -= 1
+                if name in CONTAINERS or self._out(token[3]):
                     opened[name] += 1
                     stack.append((name, self._container(name, token[3], stack[-1][1])))
+            elif name not in EMPTY and not token[3].rstrip().endswith("/"):
+                if muted:
+                    if name == muted[0][0]:
+                        muted.append((name, ""))
+                elif self._out(token[3]):
+                    muted.append((name, token[3]))
+                if name == "a":
+                    links += 1
         flush()
 
+    @staticmethod
+    def _out(attributes: str) -> bool:
+        """Whether an element other than a container is named like no part of an article, or hidden."""
+        if not _TELLING.search(attributes):
+            return False
+        found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in reversed(list(_ATTRIBUTE.finditer(attributes)))}
+        return "hidden" in found or bool(_HIDDEN.search(found.get("style", ""))) or found.get("role", "").lower() in ROLES or _chrome([*found.get("class", "").split(), found.get("id", "")]) > 0
+
     def _container(self, name: str, attributes: str, parent: int) -> int:
         found: dict[str, str] = {}
         for m in _ATTRIBUTE.finditer(attributes):

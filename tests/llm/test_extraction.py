@@ -1,3 +1,4 @@
+import random
 import time
 
 import edges
@@ -104,3 +105,91 @@ def test_unclosed_elements_take_linear_time(markup):
     start = time.process_time()
     extraction.Page(markup).text("html/body")
     assert time.process_time() - start < 5
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<p class='ad'>gone now</p>", "<p class='cookie-notice'>gone now</p>", "<ul><li class='comment'>gone now</li></ul>", "<p>some <span class='ad'>gone now</span></p>",
+        "<div class='post-comments-wrapper'><p>gone now</p></div>", "<div class='google-ad-box'>gone now</div>", "<div id='cookiebar'>gone now</div>",
+        "<ins class='adsbygoogle'>gone now</ins>", "<ins class='adsbygoogle'><div>gone now</div></ins>", "<section class='user-reviews'><p>gone now</p></section>",
+        "<ul><li class='reply'>gone now<li class='reply'>gone now</ul>", "<p class='sponsored'>gone now<p>", "<p hidden>gone now</p>", "<p><b style='display:none'>gone now</b></p>",
+        "<p><span class='ad'><span>gone</span> now</span></p>", "<h3 class='newsletter-signup'>gone now</h3>",
+    ],
+)
+def test_adverts_notices_and_comments_on_any_element_go(part):
+    page = "<html><body><article><h1>Title</h1><p>" + LONG + "</p>" + part + "<p>" + LONG + " end</p></article></body></html>"
+    found = extraction.Page(page).text(None)
+    assert "gone" not in found and found.startswith("Title\n" + LONG) and found.endswith("\n" + LONG + " end")
+
+
+@pytest.mark.parametrize(
+    "part, kept",
+    [
+        ("<div class='alert-level'><p>Level three</p></div>", "Level three"),
+        ("<p class='notice-period'>Three months</p>", "Three months"),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>", "so x=1 holds"),
+        ("<p>so <math><semantics><mi>x</mi><annotation encoding='tex'>\\x</annotation></semantics></math> holds</p>", "so x holds"),
+        ("<p>one <span class='lead'>two</span> three</p>", "one two three"),
+        ("<p>one <span class='ad'>no</span> three</p>", "one three"),
+        ("<p class='first'>one<p class='second'>two", "one\ntwo"),
+        ("<ul><li class='point'>one<li>two</ul>", "one\ntwo"),
+        ("<p class='adapted'>Adapted</p><p id='address'>Road 1</p><p class='commentary'>We say</p><p class='addition'>more</p>", "Adapted\nRoad 1\nWe say\nmore"),
+        ("<h1 class='header'>Title</h1>", "Title"),
+    ],
+)
+def test_parts_of_the_article_stay(part, kept):
+    page = "<html><body><article><p>" + LONG + "</p>" + part + "</article></body></html>"
+    assert extraction.Page(page).text(None) == f"{LONG}\n{kept}"
+
+
+@pytest.mark.parametrize("markup", ["<span class='ad'>" * 100_000, "<p class='ad'>x" * 100_000, "<li class='comment'><p class='ad'>" * 50_000, "<span class='ad'><p>" * 50_000])
+def test_judged_elements_take_linear_time(markup):
+    start = time.process_time()
+    extraction.Page(markup).text("html/body")
+    assert time.process_time() - start < 6
+
+
+NOISE = [
+    "<nav><a href='/'>noise menu</a></nav>", "<div class='ad'>noise</div>", "<p class='ad'>noise</p>", "<form><p>noise</p></form>", "<aside><p>noise noise noise</p></aside>",
+    "<div class='cookiebar'>noise</div>", "<script>noise()</script>", "<style>noise</style>", "<p class='cookie-notice'>noise</p>", "<!-- noise -->", "<div hidden>noise</div>",
+    "<ins class='adsbygoogle'>noise</ins>", "<div role='search'>noise</div>", "<button>noise</button>",
+]
+OUTSIDE = [*NOISE, "<header><p>noise head</p></header>", "<footer>noise foot</footer>", "<div id='comments'><p>noise reader</p></div>", "<ul class='breadcrumbs'><li>noise</li></ul>"]
+
+
+def generated(host, n):
+    """(html, text): a page of a host, put together from blocks that are its text and parts that are not."""
+    rng = random.Random(f"{host}/{n}")
+    shape = random.Random(host)
+    opening, closing = shape.choice([("<article>", "</article>"), ("<main>", "</main>"), ("<div class='post'>", "</div>"), ("<div id='c'><div class='entry-{n}'>", "</div></div>")])
+    blocks, out = [f"<h1>Page {n}</h1>"], [f"Page {n}"]
+    for i in range(rng.randrange(2, 9)):
+        words = edges.prose(n * 50 + i, rng.randrange(8, 40))
+        kind = rng.randrange(5)
+        if kind == 0:
+            blocks.append(f"<p>{words} <span class='ad'>noise</span>&amp; more")
+            out.append(f"{words} & more")
+        elif kind == 1:
+            blocks.append(f"<ul><li>{words}<li class='reply'>noise<li>two &lt;{i}&gt;</ul>")
+            out += [words, f"two <{i}>"]
+        elif kind == 2:
+            blocks.append(f"<blockquote><p>{words}</p><p>é\n  {i}</p></blockquote>")
+            out += [words, f"é {i}"]
+        elif kind == 3:
+            blocks.append(f"<table><tr><td>{words}</td><td>{i}</td></tr></table>")
+            out += [words, str(i)]
+        else:
+            blocks.append(f"<p>{words}<br>line <a href='#'>link</a></p>")
+            out.append(f"{words} line link")
+        if rng.random() < 0.4:
+            blocks.append(rng.choice(NOISE))
+    before, after = ["".join(rng.sample(OUTSIDE, 3)) for _ in range(2)]
+    return f"<html><head><title>noise</title></head><body>{before}{opening.format(n=n)}{''.join(blocks)}{closing}{after}</body></html>", "\n".join(out)
+
+
+def test_generated_pages_give_the_text_they_were_made_of(spark):
+    made = [(h * 100 + n, f"https://host{h}.example/{n}", *generated(f"host{h}", n)) for h in range(12) for n in range(12)]
+    found = {r.page_id: r.text for r in extraction.extract(pages(spark, [m[:3] for m in made])).collect()}
+    wrong = [(i, found[i], text) for i, _, _, text in made if found[i] != text]
+    assert wrong == []
