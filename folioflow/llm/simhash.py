@@ -11,7 +11,8 @@ fingerprints are one class before anything is joined.
 Within a cell, links are reduced to a spanning forest as they are verified, so a cell of n near copies
 gives fewer than n links, and no pair list grows with the square of a group. Cells are compared in
 blocks of an array whose rows Spark has shuffled and sorted by cell; a cell is never collected as a list of
-rows. Components are found by joins (hooking and pointer jumping) over written tables.
+rows. A cell of more than `CELL_ROWS` is handed on by its task as it streams by, numbered, and every pair of its blocks becomes a
+group that Spark places by itself. Components are found by joins (hooking and pointer jumping) over written tables.
 
 Edge cases: null text is empty; a text without words has fingerprint zero and links like any other;
 fewer words than a shingle give one shingle of all words; repeated rows get a row each; null ids are
@@ -21,6 +22,7 @@ members of their component but name it only if it has no other id; an empty tabl
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,9 @@ SEGMENT_BITS = 2
 BLOCKS = 2
 # Fingerprints of a cell compared with those after them at a time.
 BLOCK_ROWS = 2048
+# Members of a cell that one group compares; a larger cell is compared by pairs of blocks of so many.
+CELL_ROWS = 8192
+NAMES = ["a", "b", "block"]
 
 
 def text_hashes(text: bytes, size: int) -> list[int]:
@@ -163,7 +168,10 @@ def _forest(prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return prints[left], prints[right]
 
 
-def _links(max_bits: int):
+def _links(max_bits: int, most: int | None):
+    """Links within cells, which come sorted. Members of a cell with more than `most` are handed on instead, numbered in blocks of so
+    many as they stream by: a task holds `most` of a cell at most."""
+
     def emit(cells: np.ndarray, prints: np.ndarray):
         """Links within the cells of arrays sorted by cell."""
         edge = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1], [True]]))
@@ -184,30 +192,60 @@ def _links(max_bits: int):
         if left:
             a, b = np.concatenate(left).view(np.int64), np.concatenate(right).view(np.int64)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(pairs.shape[1], pa.int64())], NAMES)
+
+    def later(cells: np.ndarray, prints: np.ndarray, at: int) -> pa.RecordBatch:
+        block = (at + np.arange(len(cells))) // most
+        return pa.RecordBatch.from_arrays([pa.array(cells), pa.array(prints.view(np.int64)), pa.array(block)], NAMES)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, prints = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        for batch in batches:
-            cells = np.concatenate([cells, batch.column("cell").to_numpy()])
-            prints = np.concatenate([prints, batch.column("fp").to_numpy().view(np.uint64)])
+        large, told = None, 0  # the cell that is handed on, and how many of its members were
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                cells = np.concatenate([cells, batch.column("cell").to_numpy()])
+                prints = np.concatenate([prints, batch.column("fp").to_numpy().view(np.uint64)])
+            more = int(np.searchsorted(cells, large, side="right")) if large is not None else 0
+            if more:
+                yield later(cells[:more], prints[:more], told)
+                cells, prints, told = cells[more:], prints[more:], told + more
             if not len(cells):
                 continue
-            done = int(np.searchsorted(cells, cells[-1]))  # the last cell may go on
-            if done:
-                yield from emit(cells[:done], prints[:done])
-                cells, prints = cells[done:], prints[done:]
-        if len(cells):
-            yield from emit(cells, prints)
+            edge = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1], [True]]))
+            sizes = np.diff(edge)
+            over = sizes > (len(cells) if most is None else most)
+            for g in np.flatnonzero(over):
+                yield later(cells[edge[g] : edge[g + 1]], prints[edge[g] : edge[g + 1]], 0)
+            if over[-1]:
+                large, told = int(cells[-1]), int(sizes[-1])
+            # The last cell may go on.
+            whole = len(cells) - (0 if batch is None or over[-1] else int(sizes[-1]))
+            small = ~np.repeat(over, sizes)[:whole]
+            if small.any():
+                yield from emit(cells[:whole][small], prints[:whole][small])
+            cells, prints = cells[whole:], prints[whole:]
 
     return step
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
-    """(a, b): links among distinct fingerprints `fp` that keep every component connected."""
+def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, most: int = CELL_ROWS) -> DataFrame:
+    """(a, b): links among distinct fingerprints `fp` that keep every component connected.
+
+    A cell of more than `most` fingerprints is cut into blocks of so many, and each pair of its blocks is a group of its own, so
+    that Spark spreads one cell over many tasks.
+    """
     cells = C.map_arrow(prints.select("fp"), _cells(max_bits, blocks), "cell long, fp long")
+    schema = "a long, b long, block long"
     met = cells.repartition("cell").sortWithinPartitions("cell")
-    return C.map_arrow(met, _links(max_bits), "a long, b long").distinct()
+    found = stored(C.map_arrow(met, _links(max_bits, most), schema))
+    late = found.where("block is not null").select(F.col("a").alias("cell"), F.col("b").alias("fp"), "block")
+    number = late.groupBy("cell").agg(F.max("block").alias("last"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("other")
+    paired = late.join(number, "cell").select("cell", "fp", "block", other)
+    key = F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other")).alias("cell")
+    together = paired.select(key, "fp").repartition("cell").sortWithinPartitions("cell")
+    more = C.map_arrow(together, _links(max_bits, None), schema)
+    return found.where("block is null").unionByName(more).select("a", "b").distinct()
 
 
 def _components(rows: DataFrame, max_bits: int, least) -> tuple[DataFrame, DataFrame]:

@@ -103,3 +103,48 @@ def test_deduplicate_keeps_the_least_row_whole(spark):
     ids = sorted((r.doc_id for r in kept.collect()), key=repr)
     assert ids == sorted(classes, key=repr)
     assert set(map(repr, edges.rows(kept))) <= set(map(repr, edges.rows(docs)))
+
+
+def test_a_hot_cell_is_compared_in_blocks(spark, monkeypatch):
+    """A family around one fingerprint holds a third of all: no group compares more than two blocks, and no link is lost."""
+    random.seed(8)
+    centre = random.getrandbits(64)
+    family = {centre ^ sum(1 << b for b in random.sample(range(64), k)) for k in (1, 2, 3) for _ in range(150)}
+    prints = list(family | {random.getrandbits(64) for _ in range(900)})
+    frame = spark.createDataFrame([(p - (1 << 64) if p >= 1 << 63 else p,) for p in prints], "fp long").repartition(4)
+    want = brute_classes(set(prints))
+    groups = []
+    real = simhash.C.map_arrow
+
+    def seen(df, step, schema):
+        if "cell" in df.columns:
+            groups.append(df.groupBy("cell").count().agg({"count": "max"}).first()[0])
+        return real(df, step, schema)
+
+    monkeypatch.setattr(simhash.C, "map_arrow", seen)
+    found = simhash.links(frame, most=40).collect()
+    label = {p: p for p in prints}
+
+    def root(p):
+        while label[p] != p:
+            p = label[p]
+        return p
+
+    for a, b in ((r.a % (1 << 64), r.b % (1 << 64)) for r in found):
+        assert (a ^ b).bit_count() <= 4
+        label[max(root(a), root(b))] = min(root(a), root(b))
+    assert {p: root(p) for p in prints} == want
+    assert groups[0] > 40 and groups[1] <= 2 * 40
+
+
+def test_cells_handed_on_whatever_the_batches(spark):
+    """Numbers of a large cell go on over batches; small cells around it are compared."""
+    rng = np.random.default_rng(2)
+    cells = np.sort(np.concatenate([np.full(95, 7), np.repeat(np.arange(20), 3)])).astype(np.int64)
+    prints = rng.integers(0, 4, len(cells)).astype(np.int64)
+    for size in (1, 13, 40, 200):
+        batches = [simhash.pa.RecordBatch.from_arrays([simhash.pa.array(cells[i : i + size]), simhash.pa.array(prints[i : i + size])], ["cell", "fp"]) for i in range(0, len(cells), size)]
+        out = [b for b in simhash._links(2, 10)(iter(batches))]
+        late = [(c, p, n) for b in out for c, p, n in zip(*[x.to_pylist() for x in b.columns]) if n is not None]
+        assert [n for _, _, n in late] == [i // 10 for i in range(98)] and {c for c, _, _ in late} == {7}
+        assert [p for _, p, _ in late] == prints[cells == 7].tolist()
