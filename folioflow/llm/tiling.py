@@ -7,11 +7,13 @@ running Karp-Rabin over falling lengths, are marked again and again, never twice
 contaminated if tiles of at least `SEED` words cover at least `THRESHOLD` of an item's words; the order of
 the tiles in the document does not matter, so reordered passages count.
 
-Items go to the tasks in blocks of at most about `BLOCK_WORDS` words, whatever the size of the benchmark;
-documents are scanned once per block and are never shuffled.
+Items go to the tasks in blocks of at most about `BLOCK_WORDS` words, whatever the size of the benchmark: one block after the
+other, each with a scan of the documents and a written table of what it found, so that a task holds one block. Those tables
+have a row per contaminated text. They are joined to the documents by 128 bits of the text: while small they are broadcast by
+their measured size, and no text is shuffled; else Spark splits the join where a text has many copies.
 
-Edge cases: null text and null items have no words; an item of fewer than `SEED` words matches nothing;
-of items covered alike the smallest item_id is named, null last; repeated rows get a row each; with an
+Edge cases: null text and null items have no words; an item of fewer than `SEED` words matches nothing
+(`not_searched` lists them); of items covered alike the smallest item_id is named, null last; repeated rows get a row each; with an
 empty benchmark nothing is contaminated; an empty table gives an empty table; other columns are carried
 if asked for.
 """
@@ -19,14 +21,17 @@ if asked for.
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
+from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm import common as C
+from folioflow.session import stored
 
 SEED = 5
 THRESHOLD = 0.6
@@ -207,7 +212,7 @@ def _runs(words: np.ndarray, seeds: list[int]) -> list[int]:
 
 
 def blocks(benchmark: DataFrame) -> list[Block]:
-    """The items in blocks of bounded size; a block is what a task holds."""
+    """The items in blocks of bounded size; a block is what a task, and the driver, holds."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     number = max(1, -(-size // (BLOCK_WORDS * 6)))
@@ -216,37 +221,56 @@ def blocks(benchmark: DataFrame) -> list[Block]:
         yield Block([tuple(r) for r in rows.where(part == i).collect()])
 
 
+def not_searched(benchmark: DataFrame) -> DataFrame:
+    """The items that no document can match, being shorter than a seed, with their number of words."""
+    kinds = "item_id long, text string, n_words long"
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    counted = C.per_row(rows, ["item_id", "text"], lambda text: [np.diff(word_ids(text)[1])], kinds.split(", ")[-1], "text")
+    return counted.where(F.col("n_words") < SEED)
+
+
+def _named(text: str) -> list[Column]:
+    """128 bits of the text; what tiles cover depends on nothing else."""
+    return [F.xxhash64(F.lit(tag), F.coalesce(F.col(C.quoted(text)).cast("string"), F.lit(""))).alias(f"_text{tag}") for tag in (0, 1)]
+
+
+def _found(docs: DataFrame, block: Block) -> DataFrame:
+    """(_text0, _text1, items, best_item, coverage): the texts that cover an item of the block far enough, once each; a written table."""
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+    names = ["_text0", "_text1", *[part.split()[0] for part in FIELDS.split(", ")]]
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in C.slices(batches, "t"):
+            rows = []
+            for at, found in enumerate(own.matches(pc.fill_null(batch.column("t"), ""))):
+                if found:
+                    top = min(found, key=lambda x: (-x[0], own.ids[x[1]]))
+                    rows.append((batch.column("_text0")[at].as_py(), batch.column("_text1")[at].as_py(), [own.ids[i] for _, i in found], own.ids[top[1]], top[0]))
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.float64()]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names)
+
+    texts = docs.select(F.col("text").cast("string").alias("t"), *_named("text"))
+    hits = C.map_arrow(texts, step, f"_text0 long, _text1 long, {FIELDS}")
+    once = hits.groupBy("_text0", "_text1").agg(*[F.first(c).alias(c) for c in names[2:]])  # copies are alike
+    out = stored(once)
+    shared.destroy()
+    return out
+
+
 def tiled(docs: DataFrame, benchmark: DataFrame, carry: list[str]) -> DataFrame:
     """`carry` and a struct `leak`: items covered far enough, the best of them, its covered share."""
-    context = docs.sparkSession.sparkContext
     plain = [f"d{i}" for i in range(len(carry))]
-    rows = docs.select(*[F.col(C.quoted(c)).alias(p) for c, p in zip(carry, plain)], *([] if "text" in carry else [F.col("text").cast("string").alias("t")]))
-    text = plain[carry.index("text")] if "text" in carry else "t"
-    extra: list[str] = []
-    held: list[str] = []
-    for number, block in enumerate(blocks(benchmark)):
-        shared = context.broadcast(block)
-
-        def compute(column: pa.Array, shared=shared) -> list:
-            own = shared.value
-            ids, best, share = [], [], []
-            for found in own.matches(column):
-                ids.append([own.ids[i] for _, i in found])
-                top = min(found, key=lambda x: (-x[0], own.ids[x[1]])) if found else None
-                best.append(own.ids[top[1]] if top else None)
-                share.append(top[0] if top else 0.0)
-            return [ids, best, share]
-
-        names = [f"{part.split()[0]}_{number}" for part in FIELDS.split(", ")]
-        fields = ", ".join(f"{n} {part.split(' ', 1)[1]}" for n, part in zip(names, FIELDS.split(", ")))
-        last = [*plain, *extra, *([text] if text == "t" else [])]
-        rows = C.per_row(rows, last, compute, fields, text)
-        extra += names
-        held.append(f"struct(-coverage_{number} as c, coalesce(best_item_{number}, {C.NO_ID}) as i)")
-    best = F.expr(f"array_min(array({', '.join(held)}))")
-    items = F.flatten(F.array(*[F.col(f"items_{i}") for i in range(len(held))]))
-    leak = F.struct(F.array_sort(items).alias("items"), F.nullif(best.i, F.lit(C.NO_ID)).alias("best_item"), (-best.c).alias("coverage"))
-    return rows.select(*plain, leak.alias("leak")).toDF(*carry, "leak")
+    hits = reduce(DataFrame.unionByName, [_found(docs, block) for block in blocks(benchmark)])
+    items = F.array_sort(F.flatten(F.collect_list("items"))).alias("items")
+    best = F.min(F.struct((-F.col("coverage")).alias("c"), F.col("best_item").alias("i"))).alias("best")
+    leaks = stored(hits.groupBy("_text0", "_text1").agg(items, best))
+    rows = docs.select(*[F.col(C.quoted(c)).alias(p) for c, p in zip(carry, plain)], *_named("text"))
+    joined = rows.join(leaks, ["_text0", "_text1"], "left")
+    none = F.array().cast("array<long>")
+    leak = F.struct(F.coalesce("items", none).alias("items"), F.nullif(F.col("best.i"), F.lit(C.NO_ID)).alias("best_item"), F.coalesce(-F.col("best.c"), F.lit(0.0)).alias("coverage"))
+    return joined.select(*plain, leak.alias("leak")).toDF(*carry, "leak")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import edges
+import numpy as np
 import pyarrow as pa
 from folioflow.llm import tiling
 
@@ -100,3 +101,52 @@ def test_words_of_mixed_scripts():
     words, first = tiling.word_ids(pa.array(["abc中文d", "中", "", "é、é", "É😀", "abc 中 文 d"]))
     assert first.tolist() == [0, 4, 5, 5, 7, 8, 12]
     assert words[:4].tolist() == words[8:].tolist() and words[1] == words[4] and words[5] == words[6]
+
+
+def test_many_blocks_are_taken_one_after_the_other(spark, monkeypatch):
+    """Fifty blocks: the rows are read by no Python node, and each block had one of its own."""
+    items = [(i, edges.prose(900 + i, 12)) for i in range(400)]
+    docs = spark.createDataFrame([(i, f"{edges.prose(i, 20)} {items[i * 7][1]} {items[i * 7 + 3][1]}") for i in range(40)] + [(99, edges.prose(5000, 60)), (100, None)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, SCHEMA)
+    whole = edges.rows(tiling.contamination(docs, bench))
+    monkeypatch.setattr(tiling, "BLOCK_WORDS", 90)
+    assert len(list(tiling.blocks(bench))) >= 50
+    plans = []
+    real = tiling.stored
+    monkeypatch.setattr(tiling, "stored", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    found = tiling.contamination(docs, bench)
+    assert edges.rows(found) == whole and sum(r[1] for r in whole) == 40
+    assert all(p.count("MapInArrow") <= 1 for p in plans) and sum(p.count("MapInArrow") for p in plans) >= 50
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_short_items_are_listed(spark):
+    bench = spark.createDataFrame([(1, "one two"), (2, "one two three four five"), (3, None), (4, "")], SCHEMA)
+    assert sorted((r.item_id, r.n_words) for r in tiling.not_searched(bench).collect()) == [(1, 2), (3, 0), (4, 0)]
+
+
+def test_contamination_against_brute_force(spark):
+    """The whole query: every pair of a document and an item tiled, seeds or not."""
+    rng = np.random.default_rng(11)
+    vocabulary = np.array(edges.WORDS)
+    items = [(i if i else None, " ".join(vocabulary[rng.integers(0, 16, rng.integers(3, 30))])) for i in range(25)]
+    texts = []
+    for i in range(60):
+        parts = [items[k][1].split() for k in rng.integers(0, 25, 2)]
+        words = [w for part in parts for w in part[: rng.integers(1, len(part) + 1)]] + list(vocabulary[rng.integers(0, 16, 10)])
+        texts.append((i, " ".join(words) if i % 9 else None))
+    texts += texts[:5]
+    want = []
+    for doc, text in texts:
+        own = []
+        for number, item in items:
+            ids = lambda t: (tiling.word_ids(pa.array([t]))[0] & np.uint64((1 << 60) - 1)).tolist()
+            wanted = ids(item)
+            if len(wanted) >= tiling.SEED and text:
+                share = sum(n for _, _, n in tiling.tiles(ids(text), wanted)) / len(wanted)
+                if share >= tiling.THRESHOLD:
+                    own.append((-share, tiling.C.NO_ID if number is None else number))
+        want.append((doc, bool(own), len(own), sorted(n for _, n in own), min(own)[1] if own else None, -min(own)[0] if own else 0.0))
+    got = tiling.contamination(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, SCHEMA))
+    fix = lambda r: (*r[:4], None if r[4] == tiling.C.NO_ID else r[4], round(r[5], 9))
+    assert sorted(map(fix, edges.rows(got)), key=repr) == sorted(map(fix, want), key=repr)
