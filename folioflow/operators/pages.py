@@ -22,6 +22,9 @@ _TEXT = T.StringType()
 FACTS = {
     "cleaned_html": _TEXT,
     "cleaned_text": _TEXT,
+    # The same without the wrapper, whatever `wrap` says.
+    "bare_html": _TEXT,
+    "bare_text": _TEXT,
     "content_html": _TEXT,
     "content_text": _TEXT,
     "anchors": T.ArrayType(S.ANCHOR),
@@ -29,7 +32,7 @@ FACTS = {
     "next_href": _TEXT,
     "base_href": _TEXT,
 }
-_READERS = [name for name in FACTS if not name.startswith("cleaned_")]
+_READERS = [name for name in FACTS if not name.startswith(("cleaned_", "bare_"))]
 ROWS_PER_SLICE = 64
 
 
@@ -38,6 +41,8 @@ def _read_page(html: str, facts: list[str], wrap: bool) -> dict:
     out = {}
     if "cleaned_html" in facts or "cleaned_text" in facts:
         out["cleaned_html"], out["cleaned_text"] = page_tree.cleaned(page, wrap)
+    if "bare_html" in facts or "bare_text" in facts:
+        out["bare_html"], out["bare_text"] = page_tree.cleaned(page, False)
     for name in _READERS:
         if name in facts:
             out[name] = getattr(page_tree, name)(page)

@@ -508,16 +508,15 @@ def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned pages by text and its hash, the text of the markup without wrapper too."""
     scan = table(spark, sf_dir, "pages")
-    done = pages.clean_pages(scan, "html", ["page_id", "url"])
-    bare = pages.clean_pages(scan, "html", ["page_id"], wrap=False)
-    bare = bare.select("page_id", F.col("cleaned_text").alias("bare_text"), F.col("cleaned_html").contains("<html").alias("bare_page"))
-    return done.join(bare, "page_id").select(
+    facts = ["cleaned_html", "cleaned_text", "bare_html", "bare_text"]
+    done = pages.extract_pages(scan, "html", facts, ["page_id", "url"]).withColumn("file_hash", payload.content_hash("cleaned_html"))
+    return done.select(
         "page_id",
         "url",
         F.length("cleaned_text").alias("size"),
         payload.content_hash("cleaned_text").alias("text_hash"),
         payload.content_hash("bare_text").alias("bare_hash"),
-        "bare_page",
+        F.col("bare_html").contains("<html").alias("bare_page"),
         F.col("file_hash").eqNullSafe(payload.content_hash("cleaned_html")).alias("hashed"),
         "error",
     )

@@ -96,14 +96,17 @@ class KeyRuns:
         asked = keys.select(self.key)
         return self._open(self.ranges(asked, entries)).join(asked, self.key, "left_semi").select(*self.schema.names)
 
-    def add(self, batch: int, fresh: DataFrame, entries: DataFrame, deltas: int = DELTAS) -> DataFrame:
-        """Write the values of a batch, unique by key, and return the entries that are in force from now on."""
+    def add(self, batch: int, fresh: DataFrame, entries: DataFrame, deltas: int = DELTAS, number: int | None = None) -> DataFrame:
+        """Write the values of a batch, unique by key, and return the entries that are in force from now on.
+
+        number: how many they are at most, where that is known.
+        """
         levels = {r.level: r for r in entries.groupBy("level").agg(F.count_distinct("folder").alias("n"), F.sum("rows").alias("rows")).collect()}
         level = 0
         while level in levels and levels[level].n + 1 >= deltas:
             level += 1
         rows = fresh.select(*self.schema.names).withColumn("written", F.lit(batch).cast("long"))
-        total = fresh.count() + sum(levels[lower].rows for lower in levels if lower < level)
+        total = (fresh.count() if number is None else number) + sum(levels[lower].rows for lower in levels if lower < level)
         merged = entries.where(F.col("level") < level)
         if level:
             old = self._open(merged.where("rows > 0").select("folder", "bucket").collect())
@@ -118,10 +121,9 @@ class KeyRuns:
         schema = T.StructType([self.schema[self.key], T.StructField("bucket", T.IntegerType())])
         held = self.spark.read.schema(schema).parquet(f"{self.path}/v={batch}")
         ranges = held.groupBy("bucket").agg(F.min(self.key).alias("low"), F.max(self.key).alias("high"), F.count("*").alias("rows"))
-        named = ranges.withColumns({"folder": F.lit(batch).cast("long"), "level": F.lit(level)})
-        if not named.head(1):
-            return small_table(self.spark, [(batch, None, level, None, None, 0)], ENTRY)
-        return named.select(*ENTRY.names)
+        # As many as the run has files.
+        found = [(batch, r.bucket, level, r.low, r.high, r["rows"]) for r in ranges.collect()]
+        return small_table(self.spark, found or [(batch, None, level, None, None, 0)], ENTRY)
 
 
 class KeyTable:

@@ -161,8 +161,8 @@ class MetadataTable:
         placed.write.mode("overwrite").partitionBy(*PARTITION).parquet(target)
 
         written = read_or_empty(self.spark, target, S.extended(self.schema, "zone_body string, zone_month string"))
-        fresh = stored(written.select(*self._STATE.names).join(incoming.select(KEY), KEY, "left_semi"))
-        ranges = self.runs.add(batch, fresh, self._ranges(entries), DELTAS)
+        fresh = written.select(*self._STATE.names).join(incoming.select(KEY), KEY, "left_semi")
+        ranges = self.runs.add(batch, fresh, self._ranges(entries), DELTAS, incoming.count())
 
         named = F.regexp_extract(F.col("_metadata.file_path"), "^.*/(data/v=[0-9]+/.*)$", 1).alias("path")
         filled = written.groupBy(*PARTITION, named).agg(F.min(KEY).alias("low"), F.max(KEY).alias("high"), F.count("*").alias("rows"))
