@@ -2,8 +2,9 @@
 
 Per language a context tree of depth `DEPTH` counts which byte follows which up to three bytes. The
 counts come from all training texts by one aggregation in Spark, and every counted node counts. While there
-are at most 1 / `FLOOR` of them per language they are collected; else as many of the most frequent grams are
-collected with their code lengths, and the other grams of a text are looked up in the stored counts by joins.
+are at most 1 / `FLOOR` of them per language, and tables by language fit `HELD_BYTES`, they are collected; else the most frequent grams
+are, with their code lengths, as many as that allows however many languages there are, and the other grams of a text are looked up
+in the stored counts of all depths by joins; of those only single bytes are tables by language.
 Code lengths are added up in whole units of 1 / `UNIT` bits, so both ways give the same. With the counts
 frozen, a byte costs -log2 of its share under the longest context that knows it, plus the escapes on the way
 there (an escape has the share of one count per distinct follower); the last resort is one of 256 bytes. The
@@ -37,6 +38,8 @@ FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
 # Distinct grams of a language that a counting task holds before it hands them on.
 HELD = 1 << 20
+# What driver and tasks hold of a model: a figure per gram and language.
+HELD_BYTES = 64 << 20
 
 
 def remainder() -> Column:
@@ -111,33 +114,28 @@ def _taken(keys: np.ndarray, values: list[np.ndarray], wanted: np.ndarray) -> li
 class Model:
     """Frozen counts of all languages.
 
-    Contexts of up to two bytes are dense tables. Those of three are held as a whole if `complete`; else the
-    code lengths of the most frequent grams are held, and all counts are the stored `tables`.
+    A `complete` model holds them all, contexts of up to two bytes as dense tables. Any other holds the code
+    lengths of the most frequent grams, and single bytes; all counts are the stored `tables`.
     """
 
-    def __init__(self, langs: list[str], pairs: tuple, followers: tuple):
-        """pairs: (language number, two bytes, count); followers: (language number, two bytes, occurrences and kinds of what follows)."""
+    def __init__(self, langs: list[str], single: np.ndarray, total: np.ndarray, kinds: np.ndarray):
+        """single: counts of bytes by language (rows); total, kinds: occurrences and kinds of what follows a byte."""
         self.langs, self.tables = langs, None
-        number, dense = len(langs), np.arange(1 << 16)
-        lang, gram, n = pairs
-        pair = _count(dense, gram, lang, n, number)
-        single = pair.reshape(number, 256, 256).sum(1)
-        cost1 = _cost(single, single.sum(1, keepdims=True), (single > 0).sum(1, keepdims=True), np.full((number, 1), 8.0))
-        rows = pair.reshape(number, 256, 256)
-        total, kinds = np.repeat(rows.sum(2), 256, 1), np.repeat((rows > 0).sum(2), 256, 1)
-        self.cost2 = _cost(pair, total, kinds, cost1[:, dense & 255])
-        lang, gram, total, kinds = followers
-        self.total2, self.kinds2 = _count(dense, gram, lang, total, number), _count(dense, gram, lang, kinds, number)
+        self.cost1 = _cost(single, single.sum(1, keepdims=True), (single > 0).sum(1, keepdims=True), np.full((len(langs), 1), 8.0))
+        self.total1, self.kinds1 = total, kinds
 
     @classmethod
     def whole(cls, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
         """From all counts of four bytes."""
-        number = len(langs)
+        number, dense = len(langs), np.arange(1 << 16)
         triples, three = np.unique(gram & 0xFFFFFF, return_inverse=True)
         counts3 = _count(triples, three, lang, n, number)
+        pair = _count(dense, gram & 0xFFFF, lang, n, number)
+        rows = pair.reshape(number, 256, 256)
+        out = cls(langs, rows.sum(1), rows.sum(2), (rows > 0).sum(2))
+        out.cost2 = out._cost2(dense, pair)
         of, at = np.nonzero(counts3)
-        kinds = np.ones(len(of), np.int64)
-        out = cls(langs, (lang, gram & 0xFFFF, n), (of, triples[at] >> 8, counts3[of, at], kinds))
+        out.total2, out.kinds2 = [_count(dense, triples[at] >> 8, of, x, number) for x in (counts3[of, at], np.ones(len(of), np.int64))]
         fours, four = np.unique(gram, return_inverse=True)
         contexts3, three = np.unique(gram >> 8, return_inverse=True)
         after = [_count(contexts3, three, lang, x, number) for x in (n, np.ones(len(n), np.int64))]
@@ -152,12 +150,26 @@ class Model:
         grams = grams.select(number, "gram", "n")
         low = lambda size: F.col("gram").bitwiseAND(F.lit(size).cast("long")).alias("gram")
         high = F.shiftright("gram", 8).alias("gram")
-        threes = stored(grams.groupBy("i", low(0xFFFFFF)).agg(F.sum("n").alias("n")))
         after = [F.sum("n").alias("n"), F.count("*").alias("kinds")]
-        arrays = lambda df: [c.to_numpy() for c in df.toArrow().columns]
-        out = cls(langs, arrays(threes.groupBy("i", low(0xFFFF)).agg(F.sum("n").alias("n"))), arrays(threes.groupBy("i", high).agg(*after)))
+        threes = stored(grams.groupBy("i", low(0xFFFFFF)).agg(F.sum("n").alias("n")))
+        twos = stored(threes.groupBy("i", low(0xFFFF)).agg(F.sum("n").alias("n")))
+
+        def bytes_of(rows: DataFrame, *names: str) -> list[np.ndarray]:
+            """Tables of 256 bytes by language."""
+            table = rows.toArrow()
+            at = [table.column(c).to_numpy() for c in ("i", "gram", *names)]
+            return [_count(np.arange(256), at[1], at[0], n, len(langs)) for n in at[2:]]
+
+        single = bytes_of(twos.groupBy("i", low(0xFF)).agg(F.sum("n").alias("n")), "n")[0]
+        out = cls(langs, single, *bytes_of(twos.groupBy("i", high).agg(*after), "n", "kinds"))
         parts = lambda df, *names: stored(df.groupBy("gram").agg(F.collect_list(F.struct("i", *names)).alias("parts")))
-        out.tables = parts(grams, "n"), parts(grams.groupBy("i", high).agg(*after), "n", "kinds"), parts(threes, "n")
+        out.tables = {
+            "p4": parts(grams, "n"),
+            "c3": parts(grams.groupBy("i", high).agg(*after), "n", "kinds"),
+            "p3": parts(threes, "n"),
+            "c2": parts(threes.groupBy("i", high).agg(*after), "n", "kinds"),
+            "p2": parts(twos, "n"),
+        }
         out.complete, out.zeros = False, np.zeros((len(langs), 1), np.int64)
         for row in threes.where("gram = 0").collect():
             out.zeros[row.i] = row.n
@@ -168,14 +180,24 @@ class Model:
         out.held = keys[order], np.ascontiguousarray(units[:, order])
         return out
 
+    def _cost2(self, pair: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Bits of the last of two bytes, seen n times."""
+        before, byte = pair >> 8 & 255, pair & 255
+        return _cost(n, self.total1[:, before], self.kinds1[:, before], self.cost1[:, byte])
+
     def __getstate__(self) -> dict:
         return self.__dict__ | {"tables": None}
 
-    def _units(self, gram: np.ndarray, n4: np.ndarray, total3: np.ndarray, kinds3: np.ndarray, n3: np.ndarray) -> np.ndarray:
-        """Code lengths of the last byte of grams, in units of 1 / UNIT bits."""
+    def _units(self, gram: np.ndarray, n4: np.ndarray, total3: np.ndarray, kinds3: np.ndarray, n3: np.ndarray, pairs: tuple | None = None) -> np.ndarray:
+        """Code lengths of the last byte of grams, in units of 1 / UNIT bits. pairs: occurrences and kinds of what follows the two
+        bytes before it, and how often the last two are, where they are no tables."""
         context = (gram >> 8) & 0xFFFF
         inner = (gram >> 8 != 0) | (self.zeros > 0)
-        cost3 = _cost(n3, self.total2[:, context], self.kinds2[:, context], self.cost2[:, gram & 0xFFFF])
+        if pairs is None:
+            total2, kinds2, cost2 = self.total2[:, context], self.kinds2[:, context], self.cost2[:, gram & 0xFFFF]
+        else:
+            total2, kinds2, cost2 = pairs[0], pairs[1], self._cost2(gram & 0xFFFF, pairs[2])
+        cost3 = _cost(n3, total2, kinds2, cost2)
         return np.rint(_cost(n4 * inner, total3 * inner, kinds3, cost3) * UNIT).astype(np.int64)
 
     def stored_units(self, wanted: DataFrame) -> DataFrame:
@@ -194,14 +216,18 @@ class Model:
                     return out
 
                 gram = batch.column("gram").to_numpy()
-                units = shared.value._units(gram, *counts("p4", "n"), *counts("c3", "n", "kinds"), *counts("p3", "n"))
+                pairs = *counts("c2", "n", "kinds"), *counts("p2", "n")
+                units = shared.value._units(gram, *counts("p4", "n"), *counts("c3", "n", "kinds"), *counts("p3", "n"), pairs)
                 units = pa.ListArray.from_arrays(np.arange(len(gram) + 1, dtype=np.int32) * number, np.ascontiguousarray(units.T).ravel())
                 yield pa.RecordBatch.from_arrays([batch.column("gram"), units], ["gram", "units"])
 
-        rows = wanted.select("gram", F.shiftright("gram", 8).alias("g3"), F.col("gram").bitwiseAND(F.lit(0xFFFFFF).cast("long")).alias("l3"))
-        for table, key, name in zip(self.tables, ("gram", "g3", "l3"), ("p4", "c3", "p3")):
-            rows = rows.join(table.select(F.col("gram").alias(key), F.col("parts").alias(name)), key, "left")
-        return C.map_arrow(rows.select("gram", "p4", "c3", "p3"), step, "gram long, units array<long>")
+        low = lambda size: F.lit(size).cast("long")
+        before = F.shiftright("gram", 8)
+        keys = {"p4": F.col("gram"), "c3": before, "p3": F.col("gram").bitwiseAND(low(0xFFFFFF)), "c2": before.bitwiseAND(low(0xFFFF)), "p2": F.col("gram").bitwiseAND(low(0xFFFF))}
+        rows = wanted.select("gram", *[key.alias(f"k_{name}") for name, key in keys.items()])
+        for name, table in self.tables.items():
+            rows = rows.join(table.select(F.col("gram").alias(f"k_{name}"), F.col("parts").alias(name)), f"k_{name}", "left")
+        return C.map_arrow(rows.select("gram", *keys), step, "gram long, units array<long>")
 
     def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, tuple]:
         """Units per language (rows) and text (columns), and (text, gram, times) of the grams not held."""
@@ -247,8 +273,8 @@ def learn(docs: DataFrame) -> Model:
     grams = C.map_arrow(rows.select("lang", "text"), _grams, "lang string, gram long, n long")
     grams, size = stored_count(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     langs = sorted(r.lang for r in grams.select("lang").distinct().collect())
-    room = int(len(langs) / FLOOR)
-    if size > room:
+    room = min(int(len(langs) / FLOOR), HELD_BYTES // (8 * max(1, len(langs))))
+    if size > room or len(langs) << 19 > HELD_BYTES:
         return Model.partial(langs, grams, room)
     number = {lang: i for i, lang in enumerate(langs)}
     rows = grams.toArrow()

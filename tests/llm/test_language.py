@@ -1,4 +1,5 @@
 import math
+import pickle
 from collections import Counter
 from zlib import crc32
 
@@ -133,3 +134,30 @@ def test_rare_contexts_count_however_few_are_collected(spark, corpus, monkeypatc
     rate = {r[0]: r[4] for r in whole}
     for doc_id, text in [(0, rows[0].text), (7, rows[7].text), (1000, odd[0][1])]:
         assert rate[doc_id] * len(text.encode()) == pytest.approx(min(brute(training, model.langs, text)), rel=1e-6)
+
+
+def test_many_languages_do_not_swell_the_model(spark):
+    """Three hundred languages: what is sent to the tasks stays bounded, and each is told from the others."""
+    names = [f"l{i:03d}" for i in range(300)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def speech(i, number):
+        syllables = [letters[(i * 7 + k * k) % 26] + letters[(i // 26 + 5 * k) % 26] + letters[(i + 11 * k) % 26] for k in range(4)]
+        return " ".join(syllables[(number + j * (j + 1) // 2) % 4] for j in range(30))
+
+    rows = [(i * 6 + k, speech(i, k), names[i], None) for i in range(300) for k in range(6)]
+    corpus = spark.createDataFrame(rows, edges.SCHEMA)
+    model = language.learn(corpus)
+    assert len(model.langs) > 290 and not model.complete  # a few have all their texts held out
+    assert len(pickle.dumps(model)) < language.HELD_BYTES + (4 << 20)
+    found = language.identify(corpus, model).join(corpus.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    known = [r for r in found if r.lang in model.langs]
+    assert len(known) > 500 and sum(r.lang_pred == r.lang for r in known) >= 0.95 * len(known)
+
+
+def test_memory_bounds_the_grams_held(spark, corpus, monkeypatch):
+    whole = edges.rows(language.identify(corpus, language.learn(corpus)))
+    monkeypatch.setattr(language, "HELD_BYTES", 3 * 8 * 50)
+    model = language.learn(corpus)
+    assert not model.complete and len(model.held[0]) == 50
+    assert edges.rows(language.identify(corpus, model)) == whole
