@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm import common as C
-from folioflow.llm.shared import PACKED, PARTS, bucket_count, collected, found_keys, pack_slice, parts
+from folioflow.llm.shared import KEYS_HELD, PACKED, PARTS, bucket_count, collected, found_keys, pack_slices, parts
 from folioflow.llm.suffixes import repeats
 from folioflow.session import ship_package, stored
 
@@ -80,13 +80,13 @@ def claims(data: np.ndarray, offsets: np.ndarray):
 
 
 def _pack_anchors(buckets: int):
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in C.slices(batches):
             data, offsets = C.text_bytes(pc.fill_null(batch.column("text"), ""))
             _, _, row, keys = claims(data, offsets)
-            yield from pack_slice(keys, row, batch.column("row_key").to_numpy(), buckets, within=True)
+            yield keys, row, batch.column("row_key").to_numpy()
 
-    return step
+    return lambda batches: pack_slices(found(batches), buckets, KEYS_HELD, within=True)
 
 
 def _copied(batch: pa.RecordBatch, text: pa.Array) -> np.ndarray:

@@ -1,9 +1,9 @@
 """Keys that several documents hold, found by one shuffle of packed key lists.
 
-A slice of documents gives its distinct 64-bit keys sorted, cut by binary search at the bounds of
-`buckets` equal ranges, one packed row per range. Within a slice a key that several rows hold is sent
+The slices of a task are gathered up to `KEYS_HELD` keys; a gathering gives its distinct 64-bit keys sorted, cut by binary search
+at the bounds of `buckets` equal ranges, one packed row per range. Within a gathering a key that several rows hold is sent
 once, and those rows are answered on the spot; so the entries of a key that a third of all documents
-hold number at most one per slice. The rows of a range meet in one task and are merged by sorting.
+hold number at most one per gathering. The rows of a range meet in one task and are merged by sorting.
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ PACKED = "bucket int, lo binary, hi binary, who binary, docs binary, ids binary"
 PARTS = "slot int, docs binary, a binary, b binary"
 # Text behind one bucket: the number of buckets follows the measured size of the corpus.
 BUCKET_BYTES = 16 << 20
+# Keys that a task gathers before it packs them, and answers that one packed row holds at most.
+KEYS_HELD = 1 << 20
+TOLD_EACH = 1 << 16
 MANY = np.uint32(0xFFFFFFFF)
 
 
@@ -58,8 +61,21 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names)
 
 
-def pack_slice(lo, who, docs, buckets: int, hi=None, ids=None, within: bool = False) -> Iterator[pa.RecordBatch]:
-    """Packed rows of a slice.
+def pack_slices(slices: Iterator[tuple], buckets: int, limit: int, within: bool = False) -> Iterator[pa.RecordBatch]:
+    """Packed rows of the slices (lo, who, docs[, hi, ids]) of a task, gathered up to `limit` keys; `who` counts the rows of its slice."""
+    held, keys, rows = [], 0, 0
+    for lo, who, docs, *more in slices:
+        held.append((lo, (who + rows).astype(np.uint32), docs, *more))
+        keys, rows = keys + len(lo), rows + len(docs)
+        if keys >= limit:
+            yield from pack_slice(*[np.concatenate(c) for c in zip(*held)], buckets=buckets, within=within)
+            held, keys, rows = [], 0, 0
+    if held:
+        yield from pack_slice(*[np.concatenate(c) for c in zip(*held)], buckets=buckets, within=within)
+
+
+def pack_slice(lo, who, docs, hi=None, ids=None, *, buckets: int, within: bool = False) -> Iterator[pa.RecordBatch]:
+    """Packed rows of the keys gathered.
 
     lo, hi: keys, of 64 and if need be 32 more bits; who: the row of each key; docs, ids: row keys and document ids by row. Without ids a
     key is found in every row that shares it; with ids in every row whose id is not the key's least.
@@ -68,7 +84,7 @@ def pack_slice(lo, who, docs, buckets: int, hi=None, ids=None, within: bool = Fa
     if not len(lo):
         return
     order = np.lexsort((who, lo) if hi is None else (who, ids[who], hi, lo))
-    lo, who = lo[order], who[order].astype(np.uint32)
+    lo, who = lo[order], who[order]
     hi = None if hi is None else hi[order]
     new = np.ones(len(lo), bool)
     new[1:] = lo[1:] != lo[:-1]
@@ -91,9 +107,10 @@ def pack_slice(lo, who, docs, buckets: int, hi=None, ids=None, within: bool = Fa
         keep = ~shared
         sent = who[keep]
     rows = []
-    if shared.any():
-        told = np.flatnonzero(shared)
-        spread = -1 - int(docs[who[told[0]]]) % buckets
+    answered = np.flatnonzero(shared)
+    for start in range(0, len(answered), TOLD_EACH):
+        told = answered[start : start + TOLD_EACH]
+        spread = -1 - (int(docs[who[told[0]]]) + start // TOLD_EACH) % buckets
         rows.append(_rows(spread, lo[told], None, who[told], docs, None))
     lo, hi = lo[keep], None if hi is None else hi[keep]
     bounds = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)

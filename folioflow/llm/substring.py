@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from folioflow.llm import common as C
-from folioflow.llm.shared import PACKED, bucket_count, found_keys, pack_slice
+from folioflow.llm.shared import KEYS_HELD, PACKED, bucket_count, found_keys, pack_slices
 from folioflow.session import stored
 
 WINDOW = 13
@@ -55,14 +55,14 @@ def _anchors(words: np.ndarray, first: np.ndarray):
 
 
 def _pack_anchors(buckets: int):
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in C.slices(batches, limit=SLICE_BYTES):
             data, offsets = C.text_bytes(pc.fill_null(batch.column("text"), ""))
             starts, ends, first = C.word_bounds(data, offsets)
             _, row, keys = _anchors(C.word_hashes(data, starts, ends), first)
-            yield from pack_slice(keys, row, batch.column("row_key").to_numpy(), buckets)
+            yield keys, row, batch.column("row_key").to_numpy()
 
-    return step
+    return lambda batches: pack_slices(found(batches), buckets, KEYS_HELD)
 
 
 def _window_starts(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -103,7 +103,7 @@ def _copy(batch: pa.RecordBatch) -> pa.Array:
 def _pack_windows(buckets: int):
     """Windows around shared anchors, of rows that are no copies."""
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for whole in C.slices(batches, limit=SLICE_BYTES):
             batch = whole.filter(pc.and_(pc.is_valid(whole.column("keys")), pc.invert(_copy(whole))))
             if not batch.num_rows:
@@ -113,9 +113,9 @@ def _pack_windows(buckets: int):
             starts, ends, first = C.word_bounds(data, offsets)
             row = np.repeat(np.arange(batch.num_rows), [len(f) for f in found])
             lo, hi = _keys(data, starts, ends, np.concatenate(found).astype(np.int64) + first[row])
-            yield from pack_slice(lo, row, batch.column("row_key").to_numpy(), buckets, hi, C.ids(batch.column("doc_id")))
+            yield lo, row, batch.column("row_key").to_numpy(), hi, C.ids(batch.column("doc_id"))
 
-    return step
+    return lambda batches: pack_slices(keys(batches), buckets, KEYS_HELD)
 
 
 def _remove(with_text: bool):

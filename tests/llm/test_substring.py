@@ -1,7 +1,9 @@
 import hashlib
 import re
+from collections import Counter
 
 import edges
+import numpy as np
 from folioflow.llm import shared, substring
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -54,6 +56,29 @@ def test_slices_and_buckets_change_nothing(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_gatherings_change_nothing(spark, monkeypatch):
+    rows = passages()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(substring, "SLICE_BYTES", 700)
+    for held in (1, 90):
+        monkeypatch.setattr(substring, "KEYS_HELD", held)
+        got = edges.rows(substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256"))
+        assert got == brute(rows)
+
+
+def test_a_key_of_all_slices_has_one_entry_per_gathering(monkeypatch):
+    monkeypatch.setattr(shared, "TOLD_EACH", 7)
+    slices = [(np.array([5, 1000 + i], np.uint64), np.zeros(2, np.int64), np.array([i])) for i in range(500)]
+    for limit, gatherings in ((1 << 20, 1), (100, 10)):
+        entries = Counter()
+        for batch in shared.pack_slices(iter(slices), 9, limit):
+            for bucket, lo in zip(*[batch.column(c).to_pylist() for c in ("bucket", "lo")]):
+                entries[bucket >= 0] += len(shared._unpack(lo))
+                assert bucket >= 0 or len(shared._unpack(lo)) <= 7
+        # The hot key once a gathering and each other key; an answer for each row of the hot key.
+        assert entries == {True: 500 + gatherings, False: 500}
+
+
 def test_edge_rows(spark):
     found = substring.remove_repeats(edges.clashing(spark), with_text=True).collect()
     assert len(found) == len(edges.ROWS)
