@@ -84,7 +84,7 @@ def _pack_anchors(buckets: int):
         for batch in C.slices(batches):
             data, offsets = C.text_bytes(pc.fill_null(batch.column("text"), ""))
             _, _, row, keys = claims(data, offsets)
-            yield keys, row, batch.column("row_key").to_numpy()
+            yield keys, row, C.row_keys(batch.column("row_key"))
 
     return lambda batches: pack_slices(found(batches), buckets, KEYS_HELD, within=True)
 
@@ -128,7 +128,7 @@ def _pack_spans(buckets: int):
         for whole in C.slices(batches):
             # Of copies one goes on, as a partner of others: what becomes of itself is known.
             copied = _copied(whole, pc.fill_null(whole.column("text"), ""))
-            lead = pc.fill_null(pc.equal(whole.column("first_key"), whole.column("row_key")), False).to_numpy(zero_copy_only=False)
+            lead = (C.row_keys(whole.column("first_key")) == C.row_keys(whole.column("row_key"))).all(axis=1)
             batch = whole.filter(pa.array(~copied | lead))
             if not batch.num_rows:
                 continue
@@ -136,7 +136,7 @@ def _pack_spans(buckets: int):
             data, offsets, first, size, row, keys, parts = _spans(batch)
             if not len(first):
                 continue
-            docs = batch.column("row_key").to_numpy()
+            docs = C.row_keys(batch.column("row_key"))
             # Equal spans: all their strings repeat; one copy travels, for the sake of others.
             values = [C.range_hash(C._base(seed)[0][data], first, first + size, seed) for seed in (4, 5)]
             by = np.lexsort((values[1], values[0]))
@@ -151,10 +151,10 @@ def _pack_spans(buckets: int):
             rows = []
             t = np.flatnonzero(several & ~partner)
             if len(t):
-                rows.append((-1 - int(docs[row[t[0]]]) % buckets, 0, b"", size[t].astype(np.int32).tobytes(), docs[row[t]].tobytes(), place[t].astype(np.int32).tobytes(), b""))
+                rows.append((-1 - int(docs[row[t[0]], 0]) % buckets, 0, b"", size[t].astype(np.int32).tobytes(), docs[row[t]].tobytes(), place[t].astype(np.int32).tobytes(), b""))
             sent = np.sort(by[heads])
             bucket = ((keys[sent] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            part = (docs[row[sent]].view(np.uint64) >> np.uint64(7)).astype(np.int64) % np.maximum(parts[sent], 1)
+            part = (docs[row[sent], 0].astype(np.uint64) >> np.uint64(7)).astype(np.int64) % np.maximum(parts[sent], 1)
             order = np.lexsort((part, bucket))
             sent, bucket, part = sent[order], bucket[order], part[order]
             cut = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])))
@@ -191,7 +191,7 @@ def _shard(ranges: int):
 
     def solve(table: pa.Table) -> pa.Table:
         column = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        sizes, docs, places = column("sizes", np.int32).astype(np.int64), column("docs", np.int64), column("places", np.int32)
+        sizes, docs, places = column("sizes", np.int32).astype(np.int64), column("docs", np.int64).reshape(-1, 2), column("places", np.int32)
         if table.column("bucket")[0].as_py() < 0:
             return _answer(docs, places, places + sizes - MATCH + 1, [], ranges)
         text, split = column("text", np.uint8), column("split", bool)
@@ -224,7 +224,7 @@ def _shard(ranges: int):
         by = np.lexsort((hashes[1], hashes[0]))
         rest, lo, hi = rest[by], hashes[0][by], hashes[1][by]
         open_ = ~repeated[rest] & (places[owner[rest]] >= 0)  # known repeats need no answer
-        whose = np.where(open_, docs[owner[rest]], 0)
+        whose = np.where(open_[:, None], docs[owner[rest]], 0)
         place = np.where(open_, places[owner[rest]] + rest - begin[owner[rest]], -1).astype(np.int32)
         bounds = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64) if len(rest) else np.zeros(0, np.uint64)
         cuts = [0, *np.searchsorted(lo, bounds).tolist(), len(lo)]
@@ -264,6 +264,7 @@ def _merge(table: pa.Table, slots: int) -> pa.Table:
     columns = [table.column(c).to_pylist() for c in ("lo", "hi", "who", "place")]
     lists = [tuple(np.frombuffer(raw, kind) for raw, kind in zip(row, kinds)) for row in zip(*columns)]
     who, place = [np.concatenate([piece[i] for piece in lists]) for i in (2, 3)]
+    who = who.reshape(-1, 2)
     found = np.flatnonzero(shared_strings(lists) & (place >= 0))
     return parts(who[found], place[found], place[found] + 1, slots)
 

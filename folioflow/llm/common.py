@@ -28,8 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def row_key() -> Column:
-    """Equal rows share a key, and so their result."""
-    return F.xxhash64("doc_id", "text").alias("row_key")
+    """128 bits of id and text: equal rows share a key, and so their result."""
+    return F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "doc_id", "text").alias("b")).alias("row_key")
+
+
+def row_keys(column: pa.Array) -> np.ndarray:
+    """Row keys as rows of two numbers; zeros where there is none."""
+    return np.column_stack([pc.fill_null(half, 0).to_numpy(zero_copy_only=False) for half in column.flatten()])
 
 
 def keyed(docs: DataFrame) -> DataFrame:

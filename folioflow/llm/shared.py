@@ -77,7 +77,7 @@ def pack_slices(slices: Iterator[tuple], buckets: int, limit: int, within: bool
 def pack_slice(lo, who, docs, hi=None, ids=None, *, buckets: int, within: bool = False) -> Iterator[pa.RecordBatch]:
     """Packed rows of the keys gathered.
 
-    lo, hi: keys, of 64 and if need be 32 more bits; who: the row of each key; docs, ids: row keys and document ids by row. Without ids a
+    lo, hi: keys, of 64 and if need be 32 more bits; who: the row of each key; docs, ids: row keys (two numbers) and document ids by row. Without ids a
     key is found in every row that shares it; with ids in every row whose id is not the key's least.
     within: a key that comes twice in one row is shared too.
     """
@@ -110,7 +110,7 @@ def pack_slice(lo, who, docs, hi=None, ids=None, *, buckets: int, within: bool =
     answered = np.flatnonzero(shared)
     for start in range(0, len(answered), TOLD_EACH):
         told = answered[start : start + TOLD_EACH]
-        spread = -1 - (int(docs[who[told[0]]]) + start // TOLD_EACH) % buckets
+        spread = -1 - (int(docs[who[told[0]], 0]) + start // TOLD_EACH) % buckets
         rows.append(_rows(spread, lo[told], None, who[told], docs, None))
     lo, hi = lo[keep], None if hi is None else hi[keep]
     bounds = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
@@ -129,9 +129,9 @@ def _merge(table: pa.Table, slots: int) -> pa.Table:
         wide = np.uint16 if len(w) == 2 * len(keys) else np.uint32
         at = np.frombuffer(w, wide)
         many = at == np.iinfo(wide).max
-        docs = np.frombuffer(d, np.int64)
+        docs = np.frombuffer(d, np.int64).reshape(-1, 2)
         lo.append(keys)
-        who.append((np.append(docs, 0)[np.where(many, len(docs), at)], many))
+        who.append((np.append(docs, [[0, 0]], axis=0)[np.where(many, len(docs), at)], many))
         part.append(np.full(len(keys), i, np.int32))
         if h:
             hi.append(np.frombuffer(h, np.uint32))
@@ -162,7 +162,7 @@ def _merge(table: pa.Table, slots: int) -> pa.Table:
 
 def parts(docs: np.ndarray, a: np.ndarray, b: np.ndarray | None, slots: int) -> pa.Table:
     """Values with the row they belong to, packed by slot of the row key: a row per slot, not per document."""
-    slot = (C.mix(docs.astype(np.int64).view(np.uint64)) % np.uint64(slots)).astype(np.int64)
+    slot = (C.mix(docs[:, 0].astype(np.uint64)) % np.uint64(slots)).astype(np.int64)
     by = np.argsort(slot, kind="stable")
     slot, docs, a = slot[by], docs[by], a[by]
     cut = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else np.zeros(0, np.int64)
@@ -177,18 +177,18 @@ def collected(packed: DataFrame, kind: str, names: tuple[str, ...]) -> DataFrame
     number = {"long": np.int64, "int": np.int32}[kind]
 
     def lists(table: pa.Table) -> pa.Table:
-        docs = np.frombuffer(b"".join(table.column("docs").to_pylist()), np.int64)
-        by = np.argsort(docs, kind="stable")
+        docs = np.frombuffer(b"".join(table.column("docs").to_pylist()), np.int64).reshape(-1, 2)
+        by = np.lexsort((docs[:, 1], docs[:, 0]))
         docs = docs[by]
-        heads = np.flatnonzero(np.append(True, docs[1:] != docs[:-1])) if len(docs) else np.zeros(0, np.int64)
+        heads = np.flatnonzero(np.append(True, (docs[1:] != docs[:-1]).any(axis=1))) if len(docs) else np.zeros(0, np.int64)
         bounds = pa.array(np.append(heads, len(docs)), pa.int32())
-        out = {"row_key": pa.array(docs[heads], pa.int64())}
+        out = {"row_key": pa.StructArray.from_arrays([pa.array(docs[heads, i]) for i in (0, 1)], ["a", "b"])}
         for name, column in zip(names, ("a", "b")):
             values = np.frombuffer(b"".join(table.column(column).to_pylist()), number)[by]
             out[name] = pa.ListArray.from_arrays(bounds, pa.array(values))
         return pa.table(out)
 
-    schema = ", ".join(["row_key long", *[f"{name} array<{kind}>" for name in names]])
+    schema = ", ".join(["row_key struct<a: long, b: long>", *[f"{name} array<{kind}>" for name in names]])
     return packed.groupBy("slot").applyInArrow(lists, schema)
 
 

@@ -60,7 +60,7 @@ def _pack_anchors(buckets: int):
             data, offsets = C.text_bytes(pc.fill_null(batch.column("text"), ""))
             starts, ends, first = C.word_bounds(data, offsets)
             _, row, keys = _anchors(C.word_hashes(data, starts, ends), first)
-            yield keys, row, batch.column("row_key").to_numpy()
+            yield keys, row, C.row_keys(batch.column("row_key"))
 
     return lambda batches: pack_slices(found(batches), buckets, KEYS_HELD)
 
@@ -113,7 +113,7 @@ def _pack_windows(buckets: int):
             starts, ends, first = C.word_bounds(data, offsets)
             row = np.repeat(np.arange(batch.num_rows), [len(f) for f in found])
             lo, hi = _keys(data, starts, ends, np.concatenate(found).astype(np.int64) + first[row])
-            yield lo, row, batch.column("row_key").to_numpy(), hi, C.ids(batch.column("doc_id"))
+            yield lo, row, C.row_keys(batch.column("row_key")), hi, C.ids(batch.column("doc_id"))
 
     return lambda batches: pack_slices(keys(batches), buckets, KEYS_HELD)
 

@@ -68,7 +68,7 @@ def test_gatherings_change_nothing(spark, monkeypatch):
 
 def test_a_key_of_all_slices_has_one_entry_per_gathering(monkeypatch):
     monkeypatch.setattr(shared, "TOLD_EACH", 7)
-    slices = [(np.array([5, 1000 + i], np.uint64), np.zeros(2, np.int64), np.array([i])) for i in range(500)]
+    slices = [(np.array([5, 1000 + i], np.uint64), np.zeros(2, np.int64), np.array([[i, i]])) for i in range(500)]
     for limit, gatherings in ((1 << 20, 1), (100, 10)):
         entries = Counter()
         for batch in shared.pack_slices(iter(slices), 9, limit):

@@ -5,7 +5,8 @@ from collections import Counter
 import edges
 import numpy as np
 import pytest
-from folioflow.llm import bytesdup, suffixes
+from folioflow.llm import bytesdup, common, suffixes
+from pyspark.sql import functions as F
 
 
 def cases():
@@ -110,3 +111,10 @@ def test_equal_spans():
     sizes = np.array([len(x) for x in strings])
     first, times = bytesdup._equal_spans(np.frombuffer(b"".join(strings), np.uint8), np.cumsum(sizes) - sizes, sizes)
     assert first.tolist() == [0, 1, 0, 3, 1, 0] and times.tolist() == [3, 2, 3, 1, 2, 3]
+
+
+def test_rows_that_share_half_a_key_stay_apart(spark, monkeypatch):
+    whole = common.row_key
+    monkeypatch.setattr(common, "row_key", lambda: whole().withField("a", F.lit(7).cast("long")).alias("row_key"))
+    docs = spark.createDataFrame(rows(), "doc_id long, text string").repartition(6)
+    assert edges.rows(bytesdup.remove_repeats(docs).select(*NAMES)) == brute(rows())
