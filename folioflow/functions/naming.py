@@ -17,6 +17,11 @@ def content_type(raw: Column | str) -> Column:
     return F.lower(strip(F.split_part(F.coalesce(as_column(raw), F.lit("")), F.lit(";"), F.lit(1))))
 
 
+def charset(raw: Column | str) -> Column:
+    """The charset a content type declares, quoted or not; '' when missing."""
+    return F.regexp_extract(F.coalesce(as_column(raw), F.lit("")), r"(?i);\s*charset\s*=\s*[\"']?([^\s;\"']+)", 1)
+
+
 def _mapped(mime: Column) -> Column:
     pairs = chain.from_iterable(S.CONTENT_TYPE_EXTENSIONS.items())
     return F.create_map(*[F.lit(p) for p in pairs])[mime]

@@ -159,12 +159,13 @@ def link_target(url: Column | str, base_href: Column | str, href: Column | str)
 def document_pages(pages: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     """Route each captured page and build the columns of its case item.
 
-    In: `url, content_type, body binary`. Files keep their bytes and never meet Python.
+    In: `url, content_type, body binary`. Markup is decoded by its declared charset, Western ones or
+    UTF-8. Files keep their bytes and never meet Python.
     """
     binary = naming.is_binary_document("content_type", "url")
     facts = ["content_html", "content_text", "anchors", "base_href"]
     kept = ["url", "content_type", *extra]
-    markup = pages.where(~binary).select(*kept, text.decode_bytes("body").alias("page_html"))
+    markup = pages.where(~binary).select(*kept, text.decode_bytes("body", naming.charset("content_type")).alias("page_html"))
     read = extract_pages(markup, "page_html", facts, kept)
     read = read.withColumn("body", F.lit(None).cast("binary"))
     none = F.lit(None).cast("string")

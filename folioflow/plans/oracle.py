@@ -284,6 +284,10 @@ WITH r AS (SELECT doc_id, text, 'https://docs.example.org/' || doc_id AS link FR
 SELECT doc_id, sha256(CASE WHEN text = '' THEN 'x' ELSE text END) AS by_bytes,
        sha256(CASE WHEN text = '' THEN link ELSE text END) AS by_html, sha256(link) AS by_link,
        sha256(text || chr(65533) || 'z') AS decoded FROM r""",
+    "page_charsets": r"""
+SELECT 'https://docs.example.org/' || doc_id AS url, 'text/html' AS content_type,
+       sha256('<main>x' || rtrim(regexp_replace(coalesce(text, ''), '[^0-9A-Za-z\x{A1}-\x{FF}]+', ' ', 'g') || '“€é”') || '</main>') AS markup
+FROM documents""",
     "resolve_links": f"""
 WITH r AS (SELECT page_id, url, {_site('url')} AS site,
                   regexp_replace({_path('url')}, '[^/]*$', '') AS folder FROM pages),

@@ -191,6 +191,21 @@ def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_charsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as captured pages in declared charsets: Western ones by several names, UTF-8 declared and not."""
+    words = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^0-9A-Za-z\u00a1-\u00ff]+", " ")
+    western = F.concat(F.encode(F.concat(F.lit("<main>x"), words), "ISO-8859-1"), F.unhex(F.lit("9380E994")), F.lit("</main>").cast("binary"))
+    utf8 = _text_of("<main>x", words, "“€é”</main>").cast("binary")
+    declared = ["text/html; charset=windows-1252", 'Text/HTML;Charset="ISO-8859-1"', "text/html; charset=utf-8", "text/html"]
+    captured = table(spark, sf_dir, "documents").select(
+        _text_of("https://docs.example.org/", _n("doc_id")).alias("url"),
+        pick("doc_id", *declared).alias("content_type"),
+        F.when(F.col("doc_id") % 4 < 2, western).otherwise(utf8).alias("body"),
+    )
+    read = pages.document_pages(captured)
+    return read.select("url", "content_type", payload.content_hash("content_html").alias("markup"))
+
+
 def resolve_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "pages").select(
         "page_id",
@@ -1161,6 +1176,7 @@ QUERIES = {
     "content_type_ext": content_type_ext,
     "object_keys": object_keys,
     "content_hash": content_hash,
+    "page_charsets": page_charsets,
     "resolve_links": resolve_links,
     "month_partitions": month_partitions,
     "customer_months": customer_months,

@@ -224,6 +224,18 @@ def routed(spark, *rows):
     return {r.url: r for r in pages.document_pages(df).collect()}
 
 
+def test_declared_charsets(spark):
+    body = "<main>caf\xe9 </main>".encode("latin-1").replace(b" ", b" \x80\x93\x81")
+    western = "<main>caf\xe9 €“\x81</main>"
+    names = ["windows-1252", '"ISO-8859-1"', " 'Latin1' ", "US-ASCII; x=y", "utf-8", "koi8-r"]
+    rows = [(f"http://h/{i}", f"Text/HTML; a=b ; CharSet={n}", body) for i, n in enumerate(names)]
+    got = routed(spark, *rows, ("http://h/a", "text/html", body), ("http://h/b", None, "<main>é€</main>".encode()), ("http://h/c", "text/html; charset=latin1", None))
+    assert [got[f"http://h/{i}"].content_html for i in range(4)] == [western] * 4
+    assert {got[f"http://h/{i}"].content_html for i in (4, 5, "a")} == {"<main>caf\ufffd \ufffd\ufffd\ufffd</main>"}
+    assert got["http://h/b"].content_html == "<main>é€</main>" and got["http://h/c"].error is None
+    assert {r.content_type for r in got.values()} == {"text/html"}
+
+
 def test_document_pages(spark):
     long = "w " * 60
     got = routed(
