@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -29,10 +31,16 @@ CHANGES = T.StructType(
     ]
 )
 COLUMNS = ["identifier", "seq", "file_hash", "object_key"]
+IDENTIFIER = T.StructType([T.StructField("identifier", T.StringType())])
+# Buckets of identifiers that share a call; part of the state's keys, so fixed for the life of a checkpoint.
+BUCKETS = 4096
 
 
 def change_detector() -> StatefulProcessor:
-    """Keeps hash and path of the last row of each identifier.
+    """Keeps hash and path of the last row of each identifier, in a map for each bucket of identifiers.
+
+    A bucket's rows are judged together, as columns; per identifier there is one look into the map at most
+    and, where something changed, one entry written. So the cost of a call is paid per bucket.
 
     The class is local, so it travels by value: the process that prepares the state runs without
     the files shipped to the workers.
@@ -43,29 +51,52 @@ def change_detector() -> StatefulProcessor:
 
     class ChangeDetector(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self._last = handle.getValueState("last", STATE)
+            self._last = handle.getMapState("last", IDENTIFIER, STATE)
+            self._given = (None, {})
 
         def handleInitialState(self, key, initialState, timerValues) -> None:
-            row = initialState.iloc[0]
-            self._last.update((_plain(row.file_hash), _plain(row.path_to_file)))
+            given = self._given[1] if self._given[0] == key else {}
+            for row in initialState.drop_duplicates("identifier").itertuples(index=False):
+                given[_plain(row.identifier)] = value = (_plain(row.file_hash), _plain(row.path_to_file))
+                self._last.updateValue((_plain(row.identifier),), value)
+            self._given = (key, given)
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
-            known = self._last.get() if self._last.exists() else None
-            old_hash, old_path = known or (None, None)
+            batch = pd.concat(list(rows), ignore_index=True)
+            codes, names = pd.factorize(batch["identifier"], use_na_sentinel=False)
+            order = np.lexsort((batch["seq"], codes))
+            batch, codes = batch.iloc[order], codes[order]
+            # Codes run from 0 without gaps, so they number the identifiers' first rows.
+            first = np.flatnonzero(np.diff(codes, prepend=-1))
+            last = np.append(first[1:], len(codes)) - 1
+            names = [_plain(name) for name in names]
+            # Right after a bucket's initial state, that is all its map holds.
+            given = self._given[1] if self._given[0] == key else None
+            known = [self._last.getValue((name,)) if given is None else given.get(name) for name in names]
+            self._given = (None, {})
+            old_paths = np.array([k[1] if k else None for k in known], object)
+
             # A value no hash can have stands for a missing one, so that two of them are equal.
-            hashes = batch["file_hash"].astype(object).where(batch["file_hash"].notna(), "")
-            changed = hashes != hashes.shift()
-            changed.iloc[0] = not old_path or (old_hash or "") != hashes.iloc[0]
-            path = batch["object_key"].astype(object).where(changed).ffill()
-            path = path.where(path.notna(), old_path)
-            self._last.update((_plain(batch["file_hash"].iloc[-1]), path.iloc[-1]))
+            hashes = batch["file_hash"].astype(object).where(batch["file_hash"].notna(), "").to_numpy()
+            before = np.append([""], hashes[:-1])
+            before[first] = [k and k[0] or "" for k in known]
+            changed = hashes != before
+            changed[first] |= [not path for path in old_paths]
+            # The last row up to each one that was stored with a key, if its identifier has one.
+            keys = batch["object_key"].to_numpy(object)
+            at = np.maximum.accumulate(np.where(changed & batch["object_key"].notna().to_numpy(), np.arange(len(codes)), -1))
+            path = np.where(at >= first[codes], keys[at], old_paths[codes])
+
+            for name, old, new in zip(names, known, zip(batch["file_hash"].iloc[last], path[last])):
+                new = (_plain(new[0]), new[1])
+                if old is None or tuple(old) != new:
+                    self._last.updateValue((name,), new)
             yield pd.DataFrame(
                 {
-                    "identifier": key[0],
+                    "identifier": batch["identifier"],
                     "seq": batch["seq"],
                     "file_hash": batch["file_hash"],
-                    "scrape_status": changed.map({True: STORED, False: UNCHANGED}),
+                    "scrape_status": np.where(changed, STORED, UNCHANGED),
                     "path_to_file": path,
                 }
             )
@@ -80,15 +111,16 @@ def stream_changes(rows: DataFrame, existing: DataFrame | None = None) -> DataFr
     """Status and path of each row of a stream of `identifier, seq, file_hash, object_key`.
 
     Late rows are compared with the state they find, without a bound on lateness, so no
-    watermark is set and state is kept. Bound the micro-batch at the source (files per trigger);
-    where one identifier may fill it beyond a task's memory, use `land_changes`, which holds no identifier's rows together.
+    watermark is set and state is kept. A task holds a bucket's rows of a micro-batch: bound the micro-batch at the source
+    (files per trigger); where one identifier may fill it beyond a task's memory, use `land_changes`, which holds no identifier's rows together.
     """
+    bucket = F.pmod(F.xxhash64("identifier"), F.lit(BUCKETS)).cast("int").alias("bucket")
     initial = None
     if existing is not None:
-        initial = existing.select("identifier", "file_hash", "path_to_file").groupBy("identifier")
+        initial = existing.select(bucket, "identifier", "file_hash", "path_to_file").groupBy("bucket")
     return (
-        rows.select(*COLUMNS)
-        .groupBy("identifier")
+        rows.select(bucket, *COLUMNS)
+        .groupBy("bucket")
         .transformWithStateInPandas(
             statefulProcessor=change_detector(),
             outputStructType=CHANGES,

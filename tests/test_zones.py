@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from folioflow.plans.transform import KEPT, process_rows, processed_content, tra
 from folioflow.plans.zones import build_cases, capture_cases, run_metrics, run_zones
 from folioflow.sources import captures, zones
 from folioflow.sources.zones import landing_zone, processed_zone
-from folioflow.streaming.changes import stream_changes
+from folioflow.streaming.changes import change_detector, stream_changes
 from folioflow.streaming.landing import stream_landing
 
 T1, T2 = dt.datetime(2024, 6, 1), dt.datetime(2024, 7, 1)
@@ -476,3 +477,74 @@ def test_stream_changes_equal_the_model(spark, tmp_path):
         known[identifier] = (file_hash, path)
         want.append((identifier, seq, status, path))
     assert sorted((r.identifier, r.seq, r.scrape_status, r.path_to_file) for r in got) == sorted(want)
+
+
+class MapOfState:
+    """A state handle whose map counts what it is asked."""
+
+    def __init__(self):
+        self.held, self.looks, self.writes = {}, 0, 0
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def getValue(self, key):
+        self.looks += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.writes += 1
+        self.held[key] = value
+
+
+def test_a_call_judges_many_identifiers():
+    """At most a look and a write per identifier and micro-batch, one call for all of them, missing values included."""
+    rng = random.Random(9)
+    state, detector = MapOfState(), change_detector()
+    detector.init(state)
+    existing = {"k0": ("A", "old0"), "k1": ("B", ""), "k2": (None, "old2"), "k3": ("A", None), None: ("B", "old")}
+    given = pd.DataFrame([(7, k, *v) for k, v in existing.items()], columns=["bucket", "identifier", "file_hash", "path_to_file"])
+    for part in (given.iloc[:2], given.iloc[2:]):
+        detector.handleInitialState((7,), part, None)
+    known = dict(existing)
+    for number in range(3):
+        names = [None, *(f"k{i}" for i in range(40))]
+        rows = [(7, rng.choice(names), i, rng.choice(["A", "B", None]), rng.choice([f"key{i}", f"key{i}", None])) for i in range(200)]
+        rng.shuffle(rows)
+        parts = [pd.DataFrame(rows[i::3], columns=["bucket", "identifier", "seq", "file_hash", "object_key"]) for i in range(3)]
+        state.looks = state.writes = 0
+        got = pd.concat(list(detector.handleInputRows((7,), iter(parts), None)))
+
+        before, want = dict(known), []
+        for _, identifier, seq, file_hash, key in sorted(rows, key=lambda r: r[2]):
+            old_hash, old_path = known.get(identifier, (None, None))
+            stored = not old_path or old_hash != file_hash
+            # As a window of the batch has it: the head is judged by the path from before it.
+            if identifier in [w[0] for w in want]:
+                stored = old_hash != file_hash
+            path = key if stored and key is not None else old_path
+            known[identifier] = (file_hash, path)
+            want.append((identifier, seq, "stored" if stored else "unchanged", path))
+        plain = [tuple(None if pd.isna(v) else v for v in r) for r in got[["identifier", "seq", "scrape_status", "path_to_file"]].itertuples(index=False)]
+        assert sorted(plain, key=lambda r: r[1]) == want
+        assert state.held == {(k,): v for k, v in known.items()}
+        assert state.looks == (0 if number == 0 else len({r[1] for r in rows}))
+        assert state.writes == sum(known[k] != before.get(k) for k in known)
+
+
+def test_stream_changes_with_a_missing_identifier(spark, tmp_path):
+    schema = "identifier string, seq long, file_hash string, object_key string"
+    df = spark.createDataFrame([(None if i % 4 == 0 else f"k{i % 4}", i, "A" if i < 16 else "B", f"key{i}") for i in range(24)], schema)
+    folder = str(tmp_path / "in")
+    stream_parts(spark, folder, df, 2)
+    state = spark.createDataFrame([(None, "A", "old"), ("k1", "A", "old1")], "identifier string, file_hash string, path_to_file string")
+    query = (
+        stream_changes(captures.stream_files(spark, folder, df.schema, 1), state)
+        .writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    got = {r.seq: (r.identifier, r.scrape_status, r.path_to_file) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert len(got) == 24
+    assert got[0] == (None, "unchanged", "old") and got[16] == (None, "stored", "key16") and got[20] == (None, "unchanged", "key16")
+    assert got[1] == ("k1", "unchanged", "old1") and got[2] == ("k2", "stored", "key2")
