@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow import schemas as S
 from folioflow.functions import dates, naming, payload, text
-from folioflow.session import stored
+from folioflow.session import spread, stored
 
 CLEANED = ("title", "description", "case_number", "record_date", "source", "body")
 ROWS_PER_GROUP = 1_000_000
@@ -17,11 +17,12 @@ QUANTILES = 4096
 
 def normalize_cases(cases: DataFrame) -> DataFrame:
     """Collapse text, resolve the identifier from the cleaned title, normalise the date."""
-    cleaned = cases.withColumns({c: text.clean_text(c) for c in CLEANED})
+    # The identifier is cleaned in the same step: within the choice below it would be cleaned for each of its uses.
+    cleaned = cases.withColumns({c: text.clean_text(c) for c in (*CLEANED, "identifier")})
     return cleaned.withColumns(
         {
             "identifier": naming.resolve_identifier(
-                text.clean_text("identifier"),
+                F.col("identifier"),
                 F.coalesce(F.col("source_page_url"), F.lit("")),
                 F.col("title"),
             ),
@@ -33,21 +34,22 @@ def normalize_cases(cases: DataFrame) -> DataFrame:
 def prepare_cases(incoming: DataFrame) -> DataFrame:
     """Metadata of incoming cases with payload hash, landing key and reject reason.
 
-    The payload itself stays behind, so that no later shuffle carries it. An `error` column from
+    The payload itself stays behind, so that no later shuffle carries it. What is left is spread over all cores
+    before it is normalised, as files of a batch may be few. An `error` column from
     the page pass marks rows that failed before; they and rows without an identifier get a
     `reason` and take no part in change detection.
     """
     failed = F.col("error") if "error" in incoming.columns else F.lit(None).cast("string")
-    named = normalize_cases(incoming).withColumn(
-        "_extension", naming.landing_extension("content_type", "file_name", "link_to_doc")
-    )
     # Captured cases come with the hash of a payload that is kept elsewhere.
-    hashed = F.col("file_hash") if "file_hash" in incoming.columns else payload.content_hash(
-        payload.build_payload("content_bytes", "content_html", "link_to_doc")
+    hashed = incoming if "file_hash" in incoming.columns else incoming.withColumn(
+        "file_hash", payload.content_hash(payload.build_payload("content_bytes", "content_html", "link_to_doc"))
+    )
+    narrow = spread(hashed.drop("content_bytes", "content_html"), "seq")
+    named = normalize_cases(narrow).withColumn(
+        "_extension", naming.landing_extension("content_type", "file_name", "link_to_doc")
     )
     cases = named.withColumns(
         {
-            "file_hash": hashed,
             "object_key": naming.landing_key(
                 "source", "body", "partition_date", "identifier", F.col("_extension")
             ),
@@ -59,7 +61,7 @@ def prepare_cases(incoming: DataFrame) -> DataFrame:
             ),
         }
     )
-    return cases.drop("content_bytes", "content_html", "error", "_extension")
+    return cases.drop("error", "_extension")
 
 
 def valid(prepared: DataFrame) -> DataFrame:

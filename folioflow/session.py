@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Tasks for each core where rows are spread: the last of them end at about the same time.
+TASKS_PER_CORE = 3
 
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -95,6 +97,11 @@ def stored_count(df: DataFrame) -> tuple[DataFrame, int]:
     return out, seen.get["n"]
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by a key, nearly unique, to a few tasks for each core: however few files or row groups they come from."""
+    return df.repartition(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A few driver rows as a local relation: no Python task reads it, and joins with none fold away."""
     arrow = to_arrow_schema(schema)

@@ -284,6 +284,19 @@ def test_change_detection_and_captures_carry_no_payload(spark, tmp_path):
     assert carrying(plan, "content_bytes", "content_html") == []
 
 
+def test_one_file_is_prepared_by_many_tasks(spark, tmp_path):
+    """The rows of a batch are normalised on all cores, though one task reads them; payloads stay with that task."""
+    rows = [case(f" id {i} ", i, f"text {i % 7}") for i in range(300)]
+    frame(spark, rows).coalesce(1).write.parquet(str(tmp_path / "in"))
+    incoming = spark.read.schema(S.INCOMING_CASES).parquet(str(tmp_path / "in"))
+    prepared = prepare_cases(incoming)
+    assert carrying(plan_of(prepared), "content_bytes", "content_html") == []
+    tasks = prepared.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in tasks) < 150
+    got = {r.seq: (r.identifier, r.file_hash) for r in prepared.collect()}
+    assert got == {i: (f"id {i}", hashlib.sha256(f"text {i % 7}".encode()).hexdigest()) for i in range(300)}
+
+
 def test_binaries_do_not_meet_python(spark, tmp_path):
     landing = landing_zone(spark, str(tmp_path / "l"))
     land(frame(spark, BATCH), landing, 0, T1)
